@@ -1,0 +1,300 @@
+"""``sharded_log``: a data source that reads a stored log by per-shard offsets.
+
+The log is what ``write_change_log`` stores; ``index_segments`` lists its files with their
+shard, sequence range and row count in a side table. The driver only handles that list. Each
+segment is one input partition, so a hot shard is read by as many tasks as it has segments, and
+rows before or beyond the wanted offsets are dropped, batch by batch, in the task.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceReader,
+    DataSourceStreamReader,
+    EqualTo,
+    In,
+    InputPartition,
+)
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
+
+from tideline import fixed
+from tideline.functions.ordering import sequence_key
+from tideline.operators import SHARD
+
+INDEX = "_segments"
+ID_SEPARATOR = "\n"
+
+
+def _index_exists(spark: SparkSession, path: str) -> bool:
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{INDEX}")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
+def index_segments(spark: SparkSession, path: str) -> None:
+    """Add the log's new files to its segment list; one aggregate over those files."""
+    log = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    if _index_exists(spark, path):
+        known = spark.read.parquet(f"{path}/{INDEX}").select("file")
+        log = log.join(known, "file", "left_anti")
+    key = sequence_key("sequence_number")
+    segments = log.groupBy(*SHARD, "file").agg(
+        F.min_by("sequence_number", key).alias("first"),
+        F.max_by("sequence_number", key).alias("last"),
+        F.count("*").alias("rows"),
+    )
+    segments.write.mode("append").parquet(f"{path}/{INDEX}")
+
+
+def _order(sequence: str) -> tuple[int, str]:
+    digits = sequence.lstrip("0")
+    return len(digits), digits
+
+
+@dataclass
+class Segment(InputPartition):
+    """One file of one shard, and the offsets wanted of it: after ``start`` up to ``end``."""
+
+    stream: str
+    shard_id: str
+    file: str
+    start: str | None
+    end: str | None
+
+
+def _load_index(path: str) -> list[dict]:
+    fs, root = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+    folder = f"{root.rstrip('/')}/{INDEX}"
+    if fs.get_file_info(folder).type == pafs.FileType.NotFound:
+        return []
+    files = [
+        f.path
+        for f in fs.get_file_info(pafs.FileSelector(folder))
+        if f.path.endswith(".parquet") and f.size
+    ]
+    rows = [row for f in files for row in pq.read_table(f, filesystem=fs).to_pylist()]
+    return sorted(rows, key=lambda r: (r["stream"], r["shard_id"], _order(r["first"])))
+
+
+def _shard_key(row: dict) -> str:
+    return f"{row['stream']}{ID_SEPARATOR}{row['shard_id']}"
+
+
+def _beyond(column: pa.Array, bound: str) -> pa.Array:
+    """Whether each sequence number is greater than the bound, as integers."""
+    digits, text = _order(bound)
+    trimmed = pc.utf8_ltrim(column, "0")
+    length = pc.utf8_length(trimmed)
+    same = pc.and_(pc.equal(length, digits), pc.greater(trimmed, text))
+    return pc.or_(pc.greater(length, digits), same)
+
+
+def _read_segment(segment: Segment, schema: StructType) -> Iterator[pa.RecordBatch]:
+    target = to_arrow_schema(schema)
+    fs, name = pafs.FileSystem.from_uri(segment.file)
+    source = pq.ParquetFile(fs.open_input_file(name))
+    stored = set(source.schema_arrow.names)
+    columns = [n for n in target.names if n in stored]
+    fixed_values = {"stream": segment.stream, "shard_id": segment.shard_id}
+    needed = list(dict.fromkeys([*columns, "sequence_number"]))
+    for batch in source.iter_batches(columns=needed):
+        table = pa.Table.from_batches([batch])
+        if segment.start is not None:
+            table = table.filter(_beyond(table["sequence_number"], segment.start))
+        if segment.end is not None:
+            table = table.filter(pc.invert(_beyond(table["sequence_number"], segment.end)))
+        arrays = []
+        for field in target:
+            if field.name in stored:
+                arrays.append(table[field.name].cast(field.type))
+            else:
+                value = fixed_values.get(field.name)
+                arrays.append(pa.array([value] * table.num_rows, type=field.type))
+        yield from pa.Table.from_arrays(arrays, schema=target).to_batches()
+
+
+def _segments_between(index: list[dict], start: dict, end: dict | None) -> list[Segment]:
+    wanted = []
+    for row in index:
+        shard = _shard_key(row)
+        low = start.get(shard)
+        high = None if end is None else end.get(shard)
+        if end is not None and high is None:
+            continue
+        if low is not None and _order(row["last"]) <= _order(low):
+            continue
+        if high is not None and _order(row["first"]) > _order(high):
+            continue
+        wanted.append(Segment(row["stream"], row["shard_id"], row["file"], low, high))
+    return wanted
+
+
+def _check_trimmed(index: list[dict], start: dict, policy: str) -> None:
+    if policy == "skip":
+        return
+    oldest: dict[str, str] = {}
+    for row in index:
+        oldest.setdefault(_shard_key(row), row["first"])
+    lost = [s for s, at in start.items() if s in oldest and _order(at) < _order(oldest[s])]
+    if lost:
+        raise RuntimeError(f"unable to read more records: {len(lost)} shards have trimmed data")
+
+
+def _latest(index: list[dict]) -> dict:
+    return {_shard_key(row): row["last"] for row in index}
+
+
+class _BatchReader(DataSourceReader):
+    def __init__(self, options: dict, schema: StructType):
+        self.options, self.schema = options, schema
+        self.only: dict[str, set[str]] = {}
+
+    def pushFilters(self, filters):
+        for f in filters:
+            name = f.attribute[0] if isinstance(f, (EqualTo, In)) else None
+            if name not in SHARD:
+                yield f
+                continue
+            values = {f.value} if isinstance(f, EqualTo) else set(f.value)
+            self.only[name] = self.only.get(name, values) & values
+
+    def partitions(self):
+        index = _load_index(self.options["path"])
+        for name, values in self.only.items():
+            index = [row for row in index if row[name] in values]
+        position = self.options.get("position", fixed.TRIM_HORIZON)
+        start = json.loads(self.options.get("offsets", "{}"))
+        if position == fixed.LATEST:
+            start = {**_latest(index), **start}
+        _check_trimmed(index, start, self.options.get("trimpolicy", "skip"))
+        return _segments_between(index, start, None)
+
+    def read(self, partition):
+        return _read_segment(partition, self.schema)
+
+
+class _StreamReader(DataSourceStreamReader):
+    """Offsets are {shard: last sequence number read}; each trigger admits whole segments.
+
+    With ``maxRecordsPerShard`` a trigger admits a shard's next segments up to that many rows,
+    at least one. The engine does not tell a restarted reader its start, so the reader keeps the
+    last committed offset in ``statedir``; after a crash between the two, records may repeat.
+    """
+
+    def __init__(self, options: dict, schema: StructType):
+        self.options, self.schema = options, schema
+        self.current: dict | None = None
+
+    def _state(self) -> tuple[pafs.FileSystem, str] | None:
+        folder = self.options.get("statedir")
+        if folder is None:
+            return None
+        fs, root = (
+            pafs.FileSystem.from_uri(folder) if ":" in folder else (pafs.LocalFileSystem(), folder)
+        )
+        return fs, f"{root.rstrip('/')}/offsets.json"
+
+    def _restored(self) -> dict:
+        state = self._state()
+        if state is None or state[0].get_file_info(state[1]).type == pafs.FileType.NotFound:
+            return {}
+        with state[0].open_input_stream(state[1]) as f:
+            return json.loads(f.read())
+
+    def initialOffset(self):
+        start = json.loads(self.options.get("offsets", "{}"))
+        if self.options.get("position", fixed.TRIM_HORIZON) == fixed.LATEST:
+            start = {**_latest(_load_index(self.options["path"])), **start}
+        self.current = start
+        return dict(start)
+
+    def latestOffset(self):
+        index = _load_index(self.options["path"])
+        limit = self.options.get("maxrecordspershard")
+        if limit is None:
+            base = self.current or {}
+            self.current = {**base, **_latest(index)}
+            return dict(self.current)
+        if self.current is None:
+            self.current = self._restored()
+        ends, admitted = dict(self.current), {}
+        for row in index:
+            shard = _shard_key(row)
+            at = self.current.get(shard)
+            if at is not None and _order(row["last"]) <= _order(at):
+                continue
+            taken = admitted.get(shard, 0)
+            if taken and taken + row["rows"] > int(limit):
+                admitted[shard] = int(limit) + 1
+                continue
+            admitted[shard] = taken + row["rows"]
+            if shard not in ends or _order(row["last"]) > _order(ends[shard]):
+                ends[shard] = row["last"]
+        self.current = ends
+        return dict(ends)
+
+    def partitions(self, start, end):
+        index = _load_index(self.options["path"])
+        _check_trimmed(index, start, self.options.get("trimpolicy", "skip"))
+        return _segments_between(index, start, end)
+
+    def read(self, partition):
+        return _read_segment(partition, self.schema)
+
+    def commit(self, end):
+        state = self._state()
+        if state is None:
+            return
+        fs, name = state
+        fs.create_dir(name.rsplit("/", 1)[0])
+        with fs.open_output_stream(name) as f:
+            f.write(json.dumps(end).encode())
+
+
+class ShardedLogSource(DataSource):
+    """Options: path, position, offsets (JSON), trimPolicy; streams also maxRecordsPerShard, stateDir."""
+
+    @classmethod
+    def name(cls):
+        return "sharded_log"
+
+    def schema(self):
+        return (
+            "stream string, shard_id string, sequence_number string, data binary, "
+            "arrival_ts timestamp_ntz"
+        )
+
+    def reader(self, schema):
+        return _BatchReader(dict(self.options), schema)
+
+    def streamReader(self, schema):
+        return _StreamReader(dict(self.options), schema)
+
+
+def register(spark: SparkSession) -> None:
+    """Make ``spark.read.format("sharded_log")`` available, with filter pushdown."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(ShardedLogSource)
+
+
+def offsets_option(progress: DataFrame, max_shards: int = 1_000_000) -> str:
+    """The ``offsets`` option for a progress snapshot's numeric checkpoints.
+
+    Offsets are handed to the source as text, so this is for catalogs of bounded size.
+    """
+    numeric = progress.filter(F.col("checkpoint").rlike("^[0-9]+$"))
+    rows = numeric.select(*SHARD, "checkpoint").limit(max_shards + 1).collect()
+    if len(rows) > max_shards:
+        raise ValueError(f"more than {max_shards} offsets; use apply_start_positions instead")
+    return json.dumps({f"{r['stream']}{ID_SEPARATOR}{r['shard_id']}": r["checkpoint"] for r in rows})
