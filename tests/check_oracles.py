@@ -28,7 +28,7 @@ def _canonical(pdf: pd.DataFrame) -> list[tuple]:
     pdf = pdf[sorted(pdf.columns)]
 
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if pd.isna(v):
             return "~null"
         if isinstance(v, float) and v == int(v):
             return str(int(v))
@@ -46,7 +46,7 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> str | None:
     types = {
         c: (str(got[c].dtype), str(want[c].dtype))
         for c in got.columns
-        if got[c].dtype.kind in "ifb" and want[c].dtype.kind in "ifb" and got[c].dtype != want[c].dtype
+        if not got[c].isna().any() and got[c].dtype.kind in "ifb" and want[c].dtype.kind in "ifb" and got[c].dtype != want[c].dtype
     }
     a, b = _canonical(got), _canonical(want)
     if a == b:

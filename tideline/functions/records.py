@@ -28,20 +28,37 @@ _BODY = {
     "keys": (fixed.KEYS, IMAGE),
     "new_image": (fixed.NEW_IMAGE, IMAGE),
     "old_image": (fixed.OLD_IMAGE, IMAGE),
-    "approximate_creation_ts": (fixed.CREATION_TIME, "string"),
+    "approximate_creation_ts": (fixed.CREATION_TIME, "variant"),
 }
+CORRUPT = "_corrupt"
 
 
-def _either_case(source: Column, field: str, type: str) -> Column:
-    """A field under its upper- or lower-case initial."""
-    upper, lower = field[0].upper() + field[1:], field[0].lower() + field[1:]
-    return F.coalesce(
-        F.try_variant_get(source, f"$.{lower}", type), F.try_variant_get(source, f"$.{upper}", type)
-    )
+def _spellings(field: str) -> tuple[str, str]:
+    """A field name with a lower- and an upper-case initial."""
+    return field[0].lower() + field[1:], field[0].upper() + field[1:]
+
+
+def _both(fields: dict[str, tuple[str, str]]) -> list[tuple[str, str]]:
+    """(name, type) of every field in both spellings."""
+    return [(name, type) for field, type in fields.values() for name in _spellings(field)]
+
+
+def _unpack(df: DataFrame, struct: Column, fields: list[str], keep: Sequence[str]) -> DataFrame:
+    """A struct's fields, renamed by position, as columns.
 
+    A generator rather than a projection: names that differ only in case stay apart, and filters
+    on the result are not copied below it, so the payload is parsed once.
+    """
+    return df.select(*keep, F.inline(F.array(struct)).alias(*fields))
+
+
+def _first(name: str) -> Column:
+    return F.coalesce(f"{name}_lower", f"{name}_upper")
 
-def _instant(text: Column) -> Column:
+
+def _instant(value: Column) -> Column:
     """Epoch seconds with a fraction, or ISO text, to a timestamp; anything else to null."""
+    text = F.try_variant_get(value, "$", "string")
     micros = (text.try_cast("decimal(24,9)") * F.lit(1000000)).try_cast("bigint")
     return F.coalesce(F.timestamp_micros(micros), F.try_to_timestamp(text))
 
@@ -49,30 +66,37 @@ def _instant(text: Column) -> Column:
 def decode_records(
     df: DataFrame, col: str = "data", keep: Sequence[str] = (), fields: Sequence[str] | None = None
 ) -> DataFrame:
-    """JSON payloads to envelope columns.
+    """JSON payloads to envelope columns, plus the ``keep`` columns of the input.
 
     Unknown fields, including the user identity, are ignored; field names may start in either
-    case. A payload that is no JSON object is kept as text in ``_corrupt``. ``fields`` limits
-    the columns made; the optimizer drops whatever the caller does not select in any case.
+    case. A payload that is no such record is kept as text in ``_corrupt``. ``fields`` limits
+    what is parsed to the columns named.
     """
     wanted = list(fields) if fields is not None else [*_ENVELOPE, *_BODY]
     unknown = set(wanted) - set(_ENVELOPE) - set(_BODY)
     if unknown:
         raise ValueError(f"unknown record fields {sorted(unknown)}")
-    text = F.col(col).cast("string")
-    parsed = df.withColumn("_json", F.try_parse_json(text)).withColumn(
-        "_body", _either_case(F.col("_json"), fixed.BODY, "variant")
-    )
-    columns = []
-    for name in wanted:
-        field, type = _ENVELOPE.get(name) or _BODY[name]
-        value = _either_case(F.col("_json" if name in _ENVELOPE else "_body"), field, type)
-        if name == "approximate_creation_ts":
-            value = _instant(value)
-        columns.append(value.alias(name))
-    is_object = F.schema_of_variant("_json").startswith("OBJECT")
-    corrupt = F.when(F.col(col).isNotNull() & ~F.coalesce(is_object, F.lit(False)), text)
-    return parsed.select(*keep, *columns, corrupt.alias("_corrupt"))
+    outer = {n: spec for n, spec in _ENVELOPE.items() if n in wanted}
+    inner = {n: spec for n, spec in _BODY.items() if n in wanted}
+
+    body = ",".join(f"`{name}`:{type}" for name, type in _both(inner))
+    parts = [f"`{name}` {type}" for name, type in _both(outer)]
+    parts += [f"`{name}` struct<{body}>" for name in _spellings(fixed.BODY) if inner]
+    schema = ", ".join([*parts, f"`{CORRUPT}` string"])
+    envelope = [f"{n}_{case}" for n in outer for case in ("lower", "upper")]
+    if inner:
+        envelope += ["_body_lower", "_body_upper"]
+    record = F.from_json(F.col(col).cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    result = _unpack(df, record, [*envelope, CORRUPT], keep)
+    if inner:
+        names = [f"{n}_{case}" for n in inner for case in ("lower", "upper")]
+        carried = [*keep, *[n for n in envelope if not n.startswith("_body")], CORRUPT]
+        result = _unpack(result, _first("_body"), names, carried)
+    columns = [
+        (_instant(_first(n)) if n == "approximate_creation_ts" else _first(n)).alias(n)
+        for n in wanted
+    ]
+    return result.select(*keep, *columns, CORRUPT)
 
 
 def _filled(image: Column) -> Column:

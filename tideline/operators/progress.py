@@ -100,11 +100,11 @@ def plan_new_progress(
     seeds = open_shards(shards).select(*SHARD).join(progress, SHARD, "left_anti")
     if inconsistent is not None:
         seeds = seeds.join(inconsistent, SHARD, "left_anti")
-    visited = cut(_visit_ancestors(edges, cut(seeds), progress))
+    visited = _visit_ancestors(edges, cut(seeds), progress)
     untracked = visited.filter(~F.col("tracked")).select(*SHARD)
     wanted_at = position_to_checkpoint(position)
     if position == fixed.LATEST:
-        reached = cut(_flow_down(edges, visited))
+        reached = _flow_down(edges, visited)
         below = reached.select("stream", F.col("shard_id").alias("parent_id"))
         children = untracked.select("stream", F.col("shard_id").alias("child_id"))
         own = edges.join(children, ["stream", "child_id"], "left_semi")
@@ -115,7 +115,7 @@ def plan_new_progress(
         wanted = seeds.unionByName(parents).distinct().join(progress, SHARD, "left_anti")
         mark = reached.withColumn("_reached", F.lit(True))
         wanted = wanted.join(mark, SHARD, "left").select(
-            *SHARD, F.when("_reached", fixed.TRIM_HORIZON).otherwise(wanted_at).alias("checkpoint")
+            *SHARD, F.when(F.col("_reached"), fixed.TRIM_HORIZON).otherwise(wanted_at).alias("checkpoint")
         )
     else:
         wanted = untracked.select(*SHARD, wanted_at.alias("checkpoint"))

@@ -87,8 +87,7 @@ def _pages(source: str, name: str = "pages", mixed: bool = False) -> str:
   FROM {name} p)"""
 
 
-PARENTS = """array_to_string(list_sort(list_filter([parent_shard_id, adjacent_parent_shard_id],
-             x -> x IS NOT NULL)), ',')"""
+PARENTS = "concat_ws(',', parent_shard_id, adjacent_parent_shard_id)"
 
 
 def _profile(profile: str, where: str, source: str) -> str:
@@ -520,6 +519,9 @@ ORACLES: dict[str, str] = {
         f"""SELECT {RECORD}, event_name FROM ({_positioned()}) QUALIFY row_number() OVER
         (PARTITION BY stream, shard_id ORDER BY CAST(sequence_number AS BIGINT)) <= 50""",
     ),
+    "read_stored_log_at_timestamp": _with(
+        LOG, f"SELECT {RECORD}, arrival_ts FROM log WHERE arrival_ts >= {HALF}"
+    ),
     "limit_per_shard": _with(
         LOG,
         f"""SELECT {RECORD} FROM log QUALIFY row_number() OVER
@@ -677,7 +679,7 @@ ORACLES: dict[str, str] = {
     ),
     "lag_by_shard": _with(
         LOG,
-        f"""SELECT stream, shard_id, greatest(epoch_ms({NOW}) - epoch_ms(arg_max(arrival_ts, seq)), 0) AS behind_ms
+        f"""SELECT stream, shard_id, greatest(epoch_us({NOW}) // 1000 - epoch_us(arg_max(arrival_ts, seq)) // 1000, 0) AS behind_ms
         FROM log GROUP BY ALL""",
     ),
     "throughput_by_shard": _with(

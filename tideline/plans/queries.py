@@ -679,7 +679,7 @@ def stream_latest(spark, sf_dir):
     path, state, out = (run_dir(spark, n) for n in ("log", "query", "out"))
     log = views.change_log(spark, sf_dir)
     tables.write_change_log(log.filter(F.col("arrival_ts") < _half()), path)
-    starts = cut(positions.latest_positions(tables.scan_change_log(spark, path, schema=log.schema)))
+    starts = cut(positions.latest_positions(tables.scan_change_log(spark, path)))
     tables.write_change_log(log.filter(F.col("arrival_ts") >= _half()), path)
     stream = tables.stream_change_log(spark, path, log.schema)
     new = positions.start_stream_at(stream, starts).select(*RECORD, "event_name")
@@ -747,6 +747,13 @@ def stream_process(spark, sf_dir):
     )
 
 
+@query
+def read_stored_log_at_timestamp(spark, sf_dir):
+    path = run_dir(spark, "log")
+    tables.write_change_log(views.change_log(spark, sf_dir).select(*RECORD, "arrival_ts"), path)
+    return tables.read_change_log(spark, path, position=fixed.AT_TIMESTAMP, timestamp=_half())
+
+
 def _segments(spark, sf_dir) -> str:
     path = run_dir(spark, "log")
     log = views.change_log(spark, sf_dir).select(

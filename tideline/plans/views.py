@@ -262,9 +262,9 @@ def as_records_json(log: DataFrame) -> DataFrame:
             F.lit(64).alias(initial(fixed.SIZE_BYTES)),
             F.col("sequence_number").alias(initial(fixed.SEQUENCE_NUMBER)),
             F.lit("NEW_IMAGE").alias(initial(fixed.VIEW_TYPE)),
-            keys.alias(initial(fixed.KEYS)),
-            image.alias(initial(fixed.NEW_IMAGE)),
-            seconds.alias(initial(fixed.CREATION_TIME)),
+            F.col("_keys").alias(initial(fixed.KEYS)),
+            F.col("_image").alias(initial(fixed.NEW_IMAGE)),
+            F.col("_seconds").alias(initial(fixed.CREATION_TIME)),
         )
         return F.to_json(
             F.struct(
@@ -281,7 +281,10 @@ def as_records_json(log: DataFrame) -> DataFrame:
     text = F.when(even, record(lambda s: s[0].upper() + s[1:])).otherwise(
         record(lambda s: s[0].lower() + s[1:])
     )
-    return log.select(*SHARD, "sequence_number", "arrival_ts", F.encode(text, "UTF-8").alias("data"))
+    parts = log.withColumns({"_keys": keys, "_image": image, "_seconds": seconds})
+    return parts.select(
+        *SHARD, "sequence_number", "arrival_ts", F.encode(text, "UTF-8").alias("data")
+    )
 
 
 def as_envelopes(log: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """``sharded_log``: a data source that reads a stored log by per-shard offsets.
 
-The log is what ``write_change_log`` stores; ``index_segments`` lists its files with their
-shard, sequence range and row count in a side table. The driver only handles that list. Each
-segment is one input partition, so a hot shard is read by as many tasks as it has segments, and
-rows before or beyond the wanted offsets are dropped, batch by batch, in the task.
+The log is what ``write_change_log`` stores; ``index_segments`` lists, for each file, the shards
+in it with their sequence range and row count. The driver handles that list only, and refuses
+one beyond ``maxSegments``: for larger catalogs, stream the files and apply start positions.
+Files are packed into input partitions by rows, so a hot shard is read by as many tasks as it
+has files' worth of rows. Rows outside the wanted offsets are dropped in the task, per batch.
 """
 
 from __future__ import annotations
@@ -30,11 +31,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from tideline import fixed
-from tideline.functions.ordering import sequence_key
+from tideline.functions.ordering import is_number, sequence_key
 from tideline.operators import SHARD
 
 INDEX = "_segments"
-ID_SEPARATOR = "\n"
+MAX_SEGMENTS = 2_000_000
+ROWS_PER_PARTITION = 1_000_000
+SEPARATOR = "\n"
 
 
 def _index_exists(spark: SparkSession, path: str) -> bool:
@@ -43,13 +46,23 @@ def _index_exists(spark: SparkSession, path: str) -> bool:
 
 
 def index_segments(spark: SparkSession, path: str) -> None:
-    """Add the log's new files to its segment list; one aggregate over those files."""
-    log = spark.read.parquet(path).withColumn("file", F.col("_metadata.file_path"))
+    """Add the log's new files to its segment list; one aggregate over those files.
+
+    Files older than the newest listed one are pruned by modification time before the scan.
+    """
+    log = spark.read.parquet(path).withColumns(
+        {
+            "file": F.col("_metadata.file_path"),
+            "modified": F.col("_metadata.file_modification_time"),
+        }
+    )
     if _index_exists(spark, path):
-        known = spark.read.parquet(f"{path}/{INDEX}").select("file")
-        log = log.join(known, "file", "left_anti")
+        known = spark.read.parquet(f"{path}/{INDEX}")
+        newest = known.agg(F.max("modified")).first()[0]
+        log = log.filter(F.col("_metadata.file_modification_time") >= F.lit(newest))
+        log = log.join(known.select("file").distinct(), "file", "left_anti")
     key = sequence_key("sequence_number")
-    segments = log.groupBy(*SHARD, "file").agg(
+    segments = log.groupBy(*SHARD, "file", "modified").agg(
         F.min_by("sequence_number", key).alias("first"),
         F.max_by("sequence_number", key).alias("last"),
         F.count("*").alias("rows"),
@@ -63,69 +76,91 @@ def _order(sequence: str) -> tuple[int, str]:
 
 
 @dataclass
-class Segment(InputPartition):
-    """One file of one shard, and the offsets wanted of it: after ``start`` up to ``end``."""
+class Pack(InputPartition):
+    """Files of one task, each with its wanted (stream, shard, after, up to) segments."""
+
+    files: list[tuple[str, list[tuple[str, str, str | None, str | None]]]]
 
-    stream: str
-    shard_id: str
-    file: str
-    start: str | None
-    end: str | None
 
+def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
 
-def _load_index(path: str) -> list[dict]:
-    fs, root = pafs.FileSystem.from_uri(path) if ":" in path else (pafs.LocalFileSystem(), path)
+
+def _load_index(options: dict) -> list[dict]:
+    fs, root = _filesystem(options["path"])
     folder = f"{root.rstrip('/')}/{INDEX}"
     if fs.get_file_info(folder).type == pafs.FileType.NotFound:
         return []
-    files = [
-        f.path
-        for f in fs.get_file_info(pafs.FileSelector(folder))
-        if f.path.endswith(".parquet") and f.size
-    ]
-    rows = [row for f in files for row in pq.read_table(f, filesystem=fs).to_pylist()]
+    listed = fs.get_file_info(pafs.FileSelector(folder))
+    files = [pq.ParquetFile(fs.open_input_file(f.path)) for f in listed if f.path.endswith(".parquet")]
+    limit = int(options.get("maxsegments", MAX_SEGMENTS))
+    if sum(f.metadata.num_rows for f in files) > limit:
+        raise ValueError(f"more than {limit} segments; stream the files and apply start positions")
+    rows = [row for f in files for row in f.read().to_pylist()]
     return sorted(rows, key=lambda r: (r["stream"], r["shard_id"], _order(r["first"])))
 
 
 def _shard_key(row: dict) -> str:
-    return f"{row['stream']}{ID_SEPARATOR}{row['shard_id']}"
+    return f"{row['stream']}{SEPARATOR}{row['shard_id']}"
+
 
+def _greater(digits: pa.Array, text: pa.Array, than_digits: pa.Array, than_text: pa.Array) -> pa.Array:
+    longer = pc.greater(digits, than_digits)
+    return pc.or_(longer, pc.and_(pc.equal(digits, than_digits), pc.greater(text, than_text)))
 
-def _beyond(column: pa.Array, bound: str) -> pa.Array:
-    """Whether each sequence number is greater than the bound, as integers."""
-    digits, text = _order(bound)
-    trimmed = pc.utf8_ltrim(column, "0")
-    length = pc.utf8_length(trimmed)
-    same = pc.and_(pc.equal(length, digits), pc.greater(trimmed, text))
-    return pc.or_(pc.greater(length, digits), same)
+
+def _wanted_rows(table: pa.Table, segments: list[tuple]) -> pa.Array:
+    """Positions of the rows that lie in one of the segments."""
+    text = pc.utf8_ltrim(table["sequence_number"], "0")
+    rows = pa.table(
+        {
+            "stream": table["stream"],
+            "shard_id": table["shard_id"],
+            "row": pa.array(range(table.num_rows), pa.int64()),
+            "text": text,
+            "digits": pc.utf8_length(text),
+        }
+    )
+    after = [_order(s[2]) if s[2] is not None else (-1, "") for s in segments]
+    until = [_order(s[3]) if s[3] is not None else (2**31 - 1, "") for s in segments]
+    bounds = pa.table(
+        {
+            "stream": pa.array([s[0] for s in segments], pa.string()),
+            "shard_id": pa.array([s[1] for s in segments], pa.string()),
+            "after_digits": pa.array([a[0] for a in after], pa.int32()),
+            "after_text": pa.array([a[1] for a in after], pa.string()),
+            "until_digits": pa.array([u[0] for u in until], pa.int32()),
+            "until_text": pa.array([u[1] for u in until], pa.string()),
+        }
+    )
+    j = rows.join(bounds, keys=["stream", "shard_id"], join_type="inner")
+    beyond = _greater(j["digits"], j["text"], j["after_digits"], j["after_text"])
+    past = _greater(j["digits"], j["text"], j["until_digits"], j["until_text"])
+    hits = j["row"].filter(pc.and_(beyond, pc.invert(past)))
+    return hits.take(pc.sort_indices(hits))
 
 
-def _read_segment(segment: Segment, schema: StructType) -> Iterator[pa.RecordBatch]:
+def _read_pack(pack: Pack, schema: StructType) -> Iterator[pa.RecordBatch]:
     target = to_arrow_schema(schema)
-    fs, name = pafs.FileSystem.from_uri(segment.file)
-    source = pq.ParquetFile(fs.open_input_file(name))
-    stored = set(source.schema_arrow.names)
-    columns = [n for n in target.names if n in stored]
-    fixed_values = {"stream": segment.stream, "shard_id": segment.shard_id}
-    needed = list(dict.fromkeys([*columns, "sequence_number"]))
-    for batch in source.iter_batches(columns=needed):
-        table = pa.Table.from_batches([batch])
-        if segment.start is not None:
-            table = table.filter(_beyond(table["sequence_number"], segment.start))
-        if segment.end is not None:
-            table = table.filter(pc.invert(_beyond(table["sequence_number"], segment.end)))
-        arrays = []
-        for field in target:
-            if field.name in stored:
-                arrays.append(table[field.name].cast(field.type))
-            else:
-                value = fixed_values.get(field.name)
-                arrays.append(pa.array([value] * table.num_rows, type=field.type))
-        yield from pa.Table.from_arrays(arrays, schema=target).to_batches()
-
-
-def _segments_between(index: list[dict], start: dict, end: dict | None) -> list[Segment]:
-    wanted = []
+    needed = list(dict.fromkeys([*target.names, *SHARD, "sequence_number"]))
+    for file, segments in pack.files:
+        fs, name = _filesystem(file)
+        source = pq.ParquetFile(fs.open_input_file(name))
+        stored = set(source.schema_arrow.names)
+        for batch in source.iter_batches(columns=[c for c in needed if c in stored]):
+            table = pa.Table.from_batches([batch])
+            table = table.take(_wanted_rows(table, segments))
+            columns = [
+                table[f.name].cast(f.type) if f.name in stored else pa.nulls(table.num_rows, f.type)
+                for f in target
+            ]
+            yield from pa.Table.from_arrays(columns, schema=target).to_batches()
+
+
+def _packs(index: list[dict], start: dict, end: dict | None, options: dict) -> list[Pack]:
+    """Segments between two offsets, by file, packed up to a number of rows per task."""
+    files: dict[str, list[tuple]] = {}
+    rows: dict[str, int] = {}
     for row in index:
         shard = _shard_key(row)
         low = start.get(shard)
@@ -136,12 +171,21 @@ def _segments_between(index: list[dict], start: dict, end: dict | None) -> list[
             continue
         if high is not None and _order(row["first"]) > _order(high):
             continue
-        wanted.append(Segment(row["stream"], row["shard_id"], row["file"], low, high))
-    return wanted
-
-
-def _check_trimmed(index: list[dict], start: dict, policy: str) -> None:
-    if policy == "skip":
+        files.setdefault(row["file"], []).append((row["stream"], row["shard_id"], low, high))
+        rows[row["file"]] = rows.get(row["file"], 0) + row["rows"]
+    limit = int(options.get("rowsperpartition", ROWS_PER_PARTITION))
+    packs, size = [], 0
+    for file, segments in files.items():
+        if not packs or size + rows[file] > limit:
+            packs.append(Pack([]))
+            size = 0
+        packs[-1].files.append((file, segments))
+        size += rows[file]
+    return packs
+
+
+def _check_trimmed(index: list[dict], start: dict, options: dict) -> None:
+    if options.get("trimpolicy", "skip") == "skip":
         return
     oldest: dict[str, str] = {}
     for row in index:
@@ -152,7 +196,19 @@ def _check_trimmed(index: list[dict], start: dict, policy: str) -> None:
 
 
 def _latest(index: list[dict]) -> dict:
-    return {_shard_key(row): row["last"] for row in index}
+    newest: dict[str, str] = {}
+    for row in index:
+        shard = _shard_key(row)
+        if shard not in newest or _order(row["last"]) > _order(newest[shard]):
+            newest[shard] = row["last"]
+    return newest
+
+
+def _start(options: dict, index: list[dict]) -> dict:
+    given = json.loads(options.get("offsets", "{}"))
+    if options.get("position", fixed.TRIM_HORIZON) == fixed.LATEST:
+        return {**_latest(index), **given}
+    return given
 
 
 class _BatchReader(DataSourceReader):
@@ -170,18 +226,15 @@ class _BatchReader(DataSourceReader):
             self.only[name] = self.only.get(name, values) & values
 
     def partitions(self):
-        index = _load_index(self.options["path"])
+        index = _load_index(self.options)
+        start = _start(self.options, index)
         for name, values in self.only.items():
             index = [row for row in index if row[name] in values]
-        position = self.options.get("position", fixed.TRIM_HORIZON)
-        start = json.loads(self.options.get("offsets", "{}"))
-        if position == fixed.LATEST:
-            start = {**_latest(index), **start}
-        _check_trimmed(index, start, self.options.get("trimpolicy", "skip"))
-        return _segments_between(index, start, None)
+        _check_trimmed(index, start, self.options)
+        return _packs(index, start, None, self.options)
 
     def read(self, partition):
-        return _read_segment(partition, self.schema)
+        return _read_pack(partition, self.schema)
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -189,81 +242,72 @@ class _StreamReader(DataSourceStreamReader):
 
     With ``maxRecordsPerShard`` a trigger admits a shard's next segments up to that many rows,
     at least one. The engine does not tell a restarted reader its start, so the reader keeps the
-    last committed offset in ``statedir``; after a crash between the two, records may repeat.
+    last committed offset in ``stateDir``; after a crash between the two, records may repeat.
     """
 
     def __init__(self, options: dict, schema: StructType):
         self.options, self.schema = options, schema
         self.current: dict | None = None
 
-    def _state(self) -> tuple[pafs.FileSystem, str] | None:
-        folder = self.options.get("statedir")
-        if folder is None:
-            return None
-        fs, root = (
-            pafs.FileSystem.from_uri(folder) if ":" in folder else (pafs.LocalFileSystem(), folder)
-        )
+    def _state(self) -> tuple[pafs.FileSystem, str]:
+        fs, root = _filesystem(self.options["statedir"])
         return fs, f"{root.rstrip('/')}/offsets.json"
 
     def _restored(self) -> dict:
-        state = self._state()
-        if state is None or state[0].get_file_info(state[1]).type == pafs.FileType.NotFound:
+        fs, name = self._state()
+        if fs.get_file_info(name).type == pafs.FileType.NotFound:
             return {}
-        with state[0].open_input_stream(state[1]) as f:
+        with fs.open_input_stream(name) as f:
             return json.loads(f.read())
 
     def initialOffset(self):
-        start = json.loads(self.options.get("offsets", "{}"))
-        if self.options.get("position", fixed.TRIM_HORIZON) == fixed.LATEST:
-            start = {**_latest(_load_index(self.options["path"])), **start}
-        self.current = start
-        return dict(start)
+        self.current = _start(self.options, _load_index(self.options))
+        return dict(self.current)
 
     def latestOffset(self):
-        index = _load_index(self.options["path"])
+        index = _load_index(self.options)
         limit = self.options.get("maxrecordspershard")
         if limit is None:
-            base = self.current or {}
-            self.current = {**base, **_latest(index)}
+            self.current = {**(self.current or {}), **_latest(index)}
             return dict(self.current)
+        if "statedir" not in self.options:
+            raise ValueError("maxRecordsPerShard needs a stateDir")
         if self.current is None:
             self.current = self._restored()
-        ends, admitted = dict(self.current), {}
+        ends, taken = dict(self.current), {}
         for row in index:
             shard = _shard_key(row)
             at = self.current.get(shard)
             if at is not None and _order(row["last"]) <= _order(at):
                 continue
-            taken = admitted.get(shard, 0)
-            if taken and taken + row["rows"] > int(limit):
-                admitted[shard] = int(limit) + 1
+            before = taken.get(shard, 0)
+            taken[shard] = before + row["rows"]
+            if before and taken[shard] > int(limit):
                 continue
-            admitted[shard] = taken + row["rows"]
-            if shard not in ends or _order(row["last"]) > _order(ends[shard]):
-                ends[shard] = row["last"]
+            ends[shard] = max(row["last"], ends.get(shard, "0"), key=_order)
         self.current = ends
         return dict(ends)
 
     def partitions(self, start, end):
-        index = _load_index(self.options["path"])
-        _check_trimmed(index, start, self.options.get("trimpolicy", "skip"))
-        return _segments_between(index, start, end)
+        index = _load_index(self.options)
+        _check_trimmed(index, start, self.options)
+        return _packs(index, start, end, self.options)
 
     def read(self, partition):
-        return _read_segment(partition, self.schema)
+        return _read_pack(partition, self.schema)
 
     def commit(self, end):
-        state = self._state()
-        if state is None:
+        if "statedir" not in self.options:
             return
-        fs, name = state
+        fs, name = self._state()
         fs.create_dir(name.rsplit("/", 1)[0])
         with fs.open_output_stream(name) as f:
             f.write(json.dumps(end).encode())
 
 
 class ShardedLogSource(DataSource):
-    """Options: path, position, offsets (JSON), trimPolicy; streams also maxRecordsPerShard, stateDir."""
+    """Options: path, position, offsets (JSON), trimPolicy, rowsPerPartition, maxSegments; for
+    streams also maxRecordsPerShard and stateDir. Columns beyond the default need a schema."""
 
     @classmethod
     def name(cls):
@@ -288,13 +332,13 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(ShardedLogSource)
 
 
-def offsets_option(progress: DataFrame, max_shards: int = 1_000_000) -> str:
+def offsets_option(progress: DataFrame, max_shards: int = MAX_SEGMENTS) -> str:
     """The ``offsets`` option for a progress snapshot's numeric checkpoints.
 
-    Offsets are handed to the source as text, so this is for catalogs of bounded size.
+    Offsets are handed to the source as text, so this too is for catalogs of bounded size.
     """
-    numeric = progress.filter(F.col("checkpoint").rlike("^[0-9]+$"))
+    numeric = progress.filter(is_number("checkpoint"))
     rows = numeric.select(*SHARD, "checkpoint").limit(max_shards + 1).collect()
     if len(rows) > max_shards:
         raise ValueError(f"more than {max_shards} offsets; use apply_start_positions instead")
-    return json.dumps({f"{r['stream']}{ID_SEPARATOR}{r['shard_id']}": r["checkpoint"] for r in rows})
+    return json.dumps({f"{r['stream']}{SEPARATOR}{r['shard_id']}": r["checkpoint"] for r in rows})

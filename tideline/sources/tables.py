@@ -12,25 +12,28 @@ from tideline.operators import SHARD
 from tideline.operators.reads import apply_start_positions, limit_per_shard, read_from
 
 
+DAY = "arrival_date"
+
+
 def write_change_log(log: DataFrame, path: str, mode: str = "append") -> None:
-    """Store a log in folders per stream and shard, as files of consecutive sequence ranges.
+    """Store a log in a folder per arrival day, as files of consecutive records.
 
-    Range partitioning cuts a hot shard into several files and keeps small shards together.
+    Rows are range-partitioned by day, stream, shard and sequence. The number of files follows
+    the data, not the number of shards: small shards share a file, a hot shard fills several,
+    and each file's statistics bound the shards in it. Days serve retention and reads by time.
     """
-    key = sequence_key("sequence_number")
-    ranged = log.repartitionByRange("stream", "shard_id", key)
-    ordered = ranged.sortWithinPartitions("stream", "shard_id", key)
-    ordered.write.mode(mode).partitionBy(*SHARD).parquet(path)
+    dated = log.withColumn(DAY, F.to_date("arrival_ts"))
+    order = [DAY, *SHARD, sequence_key("sequence_number")]
+    ordered = dated.repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.write.mode(mode).partitionBy(DAY).parquet(path)
 
 
-def scan_change_log(
-    spark: SparkSession, path: str, format: str = "parquet", schema: StructType | str | None = None
-) -> DataFrame:
-    """The whole stored log, shard and stream being partition columns."""
-    reader = spark.read.format(format)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(path)
+def scan_change_log(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """A stored log; with ``since``, only the days from then on are listed and read."""
+    log = spark.read.parquet(path)
+    if since is not None:
+        log = log.filter((F.col(DAY) >= since.cast("date")) & (F.col("arrival_ts") >= since))
+    return log.drop(DAY)
 
 
 def read_change_log(
@@ -41,14 +44,13 @@ def read_change_log(
     sequence: str | None = None,
     timestamp: Column | None = None,
     limit: int | None = None,
-    format: str = "parquet",
-    schema: StructType | str | None = None,
 ) -> DataFrame:
     """Bounded positioned read: per shard from ``progress``, else from one ``position``.
 
-    ``limit`` bounds the records per shard. Shards that progress excludes are pruned by folder.
+    ``limit`` bounds the records per shard.
     """
-    log = scan_change_log(spark, path, format, schema)
+    by_time = progress is None and position == fixed.AT_TIMESTAMP
+    log = scan_change_log(spark, path, timestamp if by_time else None)
     if progress is not None:
         log = apply_start_positions(log, progress, timestamp)
     else:
@@ -56,18 +58,29 @@ def read_change_log(
     return limit_per_shard(log, limit)
 
 
+def read_records(
+    spark: SparkSession, path: str, format: str = "json", schema: StructType | str | None = None
+) -> DataFrame:
+    """Change records delivered as files of another format."""
+    reader = spark.read.format(format)
+    return (reader if schema is None else reader.schema(schema)).load(path)
+
+
 def stream_change_log(
     spark: SparkSession,
     path: str,
-    schema: StructType | str,
+    schema: StructType,
     format: str = "parquet",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Continuous read of a stored log; a restarted query resumes from its own checkpoint."""
-    reader = spark.readStream.format(format).schema(schema)
+    dated = StructType(schema.fields)
+    if format == "parquet":
+        dated = dated.add(DAY, "date")
+    reader = spark.readStream.format(format).schema(dated)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path)
+    return reader.load(path).drop(DAY)
 
 
 def _committed_versions(spark: SparkSession, path: str) -> list[int]:
