@@ -109,3 +109,16 @@ def build_image(attributes: Mapping[str, tuple]) -> Column:
     ]
     present = F.filter(F.array(*entries), lambda e: e["value"].isNotNull())
     return F.map_from_entries(present)
+
+
+def build_typed_image(attributes: Mapping[str, tuple]) -> Column:
+    """The same for a fixed set of scalar attributes, as a struct of typed tagged values.
+
+    Encoding takes either form; this one stays in generated code, without variants.
+    """
+    fields = []
+    for name, (c, type) in attributes.items():
+        c = _col(c)
+        value = {"N": lambda: c.cast("string"), "B": lambda: F.base64(c)}.get(type, lambda: c)()
+        fields.append(F.when(c.isNotNull(), F.struct(value.alias(type))).alias(name))
+    return F.struct(*fields)

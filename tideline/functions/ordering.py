@@ -10,11 +10,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def sequence_order(c: Column | str) -> list[Column]:
+    """Sort columns of a non-negative integer in text: digits, then text, without leading zeros."""
+    text = F.ltrim(_col(c), F.lit("0"))
+    return [F.length(text).alias("digits"), text.alias("text")]
+
+
 def sequence_key(c: Column | str) -> Column:
-    """Sortable key of a non-negative integer in text: (digits, text) without leading zeros."""
-    c = _col(c)
-    digits = F.ltrim(c, F.lit("0"))
-    return F.when(c.isNotNull(), F.struct(F.length(digits).alias("digits"), digits.alias("text")))
+    """The same as one comparable value, for aggregates and comparisons; null stays null.
+
+    Sorts are cheaper on the separate columns of ``sequence_order``.
+    """
+    return F.when(_col(c).isNotNull(), F.struct(*sequence_order(c)))
 
 
 def is_number(c: Column | str) -> Column:

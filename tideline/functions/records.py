@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideline import fixed
 from tideline.functions.ordering import _col
@@ -99,12 +102,20 @@ def decode_records(
     return result.select(*keep, *columns, CORRUPT)
 
 
-def _filled(image: Column) -> Column:
-    return F.when(F.size(image) > 0, image)
+def _filled(df: DataFrame, name: str) -> Column:
+    """An image with at least one attribute, in map or struct form; else null."""
+    type = df.schema[name].dataType
+    if isinstance(type, StructType):
+        present = [F.col(f"`{name}`.`{field}`").isNotNull() for field in type.names]
+        return F.when(reduce(or_, present, F.lit(False)), F.col(name))
+    return F.when(F.size(name) > 0, F.col(name))
 
 
 def encode_payload(df: DataFrame) -> Column:
-    """Compact UTF-8 JSON of a record's columns; null, empty and zero fields are left out."""
+    """Compact UTF-8 JSON of a record's columns; null, empty and zero fields are left out.
+
+    Images are maps of variants, or structs of tagged values.
+    """
 
     def have(name: str) -> Column:
         if name in df.columns:
@@ -117,7 +128,7 @@ def encode_payload(df: DataFrame) -> Column:
         if name not in df.columns:
             continue
         if type == IMAGE:
-            value = _filled(value)
+            value = _filled(df, name)
         elif name == "size_bytes":
             value = F.nullif(value.cast("bigint"), F.lit(0).cast("bigint"))
         elif name == "approximate_creation_ts":

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline import fixed
-from tideline.functions.ordering import is_number, sequence_key
+from tideline.functions.ordering import is_number, sequence_key, sequence_order
 from tideline.functions.shards import is_closed, parent_ids, shard_creation_time
 from tideline.operators import SHARD
 from tideline.operators.lineage import (
@@ -275,8 +275,8 @@ def progress_checkpoints(log: DataFrame, every: int = fixed.CHECKPOINT_EVERY) ->
     of its shard; no shard is ever sorted as a whole.
     """
     counts = log.groupBy(*SHARD).agg(F.count("*").alias("_n"))
-    key = sequence_key("sequence_number")
-    last = first_per_group(log.select(*SHARD, "sequence_number"), SHARD, [key.desc()], every)
+    newest_first = [c.desc() for c in sequence_order("sequence_number")]
+    last = first_per_group(log.select(*SHARD, "sequence_number"), SHARD, newest_first, every)
     return (
         last.join(counts, SHARD)
         .filter(F.col("_rank") == F.col("_n") % every + 1)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline import fixed
-from tideline.functions.ordering import is_number, sequence_key
+from tideline.functions.ordering import is_number, sequence_key, sequence_order
 from tideline.functions.shards import clamp_limit, normalize_stream_status
 from tideline.operators import SHARD
 from tideline.operators.lineage import lineage_depth
@@ -80,8 +80,8 @@ def limit_per_shard(log: DataFrame, n: int | None = fixed.MAX_RECORDS_PER_READ)
     limit = clamp_limit(n)
     if limit is None:
         return log
-    key = sequence_key("sequence_number")
-    return first_per_group(log, SHARD, [key.asc()], limit).drop("_rank")
+    order = sequence_order("sequence_number")
+    return first_per_group(log, SHARD, order, limit).drop("_rank")
 
 
 def replay_order(log: DataFrame, shards: DataFrame) -> DataFrame:
@@ -91,7 +91,7 @@ def replay_order(log: DataFrame, shards: DataFrame) -> DataFrame:
     """
     depth = lineage_depth(shards)
     joined = join_bounded(log, depth, SHARD)
-    return joined.orderBy("stream", "depth", "shard_id", sequence_key("sequence_number"))
+    return joined.orderBy("stream", "depth", "shard_id", *sequence_order("sequence_number"))
 
 
 def oldest_retained(log: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline import fixed
-from tideline.functions.attributes import build_image
+from tideline.functions.attributes import build_typed_image
 from tideline.operators import SHARD
 from tideline.operators.lineage import SHARD_COLUMNS
 from tideline.scale import cut
@@ -290,7 +290,7 @@ def as_records_json(log: DataFrame) -> DataFrame:
 def as_envelopes(log: DataFrame) -> DataFrame:
     """Change records as envelope columns with images, ready to be encoded."""
     kept = F.col("new_value").isNotNull()
-    image = build_image(
+    image = build_typed_image(
         {
             "key_id": (F.col("key_id"), "N"),
             "event_type": (F.col("new_event_type"), "S"),
@@ -307,7 +307,7 @@ def as_envelopes(log: DataFrame) -> DataFrame:
         "sequence_number",
         F.col("key_id").alias("size_bytes"),
         F.lit("NEW_IMAGE").alias("stream_view_type"),
-        build_image({"key_id": (F.col("key_id"), "N")}).alias("keys"),
+        build_typed_image({"key_id": (F.col("key_id"), "N")}).alias("keys"),
         F.when(kept, image).alias("new_image"),
         F.col("arrival_ts").cast("timestamp").alias("approximate_creation_ts"),
     )

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 SALTS = 64
-TOP_SALTS = 1024
+ONE_PASS_ROWS = 100  # times 10^5 input tasks: 10^7 rows of a hot group in its last task
+TOP_SLICES = 1024
 MAX_LINEAGE_STEPS = 100
 
 
@@ -84,16 +85,16 @@ def first_per_group(
 ) -> DataFrame:
     """First ``n`` rows of each group, ranked in column ``rank``.
 
-    Two ranked passes: over (group, slice of input partitions), then over the survivors. Both
-    filters are rank limits, so Spark prunes each task's rows before it shuffles them, and no
-    task sees more than ``n`` rows per group from any of its inputs, however large the group.
+    A rank limit is applied by each task to its own rows before they are shuffled, so a group,
+    however large, sends at most ``n`` rows per input task. Where that could still be too many
+    for one task, a pass over (group, slice of input tasks) comes first.
     """
-    sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(TOP_SALTS)))
-    local = Window.partitionBy(*group, "_slice").orderBy(*order)
-    whole = Window.partitionBy(*group).orderBy(*order)
-    survivors = sliced.withColumn(rank, F.row_number().over(local)).filter(F.col(rank) <= n)
-    return (
-        survivors.drop(rank, "_slice")
-        .withColumn(rank, F.row_number().over(whole))
-        .filter(F.col(rank) <= n)
-    )
+    if n > ONE_PASS_ROWS:
+        sliced = df.withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(TOP_SLICES)))
+        df = _ranked(sliced, [*group, "_slice"], order, n, rank).drop(rank, "_slice")
+    return _ranked(df, group, order, n, rank)
+
+
+def _ranked(df: DataFrame, group: list[str], order: list[Column], n: int, rank: str) -> DataFrame:
+    window = Window.partitionBy(*group).orderBy(*order)
+    return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= n)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideline import fixed
-from tideline.functions.ordering import sequence_key
+from tideline.functions.ordering import sequence_order
 from tideline.operators import SHARD
 from tideline.operators.reads import apply_start_positions, limit_per_shard, read_from
 
@@ -23,7 +23,7 @@ def write_change_log(log: DataFrame, path: str, mode: str = "append") -> None:
     and each file's statistics bound the shards in it. Days serve retention and reads by time.
     """
     dated = log.withColumn(DAY, F.to_date("arrival_ts"))
-    order = [DAY, *SHARD, sequence_key("sequence_number")]
+    order = [DAY, *SHARD, *sequence_order("sequence_number")]
     ordered = dated.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.write.mode(mode).partitionBy(DAY).parquet(path)
 

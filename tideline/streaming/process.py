@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tideline.functions.ordering import sequence_key
+from tideline.functions.ordering import sequence_key, sequence_order
 from tideline.functions.records import to_delivered_record
 from tideline.functions.shards import is_closed
 from tideline.operators import SHARD
@@ -21,7 +21,7 @@ def in_order(batch: DataFrame) -> DataFrame:
 
     Ranges are cut by record count, so a hot shard spans several partitions, in order.
     """
-    return batch.orderBy("stream", "shard_id", sequence_key("sequence_number"))
+    return batch.orderBy("stream", "shard_id", *sequence_order("sequence_number"))
 
 
 def process_stream(
