@@ -181,7 +181,7 @@ def _packs(index: list[dict], start: dict, end: dict | None, options: dict) -> l
             size = 0
         packs[-1].files.append((file, segments))
         size += rows[file]
-    return packs
+    return packs or [Pack([])]
 
 
 def _check_trimmed(index: list[dict], start: dict, options: dict) -> None:
@@ -241,7 +241,8 @@ class _StreamReader(DataSourceStreamReader):
     """Offsets are {shard: last sequence number read}; each trigger admits whole segments.
 
     With ``maxRecordsPerShard`` a trigger admits a shard's next segments up to that many rows,
-    at least one. The engine does not tell a restarted reader its start, so the reader keeps the
+    at least one; use it with a repeating trigger, as ``availableNow`` makes a single step of it.
+    The engine does not tell a restarted reader its start, so the reader keeps the
     last committed offset in ``stateDir``; after a crash between the two, records may repeat.
     """
 

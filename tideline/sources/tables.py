@@ -74,7 +74,7 @@ def stream_change_log(
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Continuous read of a stored log; a restarted query resumes from its own checkpoint."""
-    dated = StructType(schema.fields)
+    dated = StructType([*schema.fields])
     if format == "parquet":
         dated = dated.add(DAY, "date")
     reader = spark.readStream.format(format).schema(dated)
