@@ -10,6 +10,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import duckdb
 import pandas as pd
+from pyspark.sql import SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -64,7 +65,9 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     only = sys.argv[2:]
     sf_dir = f"/root/testdata/sf{sf}"
-    spark, con, sql = make_session(), connect(sf_dir), entry.oracle_sql()
+    plain = SparkSession.builder.master("local[8]").getOrCreate if "--plain" in only else None
+    only = [name for name in only if name != "--plain"]
+    spark, con, sql = (plain or make_session)(), connect(sf_dir), entry.oracle_sql()
     failed = 0
     for name, fn in entry.queries().items():
         if only and name not in only:

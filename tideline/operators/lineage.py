@@ -16,7 +16,7 @@ from tideline import fixed
 from tideline.functions.ordering import sequence_key
 from tideline.functions.shards import is_closed, parent_ids
 from tideline.operators import SHARD
-from tideline.scale import MAX_LINEAGE_STEPS, cut
+from tideline.scale import MAX_LINEAGE_STEPS, cut, step
 
 SHARD_COLUMNS = [
     "stream",
@@ -153,8 +153,8 @@ def extend_closed_leaves(
             first = F.min_by(F.struct(*rest, "_at"), F.col("_at")).alias("s")
             children = children.groupBy("stream", "parent_shard_id", "_leaf_at").agg(first)
             children = children.select("stream", "parent_shard_id", "s.*")
-        added = cut(children.select(*SHARD_COLUMNS, "_at").distinct())
-        if added.isEmpty():
+        added, n = step(children.select(*SHARD_COLUMNS, "_at").distinct())
+        if n == 0:
             break
         found.append(added)
         frontier = added.filter(is_closed()).select(
@@ -277,12 +277,12 @@ def lineage_depth(shards: DataFrame) -> DataFrame:
     for depth in range(MAX_LINEAGE_STEPS):
         levels.append(level.withColumn("depth", F.lit(depth)))
         above = level.select("stream", F.col("shard_id").alias("parent_id"))
-        level = cut(
+        level, n = step(
             edges.join(above, ["stream", "parent_id"], "left_semi")
             .select("stream", F.col("child_id").alias("shard_id"))
             .distinct()
         )
-        if level.isEmpty():
+        if n == 0:
             break
     else:
         raise RuntimeError(f"lineage deeper than {MAX_LINEAGE_STEPS}, or cyclic")

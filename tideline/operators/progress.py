@@ -24,7 +24,7 @@ from tideline.operators.lineage import (
     open_shards,
 )
 from tideline.operators.reads import apply_start_positions
-from tideline.scale import MAX_LINEAGE_STEPS, cut, first_per_group
+from tideline.scale import MAX_LINEAGE_STEPS, cut, first_per_group, hint_counted, step
 
 PROGRESS_COLUMNS = [*SHARD, "parent_shard_ids", "checkpoint", "owner_switches"]
 IDS_IN_MESSAGE = 20
@@ -38,24 +38,24 @@ def position_to_checkpoint(position: str) -> Column:
 
 def _visit_ancestors(edges: DataFrame, seeds: DataFrame, tracked: DataFrame) -> DataFrame:
     """(stream, shard_id, tracked) of seeds and their ancestors; tracked shards end the climb."""
-    mark = tracked.select(*SHARD).withColumn("_tracked", F.lit(True))
-    frontier = seeds.withColumn("tracked", F.lit(False))
-    visited = [frontier]
+    mark, n = step(tracked.select(*SHARD).withColumn("_tracked", F.lit(True)))
+    frontier, total = step(seeds.withColumn("tracked", F.lit(False)))
+    visited = frontier
     for _ in range(MAX_LINEAGE_STEPS):
         below = frontier.filter(~F.col("tracked")).select(
             "stream", F.col("shard_id").alias("child_id")
         )
-        frontier = cut(
+        frontier, n = step(
             edges.join(below, ["stream", "child_id"], "left_semi")
             .select("stream", F.col("parent_id").alias("shard_id"))
             .distinct()
-            .join(reduce(DataFrame.unionByName, visited), SHARD, "left_anti")
+            .join(hint_counted(visited, total), SHARD, "left_anti")
             .join(mark, SHARD, "left")
             .select(*SHARD, F.coalesce("_tracked", F.lit(False)).alias("tracked"))
         )
-        if frontier.isEmpty():
-            return reduce(DataFrame.unionByName, visited)
-        visited.append(frontier)
+        if n == 0:
+            return visited
+        visited, total = visited.unionByName(frontier), total + n
     raise RuntimeError(f"lineage deeper than {MAX_LINEAGE_STEPS}, or cyclic")
 
 
@@ -65,19 +65,19 @@ def _flow_down(edges: DataFrame, visited: DataFrame) -> DataFrame:
         "stream", F.col("shard_id").alias("child_id")
     )
     inner = cut(edges.join(untracked, ["stream", "child_id"], "left_semi"))
-    frontier = visited.filter("tracked").select(*SHARD)
-    reached = [frontier]
+    frontier, total = step(visited.filter("tracked").select(*SHARD))
+    reached = frontier
     for _ in range(MAX_LINEAGE_STEPS):
         above = frontier.select("stream", F.col("shard_id").alias("parent_id"))
-        frontier = cut(
+        frontier, n = step(
             inner.join(above, ["stream", "parent_id"], "left_semi")
             .select("stream", F.col("child_id").alias("shard_id"))
             .distinct()
-            .join(reduce(DataFrame.unionByName, reached), SHARD, "left_anti")
+            .join(hint_counted(reached, total), SHARD, "left_anti")
         )
-        if frontier.isEmpty():
-            return reduce(DataFrame.unionByName, reached)
-        reached.append(frontier)
+        if n == 0:
+            return reached
+        reached, total = reached.unionByName(frontier), total + n
     raise RuntimeError(f"lineage deeper than {MAX_LINEAGE_STEPS}, or cyclic")
 
 
@@ -100,7 +100,7 @@ def plan_new_progress(
     seeds = open_shards(shards).select(*SHARD).join(progress, SHARD, "left_anti")
     if inconsistent is not None:
         seeds = seeds.join(inconsistent, SHARD, "left_anti")
-    visited = _visit_ancestors(edges, cut(seeds), progress)
+    visited = _visit_ancestors(edges, seeds, progress)
     untracked = visited.filter(~F.col("tracked")).select(*SHARD)
     wanted_at = position_to_checkpoint(position)
     if position == fixed.LATEST:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tideline.functions.ordering import sequence_key
 from tideline.functions.records import operation_kind
 from tideline.operators import SHARD
+from tideline.scale import cut, fits_broadcast
 
 
 def latest_changes(
@@ -41,22 +42,38 @@ def materialize_table(
     """The table the log describes, up to and including sequence number ``until``.
 
     ``base`` is an earlier state of the table, unique on ``keys``: rows of keys the log touches
-    are replaced, the others are kept without being aggregated again.
+    are replaced, the others are kept without being aggregated again. The log's changes are then
+    computed once and stored, and as long as their keys are few, ``base`` is not shuffled.
     """
     if until is not None:
         bound = sequence_key(F.lit(until))
         log = log.filter(sequence_key("sequence_number") <= bound)
     last = latest_changes(log, keys, values, order_by)
+    if base is not None:
+        last = cut(last)
     columns = list(dict.fromkeys([*keys, *values]))
     table = last.filter(operation_kind("event_name") == "upsert").select(*columns)
     if base is None:
         return table
-    kept = base.select(*columns).join(last.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(table)
+    touched = last.select(*keys)
+    if fits_broadcast(touched):
+        touched = F.broadcast(touched)
+    return base.select(*columns).join(touched, list(keys), "left_anti").unionByName(table)
 
 
-def dedupe_replayed(log: DataFrame, keys: Sequence[str] = (*SHARD, "sequence_number")) -> DataFrame:
-    """One copy of each record; on a stream, bounded by its watermark if it has one."""
+def dedupe_replayed(
+    log: DataFrame,
+    keys: Sequence[str] = (*SHARD, "sequence_number"),
+    within_watermark: bool = False,
+) -> DataFrame:
+    """One copy of each record, in batch or on a stream.
+
+    On a stream the default is exact and keeps every key in its state. ``within_watermark=True``
+    bounds the state by the stream's watermark: copies further apart pass, and records later than
+    the watermark are dropped, so use it where retention has the same bound.
+    """
+    if within_watermark:
+        return log.dropDuplicatesWithinWatermark(list(keys))
     return log.dropDuplicates(list(keys))
 
 

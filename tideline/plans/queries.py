@@ -698,10 +698,8 @@ def stream_stateful_latest(spark, sf_dir):
 @query
 def stream_dedupe(spark, sf_dir):
     out, state = run_dir(spark, "out"), run_dir(spark, "query")
-    stream = views.event_stream(spark, sf_dir).withColumn(
-        "arrival_ts", F.col("arrival_ts").cast("timestamp")
-    )
-    twice = stream.unionByName(stream).withWatermark("arrival_ts", f"{fixed.RETENTION_HOURS} hours")
+    stream = views.event_stream(spark, sf_dir)
+    twice = stream.unionByName(stream)
     once = replay.dedupe_replayed(twice).select(*RECORD, "event_name")
     process.run_to_end(once.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
     return spark.read.parquet(out)

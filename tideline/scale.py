@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_ROWS = 200_000  # of identifiers, some hundred bytes each
 ROW_OVERHEAD_BYTES = 64
 SALTS = 64
 ONE_PASS_ROWS = 100  # times 10^5 input tasks: 10^7 rows of a hot group in its last task
@@ -50,6 +51,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def step(df: DataFrame) -> tuple[DataFrame, int]:
+    """Cut an iteration's (small, id-only) rows and count them.
+
+    Within ``BROADCAST_ROWS`` the result is hinted for broadcast, so that the next join against
+    the edges does not shuffle them; the count bounds its size.
+    """
+    df = cut(df)
+    rows = df.count()
+    return hint_counted(df, rows), rows
+
+
+def hint_counted(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` with a broadcast hint if its known row count allows it."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure ``df`` with one aggregate and compare with the broadcast bound."""
     width = F.octet_length(F.to_json(F.struct("*"))) + ROW_OVERHEAD_BYTES

@@ -15,16 +15,20 @@ from tideline.operators.reads import apply_start_positions, limit_per_shard, rea
 DAY = "arrival_date"
 
 
-def write_change_log(log: DataFrame, path: str, mode: str = "append") -> None:
+def write_change_log(
+    log: DataFrame, path: str, mode: str = "append", partitions: int | None = None
+) -> None:
     """Store a log in a folder per arrival day, as files of consecutive records.
 
     Rows are range-partitioned by day, stream, shard and sequence. The number of files follows
     the data, not the number of shards: small shards share a file, a hot shard fills several,
     and each file's statistics bound the shards in it. Days serve retention and reads by time.
+    ``partitions`` sizes the ranges for a large load; the default is the session's.
     """
     dated = log.withColumn(DAY, F.to_date("arrival_ts"))
     order = [DAY, *SHARD, *sequence_order("sequence_number")]
-    ordered = dated.repartitionByRange(*order).sortWithinPartitions(*order)
+    sized = () if partitions is None else (partitions,)
+    ordered = dated.repartitionByRange(*sized, *order).sortWithinPartitions(*order)
     ordered.write.mode(mode).partitionBy(DAY).parquet(path)
 
 
