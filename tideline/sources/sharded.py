@@ -33,6 +33,7 @@ from pyspark.sql.types import StructType
 from tideline import fixed
 from tideline.functions.ordering import is_number, sequence_key
 from tideline.operators import SHARD
+from tideline.sources.tables import committed_versions
 
 INDEX = "_segments"
 MAX_SEGMENTS = 2_000_000
@@ -40,15 +41,11 @@ ROWS_PER_PARTITION = 1_000_000
 SEPARATOR = "\n"
 
 
-def _index_exists(spark: SparkSession, path: str) -> bool:
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{INDEX}")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-def index_segments(spark: SparkSession, path: str) -> None:
+def index_segments(spark: SparkSession, path: str) -> int:
     """Add the log's new files to its segment list; one aggregate over those files.
 
-    Files older than the newest listed one are pruned by modification time before the scan.
+    Files older than the newest listed one are pruned by modification time before the scan. Each
+    call writes one version of the list, which readers see only once it is complete.
     """
     log = spark.read.parquet(path).withColumns(
         {
@@ -56,10 +53,12 @@ def index_segments(spark: SparkSession, path: str) -> None:
             "modified": F.col("_metadata.file_modification_time"),
         }
     )
-    if _index_exists(spark, path):
-        known = spark.read.parquet(f"{path}/{INDEX}")
+    versions = committed_versions(spark, f"{path}/{INDEX}")
+    if versions:
+        known = spark.read.parquet(*[f"{path}/{INDEX}/version={v}" for v in versions])
         newest = known.agg(F.max("modified")).first()[0]
-        log = log.filter(F.col("_metadata.file_modification_time") >= F.lit(newest))
+        if newest is not None:
+            log = log.filter(F.col("_metadata.file_modification_time") >= F.lit(newest))
         log = log.join(known.select("file").distinct(), "file", "left_anti")
     key = sequence_key("sequence_number")
     segments = log.groupBy(*SHARD, "file", "modified").agg(
@@ -67,7 +66,9 @@ def index_segments(spark: SparkSession, path: str) -> None:
         F.max_by("sequence_number", key).alias("last"),
         F.count("*").alias("rows"),
     )
-    segments.write.mode("append").parquet(f"{path}/{INDEX}")
+    version = versions[-1] + 1 if versions else 0
+    segments.write.mode("overwrite").parquet(f"{path}/{INDEX}/version={version}")
+    return version
 
 
 def _order(sequence: str) -> tuple[int, str]:
@@ -91,8 +92,13 @@ def _load_index(options: dict) -> list[dict]:
     folder = f"{root.rstrip('/')}/{INDEX}"
     if fs.get_file_info(folder).type == pafs.FileType.NotFound:
         return []
-    listed = fs.get_file_info(pafs.FileSelector(folder))
-    files = [pq.ParquetFile(fs.open_input_file(f.path)) for f in listed if f.path.endswith(".parquet")]
+    listed = [f.path for f in fs.get_file_info(pafs.FileSelector(folder, recursive=True))]
+    complete = {f.rsplit("/", 1)[0] for f in listed if f.endswith("/_SUCCESS")}
+    files = [
+        pq.ParquetFile(fs.open_input_file(f))
+        for f in listed
+        if f.endswith(".parquet") and f.rsplit("/", 1)[0] in complete
+    ]
     limit = int(options.get("maxsegments", MAX_SEGMENTS))
     if sum(f.metadata.num_rows for f in files) > limit:
         raise ValueError(f"more than {limit} segments; stream the files and apply start positions")

@@ -87,17 +87,22 @@ def stream_change_log(
     return reader.load(path).drop(DAY)
 
 
-def _committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Versions whose write has finished, by its success marker."""
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
-    names = [s.getPath().getParent().getName() for s in found or []]
-    return sorted(int(name.split("=", 1)[1]) for name in names)
+def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching a pattern whose write has finished, by its success marker."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    found = marker.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marker)
+    return [s.getPath().getParent().toString() for s in found or []]
+
+
+def committed_versions(spark: SparkSession, path: str) -> list[int]:
+    """Finished ``version=N`` folders below a path, in order."""
+    folders = committed_folders(spark, f"{path}/version=*")
+    return sorted(int(f.rsplit("=", 1)[1]) for f in folders)
 
 
 def write_progress(progress: DataFrame, path: str) -> int:
     """Store the next snapshot beside the earlier ones; readers see it once it is complete."""
-    versions = _committed_versions(progress.sparkSession, path)
+    versions = committed_versions(progress.sparkSession, path)
     version = versions[-1] + 1 if versions else 0
     progress.write.mode("overwrite").parquet(f"{path}/version={version}")
     return version
@@ -106,7 +111,7 @@ def write_progress(progress: DataFrame, path: str) -> int:
 def read_progress(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """A progress snapshot, by default the newest complete one."""
     if version is None:
-        versions = _committed_versions(spark, path)
+        versions = committed_versions(spark, path)
         if not versions:
             raise FileNotFoundError(f"no progress snapshot in {path}")
         version = versions[-1]

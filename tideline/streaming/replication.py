@@ -1,8 +1,8 @@
 """Keeping a replica of the source table from its change stream.
 
 Each micro-batch is first reduced to one row per key and written as a delta; its cost follows
-the batch, not the table. Readers merge base and deltas; ``compact_replica`` folds the deltas
-into a new base. Deltas are named by query and batch, so a repeated batch replaces its own.
+the batch, not the table. Readers merge the base with the deltas since; ``compact_replica`` folds
+these into a new base. Deltas are named by query and batch, so a repeated batch replaces its own.
 """
 
 from __future__ import annotations
@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from tideline.operators.replay import latest_changes
 from tideline.functions.ordering import sequence_key
 from tideline.functions.records import operation_kind
-from tideline.sources.tables import _committed_versions
+from tideline.operators.replay import latest_changes
+from tideline.sources.tables import committed_folders, committed_versions
 
 
 def replicate_sink(
@@ -32,45 +32,59 @@ def replicate_sink(
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_dir)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def _deltas(spark: SparkSession, target: str) -> list[tuple[str, int, str]]:
+    """(query, batch, folder) of every finished delta."""
+    found = []
+    for folder in committed_folders(spark, f"{target}/delta/query=*/batch=*"):
+        query, batch = folder.rsplit("/", 2)[1:]
+        found.append((query.split("=", 1)[1], int(batch.split("=", 1)[1]), folder))
+    return found
 
 
-def _merged(spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """Last known change of each key over base and deltas, tombstones included."""
+def _merged(
+    spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]
+) -> tuple[DataFrame, dict[str, int]]:
+    """Last known change of each key, tombstones included, and the last batch of each query."""
     columns = [*keys, "event_name", "sequence_number", *values]
-    parts = []
-    versions = _committed_versions(spark, f"{target}/base")
+    parts, folded = [], {}
+    versions = committed_versions(spark, f"{target}/base")
     if versions:
         parts.append(spark.read.parquet(f"{target}/base/version={versions[-1]}").select(*columns))
-    if _exists(spark, f"{target}/delta"):
-        parts.append(spark.read.parquet(f"{target}/delta").select(*columns))
+        rows = spark.read.parquet(f"{target}/folded/version={versions[-1]}").collect()
+        folded = {r["query"]: r["batch"] for r in rows}
+    deltas = [d for d in _deltas(spark, target) if d[1] > folded.get(d[0], -1)]
+    if deltas:
+        parts.append(spark.read.parquet(*[folder for _, _, folder in deltas]).select(*columns))
     if not parts:
         raise FileNotFoundError(f"no replica at {target}")
+    for query, batch, _ in deltas:
+        folded[query] = max(batch, folded.get(query, -1))
     changes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return latest_changes(changes, keys, values)
+    return latest_changes(changes, keys, values), folded
 
 
 def read_replica(
     spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
     """The replica's current rows."""
-    merged = _merged(spark, target, keys, values)
+    merged, _ = _merged(spark, target, keys, values)
     return merged.filter(operation_kind("event_name") == "upsert").select(*keys, *values)
 
 
 def compact_replica(
     spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]
 ) -> int:
-    """Fold all deltas into a new base version.
+    """Fold the deltas so far into a new base version, after which they are not read again.
 
     Tombstones stay in the base, so that a late copy of an older change cannot bring a deleted
-    row back. Deltas folded in are harmless to keep; remove them when no reader needs them.
+    row back. The batches folded in are listed first and count once the base is complete.
     """
-    versions = _committed_versions(spark, f"{target}/base")
+    versions = committed_versions(spark, f"{target}/base")
     version = versions[-1] + 1 if versions else 0
-    _merged(spark, target, keys, values).write.parquet(f"{target}/base/version={version}")
+    merged, folded = _merged(spark, target, keys, values)
+    listed = spark.createDataFrame(list(folded.items()), "query string, batch bigint")
+    listed.write.mode("overwrite").parquet(f"{target}/folded/version={version}")
+    merged.write.mode("overwrite").parquet(f"{target}/base/version={version}")
     return version
 
 
