@@ -299,6 +299,19 @@ def test_source_streams_in_limited_steps_and_resumes(spark, log, folder):
     assert replay.compare_tables(got, log.select(*SHARD, "sequence_number")).count() == 0
 
 
+def test_stored_read_with_trim_policy(spark, log, stored):
+    shard = log.first()["shard_id"]
+    old = spark.createDataFrame(
+        [("s0", shard, [], "1", 0)],
+        "stream string, shard_id string, parent_shard_ids array<string>, checkpoint string, owner_switches bigint",
+    )
+    whole = log.filter(F.col("shard_id") == shard).count()
+    assert tables.read_change_log(spark, stored, old).count() == whole
+    assert tables.read_change_log(spark, stored, old, limit=3).count() == 3
+    with pytest.raises(Exception, match="unable to read more records"):
+        tables.read_change_log(spark, stored, old, trim_policy="fail").collect()
+
+
 def test_progress_snapshots(spark, folder):
     rows = spark.createDataFrame(
         [("s", "a", [], "1", 0)],

@@ -57,4 +57,5 @@ STREAM_STATUS = {
     "DISABLED": "ACTIVE",
     "DISABLING": "ACTIVE",
 }
+DISABLED = "DISABLED"
 READABLE_STATUS = ("ACTIVE", "UPDATING")

@@ -12,7 +12,7 @@ from tideline import fixed
 from tideline.functions.ordering import is_number, sequence_key, sequence_order
 from tideline.functions.shards import clamp_limit, normalize_stream_status
 from tideline.operators import SHARD
-from tideline.operators.lineage import lineage_depth
+from tideline.operators.lineage import lineage_depth, reopen_leaf_shards
 from tideline.scale import first_per_group, join_bounded
 
 
@@ -164,14 +164,22 @@ def describe_stream(
     after: str | None = None,
     limit: int | None = None,
 ) -> DataFrame:
-    """One stream's status and a page of its shards; the name is the stream's address."""
-    head = streams.filter(F.col("arn") == stream).select(
+    """One stream's status and a page of its shards; the name is the stream's address.
+
+    A disabled stream lists its leaves, reopened and all at once, so that it is read to the end.
+    """
+    described = streams.filter(F.col("arn") == stream)
+    head = described.select(
         F.col("arn").alias("stream"),
         F.col("arn").alias("stream_name"),
         normalize_stream_status("status").alias("stream_status"),
     )
-    page = page_after(shards.filter(F.col("stream") == stream), "shard_id", after, limit)
-    return head.join(page, "stream").drop("stream")
+    disabled = described.filter(F.col("status") == fixed.DISABLED).select(F.col("arn").alias("stream"))
+    own = shards.filter(F.col("stream") == stream)
+    page = page_after(own, "shard_id", after, limit).join(disabled, "stream", "left_anti")
+    leaves = reopen_leaf_shards(own).join(disabled, "stream", "left_semi")
+    listed = page.unionByName(leaves.withColumn("has_more", F.lit(False)))
+    return head.join(listed, "stream").drop("stream").orderBy("shard_id")
 
 
 def summarize_streams(streams: DataFrame, shards: DataFrame) -> DataFrame:

@@ -669,6 +669,12 @@ ORACLES: dict[str, str] = {
         f"""SELECT stream AS stream_name, {_STATUS} AS stream_status, shard_id, parent_shard_id,
         (SELECT count(*) > 5 FROM after) AS has_more FROM after ORDER BY shard_id LIMIT 5""",
     ),
+    "describe_disabled_stream": _with(
+        SHARDS,
+        f"""SELECT stream AS stream_name, 'ACTIVE' AS stream_status, shard_id,
+        CAST(NULL AS VARCHAR) AS ending_sequence_number, false AS has_more
+        FROM shards_g s WHERE stream = 's2' AND {_NO_CHILD.format(t='shards_g')}""",
+    ),
     "summarize_streams": _with(
         SHARDS,
         f"""SELECT stream AS stream_name, stream AS stream_arn, any_value({_STATUS}) AS stream_status,

@@ -620,6 +620,15 @@ def describe_stream(spark, sf_dir):
     )
 
 
+@query
+def describe_disabled_stream(spark, sf_dir):
+    streams, shards = _streams(spark, sf_dir)
+    page = reads.describe_stream(streams, views.shards_gap(shards), "s2", limit=1)
+    return page.select(
+        "stream_name", "stream_status", "shard_id", "ending_sequence_number", "has_more"
+    )
+
+
 @query
 def summarize_streams(spark, sf_dir):
     summary = reads.summarize_streams(*_streams(spark, sf_dir))

@@ -9,7 +9,12 @@ from pyspark.sql.types import StructType
 from tideline import fixed
 from tideline.functions.ordering import sequence_order
 from tideline.operators import SHARD
-from tideline.operators.reads import apply_start_positions, limit_per_shard, read_from
+from tideline.operators.reads import (
+    apply_start_positions,
+    apply_trim_policy,
+    limit_per_shard,
+    read_from,
+)
 
 
 DAY = "arrival_date"
@@ -48,14 +53,18 @@ def read_change_log(
     sequence: str | None = None,
     timestamp: Column | None = None,
     limit: int | None = None,
+    trim_policy: str = "skip",
 ) -> DataFrame:
     """Bounded positioned read: per shard from ``progress``, else from one ``position``.
 
-    ``limit`` bounds the records per shard.
+    ``limit`` bounds the records per shard. Positions older than the retained data read from the
+    oldest record there is, or with ``trim_policy="fail"`` make the query fail.
     """
     by_time = progress is None and position == fixed.AT_TIMESTAMP
     log = scan_change_log(spark, path, timestamp if by_time else None)
     if progress is not None:
+        if trim_policy != "skip":
+            progress = apply_trim_policy(progress, log, trim_policy)
         log = apply_start_positions(log, progress, timestamp)
     else:
         log = read_from(log, position, sequence, timestamp)
