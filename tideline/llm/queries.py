@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, mixing, quality, sharding
+from tideline.llm import chat, decontaminate, language_id, mixing, near_copies, quality, sharding, url_filter
 from tideline.llm.common import table, word_count
 from tideline.scale import cut
 
@@ -29,6 +29,35 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return leaks.drop("text_key")
+
+
+#: Words in the names of hosts that the registered query lists as blocked.
+LISTED_TERMS = "spam|casino|pills|adult|bets|ads"
+
+
+@query
+def op3_filter_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    listed = pages.select(F.coalesce(url_filter.url_host(F.col("url")), F.lit("")).alias("key")).distinct()
+    listed = listed.filter(F.col("key").rlike(rf"(^|[.-])({LISTED_TERMS})([.-]|$)"))
+    return url_filter.filter_urls(pages, listed).select("page_id", "host", "path", "rule", "verdict", "listed")
+
+
+@query
+def op4_identify_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", (F.crc32(text_id) % 4 == 2).alias("held_out")
+    )
+    model = language_id.train(docs.filter(~F.col("held_out")).select("text", "lang"))
+    return language_id.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -64,6 +93,12 @@ def op8_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_copies.near_copies(docs).select("doc_id", "class_id", "copies", "kept")
+
+
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
