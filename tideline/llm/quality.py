@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.common import BLANK, null_key, word_list
-from tideline.scale import join_bounded
+from tideline.scale import cut, join_bounded
 
 SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
@@ -174,18 +174,27 @@ def fences(sketches: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     return chosen.select("_lang", "_source", *limits)
 
 
-def quality_rules(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
-    """``docs`` with its counts, ``base_failed`` and ``kept``.
+def judge(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+    """Measured documents with ``base_failed`` and ``kept``.
 
     The sketches describe the documents that pass the base rules; their fences join the documents
     again by language and source (broadcast when measured small, else salted).
     """
-    measured = measure(docs.drop("base_failed", "kept"), text).withColumn("base_failed", _failed())
-    limits = fences(sketch(measured.filter(~F.col("base_failed"))), min_group)
+    measured = measured.drop("base_failed", "kept").withColumn("base_failed", _failed())
+    limits = fences(cut(sketch(measured.filter(~F.col("base_failed")))), min_group)
     keyed = measured.withColumns({"_lang": null_key("lang"), "_source": null_key("source")})
-    judged = join_bounded(keyed, limits, ["_lang", "_source"], "left", spread=text)
+    judged = join_bounded(keyed, limits, ["_lang", "_source"], "left", spread="word_chars")
     inside = reduce(
         and_, [_value(m).between(F.col(f"_from_{m.name}"), F.col(f"_to_{m.name}")) for m in MEASURES]
     )
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
     return judged.withColumn("kept", kept).select(*measured.columns, "kept")
+
+
+def quality_rules(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
+    """``docs`` with its counts, ``base_failed`` and ``kept``; reads the texts twice.
+
+    Where texts are not wanted in the result, store ``measure(docs)`` without them and ``judge``
+    that, which reads them once.
+    """
+    return judge(measure(docs, text), min_group)

@@ -102,7 +102,7 @@ def op9_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    return quality.quality_rules(docs).select(
+    return quality.judge(cut(quality.measure(docs).drop("text"))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
