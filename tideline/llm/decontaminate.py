@@ -18,11 +18,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -159,6 +160,25 @@ def _aligned(item: Template, doc: Template, shift: int) -> tuple[int, int, int]
     return best
 
 
+_FOUND = ("item_id", "item_words", "run", "slots", "changed")
+
+
+def _leaking(held: Broadcast) -> Callable:
+    """Function of a text column: the leaked items, as parallel arrays."""
+
+    @pandas_udf(", ".join(f"{n} array<bigint>" for n in _FOUND))
+    def leaking(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        bench, tokens = Benchmark(held.value), _Tokens()
+        for batch in batches:
+            rows = []
+            for text in batch:
+                found = sorted((bench.ids[i], *rest) for i, *rest in bench.leaks(canonical(text, tokens)))
+                rows.append([[x[k] for x in found] for k in range(len(_FOUND))])
+            yield pd.DataFrame(rows, columns=list(_FOUND))
+
+    return leaking
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(doc_id, text_key, item_id, item_words, run, slots, changed) of every leaked item.
 
@@ -169,24 +189,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_tokens: int = MAX_TOKE
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     parts = size // (4 * max_tokens) + 1
     keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
-    names = ("item_id", "item_words", "run", "slots", "changed")
     found = None
     for part in range(parts):
         mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).select("item_id", "text")
         held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in mine.collect()])
 
-        @pandas_udf(", ".join(f"{n} array<bigint>" for n in names))
-        def leaking(batches: Iterator[pd.Series], held=held) -> Iterator[pd.DataFrame]:
-            bench, tokens = Benchmark(held.value), _Tokens()
-            for batch in batches:
-                rows = []
-                for text in batch:
-                    found = sorted((bench.ids[i], *rest) for i, *rest in bench.leaks(canonical(text, tokens)))
-                    rows.append([[x[k] for x in found] for k in range(len(names))])
-                yield pd.DataFrame(rows, columns=list(names))
-
+        leaking = _leaking(held)
         judged = keyed.select("doc_id", "text_key", leaking("text").alias("_l"))
-        one = judged.select("doc_id", "text_key", F.inline(F.arrays_zip(*[F.col(f"_l.{n}") for n in names])))
+        one = judged.select("doc_id", "text_key", F.inline(F.arrays_zip(*[F.col(f"_l.{n}") for n in _FOUND])))
         found = one if found is None else found.unionByName(one)
     return found
 

@@ -88,7 +88,8 @@ def train(labelled: DataFrame, per_language: int = TRAIN_PER_LANGUAGE) -> list:
     sizes = cut(labelled.groupBy("lang").agg(F.count("*").alias("docs")))
     if sizes.count() * BUCKETS * 8 > MAX_MODEL_BYTES:
         raise ValueError("too many languages for one broadcast model")
-    drawn = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) * F.col("docs") < F.lit(per_language) * F.lit(1 << 30)
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    drawn = draw * F.col("docs") < F.lit(float(per_language))
     sample = join_bounded(labelled, sizes, ["lang"], spread="text").filter(drawn).select("lang", "text")
     # a row per language and task of the sample, whose size is bounded
     counts = sample.mapInPandas(_counted, "lang string, counts binary")

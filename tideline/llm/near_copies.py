@@ -140,7 +140,6 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
     return common / (total - common)
 
 
-@pandas_udf("kmers bigint, sketches array<bigint>")
 def _sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     words = _Words()
     for batch in batches:
@@ -152,14 +151,12 @@ def _sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"kmers": np.array(sizes, np.int64), "sketches": values})
 
 
-@pandas_udf("binary")
 def _profiled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     words = _Words()
     for batch in batches:
         yield pd.Series([labelled_kmers(text, words).tobytes() for text in batch], dtype=object)
 
 
-@pandas_udf("double")
 def _similarities(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(
         [similarity(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(left, right, strict=True)],
@@ -177,7 +174,7 @@ def _verified(pairs: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFr
     left = profiles.select(F.col("node").alias("a"), F.col("profile").alias("_left"))
     # small sides last, so that a node with many partners is split over tasks by adaptive execution
     joined = close.join(right, "b").join(left, "a")
-    similar = joined.select("a", "b", _similarities("_left", "_right").alias("_s"))
+    similar = joined.select("a", "b", pandas_udf(_similarities, "double")("_left", "_right").alias("_s"))
     return cut(similar.filter(F.col("_s") >= MIN_SIMILARITY - 1e-9).select("a", "b"))
 
 
@@ -219,7 +216,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
     given = keyed.filter(F.col("text").isNotNull())
-    sketched = given.select("doc_id", "text_key", _sketched("text").alias("_s")).select("doc_id", "text_key", "_s.*")
+    sketch = pandas_udf(_sketched, "kmers bigint, sketches array<bigint>")
+    sketched = given.select("doc_id", "text_key", sketch("text").alias("_s")).select("doc_id", "text_key", "_s.*")
     nodes = sketched.groupBy("text_key").agg(
         F.min("doc_id").alias("first_id"), F.count("*").alias("copies"),
         F.first("kmers").alias("kmers"), F.first("sketches").alias("sketches"),
@@ -235,7 +233,7 @@ def near_copies(docs: DataFrame) -> DataFrame:
         wanted.withColumnRenamed("first_id", "_id"),
         F.col("doc_id").eqNullSafe(F.col("_id")) & (given["text_key"] == wanted["text_key"]),
     )
-    profiles = cut(texts.select("node", _profiled("text").alias("profile")).dropDuplicates(["node"]))
+    profiles = cut(texts.select("node", pandas_udf(_profiled, "binary")("text").alias("profile")).dropDuplicates(["node"]))
     to_leader = members.groupBy("node").agg(F.min("leader").alias("a")).filter("a <> node")
     links = _verified(to_leader.select("a", F.col("node").alias("b")), nodes, profiles)
     component = connected_components(links).withColumnRenamed("id", "node")

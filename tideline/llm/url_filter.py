@@ -17,10 +17,11 @@ named like a result are replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -144,6 +145,15 @@ class Cascade:
         return result
 
 
+def _lists(held: Broadcast) -> Callable:
+    @pandas_udf("boolean")
+    def lists(bucket: pd.Series, h1: pd.Series, h2: pd.Series) -> pd.Series:
+        a, b = h1.to_numpy(np.int64).view(np.uint64), h2.to_numpy(np.int64).view(np.uint64)
+        return pd.Series(Cascade(held.value).lists(bucket.to_numpy(np.int64), a, b))
+
+    return lists
+
+
 def is_listed(df: DataFrame, key: str, cascade: DataFrame, buckets: int, max_bytes: int = MAX_BROADCAST) -> DataFrame:
     """``df`` with ``listed`` for each key; one pass over the rows per broadcast part."""
     size = cascade.agg(F.sum(F.length("data") + F.lit(64))).first()[0] or 0
@@ -155,14 +165,8 @@ def is_listed(df: DataFrame, key: str, cascade: DataFrame, buckets: int, max_byt
         mine = cascade.filter(F.pmod(F.col("bucket"), F.lit(parts)) == part)
         held = df.sparkSession.sparkContext.broadcast(mine.collect())  # about max_bytes at most
 
-        @pandas_udf("boolean")
-        def lists(bucket: pd.Series, h1: pd.Series, h2: pd.Series, held=held) -> pd.Series:
-            filters = Cascade(held.value)
-            a, b = h1.to_numpy(np.int64).view(np.uint64), h2.to_numpy(np.int64).view(np.uint64)
-            return pd.Series(filters.lists(bucket.to_numpy(np.int64), a, b))
-
         own = keyed.filter(F.pmod(F.col("_bucket"), F.lit(parts)) == part)
-        own = own.withColumn("listed", lists("_bucket", "_h1", "_h2")).drop("_h1", "_h2", "_bucket")
+        own = own.withColumn("listed", _lists(held)("_bucket", "_h1", "_h2")).drop("_h1", "_h2", "_bucket")
         judged = own if judged is None else judged.unionByName(own)
     return judged
 
