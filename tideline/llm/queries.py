@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, decontaminate, language_id, mixing, near_copies, quality, sharding, url_filter
+from tideline.llm import chat, decontaminate, language_id, mixing, near_copies, quality, sharding, suffix_dedup, url_filter
 from tideline.llm.common import table, word_count
 from tideline.scale import cut
 
@@ -72,6 +72,12 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).drop("starts", "ends")
+
+
 @query
 def op8_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
