@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -89,3 +91,50 @@ def _fingerprint(edges: DataFrame) -> tuple:
     mixed = F.xxhash64("a", "b")
     low = mixed.bitwiseAND(F.lit((1 << 31) - 1))
     return tuple(edges.agg(F.count("*"), F.sum(low), F.bit_xor(mixed)).first())
+
+
+def leader_pairs(members: DataFrame, best: Column) -> DataFrame:
+    """(a, b) of each node and its bucket's leader (the node of largest ``best``), if in another component.
+
+    ``members`` is (node, bucket, component, ...); one pair per bucket and node.
+    """
+    leaders = members.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), best).alias("_l"))
+    apart = members.join(leaders, "bucket").filter(F.col("component") != F.col("_l.component"))
+    return apart.select(F.least("node", "_l.node").alias("a"), F.greatest("node", "_l.node").alias("b")).distinct()
+
+
+def cross_pairs(members: DataFrame, further: DataFrame, block: int) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that share a bucket.
+
+    ``members`` is (node, t, bucket, component), ``further`` (node, t2, value). Where at most
+    ``block`` nodes of a bucket are outside its largest component, these are paired with all nodes
+    of the bucket, so the pairs stay in proportion to its size. Otherwise unrelated nodes meet in a
+    frequent value: they are dealt again by bucket and a further value, and what is still that mixed
+    is paired with one leader per bucket.
+    """
+    found = []
+    for last in (False, True):
+        counts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        stats = counts.groupBy("bucket").agg(
+            (F.sum("n") - F.max("n")).alias("_apart"), F.max_by("component", F.struct("n", "component")).alias("_main")
+        )
+        placed = members.join(cut(stats.filter("_apart > 0")), "bucket")
+        few = placed.filter(F.col("_apart") <= block)
+        odd = few.filter("component <> _main").select("bucket", F.col("node").alias("_n"), F.col("component").alias("_c"))
+        met = odd.join(few.select("bucket", "node", "component"), "bucket").filter("component <> _c")
+        found.append(met.select(F.least("node", "_n").alias("a"), F.greatest("node", "_n").alias("b")))
+        many = placed.filter(F.col("_apart") > block)
+        if last:
+            found.append(leader_pairs(many, F.xxhash64("node")))
+            break
+        finer = many.join(further, "node").filter(F.col("t2") > F.col("t"))
+        members = cut(finer.select("node", "component", F.xxhash64("bucket", "t2", "value").alias("bucket")))
+    return cut(reduce(DataFrame.unionByName, found).distinct())
+
+
+def with_component(members: DataFrame, components: DataFrame) -> DataFrame:
+    """``members`` with the component of each node: its own where it has no links."""
+    known = components.select(F.col("id").alias("node"), F.col("component"))
+    rest = [c for c in members.columns if c != "component"]
+    joined = members.select(*rest).join(known, "node", "left")
+    return cut(joined.select(*rest, F.coalesce("component", "node").alias("component")))

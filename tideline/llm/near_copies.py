@@ -9,11 +9,13 @@ Two texts are near copies when their similarity is at least ``MIN_SIMILARITY``:
 subsequence of their labelled k-mers, over the k-mers of both less that. The alignment looks only
 at the diagonals that such a similarity allows.
 
-Equal texts are one node. Links are found in two steps. First each node is compared with the
-smallest node it shares a bucket with, which settles the bulk of a group of copies in as many
-comparisons as it has nodes. Then buckets that still hold several components are searched for the
-rest: up to ``BLOCK`` nodes by comparing nodes of different components, larger ones after being
-split by a further sketch value, as often as needed. No bucket is dropped or cut short.
+Equal texts are one node; pairs of nodes are compared if ``AGREEING`` of their values agree (all but
+2 in 10,000 pairs at the least similarity have as many, and more the more alike they are). A
+group of copies is not compared pair by pair: first each node is compared with the node of smallest
+doc_id in its buckets, which settles most of a group in as many comparisons as it has nodes; then
+with another node of each bucket that still holds several components; at last the nodes outside
+a bucket's largest component with all of its nodes, after a split of the bucket by a second value where
+they are more than ``BLOCK``. No bucket is dropped or cut short.
 
 Null texts are never copies. Texts without words are copies of equal texts only, shorter texts than
 ``K`` words of texts with the same words. Rows that share a doc_id are judged by their texts; the
@@ -33,14 +35,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tideline.llm.common import connected_components
-from tideline.scale import cut
+from tideline.llm.common import connected_components, cross_pairs, leader_pairs, with_component
+from tideline.scale import cut, join_bounded
 
 K = 5
 PICKED = 3
 SKETCHES = 16
 MIN_SIMILARITY = 0.8
 BLOCK = 64
+AGREEING = 2
+NO_ID = -(1 << 63)
 _COLUMNS = 1 << 15  # k-mers hashed at once
 _VOCABULARY = 1 << 20  # words whose hash a task remembers
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -154,22 +158,23 @@ def _sketched(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
 def _profiled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     words = _Words()
     for batch in batches:
-        yield pd.Series([labelled_kmers(text, words).tobytes() for text in batch], dtype=object)
+        yield pd.Series([labelled_kmers(text, words).astype(np.uint32).tobytes() for text in batch], dtype=object)
 
 
 def _similarities(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(
-        [similarity(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(left, right, strict=True)],
+        [similarity(np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)) for a, b in zip(left, right, strict=True)],
         dtype=float,
     )
 
 
 def _verified(pairs: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Links among ``pairs`` (a, b) of nodes whose sizes allow it."""
-    sizes = nodes.select(F.col("node").alias("a"), F.col("kmers").alias("_na"))
-    other = nodes.select(F.col("node").alias("b"), F.col("kmers").alias("_nb"))
-    alike = F.least("_na", "_nb") >= MIN_SIMILARITY * F.greatest("_na", "_nb") - 1e-6
-    close = pairs.join(sizes, "a").join(other, "b").filter(alike).select("a", "b")
+    """Links among ``pairs`` (a, b) of nodes whose sizes and sketches allow it."""
+    one = nodes.select(F.col("node").alias("a"), F.col("kmers").alias("_na"), F.col("sketches").alias("_sa"))
+    other = nodes.select(F.col("node").alias("b"), F.col("kmers").alias("_nb"), F.col("sketches").alias("_sb"))
+    sized = F.least("_na", "_nb") >= MIN_SIMILARITY * F.greatest("_na", "_nb") - 1e-6
+    agreeing = F.size(F.filter(F.zip_with("_sa", "_sb", lambda x, y: x == y), lambda same: same))
+    close = pairs.join(one, "a").join(other, "b").filter(sized & (agreeing >= AGREEING)).select("a", "b")
     right = profiles.select(F.col("node").alias("b"), F.col("profile").alias("_right"))
     left = profiles.select(F.col("node").alias("a"), F.col("profile").alias("_left"))
     # small sides last, so that a node with many partners is split over tasks by adaptive execution
@@ -178,36 +183,6 @@ def _verified(pairs: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFr
     return cut(similar.filter(F.col("_s") >= MIN_SIMILARITY - 1e-9).select("a", "b"))
 
 
-def _mixed(buckets: DataFrame) -> DataFrame:
-    """(bucket, n) of the buckets that hold several components."""
-    held = buckets.groupBy("bucket").agg(
-        F.count("*").alias("n"), F.min("component").alias("_lo"), F.max("component").alias("_hi")
-    )
-    return held.filter("_lo <> _hi").select("bucket", "n")
-
-
-def _remaining_pairs(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of nodes in different components that share a bucket, or several where it is large."""
-    found = None
-    while True:
-        mixed = cut(_mixed(members))
-        small = members.join(mixed.filter(F.col("n") <= BLOCK).select("bucket"), "bucket")
-        right = small.select("bucket", F.col("node").alias("b"), F.col("component").alias("_cb"))
-        pairs = small.join(right, "bucket").filter("node < b and component <> _cb")
-        pairs = cut(pairs.select(F.col("node").alias("a"), "b").distinct())
-        found = pairs if found is None else found.unionByName(pairs).distinct()
-        large = mixed.filter(F.col("n") > BLOCK).select("bucket")
-        if large.isEmpty():
-            return found
-        crowded = members.join(large, "bucket")
-        finer = crowded.join(sketches, "node").filter(F.col("t2") > F.col("t"))
-        members = cut(
-            finer.select("node", "component", F.col("t2").alias("t"), F.xxhash64("bucket", "t2", "value").alias("bucket"))
-        )
-        if members.isEmpty():
-            return found
-
-
 def near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) to (doc_id, text_key, class_id, copies, kept).
 
@@ -223,26 +198,28 @@ def near_copies(docs: DataFrame) -> DataFrame:
         F.first("kmers").alias("kmers"), F.first("sketches").alias("sketches"),
     )
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
-    sketches = nodes.select("node", F.posexplode("sketches").alias("t", "value"))
-    buckets = sketches.select("node", "t", F.xxhash64("t", "value").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).filter("n > 1")
-    members = cut(buckets.join(shared.select("bucket", "leader"), "bucket"))
-
-    wanted = members.select("node").distinct().join(nodes, "node").select("node", "first_id", "text_key")
-    texts = given.join(
-        wanted.withColumnRenamed("first_id", "_id"),
-        F.col("doc_id").eqNullSafe(F.col("_id")) & (given["text_key"] == wanted["text_key"]),
+    sketches = nodes.select("node", "first_id", F.posexplode("sketches").alias("t", "value"))
+    buckets = sketches.select("node", "first_id", "t", F.xxhash64("t", "value").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = cut(buckets.join(shared, "bucket").withColumn("component", F.col("node")))
+
+    id_key = F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_id")
+    wanted = members.select("node").distinct().join(nodes, "node").select(
+        "node", "text_key", F.coalesce("first_id", F.lit(NO_ID)).alias("_id")
     )
+    texts = join_bounded(given.select("text_key", id_key, "text"), cut(wanted), ["_id", "text_key"], spread="text")
     profiles = cut(texts.select("node", pandas_udf(_profiled, "binary")("text").alias("profile")).dropDuplicates(["node"]))
-    to_leader = members.groupBy("node").agg(F.min("leader").alias("a")).filter("a <> node")
-    links = _verified(to_leader.select("a", F.col("node").alias("b")), nodes, profiles)
-    component = connected_components(links).withColumnRenamed("id", "node")
-    placed = members.join(component, "node", "left").select(
-        "node", "t", "bucket", F.coalesce("component", "node").alias("component")
-    )
-    finer = sketches.withColumnRenamed("t", "t2")
-    rest = _remaining_pairs(cut(placed), finer)
-    more = _verified(rest, nodes, profiles)
+
+    # one leader per node at first: of its buckets' leaders the one with the smallest doc_id
+    oldest = F.struct(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), "node")
+    leaders = members.groupBy("bucket").agg(F.min(oldest).alias("_l"))
+    to_leader = members.join(leaders, "bucket").groupBy("node").agg(F.min("_l").alias("_l"))
+    pairs = to_leader.select(F.col("_l.node").alias("a"), F.col("node").alias("b")).filter("a <> b")
+    links = _verified(pairs, nodes, profiles)
+    members = with_component(members, connected_components(links))
+    links = cut(links.unionByName(_verified(leader_pairs(members, F.xxhash64("node", F.lit(1))), nodes, profiles)))
+    members = with_component(members, connected_components(links))
+    more = _verified(cross_pairs(members, sketches.select("node", F.col("t").alias("t2"), "value"), BLOCK), nodes, profiles)
     component = connected_components(links.unionByName(more)).withColumnRenamed("id", "node")
 
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, decontaminate, language_id, mixing, near_copies, quality, sharding, suffix_dedup, url_filter
+from tideline.llm import chat, decontaminate, fuzzy_lines, language_id, mixing, near_copies, quality, sharding, suffix_dedup, url_filter
 from tideline.llm.common import table, word_count
 from tideline.scale import cut
 
@@ -72,6 +72,13 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = fuzzy_lines.fuzzy_lines(docs)
+    return judged.select("doc_id", "n_lines", F.size("removed").cast("bigint").alias("n_removed"), "removed")
+
+
 @query
 def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
