@@ -442,6 +442,7 @@ def brute_removal(docs):
 def test_repeats(spark, monkeypatch, hot):
     if hot:  # every frequent beginning is dealt again
         monkeypatch.setattr(suffix_dedup, "HOT_FACTOR", 0.01)
+        monkeypatch.setattr(suffix_dedup, "HOT_LEAST", 2)
         monkeypatch.setattr(suffix_dedup, "RUN_SUFFIXES", 64)
     rng = random.Random(12)
     noise = lambda n: "".join(rng.choice("abcdé \n\0") for _ in range(n))

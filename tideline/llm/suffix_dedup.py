@@ -16,8 +16,8 @@ windows have equal anchors and meet in the sort. Three passes follow:
 3. Each partition merges its runs with a loser tree that carries common prefix lengths: two entries
    are compared from their first unknown byte on. The prefix lengths of the merged order and
    of the backward parts tell which windows around an anchor are equal; all but the first
-   repeat. A suffix whose first bytes are too frequent for one partition is dealt again, one entry
-   for each of its windows by the hash of that window.
+   repeat. Suffixes whose first bytes are too frequent for one partition are sent window by
+   window instead, dealt by the hash of the window.
 
 Null texts are empty; a null doc_id comes before all others. Documents that share a doc_id are
 ordered by a hash of their text, and rows equal in both are one document: each returns its
@@ -27,6 +27,7 @@ result. Texts shorter than ``LENGTH`` lose nothing. An empty table has an empty
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tideline.scale import cut
+from tideline.scale import cut, join_bounded
 
 LENGTH = 100
 GRAM = 32
@@ -47,11 +48,11 @@ PIECE = 1 << 20  # bytes of a text read at once
 RUN_ANCHORS = 1 << 20
 RUN_SUFFIXES = 1 << 17
 PART_BYTES = 64 << 20  # of text per partition of an exchange
-HOT_FACTOR = 4  # entries of one beginning, over the mean of a partition, that are dealt again
+HOT_FACTOR = 4  # partitions' shares from which the suffixes of one beginning are dealt by window
+HOT_LEAST = 4096  # anchors of one hash that are reported as frequent
 NO_REPLY = np.uint32(0xFFFFFFFF)
 FIRST_ID = -(1 << 63)
 _ODD = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -102,28 +103,53 @@ def _bytes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
-_BLOB = "part int, kind int, key binary, doc binary, tie binary, place binary"
+_BLOB = "part int, key binary, doc binary, place binary, sure binary"
+_BLOB_NAMES = [f.split()[0] for f in _BLOB.split(", ")]
+_REPLY = "kind int, doc bigint, n bigint, places binary"  # kind 0: a document's places; 1: a frequent hash
 
 
-def _blob(part: int, kind: int, key, doc, tie, place) -> tuple:
-    return part, kind, key.tobytes(), doc.tobytes(), tie.tobytes(), place.tobytes()
+def _packed(x: np.ndarray) -> bytes:
+    return zlib.compress(x.tobytes(), 1)
 
 
-def _anchor_run(parts: int, keys, docs, ties, places) -> Iterator[tuple]:
-    """A run's anchors: those known to repeat, and the others sorted for each partition."""
+def _unpacked(data: bytes, type_) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), type_)
+
+
+def _document_starts(*ids: np.ndarray) -> tuple[list[int], list[int]]:
+    """First and end index of each document in sorted rows."""
+    if not len(ids[0]):
+        return [], []
+    changes = np.zeros(len(ids[0]) - 1, bool)
+    for column in ids:
+        changes |= column[1:] != column[:-1]
+    new = (np.flatnonzero(changes) + 1).tolist()
+    return [0, *new], [*new, len(ids[0])]
+
+
+def _anchor_run(parts: int, keys, docs, places) -> Iterator[tuple]:
+    """A run's anchors, sorted, for each partition.
+
+    Anchors that repeat within the run need no answer; one witness, with their number, tells the
+    partition of them.
+    """
     order = np.argsort(keys, kind="stable")
-    keys, docs, ties, places = keys[order], docs[order], ties[order], places[order]
+    keys, docs, places = keys[order], docs[order], places[order]
     same = keys[1:] == keys[:-1]
-    repeats = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    first = ~np.concatenate([[False], same])
-    sent = first  # one witness of a repeated key, and all single ones
-    reply = np.where(repeats, NO_REPLY, places)
-    part = (keys % np.uint64(parts)).astype(np.int64)
-    for p in np.unique(part[sent]):
-        mine = sent & (part == p)
-        yield _blob(int(p), 0, keys[mine], docs[mine], ties[mine], reply[mine])
-    if repeats.any():
-        yield _blob(int(part[repeats][0]), 1, keys[:0], docs[repeats], ties[repeats], places[repeats])
+    again = np.concatenate([[False], same])
+    repeats = again | np.concatenate([same, [False]])
+    first = np.flatnonzero(~again)
+    number = np.diff(np.append(first, len(keys)))
+    alone = number == 1
+    sent_docs = np.where(alone, docs[first], number)
+    sent_places = np.where(alone, places[first], NO_REPLY)
+    part = (keys[first] % np.uint64(parts)).astype(np.int64)
+    sure = np.flatnonzero(repeats)
+    sure_part = docs[sure] % parts
+    for p in np.union1d(part, sure_part).tolist():
+        mine, own = part == p, sure[sure_part == p]
+        known = docs[own].tobytes() + places[own].tobytes()
+        yield p, _packed(keys[first][mine]), _packed(sent_docs[mine]), _packed(sent_places[mine]), zlib.compress(known, 1)
 
 
 def _send_anchors(parts: int) -> Callable:
@@ -134,67 +160,64 @@ def _send_anchors(parts: int) -> Callable:
         def flush() -> pd.DataFrame:
             columns = [np.concatenate(c) for c in zip(*held, strict=True)]
             held.clear()
-            return pd.DataFrame(list(_anchor_run(parts, *columns)), columns=["part", "kind", "key", "doc", "tie", "place"])
+            return pd.DataFrame(list(_anchor_run(parts, *columns)), columns=_BLOB_NAMES)
 
         for batch in batches:
-            for doc, tie, text in zip(batch["doc"], batch["tie"], batch["text"], strict=True):
+            for doc, text in zip(batch["doc"], batch["text"], strict=True):
                 place, key = anchors(_bytes_of(text))
-                n = len(place)
-                held.append((key, np.full(n, doc, np.int64), np.full(n, tie, np.int64), place.astype(np.uint32)))
-                size += n
+                held.append((key, np.full(len(place), doc, np.int64), place.astype(np.uint32)))
+                size += len(place)
                 if size >= RUN_ANCHORS:
                     yield flush()
                     size = 0
-        if held:
+        if size:
             yield flush()
 
     return send
 
 
-_PLACES = "doc bigint, tie bigint, places binary"
-
-
-def _by_document(docs: np.ndarray, ties: np.ndarray, places: np.ndarray) -> pd.DataFrame:
-    order = np.lexsort((places, ties, docs))
-    docs, ties, places = docs[order], ties[order], places[order]
-    packed = [
-        (docs[a], ties[a], places[a:b].tobytes()) for a, b in zip(*_document_starts(docs, ties), strict=True)
-    ]
-    return pd.DataFrame(packed, columns=["doc", "tie", "places"])
+def _by_document(docs: np.ndarray, places: np.ndarray) -> pd.DataFrame:
+    order = np.lexsort((places, docs))
+    docs, places = docs[order], places[order]
+    packed = [(0, docs[a], 0, places[a:b].tobytes()) for a, b in zip(*_document_starts(docs), strict=True)]
+    return pd.DataFrame(packed, columns=["kind", "doc", "n", "places"])
 
 
 def _repeated_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Places of the anchors whose hash some other anchor has, per document."""
-    keys, docs, ties, places = [], [], [], []
+    """Places of the anchors whose hash some other anchor has, per document; and frequent hashes."""
+    keys, docs, places, known_docs, known_places = [], [], [], [], []
     for batch in batches:
-        for kind, key, doc, tie, place in zip(
-            batch["kind"], batch["key"], batch["doc"], batch["tie"], batch["place"], strict=True
-        ):
-            ids = np.frombuffer(doc, np.int64), np.frombuffer(tie, np.int64), np.frombuffer(place, np.uint32)
-            if kind == 1:
-                yield _by_document(*ids)
-                continue
-            keys.append(np.frombuffer(key, np.uint64))
-            for column, values in zip((docs, ties, places), ids, strict=True):
-                column.append(values)
+        for _, key, doc, place, sure in batch[_BLOB_NAMES].itertuples(index=False, name=None):
+            keys.append(_unpacked(key, np.uint64))
+            docs.append(_unpacked(doc, np.int64))
+            places.append(_unpacked(place, np.uint32))
+            known = zlib.decompress(sure)
+            n = len(known) // 12
+            known_docs.append(np.frombuffer(known, np.int64, n))
+            known_places.append(np.frombuffer(known, np.uint32, n, n * 8))
     if not keys:
         return
-    key, doc, tie, place = (np.concatenate(c) for c in (keys, docs, ties, places))
+    key, doc, place = (np.concatenate(c) for c in (keys, docs, places))
     order = np.argsort(key, kind="stable")
-    same = key[order][1:] == key[order][:-1]
-    repeats = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-    found = order[repeats]
-    found = found[place[found] != NO_REPLY]
-    if len(found):
-        yield _by_document(doc[found], tie[found], place[found])
+    key, doc, place = key[order], doc[order], place[order]
+    same = key[1:] == key[:-1]
+    again = np.concatenate([[False], same])
+    found = (again | np.concatenate([same, [False]])) & (place != NO_REPLY)
+    yield _by_document(np.concatenate([doc[found], *known_docs]), np.concatenate([place[found], *known_places]))
+    first = np.flatnonzero(~again)
+    if len(first):
+        number = np.add.reduceat(np.where(place == NO_REPLY, doc, 1), first)
+        often = number >= HOT_LEAST
+        hot = key[first][often].view(np.int64)
+        yield pd.DataFrame({"kind": 1, "doc": hot, "n": number[often], "places": [b""] * len(hot)})
 
 
 # Suffix entries -----------------------------------------------------------------------------
 
 _RUN = "part int, n int, prefix binary, rest binary, doc binary, tie binary, place binary"
 _RUN_NAMES = [f.split()[0] for f in _RUN.split(", ")]
-_SPANS = "doc bigint, tie bigint, starts binary, ends binary"
 _ENTRY = WIDTH + 2  # bytes, with the range of window starts
+_SPANS = "doc bigint, tie bigint, spans binary"  # starts, then ends
 
 
 def entries_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -226,22 +249,22 @@ def front_coded(rows: np.ndarray) -> tuple[bytes, bytes]:
     """Prefix lengths of sorted rows, and their remaining bytes."""
     lengths = prefix_lengths(rows)
     rest = rows[np.arange(rows.shape[1]) >= lengths[:, None]]
-    return lengths.astype(np.uint8).tobytes(), rest.tobytes()
+    return _packed(lengths.astype(np.uint8)), _packed(rest)
 
 
 def decoded(n: int, prefix: bytes, rest: bytes, width: int = _ENTRY) -> tuple[np.ndarray, np.ndarray]:
     """Rows and prefix lengths of a front-coded run."""
-    lengths = np.frombuffer(prefix, np.uint8).astype(np.int64)
+    lengths = _unpacked(prefix, np.uint8).astype(np.int64)
     own = np.arange(width) >= lengths[:, None]
     rows = np.zeros((n, width), np.uint8)
-    rows[own] = np.frombuffer(rest, np.uint8)
+    rows[own] = _unpacked(rest, np.uint8)
     source = np.maximum.accumulate(np.where(own, np.arange(n)[:, None], 0), axis=0)
     return np.take_along_axis(rows, source, 0), lengths
 
 
-def _beginnings(rows: np.ndarray) -> np.ndarray:
+def _hash_rows(rows: np.ndarray) -> np.ndarray:
     total = np.zeros(len(rows), np.uint64)
-    for column in rows[:, :GRAM].T:
+    for column in rows.T:
         total = total * np.uint64(_ODD) + column + np.uint64(1)
     return _mix(total)
 
@@ -250,10 +273,9 @@ def _runs(rows, docs, ties, places, key, parts: int) -> Iterator[tuple]:
     """Front-coded sorted runs, one per partition, of rows that are all different."""
     order = _sorted_rows(rows)
     part = (key[order] % np.uint64(parts)).astype(np.int64)
-    for p in np.unique(part):
+    for p in np.unique(part).tolist():
         mine = order[part == p]
-        prefix, rest = front_coded(rows[mine])
-        yield int(p), len(mine), prefix, rest, docs[mine].tobytes(), ties[mine].tobytes(), places[mine].tobytes()
+        yield p, len(mine), *front_coded(rows[mine]), _packed(docs[mine]), _packed(ties[mine]), _packed(places[mine])
 
 
 def _collapsed(rows, docs, ties, places) -> tuple[np.ndarray, np.ndarray]:
@@ -264,43 +286,42 @@ def _collapsed(rows, docs, ties, places) -> tuple[np.ndarray, np.ndarray]:
     return order[~again], order[again]
 
 
-def _document_starts(docs: np.ndarray, ties: np.ndarray) -> tuple[list[int], list[int]]:
-    """First and end index of each document in sorted rows."""
-    new = np.flatnonzero((docs[1:] != docs[:-1]) | (ties[1:] != ties[:-1])) + 1
-    return ([0, *new.tolist()], [*new.tolist(), len(docs)]) if len(docs) else ([], [])
-
-
-def _span_rows(docs, ties, starts, ends) -> pd.DataFrame:
+def _span_rows(docs, ties, starts, ends) -> list[tuple[int, int, bytes]]:
+    """(doc, tie, spans) of each document."""
     order = np.lexsort((starts, ties, docs))
     docs, ties, starts, ends = docs[order], ties[order], starts[order], ends[order]
-    packed = [
-        (docs[a], ties[a], starts[a:b].tobytes(), ends[a:b].tobytes())
+    return [
+        (int(docs[a]), int(ties[a]), starts[a:b].tobytes() + ends[a:b].tobytes())
         for a, b in zip(*_document_starts(docs, ties), strict=True)
     ]
-    return pd.DataFrame(packed, columns=["doc", "tie", "starts", "ends"])
 
 
-_SENT = f"{_RUN}, heavy array<bigint>, heavy_n array<bigint>, at array<bigint>, starts binary, ends binary"
+def _single_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One row for each window of the given rows, blank outside it, and the row it comes from."""
+    low, high = rows[:, WIDTH].astype(int) - 1, rows[:, WIDTH + 1].astype(int) - 1
+    source = np.repeat(np.arange(len(rows)), high - low + 1)
+    shift = np.concatenate([np.arange(a, b + 1) for a, b in zip(low, high, strict=True)])
+    single = rows[source]
+    single[:, :LENGTH][np.arange(LENGTH) >= LENGTH - shift[:, None]] = 0
+    single[:, LENGTH:WIDTH][np.arange(BEFORE) >= shift[:, None]] = 0
+    single[:, WIDTH] = single[:, WIDTH + 1] = shift + 1
+    return single, source
 
 
-def _sent_frame(runs: list[tuple], spans: pd.DataFrame, heavy: tuple) -> pd.DataFrame:
-    """Runs, decided spans (part -1) and frequent beginnings (part -2) in one frame."""
-    none = (None,) * 5
-    rows = [(*r, *none) for r in runs]
-    for doc, tie, starts, ends in spans.itertuples(index=False, name=None):
-        rows.append((-1, 0, *none, None, None, [doc, tie], starts, ends))
-    if len(heavy[0]):
-        rows.append((-2, 0, *none, *heavy, None, None, None))
-    return pd.DataFrame(rows, columns=[*_RUN_NAMES, "heavy", "heavy_n", "at", "starts", "ends"])
+def _sent(rows, docs, ties, places, key, parts: int) -> Iterator[tuple]:
+    """Runs of the earliest of equal rows; the spans of the others, as runs without entries."""
+    first, others = _collapsed(rows, docs, ties, places)
+    yield from _runs(rows[first], docs[first], ties[first], places[first], key[first], parts)
+    low, high = rows[others, WIDTH].astype(np.int64) - 1, rows[others, WIDTH + 1].astype(np.int64) - 1
+    place = places[others].astype(np.int64)
+    for doc, tie, spans in _span_rows(docs[others], ties[others], place - high, place + LENGTH - low):
+        ids = np.int64(doc).tobytes(), np.int64(tie).tobytes()
+        yield doc % parts, 0, b"", zlib.compress(spans, 1), *ids, b""
 
 
-def _spans_of(rows, docs, ties, places) -> pd.DataFrame:
-    """Spans of rows all of whose windows repeat."""
-    places = places.astype(np.int64)
-    return _span_rows(docs, ties, places - (rows[:, WIDTH + 1].astype(np.int64) - 1), places + LENGTH - (rows[:, WIDTH].astype(np.int64) - 1))
+def _send_suffixes(parts: int, hot: Broadcast) -> Callable:
+    """Sorted runs of the suffixes at repeated anchors; those of hot anchors window by window."""
 
-
-def _send_suffixes(parts: int) -> Callable:
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
         size = 0
@@ -308,21 +329,27 @@ def _send_suffixes(parts: int) -> Callable:
         def flush() -> pd.DataFrame:
             rows, docs, ties, places = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
-            first, others = _collapsed(rows, docs, ties, places)
-            spans = _spans_of(rows[others], docs[others], ties[others], places[others])
-            rows, docs, ties, places = rows[first], docs[first], ties[first], places[first]
-            key = _beginnings(rows)
-            found, n = np.unique(key, return_counts=True)
-            often = n * 256 > len(key)  # at most 255 of them
-            heavy = found[often].view(np.int64).tolist(), n[often].tolist()
-            return _sent_frame(list(_runs(rows, docs, ties, places, key, parts)), spans, heavy)
+            key = _hash_rows(rows[:, :GRAM])
+            moved = np.isin(key, hot.value)  # of the same hash as anchors have
+            calm = np.flatnonzero(~moved)
+            sent = list(_sent(rows[calm], docs[calm], ties[calm], places[calm], key[calm], parts))
+            moved = np.flatnonzero(moved)
+            for chunk in np.array_split(moved, 1 + len(moved) // 4096) if len(moved) else ():
+                single, source = _single_windows(rows[chunk])
+                each = chunk[source]
+                sent += _sent(single, docs[each], ties[each], places[each], _hash_rows(single), parts)
+            return pd.DataFrame(sent, columns=_RUN_NAMES)
 
         for batch in batches:
             for doc, tie, text, packed in zip(batch["doc"], batch["tie"], batch["text"], batch["places"], strict=True):
                 data = _bytes_of(text)
-                for places in np.array_split(np.unique(np.frombuffer(b"".join(packed), np.uint32)).astype(np.int64), 1 + len(data) // PIECE):
+                all_places = np.unique(np.frombuffer(b"".join(packed), np.uint32)).astype(np.int64)
+                # texts that share a doc_id share its places
+                all_places = all_places[all_places <= len(data) - GRAM]
+                for places in np.array_split(all_places, 1 + len(all_places) // RUN_SUFFIXES):
                     n = len(places)
-                    held.append((entries_at(data, places), np.full(n, doc, np.int64), np.full(n, tie, np.int64), places.astype(np.uint32)))
+                    rows = entries_at(data, places)
+                    held.append((rows, np.full(n, doc, np.int64), np.full(n, tie, np.int64), places.astype(np.uint32)))
                     size += n
                     if size >= RUN_SUFFIXES:
                         yield flush()
@@ -333,44 +360,6 @@ def _send_suffixes(parts: int) -> Callable:
     return send
 
 
-def _deal_again(parts: int, hot: Broadcast) -> Callable:
-    """Runs without the entries of hot beginnings, and these as one entry per window."""
-
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for run in batch[_RUN_NAMES].itertuples(index=False, name=None):
-                part, n, prefix, rest, *ids = run
-                rows, _ = decoded(n, prefix, rest)
-                docs, ties, places = (np.frombuffer(x, t) for x, t in zip(ids, (np.int64, np.int64, np.uint32), strict=True))
-                key = _beginnings(rows)
-                moved = np.isin(key, hot.value)
-                calm = ~moved
-                runs = list(_runs(rows[calm], docs[calm], ties[calm], places[calm], key[calm], parts))
-                spans = []
-                for chunk in np.array_split(np.flatnonzero(moved), 1 + moved.sum() // 4096):
-                    low, high = rows[chunk, WIDTH].astype(int) - 1, rows[chunk, WIDTH + 1].astype(int) - 1
-                    each = np.repeat(chunk, high - low + 1)
-                    shift = np.concatenate([np.arange(a, b + 1) for a, b in zip(low, high, strict=True)] or [np.zeros(0, int)])
-                    single = rows[each].copy()
-                    column = np.arange(LENGTH)
-                    single[:, :LENGTH][column >= LENGTH - shift[:, None]] = 0
-                    back = np.arange(BEFORE)
-                    single[:, LENGTH:WIDTH][back >= shift[:, None]] = 0
-                    single[:, WIDTH] = single[:, WIDTH + 1] = shift + 1
-                    first, others = _collapsed(single, docs[each], ties[each], places[each])
-                    taken = each[others]
-                    spans.append(_spans_of(single[others], docs[taken], ties[taken], places[taken]))
-                    window = np.zeros(len(first), np.uint64)
-                    for c in single[first].T:
-                        window = window * np.uint64(_ODD) + c + np.uint64(1)
-                    kept = each[first]
-                    runs += _runs(single[first], docs[kept], ties[kept], places[kept], _mix(window), parts)
-                found = pd.concat(spans) if spans else _span_rows(*[np.zeros(0, np.int64)] * 4)
-                yield _sent_frame(runs, found, ([], []))
-
-    return deal
-
-
 # Merging -----------------------------------------------------------------------------------
 
 
@@ -470,36 +459,40 @@ def repeats(rows: np.ndarray, shared: np.ndarray, rank: np.ndarray) -> tuple[np.
 
 
 def _merge_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    runs, all_rows, all_docs, all_ties, all_places, base = [], [], [], [], [], [0]
+    runs, all_rows, all_docs, all_ties, all_places, base, spans = [], [], [], [], [], [0], []
     for batch in batches:
-        for n, prefix, rest, doc, tie, place in zip(*[batch[c] for c in _RUN_NAMES[1:]], strict=True):
+        for _, n, prefix, rest, doc, tie, place in batch[_RUN_NAMES].itertuples(index=False, name=None):
+            if n == 0:  # decided by the sender
+                spans.append((*np.frombuffer(doc + tie, np.int64).tolist(), zlib.decompress(rest)))
+                continue
             rows, lengths = decoded(n, prefix, rest)
             flat = rows.tobytes()
             runs.append(([flat[i * _ENTRY : (i + 1) * _ENTRY] for i in range(n)], lengths.tolist()))
             all_rows.append(rows)
-            all_docs.append(np.frombuffer(doc, np.int64))
-            all_ties.append(np.frombuffer(tie, np.int64))
-            all_places.append(np.frombuffer(place, np.uint32))
+            all_docs.append(_unpacked(doc, np.int64))
+            all_ties.append(_unpacked(tie, np.int64))
+            all_places.append(_unpacked(place, np.uint32))
             base.append(base[-1] + n)
-    if not runs:
-        return
-    order, shared = merge_runs(runs)
-    index = np.fromiter((base[r] + i for r, i in order), np.int64, len(order))
-    rows, docs, ties, places = (np.concatenate(c)[index] for c in (all_rows, all_docs, all_ties, all_places))
-    rank = np.empty(len(rows), np.int64)
-    rank[np.lexsort((places, ties, docs))] = np.arange(len(rows))
-    low, high = repeats(rows, np.array(shared), rank)
-    found = np.flatnonzero(low >= 0)
-    place = places[found].astype(np.int64)
-    yield _span_rows(docs[found], ties[found], place - high[found], place + LENGTH - low[found])
-
-
-def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
+    if runs:
+        order, shared = merge_runs(runs)
+        index = np.fromiter((base[r] + i for r, i in order), np.int64, len(order))
+        rows, docs, ties, places = (np.concatenate(c)[index] for c in (all_rows, all_docs, all_ties, all_places))
+        rank = np.empty(len(rows), np.int64)
+        rank[np.lexsort((places, ties, docs))] = np.arange(len(rows))
+        low, high = repeats(rows, np.array(shared), rank)
+        found = np.flatnonzero(low >= 0)
+        place = places[found].astype(np.int64)
+        spans += _span_rows(docs[found], ties[found], place - high[found], place + LENGTH - low[found])
+    if spans:
+        yield pd.DataFrame(spans, columns=["doc", "tie", "spans"])
+
+
+def _without(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
     results = []
-    for text, begin, end in zip(texts, starts, ends, strict=True):
+    for text, packed in zip(texts, spans, strict=True):
         data = text.encode("utf-8", "surrogatepass")
-        a = np.frombuffer(b"".join(begin), np.int64)
-        b = np.frombuffer(b"".join(end), np.int64)
+        halves = [np.frombuffer(x, np.int64).reshape(2, -1) for x in packed]
+        a, b = np.concatenate(halves, axis=1)
         order = np.argsort(a)
         a, b = a[order], np.maximum.accumulate(b[order])
         new = np.concatenate([[True], a[1:] > b[:-1]])
@@ -517,11 +510,18 @@ def _without(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFra
 _REMOVED = "n_removed bigint, n_spans bigint, kept_sha256 string, starts array<bigint>, ends array<bigint>"
 
 
-def _spans(sent: DataFrame) -> DataFrame:
-    """Decided spans among what map tasks have sent."""
-    return sent.filter("part = -1").select(
-        F.col("at")[0].alias("doc"), F.col("at")[1].alias("tie"), "starts", "ends"
-    )
+def _identified(docs: DataFrame) -> DataFrame:
+    """(doc_id, doc, tie, text); ``tie`` is 0 unless different texts share the doc_id."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    doc = F.coalesce(F.col("doc_id"), F.lit(FIRST_ID)).cast("bigint")
+    keyed = docs.select("doc_id", doc.alias("doc"), text.alias("text"))
+    hashed = keyed.select("doc", F.xxhash64("text").alias("h")).groupBy("doc").agg(F.min("h").alias("a"), F.max("h").alias("b"))
+    shared = cut(hashed.filter("a <> b").select("doc", F.lit(True).alias("_shared")))
+    if shared.isEmpty():
+        return keyed.withColumn("tie", F.lit(0).cast("bigint"))
+    marked = join_bounded(keyed, shared, ["doc"], "left", spread="text")
+    tie = F.when(F.col("_shared"), F.xxhash64("text")).otherwise(F.lit(0))
+    return marked.withColumn("tie", tie.cast("bigint")).drop("_shared")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -530,46 +530,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     ``starts`` and ``ends`` are the removed runs of bytes, none of which touch.
     """
     spark = docs.sparkSession
-    text = F.coalesce(F.col("text"), F.lit(""))
-    keyed = docs.select(
-        "doc_id",
-        F.coalesce(F.col("doc_id"), F.lit(FIRST_ID)).cast("bigint").alias("doc"),
-        F.xxhash64(text).alias("tie"),
-        text.alias("text"),
-    )
+    keyed = _identified(docs)
     long_ = keyed.filter(F.octet_length("text") >= LENGTH).select("doc", "tie", "text")
     size = long_.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // PART_BYTES) + 1)
 
-    anchor_runs = long_.mapInPandas(_send_anchors(parts), _BLOB).repartition(parts, "part")
-    repeated = anchor_runs.mapInPandas(_repeated_anchors, _PLACES)
-    per_doc = repeated.groupBy("doc", "tie").agg(F.collect_list("places").alias("places"))
-
-    copies = long_.join(per_doc, ["doc", "tie"])
-    names = [f.split()[0] for f in _SENT.split(", ")]
-    sent = cut(copies.mapInPandas(_send_suffixes(parts), _SENT))
-    runs = sent.filter("part >= 0").select(*_RUN_NAMES)
-    spans = [_spans(sent)]
-    total = runs.agg(F.sum("n")).first()[0] or 0
-    heavy = sent.filter("part = -2").select(F.explode(F.arrays_zip("heavy", "heavy_n")).alias("h"))
-    heavy = heavy.groupBy("h.heavy").agg(F.sum("h.heavy_n").alias("n"))
-    # fewer than HOT_FACTOR * parts keys can have that share
-    hot = heavy.filter(F.col("n") * parts > HOT_FACTOR * F.lit(total)).filter(f"n > {RUN_SUFFIXES // 64}").select("heavy").collect()
-    if hot:
-        keys = spark.sparkContext.broadcast(np.array([r[0] for r in hot], np.int64).view(np.uint64))
-        again = cut(runs.mapInPandas(_deal_again(parts, keys), _SENT).select(*names))
-        runs = again.filter("part >= 0").select(*_RUN_NAMES)
-        spans.append(_spans(again))
-    merged = runs.repartition(parts, "part").mapInPandas(_merge_parts, _SPANS)
-    for decided in spans:
-        merged = merged.unionByName(decided)
-    removed = merged.groupBy("doc", "tie").agg(F.collect_list("starts").alias("_s"), F.collect_list("ends").alias("_e"))
+    anchor_runs = long_.select("doc", "text").mapInPandas(_send_anchors(parts), _BLOB).repartition(parts, "part")
+    replies = cut(anchor_runs.mapInPandas(_repeated_anchors, _REPLY))
+    own = replies.filter("kind = 0")
+    total = own.agg(F.sum(F.length("places") / 4)).first()[0] or 0
+    hot = replies.filter("kind = 1").filter(F.col("n") * parts > F.lit(HOT_FACTOR * total)).select("doc").collect()
+    # each has more than HOT_FACTOR partitions' share, so there are fewer than partitions
+    keys = spark.sparkContext.broadcast(np.array([r[0] for r in hot], np.int64).view(np.uint64))
+    per_doc = own.groupBy("doc").agg(F.collect_list("places").alias("places"))
+
+    sent = long_.join(per_doc, "doc").mapInPandas(_send_suffixes(parts, keys), _RUN)
+    spans = sent.repartition(parts, "part").mapInPandas(_merge_parts, _SPANS)
+    removed = spans.groupBy("doc", "tie").agg(F.collect_list("spans").alias("_spans"))
     joined = keyed.join(removed, ["doc", "tie"], "left")
-    hit = joined.filter(F.col("_s").isNotNull())
-    cleaned = hit.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), pandas_udf(_without, _REMOVED)("text", "_s", "_e").alias("r"))
+    bytes_ = F.octet_length("text").cast("bigint").alias("n_bytes")
+    without = pandas_udf(_without, _REMOVED)("text", "_spans").alias("r")
+    cleaned = joined.filter(F.col("_spans").isNotNull()).select("doc_id", bytes_, without)
     none = F.array().cast("array<bigint>")
-    whole = joined.filter(F.col("_s").isNull()).select(
-        "doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), F.lit(0).cast("bigint").alias("n_removed"),
-        F.lit(0).cast("bigint").alias("n_spans"), F.sha2("text", 256).alias("kept_sha256"), none.alias("starts"), none.alias("ends"),
+    whole = joined.filter(F.col("_spans").isNull()).select(
+        "doc_id", bytes_, F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"),
+        F.sha2("text", 256).alias("kept_sha256"), none.alias("starts"), none.alias("ends"),
     )
     return cleaned.select("doc_id", "n_bytes", "r.*").unionByName(whole)
