@@ -391,9 +391,8 @@ def test_similarity_is_edit_sensitive():
     assert len(set(near_copies.labelled_kmers("a b c d e " * 30, words).tolist())) == 146
 
 
-@pytest.mark.parametrize("block", [near_copies.BLOCK, 3])
-def test_near_copies(spark, monkeypatch, block):
-    monkeypatch.setattr(near_copies, "BLOCK", block)
+@pytest.mark.parametrize("oldest", [True, False])
+def test_near_copies(spark, oldest):
     rng = random.Random(11)
     passage = sentence(rng, 60)
     docs = []
@@ -402,7 +401,7 @@ def test_near_copies(spark, monkeypatch, block):
         docs += [base] + [edited(rng, base, rng.choice([0, 1, 2, 3, 8])) for _ in range(25)]
     docs += [sentence(rng, 40) + " " + passage + " " + sentence(rng, 40) for _ in range(60)]
     docs += ["a b", "a  b", "a b c", "", "", " ", None, None]
-    docs = list(enumerate(docs))
+    docs = list(enumerate(docs)) if oldest else list(zip(range(len(docs), 0, -1), docs, strict=True))
     rng.shuffle(docs)
     got = near_copies.near_copies(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)).collect()
     want = brute_classes(docs)

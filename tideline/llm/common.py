@@ -93,43 +93,56 @@ def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(low), F.bit_xor(mixed)).first())
 
 
-def leader_pairs(members: DataFrame, best: Column) -> DataFrame:
+def leader_pairs(members: DataFrame, best: Column, outside: bool = False) -> DataFrame:
     """(a, b) of each node and its bucket's leader (the node of largest ``best``), if in another component.
 
-    ``members`` is (node, bucket, component, ...); one pair per bucket and node.
+    ``members`` is (node, bucket, component, ...); one pair per bucket and node. ``outside`` takes the
+    leader from the nodes that are not in the bucket's largest component.
     """
-    leaders = members.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), best).alias("_l"))
-    apart = members.join(leaders, "bucket").filter(F.col("component") != F.col("_l.component"))
+    mixed = members.join(_mixed(members), "bucket")
+    able = mixed.filter("component <> _main") if outside else mixed
+    leaders = able.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), best).alias("_l"))
+    apart = mixed.join(leaders, "bucket").filter(F.col("component") != F.col("_l.component"))
     return apart.select(F.least("node", "_l.node").alias("a"), F.greatest("node", "_l.node").alias("b")).distinct()
 
 
-def cross_pairs(members: DataFrame, further: DataFrame, block: int) -> DataFrame:
+def _mixed(members: DataFrame) -> DataFrame:
+    """(bucket, _n, _apart, _main): buckets of several components, and their largest one."""
+    counts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    stats = counts.groupBy("bucket").agg(
+        F.sum("n").alias("_n"), (F.sum("n") - F.max("n")).alias("_apart"),
+        F.max_by("component", F.struct("n", "component")).alias("_main"),
+    )
+    return stats.filter("_apart > 0")
+
+
+def cross_pairs(
+    members: DataFrame, best: Column, apart: int, small: int, further: DataFrame | None = None
+) -> DataFrame:
     """Pairs (a, b) of nodes in different components that share a bucket.
 
-    ``members`` is (node, t, bucket, component), ``further`` (node, t2, value). Where at most
-    ``block`` nodes of a bucket are outside its largest component, these are paired with all nodes
-    of the bucket, so the pairs stay in proportion to its size. Otherwise unrelated nodes meet in a
-    frequent value: they are dealt again by bucket and a further value, and what is still that mixed
-    is paired with one leader per bucket.
+    ``members`` is (node, t, bucket, component, ...), ``further`` (node, t2, value). All pairs of a bucket
+    with up to ``small`` nodes, and where up to ``apart`` nodes are outside the largest component
+    these with all nodes of the bucket, so that the pairs stay in proportion to its size. In other
+    buckets unrelated nodes meet in a frequent value: they are dealt again by bucket and a further
+    value, if there are such, and what is still that mixed is paired with one leader per bucket.
     """
     found = []
-    for last in (False, True):
-        counts = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        stats = counts.groupBy("bucket").agg(
-            (F.sum("n") - F.max("n")).alias("_apart"), F.max_by("component", F.struct("n", "component")).alias("_main")
-        )
-        placed = members.join(cut(stats.filter("_apart > 0")), "bucket")
-        few = placed.filter(F.col("_apart") <= block)
-        odd = few.filter("component <> _main").select("bucket", F.col("node").alias("_n"), F.col("component").alias("_c"))
+    while True:
+        placed = members.join(cut(_mixed(members)), "bucket")
+        direct = (F.col("_n") <= small) | (F.col("_apart") <= apart)
+        few = placed.filter(direct)
+        odd = few.filter("component <> _main").select("bucket", F.col("node").alias("_o"), F.col("component").alias("_c"))
         met = odd.join(few.select("bucket", "node", "component"), "bucket").filter("component <> _c")
-        found.append(met.select(F.least("node", "_n").alias("a"), F.greatest("node", "_n").alias("b")))
-        many = placed.filter(F.col("_apart") > block)
-        if last:
-            found.append(leader_pairs(many, F.xxhash64("node")))
-            break
+        found.append(met.select(F.least("node", "_o").alias("a"), F.greatest("node", "_o").alias("b")))
+        many = placed.filter(~direct)
+        if further is None:
+            found.append(leader_pairs(many.drop("_n", "_apart", "_main"), best))
+            return cut(reduce(DataFrame.unionByName, found).distinct())
+        kept = [c for c in members.columns if c not in ("t", "bucket")]
         finer = many.join(further, "node").filter(F.col("t2") > F.col("t"))
-        members = cut(finer.select("node", "component", F.xxhash64("bucket", "t2", "value").alias("bucket")))
-    return cut(reduce(DataFrame.unionByName, found).distinct())
+        members = cut(finer.select(*kept, F.xxhash64("bucket", "t2", "value").alias("bucket")))
+        further = None
 
 
 def with_component(members: DataFrame, components: DataFrame) -> DataFrame:

@@ -11,11 +11,13 @@ at the diagonals that such a similarity allows.
 
 Equal texts are one node; pairs of nodes are compared if ``AGREEING`` of their values agree (all but
 2 in 10,000 pairs at the least similarity have as many, and more the more alike they are). A
-group of copies is not compared pair by pair: first each node is compared with the node of smallest
-doc_id in its buckets, which settles most of a group in as many comparisons as it has nodes; then
-with another node of each bucket that still holds several components; at last the nodes outside
-a bucket's largest component with all of its nodes, after a split of the bucket by a second value where
-they are more than ``BLOCK``. No bucket is dropped or cut short.
+group of copies is not compared pair by pair but with leaders. Each node is compared with one
+bucket's node of smallest doc_id, the one it shares most buckets with; then all nodes of
+buckets that still hold several components with the node whose buckets hold the most nodes, the
+middle of a group, and with the same among the nodes outside the largest component; at last the
+nodes of buckets up to ``SMALL`` with each other, and where ``APART`` nodes at most are still
+outside a bucket's largest component, these with all of its nodes. No bucket is dropped or cut short;
+what can be missed is a link between two nodes of a large, mixed bucket that led none of their buckets.
 
 Null texts are never copies. Texts without words are copies of equal texts only, shorter texts than
 ``K`` words of texts with the same words. Rows that share a doc_id are judged by their texts; the
@@ -31,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -42,7 +44,8 @@ K = 5
 PICKED = 3
 SKETCHES = 16
 MIN_SIMILARITY = 0.8
-BLOCK = 64
+SMALL = 16
+APART = 4
 AGREEING = 2
 NO_ID = -(1 << 63)
 _COLUMNS = 1 << 15  # k-mers hashed at once
@@ -183,6 +186,10 @@ def _verified(pairs: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFr
     return cut(similar.filter(F.col("_s") >= MIN_SIMILARITY - 1e-9).select("a", "b"))
 
 
+def _oldest() -> Column:
+    return F.struct(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), "node")
+
+
 def near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text) to (doc_id, text_key, class_id, copies, kept).
 
@@ -200,8 +207,10 @@ def near_copies(docs: DataFrame) -> DataFrame:
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
     sketches = nodes.select("node", "first_id", F.posexplode("sketches").alias("t", "value"))
     buckets = sketches.select("node", "first_id", "t", F.xxhash64("t", "value").alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(_oldest()).alias("leader")).filter("n > 1")
     members = cut(buckets.join(shared, "bucket").withColumn("component", F.col("node")))
+    weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
+    members = cut(members.join(weights, "node").select("node", "t", "bucket", "component", "leader", "weight"))
 
     id_key = F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_id")
     wanted = members.select("node").distinct().join(nodes, "node").select(
@@ -210,16 +219,17 @@ def near_copies(docs: DataFrame) -> DataFrame:
     texts = join_bounded(given.select("text_key", id_key, "text"), cut(wanted), ["_id", "text_key"], spread="text")
     profiles = cut(texts.select("node", pandas_udf(_profiled, "binary")("text").alias("profile")).dropDuplicates(["node"]))
 
-    # one leader per node at first: of its buckets' leaders the one with the smallest doc_id
-    oldest = F.struct(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), "node")
-    leaders = members.groupBy("bucket").agg(F.min(oldest).alias("_l"))
-    to_leader = members.join(leaders, "bucket").groupBy("node").agg(F.min("_l").alias("_l"))
-    pairs = to_leader.select(F.col("_l.node").alias("a"), F.col("node").alias("b")).filter("a <> b")
-    links = _verified(pairs, nodes, profiles)
-    members = with_component(members, connected_components(links))
-    links = cut(links.unionByName(_verified(leader_pairs(members, F.xxhash64("node", F.lit(1))), nodes, profiles)))
-    members = with_component(members, connected_components(links))
-    more = _verified(cross_pairs(members, sketches.select("node", F.col("t").alias("t2"), "value"), BLOCK), nodes, profiles)
+    shares = members.groupBy("node", "leader").agg(F.count("*").alias("n"))
+    most = F.max_by("leader.node", F.struct("n", -F.col("leader.id"), -F.col("leader.node"))).alias("a")
+    pairs = shares.filter("node <> leader.node").groupBy("node").agg(most)
+    links = _verified(pairs.select("a", F.col("node").alias("b")), nodes, profiles)
+    members = with_component(members.drop("leader"), connected_components(links))
+    central = F.struct("weight", "node")
+    for outside in (False, True):
+        found = _verified(leader_pairs(members, central, outside), nodes, profiles)
+        links = cut(links.unionByName(found))
+        members = with_component(members, connected_components(links))
+    more = _verified(cross_pairs(members, central, APART, SMALL), nodes, profiles)
     component = connected_components(links.unionByName(more)).withColumnRenamed("id", "node")
 
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
