@@ -105,7 +105,8 @@ def _bytes_of(text: str) -> np.ndarray:
 
 _BLOB = "part int, key binary, doc binary, place binary, sure binary"
 _BLOB_NAMES = [f.split()[0] for f in _BLOB.split(", ")]
-_REPLY = "kind int, doc bigint, n bigint, places binary"  # kind 0: a document's places; 1: a frequent hash
+# what concerns the documents of one bucket, packed; or, with bucket -1, frequent hashes
+_REPLY = "bucket int, n bigint, docs binary, places binary"
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -176,40 +177,68 @@ def _send_anchors(parts: int) -> Callable:
     return send
 
 
-def _by_document(docs: np.ndarray, places: np.ndarray) -> pd.DataFrame:
-    order = np.lexsort((places, docs))
-    docs, places = docs[order], places[order]
-    packed = [(0, docs[a], 0, places[a:b].tobytes()) for a, b in zip(*_document_starts(docs), strict=True)]
-    return pd.DataFrame(packed, columns=["kind", "doc", "n", "places"])
+def _by_bucket(parts: int, docs: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
+    """(bucket, n, columns packed) of each bucket of documents."""
+    bucket = docs % parts
+    order = np.argsort(bucket, kind="stable")
+    ordered = bucket[order]
+    for a, b in zip(*_document_starts(ordered), strict=True):
+        mine = order[a:b]
+        yield int(ordered[a]), b - a, *[_packed(c[mine]) for c in (docs, *columns)]
 
 
-def _repeated_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Places of the anchors whose hash some other anchor has, per document; and frequent hashes."""
-    keys, docs, places, known_docs, known_places = [], [], [], [], []
+def _repeated_anchors(parts: int) -> Callable:
+    """Places of the anchors whose hash some other anchor has, and frequent hashes."""
+
+    def reply(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, docs, places, known_docs, known_places = [], [], [], [], []
+        for batch in batches:
+            for _, key, doc, place, sure in batch[_BLOB_NAMES].itertuples(index=False, name=None):
+                keys.append(_unpacked(key, np.uint64))
+                docs.append(_unpacked(doc, np.int64))
+                places.append(_unpacked(place, np.uint32))
+                known = zlib.decompress(sure)
+                n = len(known) // 12
+                known_docs.append(np.frombuffer(known, np.int64, n))
+                known_places.append(np.frombuffer(known, np.uint32, n, n * 8))
+        if not keys:
+            return
+        key, doc, place = (np.concatenate(c) for c in (keys, docs, places))
+        order = np.argsort(key, kind="stable")
+        key, doc, place = key[order], doc[order], place[order]
+        same = key[1:] == key[:-1]
+        again = np.concatenate([[False], same])
+        found = (again | np.concatenate([same, [False]])) & (place != NO_REPLY)
+        all_docs = np.concatenate([doc[found], *known_docs])
+        rows = list(_by_bucket(parts, all_docs, np.concatenate([place[found], *known_places])))
+        first = np.flatnonzero(~again)
+        if len(first):
+            number = np.add.reduceat(np.where(place == NO_REPLY, doc, 1), first)
+            often = number >= HOT_LEAST
+            rows.append((-1, 0, key[first][often].tobytes(), number[often].astype(np.int64).tobytes()))
+        yield pd.DataFrame(rows, columns=["bucket", "n", "docs", "places"])
+
+    return reply
+
+
+def _gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted places of each document of a bucket."""
+    docs, places = [], []
     for batch in batches:
-        for _, key, doc, place, sure in batch[_BLOB_NAMES].itertuples(index=False, name=None):
-            keys.append(_unpacked(key, np.uint64))
-            docs.append(_unpacked(doc, np.int64))
-            places.append(_unpacked(place, np.uint32))
-            known = zlib.decompress(sure)
-            n = len(known) // 12
-            known_docs.append(np.frombuffer(known, np.int64, n))
-            known_places.append(np.frombuffer(known, np.uint32, n, n * 8))
-    if not keys:
-        return
-    key, doc, place = (np.concatenate(c) for c in (keys, docs, places))
-    order = np.argsort(key, kind="stable")
-    key, doc, place = key[order], doc[order], place[order]
-    same = key[1:] == key[:-1]
-    again = np.concatenate([[False], same])
-    found = (again | np.concatenate([same, [False]])) & (place != NO_REPLY)
-    yield _by_document(np.concatenate([doc[found], *known_docs]), np.concatenate([place[found], *known_places]))
-    first = np.flatnonzero(~again)
-    if len(first):
-        number = np.add.reduceat(np.where(place == NO_REPLY, doc, 1), first)
-        often = number >= HOT_LEAST
-        hot = key[first][often].view(np.int64)
-        yield pd.DataFrame({"kind": 1, "doc": hot, "n": number[often], "places": [b""] * len(hot)})
+        docs += [_unpacked(x, np.int64) for x in batch["docs"]]
+        places += [_unpacked(x, np.uint32) for x in batch["places"]]
+    if docs:
+        doc, place = np.concatenate(docs), np.concatenate(places)
+        order = np.lexsort((place, doc))
+        doc, place = doc[order], place[order]
+        packed = [(doc[a], place[a:b].tobytes()) for a, b in zip(*_document_starts(doc), strict=True)]
+        yield pd.DataFrame(packed, columns=["doc", "places"])
+
+
+def _hot_hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for docs, places in zip(batch["docs"], batch["places"], strict=True):
+            yield pd.DataFrame({"key": np.frombuffer(docs, np.int64), "n": np.frombuffer(places, np.int64)})
 
 
 # Suffix entries -----------------------------------------------------------------------------
@@ -217,7 +246,7 @@ def _repeated_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]
 _RUN = "part int, n int, prefix binary, rest binary, doc binary, tie binary, place binary"
 _RUN_NAMES = [f.split()[0] for f in _RUN.split(", ")]
 _ENTRY = WIDTH + 2  # bytes, with the range of window starts
-_SPANS = "doc bigint, tie bigint, spans binary"  # starts, then ends
+_SPANS = "bucket int, n bigint, docs binary, ties binary, starts binary, ends binary"
 
 
 def entries_at(data: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -286,16 +315,6 @@ def _collapsed(rows, docs, ties, places) -> tuple[np.ndarray, np.ndarray]:
     return order[~again], order[again]
 
 
-def _span_rows(docs, ties, starts, ends) -> list[tuple[int, int, bytes]]:
-    """(doc, tie, spans) of each document."""
-    order = np.lexsort((starts, ties, docs))
-    docs, ties, starts, ends = docs[order], ties[order], starts[order], ends[order]
-    return [
-        (int(docs[a]), int(ties[a]), starts[a:b].tobytes() + ends[a:b].tobytes())
-        for a, b in zip(*_document_starts(docs, ties), strict=True)
-    ]
-
-
 def _single_windows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """One row for each window of the given rows, blank outside it, and the row it comes from."""
     low, high = rows[:, WIDTH].astype(int) - 1, rows[:, WIDTH + 1].astype(int) - 1
@@ -314,9 +333,9 @@ def _sent(rows, docs, ties, places, key, parts: int) -> Iterator[tuple]:
     yield from _runs(rows[first], docs[first], ties[first], places[first], key[first], parts)
     low, high = rows[others, WIDTH].astype(np.int64) - 1, rows[others, WIDTH + 1].astype(np.int64) - 1
     place = places[others].astype(np.int64)
-    for doc, tie, spans in _span_rows(docs[others], ties[others], place - high, place + LENGTH - low):
-        ids = np.int64(doc).tobytes(), np.int64(tie).tobytes()
-        yield doc % parts, 0, b"", zlib.compress(spans, 1), *ids, b""
+    spans = _by_bucket(parts, docs[others], ties[others], place - high, place + LENGTH - low)
+    for bucket, _, *columns in spans:
+        yield bucket, 0, *columns, b""
 
 
 def _send_suffixes(parts: int, hot: Broadcast) -> Callable:
@@ -343,7 +362,7 @@ def _send_suffixes(parts: int, hot: Broadcast) -> Callable:
         for batch in batches:
             for doc, tie, text, packed in zip(batch["doc"], batch["tie"], batch["text"], batch["places"], strict=True):
                 data = _bytes_of(text)
-                all_places = np.unique(np.frombuffer(b"".join(packed), np.uint32)).astype(np.int64)
+                all_places = np.unique(np.frombuffer(packed, np.uint32)).astype(np.int64)
                 # texts that share a doc_id share its places
                 all_places = all_places[all_places <= len(data) - GRAM]
                 for places in np.array_split(all_places, 1 + len(all_places) // RUN_SUFFIXES):
@@ -458,56 +477,68 @@ def repeats(rows: np.ndarray, shared: np.ndarray, rank: np.ndarray) -> tuple[np.
     return low, high
 
 
-def _merge_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    runs, all_rows, all_docs, all_ties, all_places, base, spans = [], [], [], [], [], [0], []
+def _merge_parts(parts: int) -> Callable:
+    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runs, all_rows, all_docs, all_ties, all_places, base, spans = [], [], [], [], [], [0], []
+        for batch in batches:
+            for part, n, prefix, rest, doc, tie, place in batch[_RUN_NAMES].itertuples(index=False, name=None):
+                if n == 0:  # spans decided by the sender, which are on their way to their bucket
+                    spans.append((part, 0, prefix, rest, doc, tie))
+                    continue
+                rows, lengths = decoded(n, prefix, rest)
+                flat = rows.tobytes()
+                runs.append(([flat[i * _ENTRY : (i + 1) * _ENTRY] for i in range(n)], lengths.tolist()))
+                all_rows.append(rows)
+                all_docs.append(_unpacked(doc, np.int64))
+                all_ties.append(_unpacked(tie, np.int64))
+                all_places.append(_unpacked(place, np.uint32))
+                base.append(base[-1] + n)
+        if runs:
+            order, shared = merge_runs(runs)
+            index = np.fromiter((base[r] + i for r, i in order), np.int64, len(order))
+            rows, docs, ties, places = (np.concatenate(c)[index] for c in (all_rows, all_docs, all_ties, all_places))
+            rank = np.empty(len(rows), np.int64)
+            rank[np.lexsort((places, ties, docs))] = np.arange(len(rows))
+            low, high = repeats(rows, np.array(shared), rank)
+            found = np.flatnonzero(low >= 0)
+            place = places[found].astype(np.int64)
+            spans += _by_bucket(parts, docs[found], ties[found], place - high[found], place + LENGTH - low[found])
+        if spans:
+            yield pd.DataFrame(spans, columns=["bucket", "n", "docs", "ties", "starts", "ends"])
+
+    return merge
+
+
+def _joined_spans(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Removed runs of each document of a bucket: its spans, joined where they touch."""
+    columns: list[list[np.ndarray]] = [[], [], [], []]
     for batch in batches:
-        for _, n, prefix, rest, doc, tie, place in batch[_RUN_NAMES].itertuples(index=False, name=None):
-            if n == 0:  # decided by the sender
-                spans.append((*np.frombuffer(doc + tie, np.int64).tolist(), zlib.decompress(rest)))
-                continue
-            rows, lengths = decoded(n, prefix, rest)
-            flat = rows.tobytes()
-            runs.append(([flat[i * _ENTRY : (i + 1) * _ENTRY] for i in range(n)], lengths.tolist()))
-            all_rows.append(rows)
-            all_docs.append(_unpacked(doc, np.int64))
-            all_ties.append(_unpacked(tie, np.int64))
-            all_places.append(_unpacked(place, np.uint32))
-            base.append(base[-1] + n)
-    if runs:
-        order, shared = merge_runs(runs)
-        index = np.fromiter((base[r] + i for r, i in order), np.int64, len(order))
-        rows, docs, ties, places = (np.concatenate(c)[index] for c in (all_rows, all_docs, all_ties, all_places))
-        rank = np.empty(len(rows), np.int64)
-        rank[np.lexsort((places, ties, docs))] = np.arange(len(rows))
-        low, high = repeats(rows, np.array(shared), rank)
-        found = np.flatnonzero(low >= 0)
-        place = places[found].astype(np.int64)
-        spans += _span_rows(docs[found], ties[found], place - high[found], place + LENGTH - low[found])
-    if spans:
-        yield pd.DataFrame(spans, columns=["doc", "tie", "spans"])
-
-
-def _without(texts: pd.Series, spans: pd.Series) -> pd.DataFrame:
-    results = []
-    for text, packed in zip(texts, spans, strict=True):
-        data = text.encode("utf-8", "surrogatepass")
-        halves = [np.frombuffer(x, np.int64).reshape(2, -1) for x in packed]
-        a, b = np.concatenate(halves, axis=1)
-        order = np.argsort(a)
-        a, b = a[order], np.maximum.accumulate(b[order])
-        new = np.concatenate([[True], a[1:] > b[:-1]])
-        a, b = a[new], b[np.append(np.flatnonzero(new)[1:] - 1, len(b) - 1)]
-        kept = hashlib.sha256()
-        at = 0
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        for held, name in zip(columns, ("docs", "ties", "starts", "ends"), strict=True):
+            held += [_unpacked(x, np.int64) for x in batch[name]]
+    if not columns[0]:
+        return
+    docs, ties, starts, ends = (np.concatenate(c) for c in columns)
+    order = np.lexsort((starts, ties, docs))
+    docs, ties, starts, ends = docs[order], ties[order], starts[order], ends[order]
+    rows = []
+    for a, b in zip(*_document_starts(docs, ties), strict=True):
+        start, end = starts[a:b], np.maximum.accumulate(ends[a:b])
+        new = np.concatenate([[True], start[1:] > end[:-1]])
+        last = np.append(np.flatnonzero(new)[1:] - 1, b - a - 1)
+        rows.append((docs[a], ties[a], start[new].tolist(), end[last].tolist()))
+    yield pd.DataFrame(rows, columns=["doc", "tie", "starts", "ends"])
+
+
+def _kept_digest(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    digests = []
+    for text, a, b in zip(texts, starts, ends, strict=True):
+        data, kept, at = text.encode("utf-8", "surrogatepass"), hashlib.sha256(), 0
+        for x, y in zip(a, b, strict=True):
             kept.update(data[at:x])
             at = y
         kept.update(data[at:])
-        results.append((int((b - a).sum()), len(a), kept.hexdigest(), a.tolist(), b.tolist()))
-    return pd.DataFrame(results, columns=["n_removed", "n_spans", "kept_sha256", "starts", "ends"])
-
-
-_REMOVED = "n_removed bigint, n_spans bigint, kept_sha256 string, starts array<bigint>, ends array<bigint>"
+        digests.append(kept.hexdigest())
+    return pd.Series(digests, dtype=object)
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -536,24 +567,33 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(size // PART_BYTES) + 1)
 
     anchor_runs = long_.select("doc", "text").mapInPandas(_send_anchors(parts), _BLOB).repartition(parts, "part")
-    replies = cut(anchor_runs.mapInPandas(_repeated_anchors, _REPLY))
-    own = replies.filter("kind = 0")
-    total = own.agg(F.sum(F.length("places") / 4)).first()[0] or 0
-    hot = replies.filter("kind = 1").filter(F.col("n") * parts > F.lit(HOT_FACTOR * total)).select("doc").collect()
+    replies = cut(anchor_runs.mapInPandas(_repeated_anchors(parts), _REPLY))
+    total = replies.agg(F.sum("n")).first()[0] or 0
+    frequent = replies.filter("bucket < 0").mapInPandas(_hot_hashes, "key bigint, n bigint")
+    hot = frequent.filter(F.col("n") * parts > F.lit(HOT_FACTOR * total)).select("key").collect()
     # each has more than HOT_FACTOR partitions' share, so there are fewer than partitions
     keys = spark.sparkContext.broadcast(np.array([r[0] for r in hot], np.int64).view(np.uint64))
-    per_doc = own.groupBy("doc").agg(F.collect_list("places").alias("places"))
+    places = replies.filter("bucket >= 0").repartition(parts, "bucket").mapInPandas(_gathered, "doc bigint, places binary")
+
+    repeated = join_bounded(long_, cut(places), ["doc"], spread="text")
+    sent = repeated.mapInPandas(_send_suffixes(parts, keys), _RUN)
+    spans = sent.repartition(parts, "part").mapInPandas(_merge_parts(parts), _SPANS)
+    joined_spans = "doc bigint, tie bigint, starts array<bigint>, ends array<bigint>"
+    removed = cut(spans.repartition(parts, "bucket").mapInPandas(_joined_spans, joined_spans))
+    joined = join_bounded(keyed, removed, ["doc", "tie"], "left", spread="text")
 
-    sent = long_.join(per_doc, "doc").mapInPandas(_send_suffixes(parts, keys), _RUN)
-    spans = sent.repartition(parts, "part").mapInPandas(_merge_parts, _SPANS)
-    removed = spans.groupBy("doc", "tie").agg(F.collect_list("spans").alias("_spans"))
-    joined = keyed.join(removed, ["doc", "tie"], "left")
-    bytes_ = F.octet_length("text").cast("bigint").alias("n_bytes")
-    without = pandas_udf(_without, _REMOVED)("text", "_spans").alias("r")
-    cleaned = joined.filter(F.col("_spans").isNotNull()).select("doc_id", bytes_, without)
     none = F.array().cast("array<bigint>")
-    whole = joined.filter(F.col("_spans").isNull()).select(
+    length = F.aggregate(
+        F.zip_with("starts", "ends", lambda a, b: b - a), F.lit(0).cast("bigint"), lambda total, n: total + n
+    )
+    bytes_ = F.octet_length("text").cast("bigint").alias("n_bytes")
+    digest = pandas_udf(_kept_digest, "string")("text", "starts", "ends")
+    cleaned = joined.filter(F.col("starts").isNotNull()).select(
+        "doc_id", bytes_, length.alias("n_removed"), F.size("starts").cast("bigint").alias("n_spans"),
+        digest.alias("kept_sha256"), "starts", "ends",
+    )
+    whole = joined.filter(F.col("starts").isNull()).select(
         "doc_id", bytes_, F.lit(0).cast("bigint").alias("n_removed"), F.lit(0).cast("bigint").alias("n_spans"),
         F.sha2("text", 256).alias("kept_sha256"), none.alias("starts"), none.alias("ends"),
     )
-    return cleaned.select("doc_id", "n_bytes", "r.*").unionByName(whole)
+    return cleaned.unionByName(whole)
