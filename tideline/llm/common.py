@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.scale import cut
+from tideline.scale import cut, hint_counted, step
 
 BLANK = r"\x20\x09-\x0D"
 BLANKS = " \t\n\x0b\x0c\r"
@@ -51,24 +51,34 @@ def ranked(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
     return joined.withColumn(name, F.col("_start") + row).drop("_part", "_start", "_place")
 
 
+ROWS_PER_TASK = 250_000  # of links
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(id, component) of every id in ``edges`` (a, b); the component is its smallest id.
 
     Alternating large-star and small-star steps: each moves a node's links to its smallest
-    neighbour, until they form stars. Links are combined per node before they are shuffled.
+    neighbour, until they form stars. Links are combined per node before they are shuffled. As
+    their number is known, few links are kept in few partitions, and hinted for broadcast.
     """
-    edges = cut(_forward(edges.select("a", "b")))
+    edges, n = step(_forward(edges.select("a", "b")))
     seen = _fingerprint(edges)
     while True:
+        edges = _few(edges, n)
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        edges = cut(_forward(_to_smallest(_forward(_to_smallest(both, larger=True)), larger=False)))
+        large = _forward(_to_smallest(both, n, larger=True))
+        edges, n = step(_few(_forward(_to_smallest(_few(large, n), n, larger=False)), n))
         now = _fingerprint(edges)
         if now == seen:
             break
         seen = now
     ids = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
     roots = edges.select(F.col("b").alias("id"), F.col("b").alias("component"))
-    return ids.unionByName(roots).groupBy("id").agg(F.min("component").alias("component"))
+    return step(_few(ids.unionByName(roots).groupBy("id").agg(F.min("component").alias("component")), n))[0]
+
+
+def _few(df: DataFrame, rows: int) -> DataFrame:
+    return df.coalesce(rows // ROWS_PER_TASK + 1)
 
 
 def _forward(edges: DataFrame) -> DataFrame:
@@ -77,9 +87,10 @@ def _forward(edges: DataFrame) -> DataFrame:
     return edges.filter("a <> b").select(a.alias("a"), b.alias("b")).distinct()
 
 
-def _to_smallest(edges: DataFrame, larger: bool) -> DataFrame:
+def _to_smallest(edges: DataFrame, rows: int, larger: bool) -> DataFrame:
     """Link each neighbour of ``a`` (the larger ones only, or all) to the smallest around ``a``."""
     least = edges.groupBy("a").agg(F.min("b").alias("_low")).withColumn("_low", F.least("_low", "a"))
+    least = hint_counted(_few(least, rows), rows)
     linked = edges.join(least, "a")
     if larger:
         return linked.filter("b > a").select(F.col("b").alias("a"), F.col("_low").alias("b"))
