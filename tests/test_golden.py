@@ -230,7 +230,7 @@ def test_repair_in_one_round(spark, parent_open):
 
 def test_never_repaired(spark):
     again = [lineage_of(0, 7, True)] * 5
-    got = repair(spark, [lineage_of(0, 7, True)], again, rounds=True, max_rounds=5)
+    got = repair(spark, [lineage_of(0, 7, True)], again, rounds=True)
     assert got.count() == 7
 
 
@@ -252,30 +252,56 @@ def test_three_closed_leaves(spark):
 def test_late_child_after_an_unrelated_page(spark):
     pages = [lineage_of(10, 7, False), lineage_of(20, 7, False), lineage_of(30, 7, True)]
     fixing = [shard(38, "37", end=None)] + lineage_of(38, 8, False)
-    got = repair(spark, pages, [lineage_of(39, 7, False), fixing], rounds=True, max_rounds=5)
+    got = repair(spark, pages, [lineage_of(39, 7, False), fixing], rounds=True, siblings="first")
     assert got.count() == 22 and "38" in ids(got) and "39" not in ids(got)
 
 
-def test_rounds_beyond_the_limit_do_not_count(spark):
-    refresh = [[], [], [shard(8, "7", end=None)]]
-    assert repair(spark, [lineage_of(0, 7, True)], refresh, rounds=True, max_rounds=2).count() == 7
-    assert repair(spark, [lineage_of(0, 7, True)], refresh, rounds=True, max_rounds=3).count() == 8
+def test_late_rounds_count(spark):
+    refresh = [[]] * 9 + [[shard(8, "7", end=None)]]
+    assert repair(spark, [lineage_of(0, 7, True)], refresh, rounds=True).count() == 8
 
 
-def test_too_many_shards_are_left_alone(spark):
-    pages = [row for k in range(249) for row in lineage_of(100 + 10 * k, 6, False)]
-    pages += lineage_of(10, 7, True)
-    assert len(pages) == 1501
-    child = [[shard(18, "17", end=None)]]
-    assert repair(spark, [pages], child).count() == 1501
-    assert repair(spark, [pages], child, max_shards=1502).count() == 1502
+def test_large_streams_are_repaired(spark):
+    pages = [row for k in range(332) for row in lineage_of(100 + 10 * k, 6, False)]
+    pages += lineage_of(10, 8, True)
+    assert len(pages) == 2000
+    child = [[shard(19, "18", end=None)]]
+    assert repair(spark, [pages], child).count() == 2001
+
+
+def test_deep_lineages(spark):
+    deep = shards_frame(spark, lineage_of(0, 150, False))
+    depth = lineage.lineage_depth(deep).agg(F.max("depth"), F.count("*")).first()
+    assert tuple(depth) == (149, 150)
+    none = progress_frame(spark, [])
+    assert progress.plan_new_progress(deep, none, TRIM).count() == 150
+    rows = progress_frame(spark, [("1", [], "SHARD_END")])
+    assert progress.plan_new_progress(deep, rows, LATEST).count() == 149
+
+
+def test_a_circle_is_an_error(spark):
+    chain = lineage_of(0, 5, False)
+    circle = shards_frame(spark, [shard("x"), shard("a", "x"), *[shard(c, p) for c, p in (("b", "a"), ("c", "b"))]])
+    assert lineage.lineage_depth(circle).count() == 4 and len(chain) == 5
+    turning = circle.withColumn("adjacent_parent_shard_id", F.when(F.col("shard_id") == "b", "c"))
+    with pytest.raises(RuntimeError, match="cycle"):
+        lineage.lineage_depth(turning)
+
+
+def test_second_parents_count(spark):
+    merged = shards_frame(spark, [shard("a"), shard("b"), shard("c", "a", end=None)])
+    merged = merged.withColumn("adjacent_parent_shard_id", F.when(F.col("shard_id") == "c", "b"))
+    assert ids(lineage.leaf_shards(merged)) == ["c"]
+    assert lineage.reopen_leaf_shards(merged).filter("ending_sequence_number is null").count() == 1
+    pages = merged.withColumns({"page_no": F.lit(0), "pos": F.monotonically_increasing_id()})
+    assert lineage.closed_leaf_shards(pages).count() == 0
 
 
 def test_siblings_and_chains(spark):
     pages = [[shard("a")]]
     refresh = [[shard("b", "a"), shard("c", "a", end=None), shard("d", "b", end=None)]]
-    assert ids(repair(spark, pages, refresh)) == ["a", "b", "d"]
-    assert ids(repair(spark, pages, refresh, siblings="all")) == ["a", "b", "c", "d"]
+    assert ids(repair(spark, pages, refresh, siblings="first")) == ["a", "b", "d"]
+    assert ids(repair(spark, pages, refresh)) == ["a", "b", "c", "d"]
     # A child listed before its parent became a leaf is not taken.
     early = [[shard("d", "b", end=None), shard("b", "a")]]
     assert ids(repair(spark, pages, early)) == ["a", "b"]

@@ -158,7 +158,7 @@ def test_listings_and_repairs(spark):
 
     closed = by_stream(lineage.close_open_parents(pages))
     leaves = by_stream(lineage.closed_leaf_shards(pages))
-    repaired = by_stream(lineage.extend_closed_leaves(pages, refresh))
+    repaired = by_stream(lineage.extend_closed_leaves(pages, refresh, siblings="first"))
     for stream, (ends, closed_leaves, after) in cases:
         assert closed[stream] == ends
         assert set(leaves.get(stream, {})) == closed_leaves

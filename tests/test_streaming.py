@@ -1,9 +1,8 @@
-"""Replay and streams: idempotence, restarts, start positions, the sharded source."""
+"""Replay and streams: idempotence, restarts, start positions, stored reads."""
 
 from __future__ import annotations
 
 import tempfile
-import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from tideline import fixed, scale
 from tideline.operators import SHARD, progress, reads, replay
 from tideline.plans import views
-from tideline.sources import sharded, tables
+from tideline.sources import tables
 from tideline.streaming import positions, process, replication
 
 KEYS = ["key_id"]
@@ -91,7 +90,7 @@ def test_limits_with_a_hot_shard(spark):
         want = {}
         for r in log.collect():
             want.setdefault(r["shard_id"], []).append(int(r["sequence_number"]))
-        want = {k: sorted(v)[: min(n, 1000)] for k, v in want.items()}
+        want = {k: sorted(v)[:n] for k, v in want.items()}
         assert {k: sorted(v) for k, v in got.items()} == want
 
 
@@ -221,82 +220,108 @@ def test_callbacks(spark, log, folder):
     assert calls == ["start", "stop"]
 
 
-# Sharded source
+# Stored reads
 
 
 @pytest.fixture
 def stored(spark, log, folder):
     path = f"{folder}/log"
-    tables.write_change_log(log, path)
-    sharded.index_segments(spark, path)
-    sharded.register(spark)
+    tables.write_change_log(log, path, partitions=6)
     return path
 
 
-def source(spark, path, **options):
-    reader = spark.read.format("sharded_log").option("path", path)
-    for k, v in options.items():
-        reader = reader.option(k, v)
-    return reader.load()
+def scan_of(df):
+    """Text of the scan node of the executed plan."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return next(line for line in plan.splitlines() if "FileScan" in line)
 
 
-def test_source_offsets_and_filters(spark, log, stored):
-    assert source(spark, stored).count() == 1000
-    assert source(spark, stored, position="LATEST").count() == 0
-    assert source(spark, stored, rowsPerPartition=10).rdd.getNumPartitions() > 8
+def pushed(df, what):
+    return scan_of(df).split(f"{what}: [", 1)[1].split("]", 1)[0]
+
+
+def test_positions_reach_the_scan(spark, log, stored):
+    later = tables.read_change_log(spark, stored, position="AFTER_SEQUENCE", sequence="100300")
+    assert "_sequence_digits" in pushed(later, "PushedFilters") and "_sequence_text" in pushed(later, "PushedFilters")
+    assert later.count() == log.filter(F.col("sequence_number").cast("bigint") > 100300).count()
+
     marks = progress.progress_checkpoints(log, 7)
-    offsets = sharded.offsets_option(marks)
-    want = progress.unprocessed_counts(log, marks)
-    got = source(spark, stored, offsets=offsets).groupBy(*SHARD).agg(F.count("*").alias("records"))
-    assert replay.compare_tables(got, want).count() == 0
-    shard = log.first()["shard_id"]
-    one = source(spark, stored).filter(F.col("shard_id") == shard)
-    assert one.count() == log.filter(F.col("shard_id") == shard).count()
-    with pytest.raises(Exception, match="trimmed"):
-        old = f'{{"s0\\n{shard}": "1"}}'
-        source(spark, stored, offsets=old, trimPolicy="fail").count()
-    with pytest.raises(Exception, match="segments"):
-        source(spark, stored, maxSegments=3).count()
+    got = tables.read_change_log(spark, stored, progress=marks)
+    assert "_sequence_digits" in pushed(got, "PushedFilters") and "shard_id" in pushed(got, "PushedFilters")
+    assert got.count() == reads.apply_start_positions(log, marks).count()
+
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
+    kept = tables.read_retained(spark, stored, now, hours=48)
+    assert "arrival_date" in pushed(kept, "PartitionFilters")
+    assert kept.count() == reads.retention_filter(log, now, hours=48).count()
+    timed = marks.withColumn("checkpoint", F.lit(fixed.AT_TIMESTAMP))
+    since = F.lit("2024-01-25 00:00:00").cast("timestamp_ntz")
+    got = tables.read_change_log(spark, stored, progress=timed, timestamp=since)
+    assert "arrival_date" in pushed(got, "PartitionFilters")
+    assert got.count() == log.filter(F.col("arrival_ts") >= since).count()
+
+
+def test_fewer_bytes_are_read(spark, log, stored):
+    import glob
+    import os
+
+    files = [f for f in glob.glob(f"{stored}/*/*.parquet") if os.path.getsize(f)]
+    assert len(files) >= 30
+    newest = tables.read_change_log(spark, stored, position="AFTER_SEQUENCE", sequence="100480")
+    rows = newest.select(F.input_file_name().alias("f")).distinct().count()
+    assert 0 < rows < len(files) / 4
+
+
+@pytest.mark.parametrize("bad", ["abc", None, "AT_TIMESTAMP"])
+def test_unreadable_checkpoints_fail(spark, log, stored, folder, bad):
+    rows = log.select(*SHARD).distinct().withColumn("checkpoint", F.lit(bad).cast("string"))
+    with pytest.raises(Exception, match="unreadable checkpoint"):
+        reads.apply_start_positions(log, rows).count()
+    with pytest.raises(Exception, match="unreadable checkpoint"):
+        positions.start_stream_at(log, rows).count()
+
+
+def test_resolved_starts(spark, log):
+    half = log.filter("sequence_number < 99800")
+    shard = half.select(*SHARD).first()
+    rows = log.select(*SHARD).distinct().withColumn("checkpoint", F.lit(fixed.LATEST))
+    plan = positions.resolve_starts(rows, half)
+    want = log.join(half.select(*SHARD, "sequence_number"), [*SHARD, "sequence_number"], "left_anti").count()
+    assert positions.start_stream_at(log, plan.starts).count() == want
+    old = rows.filter(F.col("shard_id") == shard["shard_id"]).withColumn("checkpoint", F.lit("1"))
+    plan = positions.resolve_starts(old, half)
+    assert plan.gaps.count() == 1 and plan.starts.first()["checkpoint"] == fixed.TRIM_HORIZON
+    with pytest.raises(Exception, match="unable to read more records"):
+        positions.resolve_starts(old, half, "fail").starts.collect()
 
 
-def test_source_streams_in_limited_steps_and_resumes(spark, log, folder):
-    path = f"{folder}/log"
-    halves = [log.filter("sequence_number < 99900"), log.filter("sequence_number >= 99900")]
-    sharded.register(spark)
-
-    def run(expected):
-        stream = (
-            spark.readStream.format("sharded_log")
-            .option("path", path)
-            .option("maxRecordsPerShard", 5)
-            .option("stateDir", f"{folder}/offsets")
-            .load()
-        )
-        writer = (
-            stream.writeStream.format("parquet")
-            .option("path", f"{folder}/out")
-            .option("checkpointLocation", f"{folder}/state")
-            .trigger(processingTime="0 seconds")
-        )
-        query = writer.start()
-        for _ in range(120):
-            query.processAllAvailable()
-            time.sleep(0.5)
-            out = spark.read.schema(stream.schema).parquet(f"{folder}/out")
-            if out.count() == expected:
-                break
-        batches = query.lastProgress.batchId
-        query.stop()
-        assert batches > 1
-        return out.select(*SHARD, "sequence_number")
+def test_limits_above_the_fetch_limit(log):
+    one = log.withColumn("shard_id", F.lit("only"))
+    assert reads.limit_per_shard(one, 999).count() == 999
+    wide = one.unionByName(one.withColumn("sequence_number", F.concat(F.lit("1"), "sequence_number")))
+    assert reads.limit_per_shard(wide, 1500).count() == 1500
+    got = {r["sequence_number"] for r in reads.limit_per_shard(wide, 1500).collect()}
+    every = sorted((r["sequence_number"] for r in wide.collect()), key=int)
+    assert got == set(every[:1500])
 
-    tables.write_change_log(halves[0], path)
-    sharded.index_segments(spark, path)
-    assert run(halves[0].count()).count() == halves[0].count()
-    tables.write_change_log(halves[1], path)
-    sharded.index_segments(spark, path)
-    got = run(1000)
-    assert replay.compare_tables(got, log.select(*SHARD, "sequence_number")).count() == 0
+
+def test_unlisted_shards_stay_in_the_order(spark, log):
+    shards = spark.createDataFrame(
+        [("s0", log.first()["shard_id"], None, None)],
+        "stream string, shard_id string, parent_shard_id string, adjacent_parent_shard_id string",
+    )
+    ordered = reads.replay_order(log, shards, position="place").collect()
+    assert len(ordered) == log.count() and sorted(r["place"] for r in ordered) == list(range(len(ordered)))
+    listed = [r["place"] for r in ordered if r["depth"] is not None]
+    assert min(listed) > max(r["place"] for r in ordered if r["depth"] is None)
+
+
+def test_salted_join_equals_plain(spark, log):
+    small = log.select(*SHARD).distinct().withColumn("mark", F.monotonically_increasing_id())
+    for how in ("inner", "left", "left_semi"):
+        plain = log.join(small, SHARD, how)
+        salted = scale.join_bounded(log, small, SHARD, how, max_bytes=0)
+        assert replay.compare_tables(plain, salted).count() == 0
 
 
 def test_stored_read_with_trim_policy(spark, log, stored):

@@ -39,8 +39,6 @@ SHARD_ID_SEPARATOR = "-"
 
 # Limits.
 MAX_RECORDS_PER_READ = 1000
-REPAIR_SHARD_LIMIT = 1500
-REPAIR_ROUNDS = 8
 CHECKPOINT_EVERY = 10
 PROGRESS_RETENTION = "6 hours"
 RETENTION_HOURS = 24

@@ -41,6 +41,37 @@ def _spellings(field: str) -> tuple[str, str]:
     return field[0].lower() + field[1:], field[0].upper() + field[1:]
 
 
+_FIELDS = [field for field, _ in [*_ENVELOPE.values(), *_BODY.values()]] + [fixed.BODY]
+_USUAL = "|".join(name for field in _FIELDS for name in _spellings(field))
+#: A known field name in an unusual case, as a key of the payload.
+_UNUSUAL = rf'"(?!(?:{_USUAL})")(?i:{"|".join(_FIELDS)})"\s*:'
+
+
+def _respelled(entries: Column) -> Column:
+    """Map entries with known names in their usual case; the first of two spellings stays."""
+    usual = F.create_map(*[F.lit(x) for field in _FIELDS for x in (field.lower(), field)])
+    named = F.transform(
+        entries,
+        lambda e: F.struct(F.coalesce(F.element_at(usual, F.lower(e["key"])), e["key"]).alias("key"), e["value"].alias("value")),
+    )
+    first = F.filter(named, lambda e, i: F.array_position(F.transform(named, lambda x: x["key"]), e["key"]) == i + 1)
+    return F.map_from_entries(first)
+
+
+def _usual_spelling(text: Column) -> Column:
+    """A payload whose field names have another case, written anew with the usual names.
+
+    Other payloads, nearly all, only pay for the search.
+    """
+    def with_body(name: Column, value: Column) -> Column:
+        body = F.try_variant_get(value, "$", IMAGE)
+        return F.when((name == fixed.BODY) & body.isNotNull(), F.to_variant_object(_respelled(F.map_entries(body)))).otherwise(value)
+
+    outer = _respelled(F.map_entries(F.from_json(text, IMAGE)))
+    anew = F.to_json(F.transform_values(outer, with_body))
+    return F.when(text.rlike(_UNUSUAL), F.coalesce(anew, text)).otherwise(text)
+
+
 def _both(fields: dict[str, tuple[str, str]]) -> list[tuple[str, str]]:
     """(name, type) of every field in both spellings."""
     return [(name, type) for field, type in fields.values() for name in _spellings(field)]
@@ -71,9 +102,9 @@ def decode_records(
 ) -> DataFrame:
     """JSON payloads to envelope columns, plus the ``keep`` columns of the input.
 
-    Unknown fields, including the user identity, are ignored; field names may start in either
-    case. A payload that is no such record is kept as text in ``_corrupt``. ``fields`` limits
-    what is parsed to the columns named.
+    Unknown fields, including the user identity, are ignored; field names count in any case. A
+    payload that is no such record is kept as text in ``_corrupt``, a null or empty one as an empty
+    text; ``_corrupt`` is null for records. ``fields`` limits what is parsed to the columns named.
     """
     wanted = list(fields) if fields is not None else [*_ENVELOPE, *_BODY]
     unknown = set(wanted) - set(_ENVELOPE) - set(_BODY)
@@ -89,17 +120,21 @@ def decode_records(
     envelope = [f"{n}_{case}" for n in outer for case in ("lower", "upper")]
     if inner:
         envelope += ["_body_lower", "_body_upper"]
-    record = F.from_json(F.col(col).cast("string"), schema, {"columnNameOfCorruptRecord": CORRUPT})
-    result = _unpack(df, record, [*envelope, CORRUPT], keep)
+    text = F.col(col).cast("string")
+    record = F.from_json(_usual_spelling(text), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    blank = F.coalesce(F.trim(text) == "", F.lit(True)).alias("_blank")
+    keep_all = [*keep, "_blank"]
+    result = _unpack(df.withColumn("_blank", blank), record, [*envelope, CORRUPT], keep_all)
     if inner:
         names = [f"{n}_{case}" for n in inner for case in ("lower", "upper")]
-        carried = [*keep, *[n for n in envelope if not n.startswith("_body")], CORRUPT]
+        carried = [*keep_all, *[n for n in envelope if not n.startswith("_body")], CORRUPT]
         result = _unpack(result, _first("_body"), names, carried)
     columns = [
         (_instant(_first(n)) if n == "approximate_creation_ts" else _first(n)).alias(n)
         for n in wanted
     ]
-    return result.select(*keep, *columns, CORRUPT)
+    corrupt = F.when(F.col("_blank"), F.lit("")).otherwise(F.col(CORRUPT)).alias(CORRUPT)
+    return result.select(*keep, *columns, corrupt)
 
 
 def _filled(df: DataFrame, name: str) -> Column:

@@ -16,7 +16,7 @@ from tideline import fixed
 from tideline.functions.ordering import sequence_key
 from tideline.functions.shards import is_closed, parent_ids
 from tideline.operators import SHARD
-from tideline.scale import MAX_LINEAGE_STEPS, cut, step
+from tideline.scale import cut, step
 
 SHARD_COLUMNS = [
     "stream",
@@ -34,6 +34,11 @@ def _listed_at() -> Column:
     return F.struct(F.col("page_no").cast("bigint"), F.col("pos").cast("bigint"))
 
 
+def _each_parent(name: str) -> Column:
+    """A row per parent, the second parent of a merge included."""
+    return F.explode(F.array_distinct(parent_ids())).alias(name)
+
+
 def _last_listing(pages: DataFrame) -> DataFrame:
     rest = [c for c in SHARD_COLUMNS if c not in SHARD]
     return (
@@ -56,9 +61,9 @@ def collect_all_pages(pages: DataFrame, stream: str) -> DataFrame:
 def _with_children(pages: DataFrame, ordered: bool) -> DataFrame:
     """Catalog plus ``_has_child``: some child was listed after the shard's last listing."""
     last_child = (
-        pages.filter(F.col("parent_shard_id").isNotNull())
-        .groupBy("stream", F.col("parent_shard_id").alias("shard_id"))
-        .agg(F.max(_listed_at()).alias("_child_at"))
+        pages.select("stream", _each_parent("shard_id"), _listed_at().alias("_listed"))
+        .groupBy(*SHARD)
+        .agg(F.max("_listed").alias("_child_at"))
     )
     seen = F.col("_child_at") > F.col("_at") if ordered else F.col("_child_at").isNotNull()
     return (
@@ -94,14 +99,13 @@ def earliest_closed_leaf(pages: DataFrame) -> DataFrame:
     return closed_leaf_shards(pages).groupBy("stream").agg(F.min("shard_id").alias("shard_id"))
 
 
-def graph_stats(pages: DataFrame, max_shards: int = fixed.REPAIR_SHARD_LIMIT) -> DataFrame:
-    """Per stream: shards, closed leaves, and whether a repair would be tried."""
+def graph_stats(pages: DataFrame) -> DataFrame:
+    """Per stream: shards and closed leaves."""
     leaf = is_closed() & ~F.col("_has_child")
     return (
         _with_children(pages, ordered=True)
         .groupBy("stream")
         .agg(F.count("*").alias("shard_count"), F.count_if(leaf).alias("closed_leaf_count"))
-        .withColumn("repair_eligible", F.col("shard_count") < max_shards)
     )
 
 
@@ -111,57 +115,40 @@ def last_fetched(pages: DataFrame) -> DataFrame:
 
 
 def extend_closed_leaves(
-    pages: DataFrame,
-    refresh_pages: DataFrame,
-    max_rounds: int = fixed.REPAIR_ROUNDS,
-    max_shards: int = fixed.REPAIR_SHARD_LIMIT,
-    siblings: str = "first",
+    pages: DataFrame, refresh_pages: DataFrame, siblings: str = "all"
 ) -> DataFrame:
     """Repair a catalog: add listed children of closed leaves, then children of those.
 
     ``refresh_pages`` is a later listing, with an optional ``round_no`` (0-based). A child counts
-    only if it is listed after its parent became a closed leaf. ``siblings="first"`` adds one
-    child per leaf, ``"all"`` every one. Streams with ``max_shards`` or more are left alone.
+    only if it is listed after one of its parents became a closed leaf. ``siblings="all"`` adds
+    every child of a leaf, ``"first"`` the first one listed. Each step moves forward in the
+    listing, so the repair ends by itself, however deep the lineage.
     """
     if siblings not in ("first", "all"):
         raise ValueError("siblings must be 'first' or 'all'")
     graph = cut(_with_children(pages, ordered=True))
-    eligible = graph.groupBy("stream").count().filter(F.col("count") < max_shards)
-
     round_no = F.col("round_no") if "round_no" in refresh_pages.columns else F.lit(0)
     at = F.struct(*[c.cast("bigint") for c in (round_no, F.col("page_no"), F.col("pos"))])
     start = F.struct(*[F.lit(-1).cast("bigint") for _ in range(3)])
-    listed = (
-        refresh_pages.filter((round_no < max_rounds) & F.col("parent_shard_id").isNotNull())
-        .withColumn("_at", at)
-        .select(*SHARD_COLUMNS, "_at")
-        .join(eligible.select("stream"), "stream", "left_semi")
-    )
+    listed = cut(refresh_pages.select(*SHARD_COLUMNS, at.alias("_at"), _each_parent("_parent")))
 
-    frontier = (
-        graph.filter(is_closed() & ~F.col("_has_child"))
-        .join(eligible.select("stream"), "stream", "left_semi")
-        .select("stream", F.col("shard_id").alias("parent_shard_id"), start.alias("_leaf_at"))
+    frontier = graph.filter(is_closed() & ~F.col("_has_child")).select(
+        "stream", F.col("shard_id").alias("_parent"), start.alias("_leaf_at")
     )
-    rest = [c for c in SHARD_COLUMNS if c not in ("stream", "parent_shard_id")]
     found = []
-    for _ in range(MAX_LINEAGE_STEPS):
-        children = listed.join(frontier, ["stream", "parent_shard_id"]).filter(
-            F.col("_at") > F.col("_leaf_at")
-        )
+    while True:
+        children = listed.join(frontier, ["stream", "_parent"]).filter(F.col("_at") > F.col("_leaf_at"))
         if siblings == "first":
-            first = F.min_by(F.struct(*rest, "_at"), F.col("_at")).alias("s")
-            children = children.groupBy("stream", "parent_shard_id", "_leaf_at").agg(first)
-            children = children.select("stream", "parent_shard_id", "s.*")
+            first = F.min_by(F.struct(*[c for c in SHARD_COLUMNS if c != "stream"], "_at"), F.col("_at"))
+            children = children.groupBy("stream", "_parent", "_leaf_at").agg(first.alias("s"))
+            children = children.select("stream", "s.*")
         added, n = step(children.select(*SHARD_COLUMNS, "_at").distinct())
         if n == 0:
             break
         found.append(added)
         frontier = added.filter(is_closed()).select(
-            "stream", F.col("shard_id").alias("parent_shard_id"), F.col("_at").alias("_leaf_at")
+            "stream", F.col("shard_id").alias("_parent"), F.col("_at").alias("_leaf_at")
         )
-    else:
-        raise RuntimeError(f"repair did not settle within {MAX_LINEAGE_STEPS} steps")
     catalog = _close_parents(graph)
     if not found:
         return catalog
@@ -196,7 +183,7 @@ def child_sets(shards: DataFrame) -> DataFrame:
     )
 
 
-def children_hash_cover(shards: DataFrame) -> DataFrame:
+def children_hash_cover(shards: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Each parent's smallest starting and largest ending hash key over its children."""
     child = shards.select(
         "stream",
@@ -205,7 +192,7 @@ def children_hash_cover(shards: DataFrame) -> DataFrame:
         sequence_key("ending_hash_key").alias("high"),
     )
     return (
-        lineage_edges(shards)
+        (lineage_edges(shards) if edges is None else edges)
         .join(child, ["stream", "child_id"])
         .groupBy("stream", F.col("parent_id").alias("shard_id"))
         .agg(F.count("*").alias("children"), F.min("low").alias("low"), F.max("high").alias("high"))
@@ -218,9 +205,8 @@ def open_shards(shards: DataFrame) -> DataFrame:
 
 
 def leaf_shards(shards: DataFrame) -> DataFrame:
-    """Shards that are nobody's (first) parent."""
-    parents = shards.select("stream", F.col("parent_shard_id").alias("shard_id"))
-    return shards.join(parents, SHARD, "left_anti")
+    """Shards that are nobody's parent, neither first nor second."""
+    return shards.join(shards.select("stream", _each_parent("shard_id")), SHARD, "left_anti")
 
 
 def lookup_shard(shards: DataFrame, stream: str, shard_id: str) -> DataFrame:
@@ -228,30 +214,32 @@ def lookup_shard(shards: DataFrame, stream: str, shard_id: str) -> DataFrame:
     return shards.filter((F.col("stream") == stream) & (F.col("shard_id") == shard_id))
 
 
-def reopen_leaf_shards(shards: DataFrame, keep_ancestors: bool = False) -> DataFrame:
-    """Catalog of a disabled stream: its leaves, reopened so that they are read to the end.
+def reopen_leaf_shards(shards: DataFrame, keep_ancestors: bool = True) -> DataFrame:
+    """Catalog of a disabled stream: its leaves are reopened so that they are read to the end.
 
-    ``keep_ancestors=True`` also keeps every other shard unchanged.
+    ``keep_ancestors=False`` leaves out every other shard.
     """
     leaves = leaf_shards(shards).withColumn("ending_sequence_number", F.lit(None).cast("string"))
     if not keep_ancestors:
         return leaves
-    parents = shards.select("stream", F.col("parent_shard_id").alias("shard_id"))
+    parents = shards.select("stream", _each_parent("shard_id"))
     return leaves.unionByName(shards.join(parents, SHARD, "left_semi"))
 
 
-def inconsistent_shards(shards: DataFrame) -> DataFrame:
+def inconsistent_shards(shards: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Children, open or closed, of a parent that is still open."""
     parents = open_shards(shards).select("stream", F.col("shard_id").alias("parent_id"))
     return (
-        lineage_edges(shards)
+        (lineage_edges(shards) if edges is None else edges)
         .join(parents, ["stream", "parent_id"], "left_semi")
         .select("stream", F.col("child_id").alias("shard_id"))
         .distinct()
     )
 
 
-def closed_shard_violations(shards: DataFrame, progress: DataFrame) -> DataFrame:
+def closed_shard_violations(
+    shards: DataFrame, progress: DataFrame, edges: DataFrame | None = None
+) -> DataFrame:
     """Finished shards the catalog contradicts: not closed, childless, or range not covered."""
     finished = progress.filter(F.col("checkpoint") == fixed.SHARD_END).select(*SHARD)
     low, high = sequence_key("starting_hash_key"), sequence_key("ending_hash_key")
@@ -262,28 +250,57 @@ def closed_shard_violations(shards: DataFrame, progress: DataFrame) -> DataFrame
     )
     return (
         shards.join(finished, SHARD, "left_semi")
-        .join(children_hash_cover(shards), SHARD, "left")
+        .join(children_hash_cover(shards, edges), SHARD, "left")
         .select(*SHARD, violation.alias("violation"))
         .filter(F.col("violation").isNotNull())
     )
 
 
-def lineage_depth(shards: DataFrame) -> DataFrame:
-    """(stream, shard_id, depth): the longest chain of known ancestors above each shard."""
-    edges = cut(lineage_edges(shards))
+HOPS = 8  # levels of a lineage followed in one step
+
+
+def follow(frontier: DataFrame, edges: DataFrame, up: bool) -> list[DataFrame]:
+    """The next ``HOPS`` levels of (stream, shard_id) above or below a frontier; rows may repeat.
+
+    The joins need no shuffle where ``edges`` is hinted for broadcast; what repeats is removed once
+    for all levels by the caller.
+    """
+    at, to = ("child_id", "parent_id") if up else ("parent_id", "child_id")
+    levels = []
+    for _ in range(HOPS):
+        here = frontier.select("stream", F.col("shard_id").alias(at))
+        frontier = here.join(edges, ["stream", at]).select("stream", F.col(to).alias("shard_id"))
+        levels.append(frontier)
+    return levels
+
+
+def lineage_depth(shards: DataFrame, edges: DataFrame | None = None) -> DataFrame:
+    """(stream, shard_id, depth): the longest chain of known ancestors above each shard.
+
+    No chain is longer than the catalog; one that is runs in a circle, and is an error.
+    """
+    edges = step(lineage_edges(shards))[0] if edges is None else edges
     rooted = edges.select("stream", F.col("child_id").alias("shard_id"))
     level = shards.select(*SHARD).join(rooted, SHARD, "left_anti").distinct()
-    levels = []
-    for depth in range(MAX_LINEAGE_STEPS):
-        levels.append(level.withColumn("depth", F.lit(depth)))
-        above = level.select("stream", F.col("shard_id").alias("parent_id"))
-        level, n = step(
-            edges.join(above, ["stream", "parent_id"], "left_semi")
-            .select("stream", F.col("child_id").alias("shard_id"))
-            .distinct()
-        )
+    found, base, most = [level.withColumn("depth", F.lit(0))], 0, None
+    while True:
+        below = [
+            df.withColumn("depth", F.lit(base + i + 1)) for i, df in enumerate(follow(level, edges, up=False))
+        ]
+        reached, n = step(_deepest(below))
         if n == 0:
-            break
-    else:
-        raise RuntimeError(f"lineage deeper than {MAX_LINEAGE_STEPS}, or cyclic")
+            return _deepest(found)
+        found.append(reached)
+        base += HOPS
+        # a shard of the last level has no greater depth in this step
+        level = reached.filter(F.col("depth") == base).select(*SHARD)
+        if base == 64:
+            most = shards.count()
+        if most is not None and base > most + HOPS:
+            raise RuntimeError("the lineage has a cycle")
+        if len(found) % 16 == 0:  # a plan of bounded width
+            found = [cut(_deepest(found))]
+
+
+def _deepest(levels: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, levels).groupBy(*SHARD).agg(F.max("depth").alias("depth"))

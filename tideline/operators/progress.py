@@ -19,15 +19,15 @@ from tideline.functions.shards import is_closed, parent_ids, shard_creation_time
 from tideline.operators import SHARD
 from tideline.operators.lineage import (
     closed_shard_violations,
+    follow,
     inconsistent_shards,
     lineage_edges,
     open_shards,
 )
 from tideline.operators.reads import apply_start_positions
-from tideline.scale import MAX_LINEAGE_STEPS, cut, first_per_group, hint_counted, step
+from tideline.scale import cut, first_per_group, hint_counted, step
 
 PROGRESS_COLUMNS = [*SHARD, "parent_shard_ids", "checkpoint", "owner_switches"]
-IDS_IN_MESSAGE = 20
 
 
 def position_to_checkpoint(position: str) -> Column:
@@ -37,26 +37,25 @@ def position_to_checkpoint(position: str) -> Column:
 
 
 def _visit_ancestors(edges: DataFrame, seeds: DataFrame, tracked: DataFrame) -> DataFrame:
-    """(stream, shard_id, tracked) of seeds and their ancestors; tracked shards end the climb."""
-    mark, n = step(tracked.select(*SHARD).withColumn("_tracked", F.lit(True)))
-    frontier, total = step(seeds.withColumn("tracked", F.lit(False)))
-    visited = frontier
-    for _ in range(MAX_LINEAGE_STEPS):
-        below = frontier.filter(~F.col("tracked")).select(
-            "stream", F.col("shard_id").alias("child_id")
-        )
-        frontier, n = step(
-            edges.join(below, ["stream", "child_id"], "left_semi")
-            .select("stream", F.col("parent_id").alias("shard_id"))
-            .distinct()
-            .join(hint_counted(visited, total), SHARD, "left_anti")
-            .join(mark, SHARD, "left")
-            .select(*SHARD, F.coalesce("_tracked", F.lit(False)).alias("tracked"))
-        )
+    """(stream, shard_id, tracked) of seeds and their ancestors; tracked shards end the climb.
+
+    No shard is climbed from twice, so the climb ends, however deep the lineage.
+    """
+    mark, n = step(tracked.select(*SHARD).withColumn("tracked", F.lit(True)))
+    ends = mark.select("stream", F.col("shard_id").alias("child_id"))
+    # edges above tracked shards are not followed
+    climbed, _ = step(edges.join(ends, ["stream", "child_id"], "left_anti"))
+    visited, total = step(seeds)
+    frontier, steps = visited, 0
+    while True:
+        above = reduce(DataFrame.unionByName, follow(frontier, climbed, up=True)).distinct()
+        frontier, n = step(above.join(hint_counted(visited, total), SHARD, "left_anti"))
         if n == 0:
-            return visited
-        visited, total = visited.unionByName(frontier), total + n
-    raise RuntimeError(f"lineage deeper than {MAX_LINEAGE_STEPS}, or cyclic")
+            marked = visited.join(mark, SHARD, "left")
+            return cut(marked.select(*SHARD, F.coalesce("tracked", F.lit(False)).alias("tracked")))
+        visited, total, steps = visited.unionByName(frontier), total + n, steps + 1
+        if steps % 16 == 0:  # a plan of bounded width
+            visited = cut(visited)
 
 
 def _flow_down(edges: DataFrame, visited: DataFrame) -> DataFrame:
@@ -64,21 +63,17 @@ def _flow_down(edges: DataFrame, visited: DataFrame) -> DataFrame:
     untracked = visited.filter(~F.col("tracked")).select(
         "stream", F.col("shard_id").alias("child_id")
     )
-    inner = cut(edges.join(untracked, ["stream", "child_id"], "left_semi"))
-    frontier, total = step(visited.filter("tracked").select(*SHARD))
-    reached = frontier
-    for _ in range(MAX_LINEAGE_STEPS):
-        above = frontier.select("stream", F.col("shard_id").alias("parent_id"))
-        frontier, n = step(
-            inner.join(above, ["stream", "parent_id"], "left_semi")
-            .select("stream", F.col("child_id").alias("shard_id"))
-            .distinct()
-            .join(hint_counted(reached, total), SHARD, "left_anti")
-        )
+    inner, _ = step(edges.join(untracked, ["stream", "child_id"], "left_semi"))
+    reached, total = step(visited.filter("tracked").select(*SHARD))
+    frontier, steps = reached, 0
+    while True:
+        below = reduce(DataFrame.unionByName, follow(frontier, inner, up=False)).distinct()
+        frontier, n = step(below.join(hint_counted(reached, total), SHARD, "left_anti"))
         if n == 0:
             return reached
-        reached, total = reached.unionByName(frontier), total + n
-    raise RuntimeError(f"lineage deeper than {MAX_LINEAGE_STEPS}, or cyclic")
+        reached, total, steps = reached.unionByName(frontier), total + n, steps + 1
+        if steps % 16 == 0:
+            reached = cut(reached)
 
 
 def plan_new_progress(
@@ -86,6 +81,7 @@ def plan_new_progress(
     progress: DataFrame,
     position: str,
     inconsistent: DataFrame | None = None,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     """Progress rows to create so that every open shard is reached from ``position``.
 
@@ -96,7 +92,7 @@ def plan_new_progress(
     """
     if position not in (fixed.TRIM_HORIZON, fixed.LATEST, fixed.AT_TIMESTAMP):
         raise ValueError(f"unsupported start position {position!r}")
-    edges = cut(lineage_edges(shards))
+    edges = step(lineage_edges(shards))[0] if edges is None else edges
     seeds = open_shards(shards).select(*SHARD).join(progress, SHARD, "left_anti")
     if inconsistent is not None:
         seeds = seeds.join(inconsistent, SHARD, "left_anti")
@@ -176,6 +172,7 @@ def finished_progress(
     now: Column,
     retention: str = fixed.PROGRESS_RETENTION,
     tracked: DataFrame | None = None,
+    edges: DataFrame | None = None,
 ) -> DataFrame:
     """Rows to delete because reading has moved on to the end of every child.
 
@@ -186,7 +183,7 @@ def finished_progress(
     ended = tracked.filter(F.col("checkpoint") == fixed.SHARD_END)
     child = ended.select("stream", F.col("shard_id").alias("child_id"), F.lit(True).alias("_ended"))
     done = (
-        lineage_edges(shards)
+        (lineage_edges(shards) if edges is None else edges)
         .join(child, ["stream", "child_id"], "left")
         .groupBy("stream", F.col("parent_id").alias("shard_id"))
         .agg(F.bool_and(F.coalesce("_ended", F.lit(False))).alias("_all"))
@@ -231,10 +228,18 @@ class SyncResult(NamedTuple):
     audit: DataFrame
 
 
+class TornCatalogError(ValueError):
+    """The catalog contradicts itself or the progress; ``violations`` holds all the shards."""
+
+    def __init__(self, message: str, violations: DataFrame):
+        super().__init__(message)
+        self.violations = violations
+
+
 def _reject(found: DataFrame, message: str) -> None:
-    sample = [r["shard_id"] for r in found.select("shard_id").limit(IDS_IN_MESSAGE).collect()]
-    if sample:
-        raise ValueError(f"{message} ({', '.join(sorted(sample))}, ...)")
+    found, n = step(found)
+    if n:
+        raise TornCatalogError(f"{n} {message}", found)
 
 
 def sync_progress(
@@ -251,14 +256,15 @@ def sync_progress(
     covered by its children) is rejected before anything is derived from it. Finished rows are
     judged against all rows tracked in this pass, deleted orphans included.
     """
-    inconsistent = cut(inconsistent_shards(shards))
+    edges, _ = step(lineage_edges(shards))
+    inconsistent = cut(inconsistent_shards(shards, edges))
     if not ignore_unexpected_children:
         _reject(inconsistent, "shards with an open parent")
-    created = cut(plan_new_progress(shards, progress, position, inconsistent))
+    created = cut(plan_new_progress(shards, progress, position, inconsistent, edges))
     tracked = tracked_progress(progress, created)
     orphans = cut(garbage_progress(tracked, shards, fresh_shards))
-    _reject(closed_shard_violations(shards, progress), "finished shards the catalog contradicts")
-    finished = cut(finished_progress(progress, shards, now, tracked=tracked))
+    _reject(closed_shard_violations(shards, progress, edges), "finished shards the catalog contradicts")
+    finished = cut(finished_progress(progress, shards, now, tracked=tracked, edges=edges))
     deletions = orphans.select(*SHARD).unionByName(finished.select(*SHARD))
     actions = [("create", created), ("delete_orphan", orphans), ("delete_finished", finished)]
     audit = reduce(

@@ -10,10 +10,18 @@ from pyspark.sql import functions as F
 
 from tideline import fixed
 from tideline.functions.ordering import is_number, sequence_key, sequence_order
-from tideline.functions.shards import clamp_limit, normalize_stream_status
+from tideline.functions.shards import normalize_stream_status
 from tideline.operators import SHARD
 from tideline.operators.lineage import lineage_depth, reopen_leaf_shards
-from tideline.scale import first_per_group, join_bounded
+from tideline.scale import cut, first_per_group, join_bounded
+
+
+def checked(progress: DataFrame, known: Column) -> DataFrame:
+    """Progress whose query fails on a checkpoint that is not ``known``."""
+    text = F.coalesce("checkpoint", F.lit("null"))
+    message = F.concat(F.lit("unreadable checkpoint "), text, F.lit(" of shard "), "shard_id")
+    readable = F.when(F.coalesce(known, F.lit(False)), F.col("checkpoint")).otherwise(F.raise_error(message))
+    return progress.withColumn("checkpoint", readable)
 
 
 def apply_start_positions(
@@ -23,7 +31,8 @@ def apply_start_positions(
 
     TRIM_HORIZON reads everything retained, LATEST and SHARD_END nothing that exists already,
     AT_TIMESTAMP what arrived at or after ``timestamp``, a sequence number what follows it
-    (``inclusive=True``: and the record itself).
+    (``inclusive=True``: and the record itself). Any other checkpoint, also a null one, and
+    AT_TIMESTAMP without ``timestamp``, make the query fail.
     """
     key, at = sequence_key("sequence_number"), F.col("_at")
     after = (key >= at) if inclusive else (key > at)
@@ -32,16 +41,10 @@ def apply_start_positions(
     wanted = F.col("_from_start") | F.coalesce(after, F.lit(False))
     if timestamp is not None:
         wanted = wanted | (F.col("_from_time") & arrived)
-    readable = progress.filter(~checkpoint.isin(fixed.LATEST, fixed.SHARD_END))
-    if timestamp is None:
-        readable = readable.withColumn(
-            "checkpoint",
-            F.when(
-                checkpoint == fixed.AT_TIMESTAMP,
-                F.raise_error(F.lit("AT_TIMESTAMP rows need a timestamp")),
-            ).otherwise(checkpoint),
-        )
-    starts = readable.select(
+    known = checkpoint.isin(fixed.TRIM_HORIZON, fixed.LATEST, fixed.SHARD_END) | is_number(checkpoint)
+    if timestamp is not None:
+        known = known | (checkpoint == fixed.AT_TIMESTAMP)
+    starts = checked(progress, known).filter(~checkpoint.isin(fixed.LATEST, fixed.SHARD_END)).select(
         *SHARD,
         (checkpoint == fixed.TRIM_HORIZON).alias("_from_start"),
         (checkpoint == fixed.AT_TIMESTAMP).alias("_from_time"),
@@ -75,23 +78,43 @@ def read_from(
     raise ValueError(f"unknown start position {position!r}")
 
 
-def limit_per_shard(log: DataFrame, n: int | None = fixed.MAX_RECORDS_PER_READ) -> DataFrame:
-    """The first ``n`` records of each shard, ``n`` being clamped to the read maximum."""
-    limit = clamp_limit(n)
-    if limit is None:
+def limit_per_shard(log: DataFrame, n: int | None) -> DataFrame:
+    """The first ``n`` records of each shard, all of them for None.
+
+    ``clamp_limit`` gives the limit of a single fetch, for those who want one.
+    """
+    if n is None:
         return log
     order = sequence_order("sequence_number")
-    return first_per_group(log, SHARD, order, limit).drop("_rank")
+    return first_per_group(log, SHARD, order, n).drop("_rank")
 
 
-def replay_order(log: DataFrame, shards: DataFrame) -> DataFrame:
+def replay_order(log: DataFrame, shards: DataFrame, position: str | None = None) -> DataFrame:
     """Records with parents' shards before children's and in sequence order within a shard.
 
-    A total, range-partitioned sort: a hot shard is cut into several consecutive ranges.
+    A total, range-partitioned sort: a hot shard is cut into several consecutive ranges. Shards
+    that are no longer listed have a null depth and come first, as they are the oldest.
+    ``position`` names a column for the record's place in its stream.
     """
     depth = lineage_depth(shards)
-    joined = join_bounded(log, depth, SHARD)
-    return joined.orderBy("stream", "depth", "shard_id", *sequence_order("sequence_number"))
+    joined = join_bounded(log, depth, SHARD, "left")
+    first = F.col("depth").asc_nulls_first()
+    ordered = joined.orderBy("stream", first, "shard_id", *sequence_order("sequence_number"))
+    return ordered if position is None else numbered(ordered, ["stream"], position)
+
+
+def numbered(ordered: DataFrame, group: list[str], name: str) -> DataFrame:
+    """Sorted rows with their 0-based place in ``group``, counted over the partitions in order.
+
+    The rows are stored once; what is summed has a row per partition and group.
+    """
+    placed = cut(ordered.withColumn("_id", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("_id", 33)
+    counts = placed.groupBy(*group, part.alias("_part")).agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    joined = join_bounded(placed.withColumn("_part", part), starts, [*group, "_part"], spread="_id")
+    return joined.withColumn(name, F.col("_start") + F.col("_id") - F.col("_first")).select(*ordered.columns, name)
 
 
 def oldest_retained(log: DataFrame) -> DataFrame:
@@ -138,18 +161,13 @@ def retention_filter(log: DataFrame, now: Column, hours: int = fixed.RETENTION_H
 def page_after(df: DataFrame, key: str, after: str | None = None, limit: int | None = None) -> DataFrame:
     """Keyset page: rows beyond ``after`` in key order, with ``has_more`` telling of others.
 
-    A bounded sort of limit + 1 rows; the extra row only answers ``has_more``.
+    A bounded sort of ``limit`` rows, and a count that stops behind them.
     """
     beyond = df if after is None else df.filter(F.col(key) > after)
     if limit is None:
         return beyond.orderBy(key).withColumn("has_more", F.lit(False))
-    probe = beyond.orderBy(key).limit(limit + 1)
-    everything = Window.partitionBy(F.lit(0))
-    return (
-        probe.withColumn("has_more", F.count("*").over(everything) > limit)
-        .orderBy(key)
-        .limit(limit)
-    )
+    more = beyond.limit(limit + 1).count() > limit
+    return beyond.orderBy(key).limit(limit).withColumn("has_more", F.lit(more))
 
 
 def list_streams(streams: DataFrame, after: str | None = None, limit: int | None = None) -> DataFrame:
@@ -163,10 +181,12 @@ def describe_stream(
     stream: str,
     after: str | None = None,
     limit: int | None = None,
+    keep_ancestors: bool = True,
 ) -> DataFrame:
     """One stream's status and a page of its shards; the name is the stream's address.
 
-    A disabled stream lists its leaves, reopened and all at once, so that it is read to the end.
+    A disabled stream lists all its shards at once, the leaves reopened, so that it is read to
+    the end; with ``keep_ancestors=False`` the leaves only.
     """
     described = streams.filter(F.col("arn") == stream)
     head = described.select(
@@ -177,7 +197,7 @@ def describe_stream(
     disabled = described.filter(F.col("status") == fixed.DISABLED).select(F.col("arn").alias("stream"))
     own = shards.filter(F.col("stream") == stream)
     page = page_after(own, "shard_id", after, limit).join(disabled, "stream", "left_anti")
-    leaves = reopen_leaf_shards(own).join(disabled, "stream", "left_semi")
+    leaves = reopen_leaf_shards(own, keep_ancestors).join(disabled, "stream", "left_semi")
     listed = page.unionByName(leaves.withColumn("has_more", F.lit(False)))
     return head.join(listed, "stream").drop("stream").orderBy("shard_id")
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline import fixed
 from tideline.functions.ordering import sequence_key
 from tideline.functions.records import operation_kind
 from tideline.operators import SHARD
@@ -18,9 +19,10 @@ def latest_changes(
 ) -> DataFrame:
     """The last change of each key: keys, event_name, sequence_number, values.
 
-    One aggregate with map-side combine: a hot key crosses the shuffle once per task. Order and
-    duplicates of the input do not matter. ``order_by`` replaces the sequence key, for logs that
-    also hold their position as a number.
+    One aggregate with map-side combine: a hot key crosses the shuffle once per task. It works on
+    rows sorted by key, as its buffers hold structs, and spills where a task's rows do not fit. Order
+    and duplicates of the input do not matter. ``order_by`` replaces the sequence key, for logs
+    that also hold their position as a number.
     """
     order = sequence_key("sequence_number") if order_by is None else order_by
     carried = [c for c in ("event_name", "sequence_number", *values) if c not in keys]
@@ -64,17 +66,17 @@ def materialize_table(
 def dedupe_replayed(
     log: DataFrame,
     keys: Sequence[str] = (*SHARD, "sequence_number"),
-    within_watermark: bool = False,
+    within: str | None = f"{fixed.RETENTION_HOURS} hours",
 ) -> DataFrame:
     """One copy of each record, in batch or on a stream.
 
-    On a stream the default is exact and keeps every key in its state. ``within_watermark=True``
-    bounds the state by the stream's watermark: copies further apart pass, and records later than
-    the watermark are dropped, so use it where retention has the same bound.
+    A record cannot be delivered again once it has left the stream, so on a stream the state holds
+    the keys of the last ``within`` of arrival time only. ``within=None`` keeps every key for ever.
     """
-    if within_watermark:
-        return log.dropDuplicatesWithinWatermark(list(keys))
-    return log.dropDuplicates(list(keys))
+    if not log.isStreaming or within is None:
+        return log.dropDuplicates(list(keys))
+    timed = log.withColumn("_arrival", F.col("arrival_ts").cast("timestamp")).withWatermark("_arrival", within)
+    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_arrival")
 
 
 def compare_tables(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from tideline.operators.errors import RULES
 from tideline.plans import views
 
 NOW = "TIMESTAMP '2024-01-31 00:00:00'"
@@ -83,7 +82,7 @@ def _pages(source: str, name: str = "pages", mixed: bool = False) -> str:
 {name} AS (SELECT *, {rank} AS ord, ({rank}) // {views.PAGE} AS page_no FROM {source}),
 {name}_graph AS (
   SELECT p.*, (SELECT max(c.ord) FROM {name} c
-               WHERE c.stream = p.stream AND c.parent_shard_id = p.shard_id) AS child_ord
+               WHERE c.stream = p.stream AND p.shard_id IN (c.parent_shard_id, c.adjacent_parent_shard_id)) AS child_ord
   FROM {name} p)"""
 
 
@@ -210,6 +209,13 @@ def _latest(where: str = "true", source: str = "log") -> str:
     WHERE x.event_name <> 'REMOVE'"""
 
 
+SKEWED = LOG + f""",
+skewed AS (
+  SELECT * REPLACE (CASE WHEN seq % 10 > 0 THEN 's0' ELSE stream END AS stream,
+                    CASE WHEN seq % 10 > 0 THEN {_id('0', '0', '0')} ELSE shard_id END AS shard_id,
+                    CASE WHEN seq % 10 > 0 AND seq % 2 = 0 THEN 0 ELSE key_id END AS key_id)
+  FROM log)"""
+
 ROW = "SELECT stream, shard_id, parents, checkpoint, CAST(0 AS BIGINT) AS owner_switches FROM "
 CATALOG = "stream, shard_id, parent_shard_id, adjacent_parent_shard_id, ending_sequence_number"
 RECORD = "stream, shard_id, sequence_number"
@@ -229,16 +235,54 @@ def _positioned(op: str = ">") -> str:
     return _POSITIONED.format(half=HALF, op=op)
 
 
+# What a stored log held when half of it was written and its first week was gone.
+_HELD = f"""
+held AS (
+  SELECT stream, shard_id, min(seq) AS oldest, max(seq) AS newest FROM log
+  WHERE arrival_ts < {HALF} AND arrival_ts >= {NOW} - INTERVAL 576 HOURS GROUP BY ALL)"""
+
+
+def _started(where: str) -> str:
+    """Records of a stream after start positions resolved against ``held``."""
+    return f"""
+  SELECT l.stream, l.shard_id, l.sequence_number, l.event_name
+  FROM log l LEFT JOIN reading r ON r.stream = l.stream AND r.shard_id = l.shard_id
+  LEFT JOIN held h ON h.stream = l.stream AND h.shard_id = l.shard_id
+  WHERE {where} AND (r.shard_id IS NULL OR r.checkpoint = 'TRIM_HORIZON'
+     OR (r.checkpoint = 'AT_TIMESTAMP' AND l.arrival_ts >= {HALF})
+     OR (r.checkpoint = 'LATEST' AND (h.newest IS NULL OR l.seq > h.newest))
+     OR (TRY_CAST(r.checkpoint AS BIGINT) < h.oldest)
+     OR l.seq > TRY_CAST(r.checkpoint AS BIGINT))"""
+
+
 def _decoded(columns: str) -> str:
     return _with(LOG, f"SELECT {columns} FROM log")
 
 
+# Number, API, error, matched by code, policy, reported error, action.
+_RULES = """
+  (1, 'DescribeStream', 'InternalServerError', false, 'any', 'ServiceError', 'translate'),
+  (2, 'DescribeStream', 'ResourceNotFound', false, 'any', 'ResourceNotFound', 'translate'),
+  (3, 'DescribeStream', 'ThrottlingException', true, 'any', 'LimitExceeded', 'translate'),
+  (4, 'GetRecords', 'ExpiredIterator', false, 'any', 'ExpiredIterator', 'translate'),
+  (5, 'GetRecords', 'InternalServerError', false, 'any', 'ServiceError', 'translate'),
+  (6, 'GetRecords', 'LimitExceeded', false, 'any', 'ProvisionedThroughputExceeded', 'translate'),
+  (7, 'GetRecords', 'ResourceNotFound', false, 'any', 'ResourceNotFound', 'translate'),
+  (8, 'GetRecords', 'ThrottlingException', true, 'any', 'ProvisionedThroughputExceeded', 'translate'),
+  (9, 'GetRecords', 'TrimmedDataAccess', false, 'skip', 'ExpiredIterator', 'translate'),
+  (10, 'GetRecords', 'TrimmedDataAccess', false, 'retry', 'UnableToReadMoreRecords', 'stop'),
+  (11, 'GetShardIterator', 'InternalServerError', false, 'any', 'ServiceError', 'translate'),
+  (12, 'GetShardIterator', 'ResourceNotFound', false, 'skip', 'ResourceNotFound', 'translate'),
+  (13, 'GetShardIterator', 'ResourceNotFound', false, 'retry', 'UnableToReadMoreRecords', 'stop'),
+  (14, 'GetShardIterator', 'ThrottlingException', true, 'any', 'ProvisionedThroughputExceeded', 'translate'),
+  (15, 'GetShardIterator', 'TrimmedDataAccess', false, 'skip', NULL, 'reread_from_trim_horizon'),
+  (16, 'GetShardIterator', 'TrimmedDataAccess', false, 'retry', 'UnableToReadMoreRecords', 'stop'),
+  (17, 'ListStreams', 'InternalServerError', false, 'any', 'ServiceError', 'translate'),
+  (18, 'ListStreams', 'ResourceNotFound', false, 'any', 'ServiceError', 'translate'),
+  (19, 'ListStreams', 'ThrottlingException', true, 'any', 'LimitExceeded', 'translate')"""
+
+
 def _errors(policy: str) -> str:
-    rules = []
-    for i, r in enumerate(RULES):
-        if r.policy in (None, policy):
-            text = "NULL" if r.target is None else f"'{r.target}'"
-            rules.append(f"({i}, '{r.api}', '{r.error}', {str(r.by_code).lower()}, {text}, '{r.action}')")
     kinds = "['" + "', '".join(views.ERRORS) + "']"
     apis = "['" + "', '".join(views.APIS) + "']"
     again = "r.action = 'reread_from_trim_horizon' AND e.iterator_type = 'TRIM_HORIZON'"
@@ -252,7 +296,8 @@ errors AS (
          CAST(CASE WHEN kind = 'InternalServerError' THEN 500 ELSE 400 END AS INTEGER) AS status,
          CASE WHEN (event_id // 35) % 2 = 0 THEN 'TRIM_HORIZON' ELSE 'AFTER_SEQUENCE_NUMBER' END AS iterator_type
   FROM raw),
-rules(no, api, error, by_code, target, action) AS (VALUES {', '.join(rules)})
+every_rule(no, api, error, by_code, policy, target, action) AS (VALUES {_RULES}),
+rules AS (SELECT * FROM every_rule WHERE policy IN ('any', '{policy}'))
 SELECT e.*,
        CASE WHEN {again} THEN 'ResourceNotFound' WHEN r.no IS NULL THEN e.error_type ELSE r.target END AS target_error,
        CASE WHEN {again} THEN 'translate' ELSE coalesce(r.action, 'pass_through') END AS action
@@ -300,18 +345,19 @@ def _violations() -> str:
 
 
 def _repair(first: bool) -> str:
-    pick = "QUALIFY row_number() OVER (PARTITION BY stream, parent_shard_id ORDER BY ord) = 1" if first else ""
+    pick = "QUALIFY row_number() OVER (PARTITION BY stream, parent_id ORDER BY ord) = 1" if first else ""
     return _with(
         SHARDS,
         _pages("shards", "refresh"),
-        f"candidates AS (SELECT * FROM refresh WHERE parent_shard_id IS NOT NULL {pick})",
+        f"""listed AS (SELECT *, unnest([parent_shard_id, adjacent_parent_shard_id]) AS parent_id FROM refresh),
+        candidates AS (SELECT * FROM listed WHERE parent_id IS NOT NULL {pick})""",
         """
     added AS (
       SELECT c.stream, c.shard_id FROM candidates c JOIN shards p
-        ON p.stream = c.stream AND p.shard_id = c.parent_shard_id WHERE p.gen = 2
+        ON p.stream = c.stream AND p.shard_id = c.parent_id WHERE p.gen = 2
       UNION
       SELECT c.stream, c.shard_id FROM candidates c JOIN added a
-        ON a.stream = c.stream AND a.shard_id = c.parent_shard_id)""",
+        ON a.stream = c.stream AND a.shard_id = c.parent_id)""",
         f"""
     SELECT {CATALOG} FROM shards s
     WHERE gen < 3 OR EXISTS (SELECT 1 FROM added a WHERE a.stream = s.stream AND a.shard_id = s.shard_id)""",
@@ -333,7 +379,8 @@ _TAGS = {
 }
 
 _OPEN = "ending_sequence_number IS NULL"
-_NO_CHILD = """NOT EXISTS (SELECT 1 FROM {t} c WHERE c.stream = s.stream AND c.parent_shard_id = s.shard_id)"""
+_NO_CHILD = """NOT EXISTS (SELECT 1 FROM {t} c WHERE c.stream = s.stream
+          AND s.shard_id IN (c.parent_shard_id, c.adjacent_parent_shard_id))"""
 _STATUS = "['ACTIVE', 'CREATING', 'ACTIVE', 'ACTIVE', 'ACTIVE'][stream_no % 5 + 1]"
 _HEADS = "FROM shards WHERE gen = 0 AND bucket = 0"
 
@@ -352,7 +399,14 @@ ORACLES: dict[str, str] = {
     "dedupe_replayed": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
     "replay_order": _with(
         SHARDS,
-        "SELECT l.stream, l.shard_id, l.sequence_number, l.event_name, CAST(l.gen AS INTEGER) AS depth FROM log l",
+        """SELECT stream, shard_id, sequence_number, event_name, CAST(nullif(gen, 0) - 1 AS INTEGER) AS depth,
+        row_number() OVER (PARTITION BY stream ORDER BY gen, shard_id, seq) - 1 AS place FROM log""",
+    ),
+    "materialize_skewed": _with(SKEWED, _latest(source="skewed")),
+    "limit_skewed": _with(
+        SKEWED,
+        f"""SELECT {RECORD} FROM skewed QUALIFY row_number() OVER
+        (PARTITION BY stream, shard_id ORDER BY seq) <= 5000""",
     ),
     "lookup_item": _with(LOG, _latest("stream = 's0' AND key_id = 7")),
     # records
@@ -362,6 +416,14 @@ ORACLES: dict[str, str] = {
         CAST(CASE WHEN new_value IS NULL THEN 0 ELSE 11 END AS BIGINT) AS attributes,
         true AS no_old_image, true AS valid"""
     ),
+    "decode_odd_payloads": _with(
+        LOG,
+        "valid AS (SELECT *, seq % 50 NOT IN (1, 2, 3, 4) AS valid FROM log)",
+        """SELECT sequence_number AS number, CASE WHEN valid THEN 'ev-' || sequence_number END AS event_id,
+        CASE WHEN valid THEN event_name END AS event_name, CASE WHEN valid THEN sequence_number END AS sequence_number,
+        CASE WHEN valid THEN new_value END AS new_value, valid FROM valid""",
+    ),
+    "decode_stored": _decoded("'ev-' || sequence_number AS event_id, event_name, sequence_number"),
     "attribute_values": _decoded(
         """sequence_number, new_event_type AS s, new_value AS n, new_event_type AS b,
         CASE WHEN new_value IS NOT NULL THEN true END AS is_null, new_value > 20 AS flag,
@@ -451,8 +513,8 @@ ORACLES: dict[str, str] = {
         SHARDS,
         _pages("shards_g", mixed=True),
         """SELECT stream, count(*) AS shard_count,
-        count(*) FILTER (ending_sequence_number IS NOT NULL AND NOT coalesce(child_ord > ord, false)) AS closed_leaf_count,
-        count(*) < 1500 AS repair_eligible FROM pages_graph GROUP BY ALL""",
+        count(*) FILTER (ending_sequence_number IS NOT NULL AND NOT coalesce(child_ord > ord, false)) AS closed_leaf_count
+        FROM pages_graph GROUP BY ALL""",
     ),
     "earliest_closed_leaf": _with(
         SHARDS,
@@ -480,8 +542,8 @@ ORACLES: dict[str, str] = {
         f"""SELECT {CATALOG} FROM pages_graph
         WHERE ending_sequence_number IS NOT NULL AND NOT coalesce(child_ord > ord, false)""",
     ),
-    "extend_closed_leaves": _repair(first=True),
-    "extend_closed_leaves_all": _repair(first=False),
+    "extend_closed_leaves": _repair(first=False),
+    "extend_closed_leaves_first": _repair(first=True),
     "reopen_leaves": _with(
         SHARDS,
         f"""SELECT stream, shard_id, parent_shard_id, adjacent_parent_shard_id,
@@ -503,7 +565,12 @@ ORACLES: dict[str, str] = {
     "closed_shard_violations": _violations(),
     # positioned reads
     "read_trim_horizon": _with(LOG, f"SELECT {RECORD} FROM log"),
-    "read_latest": _with(LOG, f"SELECT {RECORD} FROM log WHERE false"),
+    "read_latest": _with(
+        LOG,
+        f"""half AS (SELECT stream, shard_id, max(seq) AS newest FROM log WHERE arrival_ts < {HALF} GROUP BY ALL)""",
+        """SELECT l.stream, l.shard_id, l.sequence_number FROM log l
+        JOIN half h ON h.stream = l.stream AND h.shard_id = l.shard_id WHERE l.seq > h.newest""",
+    ),
     "read_at_timestamp": _with(LOG, f"SELECT {RECORD} FROM log WHERE arrival_ts >= {HALF}"),
     "read_at_sequence": _with(LOG, f"SELECT {RECORD} FROM log WHERE seq >= 100000"),
     "read_after_sequence": _with(LOG, f"SELECT {RECORD} FROM log WHERE seq > 100000"),
@@ -532,6 +599,15 @@ ORACLES: dict[str, str] = {
         f"""SELECT {RECORD} FROM one QUALIFY row_number() OVER
         (PARTITION BY stream, shard_id ORDER BY seq) <= 1000""",
     ),
+    "limit_per_shard_large": _with(
+        ONE_STREAM,
+        f"""SELECT {RECORD} FROM one QUALIFY row_number() OVER
+        (PARTITION BY stream, shard_id ORDER BY seq) <= 5000""",
+    ),
+    "read_stored_after_sequence": _with(LOG, f"SELECT {RECORD} FROM log WHERE seq > 100000"),
+    "retention_stored": _with(
+        LOG, f"SELECT {RECORD}, arrival_ts FROM log WHERE arrival_ts >= {NOW} - INTERVAL 48 HOURS"
+    ),
     "retention_filter": _with(
         LOG, f"SELECT {RECORD}, arrival_ts FROM log WHERE arrival_ts >= {NOW} - INTERVAL 48 HOURS"
     ),
@@ -575,7 +651,13 @@ ORACLES: dict[str, str] = {
         _plan("TRIM_HORIZON", "shards_o", torn=True),
         ROW + "plan",
     ),
-    "order_progress_rows": _with(SHARDS, _mixed(), ROW + "progress"),
+    "order_progress_rows": _with(
+        SHARDS,
+        _mixed(),
+        """SELECT p.stream, p.shard_id, p.parents, p.checkpoint, CAST(0 AS BIGINT) AS owner_switches,
+        row_number() OVER (ORDER BY s.lo NULLS LAST, p.shard_id, p.stream) - 1 AS place
+        FROM progress p LEFT JOIN shards s ON s.stream = p.stream AND s.shard_id = p.shard_id""",
+    ),
     "garbage_progress": _with(
         SHARDS, _mixed(), "tracked AS (SELECT * FROM progress)", ORPHANS, ROW + "orphans"
     ),
@@ -672,8 +754,8 @@ ORACLES: dict[str, str] = {
     "describe_disabled_stream": _with(
         SHARDS,
         f"""SELECT stream AS stream_name, 'ACTIVE' AS stream_status, shard_id,
-        CAST(NULL AS VARCHAR) AS ending_sequence_number, false AS has_more
-        FROM shards_g s WHERE stream = 's2' AND {_NO_CHILD.format(t='shards_g')}""",
+        CASE WHEN NOT ({_NO_CHILD.format(t='shards_g')}) THEN ending_sequence_number END AS ending_sequence_number,
+        false AS has_more FROM shards_g s WHERE stream = 's2'""",
     ),
     "summarize_streams": _with(
         SHARDS,
@@ -704,7 +786,18 @@ ORACLES: dict[str, str] = {
     "stream_drain": _with(
         SHARDS,
         f"""SELECT l.stream, l.shard_id, l.sequence_number, l.event_name FROM log l JOIN shards_g s
-        ON s.stream = l.stream AND s.shard_id = l.shard_id WHERE {_NO_CHILD.format(t='shards_g')}""",
+        ON s.stream = l.stream AND s.shard_id = l.shard_id""",
+    ),
+    "stream_dedupe_bounded": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
+    "stream_limited": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
+    "stream_from_progress": _with(SHARDS, READING, _HELD, f"SELECT {RECORD}, event_name FROM ({_started('true')})"),
+    "stream_trim_skip": _with(
+        SHARDS,
+        READING,
+        _HELD,
+        """SELECT r.stream, r.shard_id, r.checkpoint, CAST(h.oldest AS VARCHAR) AS oldest_retained
+        FROM reading r JOIN held h ON h.stream = r.stream AND h.shard_id = r.shard_id
+        WHERE TRY_CAST(r.checkpoint AS BIGINT) < h.oldest""",
     ),
     "stream_delivered": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
     "stream_process": _with(
@@ -718,7 +811,15 @@ ORACLES: dict[str, str] = {
         READING,
         f"""SELECT l.stream, l.shard_id, l.sequence_number, l.arrival_ts, l.event_name
         FROM log l LEFT JOIN reading r ON r.stream = l.stream AND r.shard_id = l.shard_id
-        WHERE coalesce(l.seq > TRY_CAST(r.checkpoint AS BIGINT), true)""",
+        WHERE r.shard_id IS NULL OR r.checkpoint = 'TRIM_HORIZON'
+          OR (r.checkpoint = 'AT_TIMESTAMP' AND l.arrival_ts >= {HALF}) OR l.seq > TRY_CAST(r.checkpoint AS BIGINT)""",
+    ),
+    "sharded_source_stream": _with(
+        SHARDS,
+        READING,
+        f"""SELECT l.stream, l.shard_id, l.sequence_number, l.arrival_ts, l.event_name
+        FROM log l LEFT JOIN reading r ON r.stream = l.stream AND r.shard_id = l.shard_id
+        WHERE r.shard_id IS NULL OR r.checkpoint = 'TRIM_HORIZON'
+          OR (r.checkpoint = 'AT_TIMESTAMP' AND l.arrival_ts >= {HALF}) OR l.seq > TRY_CAST(r.checkpoint AS BIGINT)""",
     ),
-    "sharded_source_stream": _with(LOG, f"SELECT {RECORD}, arrival_ts, event_name FROM log"),
 }

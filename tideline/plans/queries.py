@@ -16,7 +16,7 @@ from tideline.functions.ordering import sequence_key
 from tideline.operators import SHARD, errors, lineage, metrics, progress, reads, replay
 from tideline.plans import views
 from tideline.scale import cut, run_dir
-from tideline.sources import sharded, tables
+from tideline.sources import tables
 from tideline.streaming import positions, process, replication
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,8 +93,21 @@ def dedupe_replayed(spark, sf_dir):
 
 @query
 def replay_order(spark, sf_dir):
+    """Places in the order; the oldest generation is no longer listed."""
     log = views.change_log(spark, sf_dir).select(*RECORD, "event_name")
-    return reads.replay_order(log, views.all_shards(spark, sf_dir))
+    shards = views.shards_trimmed(views.all_shards(spark, sf_dir))
+    return reads.replay_order(log, shards, position="place")
+
+
+@query
+def materialize_skewed(spark, sf_dir):
+    """One shard with nine in ten records, one key with half of them."""
+    return replay.materialize_table(views.as_skewed(views.change_log(spark, sf_dir)), KEYS, VALUES)
+
+
+@query
+def limit_skewed(spark, sf_dir):
+    return reads.limit_per_shard(views.as_skewed(views.change_log(spark, sf_dir)).select(*RECORD), 5000)
 
 
 @query
@@ -127,6 +140,27 @@ def decode_records(spark, sf_dir):
     )
 
 
+@query
+def decode_odd_payloads(spark, sf_dir):
+    """Names in three spellings; null, empty, blank and torn payloads are flagged."""
+    odd = views.with_odd_payloads(_json(spark, sf_dir).withColumnRenamed("sequence_number", "number").withColumn("sequence_number", F.col("number")))
+    decoded = records.decode_records(odd, keep=["number"], fields=["event_id", "event_name", "sequence_number", "new_image"])
+    return decoded.select(
+        "number", "event_id", "event_name", "sequence_number",
+        attributes.attribute("new_image", "value", "N", "double").alias("new_value"),
+        F.col("_corrupt").isNull().alias("valid"),
+    )
+
+
+@query
+def decode_stored(spark, sf_dir):
+    """Payloads that were stored before."""
+    path = run_dir(spark, "payloads")
+    _json(spark, sf_dir).select("data").write.parquet(path)
+    decoded = records.decode_records(spark.read.parquet(path), fields=["event_id", "event_name", "sequence_number"])
+    return decoded.drop("_corrupt")
+
+
 @query
 def attribute_values(spark, sf_dir):
     decoded = records.decode_records(_json(spark, sf_dir), fields=["sequence_number", "new_image"])
@@ -153,7 +187,7 @@ def attribute_values(spark, sf_dir):
 
 @query
 def flatten_image(spark, sf_dir):
-    decoded = records.decode_records(_json(spark, sf_dir))
+    decoded = records.decode_records(_json(spark, sf_dir), fields=["sequence_number", "event_name", "new_image"])
     return attributes.flatten_image(
         decoded,
         "new_image",
@@ -339,24 +373,24 @@ def _repair(spark, sf_dir, siblings):
 
 @query
 def extend_closed_leaves(spark, sf_dir):
-    return _repair(spark, sf_dir, "first")
+    return _repair(spark, sf_dir, "all")
 
 
 @query
-def extend_closed_leaves_all(spark, sf_dir):
-    return _repair(spark, sf_dir, "all")
+def extend_closed_leaves_first(spark, sf_dir):
+    return _repair(spark, sf_dir, "first")
 
 
 @query
 def reopen_leaves(spark, sf_dir):
     gap = views.shards_gap(views.all_shards(spark, sf_dir))
-    return _catalog(lineage.reopen_leaf_shards(gap))
+    return _catalog(lineage.reopen_leaf_shards(gap, keep_ancestors=False))
 
 
 @query
 def reopen_leaves_keep_ancestors(spark, sf_dir):
     gap = views.shards_gap(views.all_shards(spark, sf_dir))
-    return _catalog(lineage.reopen_leaf_shards(gap, keep_ancestors=True))
+    return _catalog(lineage.reopen_leaf_shards(gap))
 
 
 @query
@@ -386,7 +420,10 @@ def read_trim_horizon(spark, sf_dir):
 
 @query
 def read_latest(spark, sf_dir):
-    return reads.read_from(views.change_log(spark, sf_dir), fixed.LATEST).select(*RECORD)
+    """What arrives after the newest record of the first half of the log."""
+    log = views.change_log(spark, sf_dir)
+    starts = positions.latest_positions(log.filter(F.col("arrival_ts") < _half()))
+    return reads.apply_start_positions(log.select(*RECORD, "arrival_ts"), starts).select(*RECORD)
 
 
 @query
@@ -442,7 +479,13 @@ def limit_per_shard(spark, sf_dir):
 @query
 def limit_per_shard_clamped(spark, sf_dir):
     log = views.as_change_log(spark.read.parquet(f"{sf_dir}/events.parquet"), None)
-    return reads.limit_per_shard(log.select(*RECORD), 10000)
+    return reads.limit_per_shard(log.select(*RECORD), shard_functions.clamp_limit(10000))
+
+
+@query
+def limit_per_shard_large(spark, sf_dir):
+    log = views.as_change_log(spark.read.parquet(f"{sf_dir}/events.parquet"), None)
+    return reads.limit_per_shard(log.select(*RECORD), 5000)
 
 
 def _retained(spark, sf_dir) -> DataFrame:
@@ -504,9 +547,11 @@ def plan_new_progress_torn(spark, sf_dir):
 
 @query
 def order_progress_rows(spark, sf_dir):
+    """Places in the order."""
     shards = views.all_shards(spark, sf_dir)
     rows = progress.order_progress_rows(views.as_progress(shards, "mixed"), shards)
-    return _rows(rows)
+    placed = reads.numbered(rows.withColumn("every", F.lit(0)), ["every"], "place")
+    return placed.select(*SHARD, _text("parent_shard_ids").alias("parents"), "checkpoint", "owner_switches", "place")
 
 
 @query
@@ -664,7 +709,7 @@ def classify_api_errors_retry(spark, sf_dir):
 @query
 def stream_materialize(spark, sf_dir):
     target, state = run_dir(spark, "replica"), run_dir(spark, "query")
-    stream = views.event_stream(spark, sf_dir)
+    stream = views.stored_stream(spark, sf_dir)
     process.run_to_end(replication.replicate_sink(stream, target, KEYS, VALUES, state))
     return replication.read_replica(spark, target, KEYS, VALUES)
 
@@ -698,30 +743,77 @@ def stream_latest(spark, sf_dir):
 
 @query
 def stream_stateful_latest(spark, sf_dir):
+    """Four micro-batches, whose state is carried over."""
     out, state = run_dir(spark, "updates"), run_dir(spark, "query")
-    running = replication.stateful_latest(views.event_stream(spark, sf_dir), KEYS, VALUES)
+    running = replication.stateful_latest(views.stored_stream(spark, sf_dir), KEYS, VALUES)
     process.run_to_end(process.update_sink(running, out, state))
     return replication.newest_updates(spark.read.parquet(out), KEYS, VALUES)
 
 
-@query
-def stream_dedupe(spark, sf_dir):
+def _collected(spark, stream: DataFrame) -> DataFrame:
     out, state = run_dir(spark, "out"), run_dir(spark, "query")
-    stream = views.event_stream(spark, sf_dir)
-    twice = stream.unionByName(stream)
-    once = replay.dedupe_replayed(twice).select(*RECORD, "event_name")
-    process.run_to_end(once.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
+    process.run_to_end(stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
     return spark.read.parquet(out)
 
 
+def _delivered_twice(spark, sf_dir) -> DataFrame:
+    """Two streams of the same records, one file per trigger each: copies meet in later batches."""
+    twice = views.stored_stream(spark, sf_dir).unionByName(views.stored_stream(spark, sf_dir, files=3))
+    return twice.select(*RECORD, "event_name", "arrival_ts")
+
+
+@query
+def stream_dedupe(spark, sf_dir):
+    once = replay.dedupe_replayed(_delivered_twice(spark, sf_dir), within=None)
+    return _collected(spark, once.drop("arrival_ts"))
+
+
+@query
+def stream_dedupe_bounded(spark, sf_dir):
+    """The state forgets what no stream can deliver again; the log spans 30 days."""
+    once = replay.dedupe_replayed(_delivered_twice(spark, sf_dir), within="31 days")
+    return _collected(spark, once.drop("arrival_ts"))
+
+
 @query
 def stream_drain(spark, sf_dir):
-    out, state = run_dir(spark, "out"), run_dir(spark, "query")
     gap = views.shards_gap(views.all_shards(spark, sf_dir))
     left = positions.drain_disabled_stream(views.event_stream(spark, sf_dir), gap)
-    left = left.select(*RECORD, "event_name")
-    process.run_to_end(left.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
-    return spark.read.parquet(out)
+    return _collected(spark, left.select(*RECORD, "event_name"))
+
+
+def _stream_starts(spark, sf_dir, trim_policy="skip") -> tuple[positions.StartPlan, DataFrame]:
+    """Start positions fixed when half of the log was there and its first days were gone, and the
+    whole stored log as a stream of one file per trigger."""
+    path = run_dir(spark, "log")
+    log = views.change_log(spark, sf_dir).select(*RECORD, "event_name", "arrival_ts")
+    half = log.filter(F.col("arrival_ts") < _half())
+    tables.write_change_log(half, path)
+    held = reads.retention_filter(tables.scan_change_log(spark, path), _now(), hours=24 * 24)
+    plan = positions.resolve_starts(_reading(spark, sf_dir), held, trim_policy)
+    plan = positions.StartPlan(cut(plan.starts), cut(plan.gaps))
+    tables.write_change_log(log.filter(F.col("arrival_ts") >= _half()), path)
+    return plan, tables.stream_change_log(spark, path, log.schema, max_files_per_trigger=10)
+
+
+@query
+def stream_from_progress(spark, sf_dir):
+    """All kinds of checkpoints: LATEST is what was newest when half of the log was there."""
+    plan, stream = _stream_starts(spark, sf_dir)
+    new = positions.start_stream_at(stream, plan.starts, timestamp=_half())
+    return _collected(spark, new.select(*RECORD, "event_name"))
+
+
+@query
+def stream_trim_skip(spark, sf_dir):
+    plan, _ = _stream_starts(spark, sf_dir)
+    return plan.gaps
+
+
+@query
+def stream_limited(spark, sf_dir):
+    """Several micro-batches of a limited number of files hold what one would."""
+    return _collected(spark, views.stored_stream(spark, sf_dir, files=6, per_trigger=2).select(*RECORD, "event_name"))
 
 
 @query
@@ -761,31 +853,39 @@ def read_stored_log_at_timestamp(spark, sf_dir):
     return tables.read_change_log(spark, path, position=fixed.AT_TIMESTAMP, timestamp=_half())
 
 
-def _segments(spark, sf_dir) -> str:
+def _stored(spark, sf_dir) -> str:
     path = run_dir(spark, "log")
-    log = views.change_log(spark, sf_dir).select(
-        *RECORD, "arrival_ts", F.encode("event_name", "UTF-8").alias("data")
-    )
-    tables.write_change_log(log, path)
-    sharded.index_segments(spark, path)
-    sharded.register(spark)
+    tables.write_change_log(views.change_log(spark, sf_dir).select(*RECORD, "arrival_ts", "event_name"), path)
     return path
 
 
+@query
+def read_stored_after_sequence(spark, sf_dir):
+    return tables.read_change_log(spark, _stored(spark, sf_dir), position="AFTER_SEQUENCE", sequence="100000").select(*RECORD)
+
+
+@query
+def retention_stored(spark, sf_dir):
+    return tables.read_retained(spark, _stored(spark, sf_dir), _now(), hours=48).select(*RECORD, "arrival_ts")
+
+
 @query
 def sharded_source_replay(spark, sf_dir):
-    path = _segments(spark, sf_dir)
-    rows = _reading(spark, sf_dir).filter("checkpoint RLIKE '^[0-9]+$'")
-    source = spark.read.format("sharded_log").option("path", path)
-    got = source.option("offsets", sharded.offsets_option(rows)).load()
-    return got.select(*RECORD, "arrival_ts", F.decode("data", "UTF-8").alias("event_name"))
+    """Bounded read by per-shard positions, shards without a position from their start."""
+    path = _stored(spark, sf_dir)
+    shards = views.all_shards(spark, sf_dir)
+    rows = _reading(spark, sf_dir)
+    new = shards.select(*SHARD, F.lit(fixed.TRIM_HORIZON).alias("checkpoint")).join(rows.select(*SHARD), SHARD, "left_anti")
+    every = rows.select(*SHARD, "checkpoint").unionByName(new)
+    return tables.read_change_log(spark, path, progress=every, timestamp=_half()).select(*RECORD, "arrival_ts", "event_name")
 
 
 @query
 def sharded_source_stream(spark, sf_dir):
-    path = _segments(spark, sf_dir)
-    out, state = run_dir(spark, "out"), run_dir(spark, "query")
-    stream = spark.readStream.format("sharded_log").option("path", path).load()
-    named = stream.select(*RECORD, "arrival_ts", F.decode("data", "UTF-8").alias("event_name"))
-    process.run_to_end(named.writeStream.format("parquet").option("path", out).option("checkpointLocation", state))
-    return spark.read.parquet(out)
+    """The same read as a stream."""
+    path = _stored(spark, sf_dir)
+    log = tables.scan_change_log(spark, path)
+    starts = cut(positions.resolve_starts(_reading(spark, sf_dir), log).starts)
+    stream = tables.stream_change_log(spark, path, log.schema, max_files_per_trigger=20)
+    new = positions.start_stream_at(stream, starts, timestamp=_half())
+    return _collected(spark, new.select(*RECORD, "arrival_ts", "event_name"))

@@ -15,7 +15,7 @@ from tideline import fixed
 from tideline.functions.attributes import build_typed_image
 from tideline.operators import SHARD
 from tideline.operators.lineage import SHARD_COLUMNS
-from tideline.scale import cut
+from tideline.scale import cut, run_dir
 
 USERS_PER_STREAM = 10
 BUCKETS = (2, 4, 4, 2, 4)
@@ -84,6 +84,47 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_change_log(spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet*"))
 
 
+def stored_stream(spark: SparkSession, sf_dir: str, files: int = 4, per_trigger: int = 1) -> DataFrame:
+    """The change log as a stream of several files, read a few at a time."""
+    log = change_log(spark, sf_dir)
+    path = run_dir(spark, "log")
+    log.repartitionByRange(files, F.col("sequence_number").cast("bigint")).write.parquet(path)
+    reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", per_trigger)
+    return reader.parquet(path)
+
+
+def as_skewed(log: DataFrame) -> DataFrame:
+    """Nine in ten records moved to one shard, and half of these to one key."""
+    hot = F.col("sequence_number").cast("bigint") % 10 > 0
+    hot_key = hot & (F.col("sequence_number").cast("bigint") % 2 == 0)
+    return log.withColumns(
+        {
+            "stream": F.when(hot, "s0").otherwise(F.col("stream")),
+            "shard_id": F.when(hot, _shard_id(F.lit(0), _bigint(0), _bigint(0))).otherwise(F.col("shard_id")),
+            "key_id": F.when(hot_key, _bigint(0)).otherwise(F.col("key_id")),
+        }
+    )
+
+
+def with_odd_payloads(payloads: DataFrame) -> DataFrame:
+    """Payloads with every third in capitals, and some null, empty, blank and torn ones."""
+    n = F.col("sequence_number").cast("bigint")
+    text = F.col("data").cast("string")
+    capital = text
+    for name in (fixed.EVENT_ID, fixed.EVENT_NAME, fixed.BODY, fixed.SEQUENCE_NUMBER, fixed.NEW_IMAGE):
+        for spelt in (name[0].lower() + name[1:], name[0].upper() + name[1:]):
+            capital = F.replace(capital, F.lit(f'"{spelt}":'), F.lit(f'"{name.upper()}":'))
+    odd = (
+        F.when(n % 50 == 1, F.lit(None).cast("string"))
+        .when(n % 50 == 2, F.lit(""))
+        .when(n % 50 == 3, F.lit("  "))
+        .when(n % 50 == 4, F.concat(F.lit("{"), text))
+        .when(n % 3 == 0, capital)
+        .otherwise(text)
+    )
+    return payloads.withColumn("data", odd.cast("binary"))
+
+
 def as_generations(log: DataFrame) -> DataFrame:
     """Sequence range of each stream's generations."""
     number = F.col("sequence_number").cast("bigint")

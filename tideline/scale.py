@@ -1,7 +1,7 @@
 """Helpers that keep plans sound on large, skewed inputs.
 
 * ``cut`` ends a lineage with a reliable checkpoint in the cluster's shared folder.
-* ``join_bounded`` broadcasts the small side only after measuring it, and salts otherwise.
+* ``join_bounded`` broadcasts the small side only after measuring it, and salts hot keys otherwise.
 * ``first_per_group`` takes the first n rows of a group without ever sorting a whole group
   in one task.
 """
@@ -11,16 +11,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BROADCAST_ROWS = 200_000  # of identifiers, some hundred bytes each
 ROW_OVERHEAD_BYTES = 64
-SALTS = 64
 ONE_PASS_ROWS = 100  # times 10^5 input tasks: 10^7 rows of a hot group in its last task
 TOP_SLICES = 1024
-MAX_LINEAGE_STEPS = 100
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,13 +50,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def step(df: DataFrame) -> tuple[DataFrame, int]:
-    """Cut an iteration's (small, id-only) rows and count them.
+    """Cut an iteration's (small, id-only) rows; their number is observed as they are written.
 
     Within ``BROADCAST_ROWS`` the result is hinted for broadcast, so that the next join against
     the edges does not shuffle them; the count bounds its size.
     """
-    df = cut(df)
-    rows = df.count()
+    counted = Observation()
+    df = cut(df.observe(counted, F.count(F.lit(1)).alias("rows")))
+    rows = counted.get["rows"]
     return hint_counted(df, rows), rows
 
 
@@ -81,20 +80,30 @@ def join_bounded(
     how: str = "inner",
     spread: str = "sequence_number",
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join a large, possibly skewed frame with a catalog-sized one, unique on ``on``.
 
     Within the bound the small side is broadcast and the large side is not shuffled. Beyond it,
-    the large side's hot keys are spread over ``salts`` values of ``spread``'s hash and the
-    small side is repeated once per salt.
+    keys that hold more than a partition's share of the large side are dealt by ``spread``'s hash
+    into as many salts as they hold shares, and only their rows of the small side are repeated.
+    A stream, whose keys cannot be counted beforehand, is joined as it is.
     """
     if fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on, how)
-    salted = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    repeated = repeated.withColumn("_salt", F.col("_salt").cast("bigint"))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    if big.isStreaming:
+        return big.join(small, on, how)
+    parts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = cut(big.groupBy(*on).agg(F.count("*").alias("_n")))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    hot = counts.filter(F.col("_n") * parts > F.lit(total)).select(
+        *on, F.ceil(F.col("_n") * parts / F.lit(max(total, 1))).alias("_salts")
+    )
+    hot = F.broadcast(hot)  # fewer rows than partitions
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = big.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), salts)).drop("_salts")
+    repeated = small.join(hot, on, "left")
+    repeated = repeated.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+    return salted.join(repeated.drop("_salts"), [*on, "_salt"], how).drop("_salt")
 
 
 def first_per_group(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tideline import fixed
-from tideline.functions.ordering import sequence_order
+from tideline.functions.ordering import is_number, sequence_key, sequence_order
 from tideline.operators import SHARD
 from tideline.operators.reads import (
     apply_start_positions,
@@ -18,6 +18,18 @@ from tideline.operators.reads import (
 
 
 DAY = "arrival_date"
+DIGITS, NUMBER = "_sequence_digits", "_sequence_text"  # the sequence number's order, as plain columns
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+MAX_FILE_RECORDS = 5_000_000
+UNKNOWN_BYTES = 1 << 60  # what the optimizer says of inputs it knows nothing of
+
+
+def _ranges(log: DataFrame) -> int:
+    """Ranges of about ``TARGET_FILE_BYTES`` of what the log is read from; at least the session's."""
+    least = int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = log._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return max(least, size // TARGET_FILE_BYTES if size < UNKNOWN_BYTES else 0)
 
 
 def write_change_log(
@@ -27,22 +39,72 @@ def write_change_log(
 
     Rows are range-partitioned by day, stream, shard and sequence. The number of files follows
     the data, not the number of shards: small shards share a file, a hot shard fills several,
-    and each file's statistics bound the shards in it. Days serve retention and reads by time.
-    ``partitions`` sizes the ranges for a large load; the default is the session's.
+    and each file's statistics bound the shards and sequence numbers in it. Days serve retention
+    and reads by time. ``partitions`` sets the number of ranges; by default it follows the
+    estimated size of the input.
     """
-    dated = log.withColumn(DAY, F.to_date("arrival_ts"))
-    order = [DAY, *SHARD, *sequence_order("sequence_number")]
-    sized = () if partitions is None else (partitions,)
-    ordered = dated.repartitionByRange(*sized, *order).sortWithinPartitions(*order)
-    ordered.write.mode(mode).partitionBy(DAY).parquet(path)
+    digits, text = sequence_order("sequence_number")
+    dated = log.withColumns({DAY: F.to_date("arrival_ts"), DIGITS: digits, NUMBER: text})
+    order = [DAY, *SHARD, DIGITS, NUMBER]
+    ordered = dated.repartitionByRange(partitions or _ranges(log), *order).sortWithinPartitions(*order)
+    ordered.write.mode(mode).option("maxRecordsPerFile", MAX_FILE_RECORDS).partitionBy(DAY).parquet(path)
 
 
 def scan_change_log(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     """A stored log; with ``since``, only the days from then on are listed and read."""
+    return _plain(_stored(spark, path, since))
+
+
+def _stored(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     log = spark.read.parquet(path)
     if since is not None:
         log = log.filter((F.col(DAY) >= since.cast("date")) & (F.col("arrival_ts") >= since))
-    return log.drop(DAY)
+    return log
+
+
+def _plain(log: DataFrame) -> DataFrame:
+    return log.drop(DAY, DIGITS, NUMBER)
+
+
+def _beyond(sequence: str, inclusive: bool = False) -> Column:
+    """Condition on the stored order of sequence numbers that statistics of files can answer."""
+    text = sequence.lstrip("0")
+    later = F.col(NUMBER) >= text if inclusive else F.col(NUMBER) > text
+    return (F.col(DIGITS) > len(text)) | ((F.col(DIGITS) == len(text)) & later)
+
+
+def _within_progress(log: DataFrame, progress: DataFrame, timestamp: Column | None) -> DataFrame:
+    """Stored records less what the progress rows' bounds exclude, which the scan can skip.
+
+    One aggregate gives the range of readable shards, the smallest number and the kinds of
+    checkpoints; numbers and arrival times bound the scan if no row is read from its start.
+    """
+    checkpoint = F.col("checkpoint")
+    row = (
+        progress.filter(~checkpoint.isin(fixed.LATEST, fixed.SHARD_END))
+        .agg(
+            F.min("stream").alias("first"), F.max("stream").alias("last"),
+            F.min("shard_id").alias("low"), F.max("shard_id").alias("high"),
+            F.min(F.when(is_number(checkpoint), sequence_key(checkpoint))).alias("number"),
+            F.bool_and(is_number(checkpoint)).alias("numbers"),
+            F.bool_and(is_number(checkpoint) | (checkpoint == fixed.AT_TIMESTAMP)).alias("bounded"),
+            F.bool_and(checkpoint == fixed.AT_TIMESTAMP).alias("times"),
+        )
+        .first()
+    )
+    if row["first"] is None:
+        return log
+    log = log.filter(F.col("stream").between(row["first"], row["last"]) & F.col("shard_id").between(row["low"], row["high"]))
+    since = None
+    if timestamp is not None and row["bounded"]:
+        since = (F.col(DAY) >= timestamp.cast("date")) & (F.col("arrival_ts") >= timestamp)
+    if row["numbers"]:
+        return log.filter(_beyond(row["number"]["text"], inclusive=True))
+    if row["times"] and since is not None:
+        return log.filter(since)
+    if row["bounded"] and since is not None:
+        return log.filter(_beyond(row["number"]["text"], inclusive=True) | since)
+    return log
 
 
 def read_change_log(
@@ -57,20 +119,29 @@ def read_change_log(
 ) -> DataFrame:
     """Bounded positioned read: per shard from ``progress``, else from one ``position``.
 
+    Positions reach the scan as conditions on stored columns, so files before them are skipped.
     ``limit`` bounds the records per shard. Positions older than the retained data read from the
     oldest record there is, or with ``trim_policy="fail"`` make the query fail.
     """
     by_time = progress is None and position == fixed.AT_TIMESTAMP
-    log = scan_change_log(spark, path, timestamp if by_time else None)
+    log = _stored(spark, path, timestamp if by_time else None)
     if progress is not None:
         if trim_policy != "skip":
-            progress = apply_trim_policy(progress, log, trim_policy)
+            progress = apply_trim_policy(progress, _plain(log), trim_policy)
+        log = _plain(_within_progress(log, progress, timestamp))
         log = apply_start_positions(log, progress, timestamp)
+    elif position in ("AT_SEQUENCE", "AFTER_SEQUENCE"):
+        log = _plain(log.filter(_beyond(sequence, inclusive=position == "AT_SEQUENCE")))
     else:
-        log = read_from(log, position, sequence, timestamp)
+        log = read_from(_plain(log), position, sequence, timestamp)
     return limit_per_shard(log, limit)
 
 
+def read_retained(spark: SparkSession, path: str, now: Column, hours: int = fixed.RETENTION_HOURS) -> DataFrame:
+    """Stored records within the retention period; older days are neither listed nor read."""
+    return scan_change_log(spark, path, now - F.expr(f"INTERVAL {hours} HOURS"))
+
+
 def read_records(
     spark: SparkSession, path: str, format: str = "json", schema: StructType | str | None = None
 ) -> DataFrame:
@@ -89,11 +160,11 @@ def stream_change_log(
     """Continuous read of a stored log; a restarted query resumes from its own checkpoint."""
     dated = StructType([*schema.fields])
     if format == "parquet":
-        dated = dated.add(DAY, "date")
+        dated = dated.add(DIGITS, "integer").add(NUMBER, "string").add(DAY, "date")
     reader = spark.readStream.format(format).schema(dated)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.load(path).drop(DAY)
+    return _plain(reader.load(path))
 
 
 def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
@@ -110,10 +181,13 @@ def committed_versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def write_progress(progress: DataFrame, path: str) -> int:
-    """Store the next snapshot beside the earlier ones; readers see it once it is complete."""
+    """Store the next snapshot beside the earlier ones; readers see it once it is complete.
+
+    Of two writers that choose the same version, one fails.
+    """
     versions = committed_versions(progress.sparkSession, path)
     version = versions[-1] + 1 if versions else 0
-    progress.write.mode("overwrite").parquet(f"{path}/version={version}")
+    progress.write.mode("errorifexists").parquet(f"{path}/version={version}")
     return version
 
 
