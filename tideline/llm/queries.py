@@ -120,4 +120,102 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ORACLES: dict[str, str] = {}
+
+# SQL twins (DuckDB) of the queries that SQL can express.
+
+_REST = "CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END"
+_HOST = f"translate(regexp_extract(rest, '^[^/?#]*'), '{url_filter.UPPER}', '{url_filter.LOWER}')"
+
+_OP3 = f"""
+WITH cut_ AS (SELECT page_id, coalesce({_REST}, '') AS rest FROM pages),
+split_ AS (SELECT page_id, {_HOST} AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut_),
+rules(verdict, name, prefix, rule) AS (VALUES ('block', 'net', '/', 'net/'), ('allow', 'example.net', '/en/', 'example.net/en/'),
+  ('block', 'example.com', '/de/', 'example.com/de/'), ('allow', 'org', '/fr/', 'org/fr/')),
+best AS (
+  SELECT page_id, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+  FROM split_ s JOIN rules r ON (s.host = r.name OR ends_with(s.host, '.' || r.name)) AND starts_with(s.path, r.prefix)
+  GROUP BY page_id)
+SELECT s.page_id, s.host, s.path, b.rule,
+  coalesce(b.verdict, CASE WHEN regexp_matches(s.host, '(^|[.-])({LISTED_TERMS})([.-]|$)') THEN 'block' ELSE 'allow' END) AS verdict,
+  regexp_matches(s.host, '(^|[.-])({LISTED_TERMS})([.-]|$)') AS listed
+FROM split_ s LEFT JOIN best b USING (page_id)"""
+
+
+def _escaped(column: str) -> str:
+    for plain, entity in chat.ENTITIES:
+        column = f"replace({column}, '{plain}', '{entity}')"
+    return column
+
+
+_MARKS = len(chat.TURN) + len(chat.TEXT) + len(chat.END)
+_OP8 = f"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum({_MARKS} + length({_escaped("role")}) + length({_escaped("text")})) AS BIGINT) AS formatted_chars
+FROM said GROUP BY conv_id"""
+
+_BLANKS = r"[\x20\x09-\x0D]+"
+_MEASURES = " UNION ALL ".join(
+    f"SELECT doc_id, lang, source, '{m.name}' AS measure, {m.over} / CAST(greatest({m.under}, 1) AS DOUBLE) AS x, "
+    f"{m.margin} AS margin FROM counted"
+    for m in quality.MEASURES
+)
+
+
+def _quartiles(name: str, keys: str) -> str:
+    """Lower and upper quartile of each group's sketch."""
+    return f"""
+{name}_c AS (SELECT {keys} measure, any_value(margin) AS margin, bucket, sum(n) AS n FROM sketch GROUP BY {keys} measure, bucket),
+{name}_u AS (SELECT *, sum(n) OVER (PARTITION BY {keys} measure ORDER BY bucket NULLS FIRST) AS upto,
+  sum(n) OVER (PARTITION BY {keys} measure) AS total,
+  coalesce(2.0 * pow({quality.GAMMA}, bucket) / ({quality.GAMMA} + 1), 0) AS v FROM {name}_c),
+{name} AS (SELECT {keys} measure, max(total) AS total, min(v) FILTER (4 * upto >= total) AS low,
+  min(v) FILTER (4 * upto >= 3 * total) AS high FROM {name}_u GROUP BY {keys} measure)"""
+
+
+_OP10 = f"""
+WITH words AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{_BLANKS}'), lambda w: w <> '') AS ws,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS ls
+  FROM documents),
+places AS (SELECT doc_id, unnest(range(1, len(ws) - 3)) AS i FROM words WHERE len(ws) >= 5),
+windows AS (SELECT p.doc_id, p.i, count(*) OVER (PARTITION BY p.doc_id, list_slice(w.ws, p.i, p.i + 4)) AS n
+  FROM places p JOIN words w USING (doc_id)),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2), (3), (4)) o(k) WHERE n > 1 GROUP BY doc_id),
+counted AS (
+  SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words,
+    CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words,
+    len(ws) < {quality.MIN_WORDS} OR 100 * coalesce(c.n, 0) > {quality.MAX_REPEAT_PERCENT} * len(ws) AS base_failed
+  FROM words w LEFT JOIN covered c USING (doc_id)),
+measures AS ({_MEASURES}),
+sketch AS (
+  SELECT m.lang, m.source, measure, any_value(margin) AS margin,
+    CASE WHEN x > 0 THEN CAST(ceil(ln(x) / ln({quality.GAMMA})) AS INTEGER) END AS bucket, count(*) AS n
+  FROM measures m JOIN counted USING (doc_id) WHERE NOT base_failed GROUP BY ALL),
+{_quartiles("own", "lang, source,")},
+{_quartiles("by_lang", "lang,")},
+{_quartiles("everything", "")},
+chosen AS (
+  SELECT o.lang, o.source, o.measure,
+    CASE WHEN o.total >= {quality.MIN_GROUP} THEN o.low WHEN l.total >= {quality.MIN_GROUP} THEN l.low ELSE e.low END AS low,
+    CASE WHEN o.total >= {quality.MIN_GROUP} THEN o.high WHEN l.total >= {quality.MIN_GROUP} THEN l.high ELSE e.high END AS high
+  FROM own o JOIN by_lang l ON l.lang IS NOT DISTINCT FROM o.lang AND l.measure = o.measure
+  JOIN everything e ON e.measure = o.measure),
+outside AS (
+  SELECT DISTINCT doc_id FROM measures m JOIN chosen c
+    ON c.lang IS NOT DISTINCT FROM m.lang AND c.source IS NOT DISTINCT FROM m.source AND c.measure = m.measure
+  WHERE x < low - greatest({quality.FENCE} * (high - low), margin) OR x > high + greatest({quality.FENCE} * (high - low), margin))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM outside) AS kept
+FROM counted"""
+
+ORACLES: dict[str, str] = {"op3_filter_urls": _OP3, "op8_format_chats": _OP8, "op10_quality_rules": _OP10}
