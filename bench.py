@@ -29,6 +29,9 @@ QUERIES = [
     "read_after_checkpoint",
     "limit_per_shard",
     "limit_per_shard_clamped",
+    "limit_per_shard_large",
+    "decode_stored",
+    "read_stored_after_sequence",
     "replay_order",
     "progress_checkpoints",
     "unprocessed_counts",

@@ -230,14 +230,14 @@ def stored(spark, log, folder):
     return path
 
 
-def scan_of(df):
-    """Text of the scan node of the executed plan."""
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return next(line for line in plan.splitlines() if "FileScan" in line)
-
-
 def pushed(df, what):
-    return scan_of(df).split(f"{what}: [", 1)[1].split("]", 1)[0]
+    """What the scan node of the plan says of pushed or partition filters."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.maxMetadataStringLength", 5000)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in plan.splitlines() if "FileScan" in line)
+    return scan.split(f"{what}: [", 1)[1].split("]", 1)[0]
 
 
 def test_positions_reach_the_scan(spark, log, stored):
@@ -350,3 +350,20 @@ def test_progress_snapshots(spark, folder):
     assert tables.write_progress(newer, path) == 1
     assert tables.read_progress(spark, path).first()["checkpoint"] == "2"
     assert tables.read_progress(spark, path, 0).first()["checkpoint"] == "1"
+
+
+def test_replica_merges_only_touched_keys(spark, log, table, folder):
+    path, target = f"{folder}/log", f"{folder}/replica"
+    halves = [log.filter("sequence_number < 99800"), log.filter("sequence_number >= 99800")]
+    for half in halves:
+        tables.write_change_log(half, path)
+        writer = replication.replicate_sink(stream_of(spark, path, log), target, KEYS, VALUES, f"{folder}/state")
+        process.run_to_end(writer)
+        if half is halves[0]:
+            replication.compact_replica(spark, target, KEYS, VALUES)
+    merged = replication.read_replica(spark, target, KEYS, VALUES)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert as_dict(merged) == table and "BroadcastHashJoin" in plan
+    replication.compact_replica(spark, target, KEYS, VALUES)
+    assert replication.vacuum_replica(spark, target) > 2
+    assert as_dict(replication.read_replica(spark, target, KEYS, VALUES)) == table

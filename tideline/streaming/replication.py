@@ -16,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tideline.functions.ordering import sequence_key
 from tideline.functions.records import operation_kind
 from tideline.operators.replay import latest_changes
+from tideline.scale import cut, fits_broadcast
 from tideline.sources.tables import committed_folders, committed_versions
 
 
@@ -44,23 +45,36 @@ def _deltas(spark: SparkSession, target: str) -> list[tuple[str, int, str]]:
 def _merged(
     spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]
 ) -> tuple[DataFrame, dict[str, int]]:
-    """Last known change of each key, tombstones included, and the last batch of each query."""
+    """Last known change of each key, tombstones included, and the last batch of each query.
+
+    The deltas are reduced first; only base rows of their keys are merged with them, and while these
+    are few the base is not shuffled.
+    """
     columns = [*keys, "event_name", "sequence_number", *values]
-    parts, folded = [], {}
+    base, folded = None, {}
     versions = committed_versions(spark, f"{target}/base")
     if versions:
-        parts.append(spark.read.parquet(f"{target}/base/version={versions[-1]}").select(*columns))
+        base = spark.read.parquet(f"{target}/base/version={versions[-1]}").select(*columns)
         rows = spark.read.parquet(f"{target}/folded/version={versions[-1]}").collect()
         folded = {r["query"]: r["batch"] for r in rows}
     deltas = [d for d in _deltas(spark, target) if d[1] > folded.get(d[0], -1)]
-    if deltas:
-        parts.append(spark.read.parquet(*[folder for _, _, folder in deltas]).select(*columns))
-    if not parts:
+    if base is None and not deltas:
         raise FileNotFoundError(f"no replica at {target}")
     for query, batch, _ in deltas:
         folded[query] = max(batch, folded.get(query, -1))
-    changes = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    return latest_changes(changes, keys, values), folded
+    if not deltas:
+        return base, folded
+    stored = spark.read.parquet(*[folder for _, _, folder in deltas]).select(*columns)
+    changes = latest_changes(stored, keys, values)
+    if base is None:
+        return changes, folded
+    changes = cut(changes)
+    touched = changes.select(*keys)
+    if fits_broadcast(touched):
+        touched = F.broadcast(touched)
+    again = base.join(touched, list(keys), "left_semi")
+    merged = latest_changes(again.unionByName(changes), keys, values)
+    return base.join(touched, list(keys), "left_anti").unionByName(merged), folded
 
 
 def read_replica(
@@ -88,6 +102,24 @@ def compact_replica(
     return version
 
 
+def vacuum_replica(spark: SparkSession, target: str) -> int:
+    """Remove the deltas that the newest base has folded in, and older bases; how many folders.
+
+    Call it when no reader still uses an older base.
+    """
+    versions = committed_versions(spark, f"{target}/base")
+    if not versions:
+        return 0
+    rows = spark.read.parquet(f"{target}/folded/version={versions[-1]}").collect()
+    folded = {r["query"]: r["batch"] for r in rows}
+    old = [folder for query, batch, folder in _deltas(spark, target) if batch <= folded.get(query, -1)]
+    old += [f"{target}/{part}/version={v}" for v in versions[:-1] for part in ("base", "folded")]
+    for folder in old:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(old)
+
+
 def stateful_latest(stream: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Running last change of each key, kept in the state store; run in update mode.
 
