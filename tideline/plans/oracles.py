@@ -433,6 +433,13 @@ ORACLES: dict[str, str] = {
         CAST(CASE WHEN new_value IS NOT NULL THEN 2 END AS BIGINT) AS l_size,
         new_value IS NOT NULL AS has_nothing, false AS has_absent"""
     ),
+    "encode_attribute_types": _decoded(
+        """sequence_number, new_event_type AS s, new_value AS n, new_event_type AS b,
+        CASE WHEN new_value IS NOT NULL THEN true END AS is_null, new_value > 20 AS flag,
+        CASE WHEN new_event_type IS NOT NULL THEN array_to_string(list_sort(['tag', new_event_type]), ',') END AS ss,
+        CAST(new_k AS VARCHAR) AS ns, new_event_type AS bs, new_k AS m_number, new_event_type AS l_first,
+        new_k AS l_second, CAST(CASE WHEN new_value IS NOT NULL THEN 10 ELSE 0 END AS BIGINT) AS attributes"""
+    ),
     "flatten_image": _decoded(
         """sequence_number, event_name, new_event_type, new_value, new_k,
         new_event_type AS first_part, new_k AS second_part"""

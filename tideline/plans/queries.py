@@ -185,6 +185,49 @@ def attribute_values(spark, sf_dir):
     )
 
 
+@query
+def encode_attribute_types(spark, sf_dir):
+    """All ten types, encoded as variants and read back."""
+    log = views.change_log(spark, sf_dir)
+    kept = F.col("new_value").isNotNull()
+    kind, number = F.col("new_event_type"), F.col("new_k").cast("string")
+    tagged_kind, tagged_number = attributes.encode_attribute(kind, "S"), attributes.encode_attribute(number, "N")
+    image = attributes.build_image(
+        {
+            "event_type": (kind, "S"),
+            "value": (F.col("new_value"), "N"),
+            "raw": (F.encode(kind, "UTF-8"), "B"),
+            "nothing": (F.when(kept, F.lit(True)), "NULL"),
+            "large": (F.col("new_value") > 20, "BOOL"),
+            "tags": (F.when(kept, F.array(F.lit("tag"), kind)), "SS"),
+            "numbers": (F.when(kept, F.array(number)), "NS"),
+            "blobs": (F.when(kept, F.array(F.encode(kind, "UTF-8"))), "BS"),
+            "detail": (F.when(kept, F.create_map(F.lit("k"), tagged_number)), "M"),
+            "parts": (F.when(kept, F.array(tagged_kind, tagged_number)), "L"),
+        }
+    )
+    encoded = log.select("sequence_number", image.alias("new_image"))
+
+    def get(name, type, as_type=None):
+        return attributes.attribute("new_image", name, type, as_type)
+
+    return encoded.select(
+        "sequence_number",
+        get("event_type", "S").alias("s"),
+        get("value", "N", "double").alias("n"),
+        F.decode(get("raw", "B"), "UTF-8").alias("b"),
+        get("nothing", "NULL").alias("is_null"),
+        get("large", "BOOL").alias("flag"),
+        F.array_join(F.array_sort(get("tags", "SS")), ",").alias("ss"),
+        F.array_join(get("numbers", "NS"), ",").alias("ns"),
+        F.decode(F.get(get("blobs", "BS"), 0), "UTF-8").alias("bs"),
+        get(("detail", "k"), "N", "bigint").alias("m_number"),
+        get(("parts", 0), "S").alias("l_first"),
+        get(("parts", 1), "N", "bigint").alias("l_second"),
+        F.size("new_image").cast("bigint").alias("attributes"),
+    )
+
+
 @query
 def flatten_image(spark, sf_dir):
     decoded = records.decode_records(_json(spark, sf_dir), fields=["sequence_number", "event_name", "new_image"])
