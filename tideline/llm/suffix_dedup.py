@@ -575,8 +575,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     keys = spark.sparkContext.broadcast(np.array([r[0] for r in hot], np.int64).view(np.uint64))
     places = replies.filter("bucket >= 0").repartition(parts, "bucket").mapInPandas(_gathered, "doc bigint, places binary")
 
-    repeated = join_bounded(long_, cut(places), ["doc"], spread="text")
-    sent = repeated.mapInPandas(_send_suffixes(parts, keys), _RUN)
+    sent = long_.join(places, "doc").mapInPandas(_send_suffixes(parts, keys), _RUN)
     spans = sent.repartition(parts, "part").mapInPandas(_merge_parts(parts), _SPANS)
     joined_spans = "doc bigint, tie bigint, starts array<bigint>, ends array<bigint>"
     removed = cut(spans.repartition(parts, "bucket").mapInPandas(_joined_spans, joined_spans))
