@@ -538,7 +538,7 @@ def test_lines(spark, awkward, empty):
         for y in range(x):
             j, m, b = places[y]
             apart = bin((hashes[i, k] ^ hashes[j, m]) & (1 << 64) - 1).count("1")
-            if a == b or (apart <= 3 and edit_distance(a, b) <= 0.1 * max(len(a), len(b))):
+            if a == b or (apart <= 3 and edit_distance(a.split(), b.split()) <= 0.1 * max(len(a.split()), len(b.split()))):
                 lo, hi = sorted((root(x), root(y)))
                 parent[hi] = lo
     want = {i: [] for i, _ in docs}
