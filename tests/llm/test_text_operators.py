@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm import (
     chat,
+    common,
     decontaminate,
     fuzzy_lines,
     language_id,
@@ -409,6 +410,22 @@ def test_near_copies(spark, oldest):
     assert {r["doc_id"] for r in got if r["kept"]} == set(want.values())
 
 
+def test_near_copies_of_a_template(spark, monkeypatch):
+    """Pairs just over the similarity that share most buckets with all documents of their template."""
+    monkeypatch.setattr(common, "BLOCK", 16)
+    rng = random.Random(18)
+    template, docs = sentence(rng, 300), []
+    for _ in range(40):
+        shared = sentence(rng, 20)
+        docs += [f"{template} {shared} {sentence(rng, 30)}" for _ in range(2)]
+    docs = list(enumerate(docs))
+    rng.shuffle(docs)
+    got = near_copies.near_copies(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)).collect()
+    want = brute_classes(docs)
+    assert len(set(want.values())) == 40
+    assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
 def test_near_copies_awkward(awkward, empty):
     assert near_copies.near_copies(awkward.select("doc_id", "text")).count() == awkward.count()
     left = near_copies.drop_near_copies(awkward)
@@ -553,6 +570,22 @@ def test_lines(spark, awkward, empty):
     assert fuzzy_lines.fuzzy_lines(empty.select("doc_id", "text")).count() == 0
 
 
+def test_lines_of_mixed_buckets(spark, monkeypatch):
+    """Large buckets of unlike lines give what small ones do."""
+    rng = random.Random(19)
+    stem, docs = sentence(rng, 60), []
+    for i in range(150):
+        docs.append((i, " ".join([stem] + [f"{i % 50}x{rng.randint(0, 2)}" for _ in range(rng.randint(1, 12))])))
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    results = []
+    for small, apart in ((10**6, 10**6), (2, 1)):
+        monkeypatch.setattr(fuzzy_lines, "SMALL", small)
+        monkeypatch.setattr(fuzzy_lines, "APART", apart)
+        monkeypatch.setattr(common, "BLOCK", 64)
+        results.append({r["doc_id"]: r["removed"] for r in fuzzy_lines.fuzzy_lines(df).collect()})
+    assert results[0] == results[1]
+
+
 # helpers ---------------------------------------------------------------------------------
 
 

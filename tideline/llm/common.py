@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -52,6 +53,7 @@ def ranked(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
 
 
 ROWS_PER_TASK = 250_000  # of links
+BLOCK = 512  # nodes of a large mixed bucket that are compared with as many in a task
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -128,18 +130,18 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 
 def cross_pairs(
-    members: DataFrame, best: Column, apart: int, small: int, further: DataFrame | None = None
-) -> DataFrame:
-    """Pairs (a, b) of nodes in different components that share a bucket.
+    members: DataFrame, apart: int, small: int, further: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b) of nodes in different components that share a bucket, and the members still to compare.
 
     ``members`` is (node, t, bucket, component, ...), ``further`` (node, t2, value). All pairs of a bucket
     with up to ``small`` nodes, and where up to ``apart`` nodes are outside the largest component
     these with all nodes of the bucket, so that the pairs stay in proportion to its size. In other
     buckets unrelated nodes meet in a frequent value: they are dealt again by bucket and a further
-    value, if there are such, and what is still that mixed is paired with one leader per bucket.
+    value. What is still that mixed is the second result, for ``block_links``.
     """
     found = []
-    while True:
+    for last in (False, True):
         placed = members.join(cut(_mixed(members)), "bucket")
         direct = (F.col("_n") <= small) | (F.col("_apart") <= apart)
         few = placed.filter(direct)
@@ -147,13 +149,42 @@ def cross_pairs(
         met = odd.join(few.select("bucket", "node", "component"), "bucket").filter("component <> _c")
         found.append(met.select(F.least("node", "_o").alias("a"), F.greatest("node", "_o").alias("b")))
         many = placed.filter(~direct)
-        if further is None:
-            found.append(leader_pairs(many.drop("_n", "_apart", "_main"), best))
-            return cut(reduce(DataFrame.unionByName, found).distinct())
-        kept = [c for c in members.columns if c not in ("t", "bucket")]
+        if last:
+            return cut(reduce(DataFrame.unionByName, found).distinct()), many
+        kept = [c for c in members.columns if c not in ("bucket", "t2")]
         finer = many.join(further, "node").filter(F.col("t2") > F.col("t"))
-        members = cut(finer.select(*kept, F.xxhash64("bucket", "t2", "value").alias("bucket")))
-        further = None
+        members = cut(finer.select(*kept, "t2", F.xxhash64("bucket", "t2", "value").alias("bucket")))
+
+
+def block_links(many: DataFrame, held: DataFrame, weight: Column, links: Callable) -> DataFrame:
+    """Links (a, b) among the nodes of large mixed buckets, each compared with all it could be linked to.
+
+    A bucket's nodes are dealt into blocks of about ``BLOCK`` by their summed ``weight``, and each block's
+    nodes outside the largest component meet each block in a task of its own: no node is left out, and
+    a task's rows are bounded. ``held`` has what ``links`` (a group function over both blocks'
+    rows) compares, by node; ``links`` compares an ``odd`` row with the others.
+    """
+    rows = many.select("node", "t", "t2", "bucket", "component", "_main").join(held, "node")
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("_parts"))
+    placed = rows.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+    odd = placed.filter("component <> _main").withColumns({"_i": F.col("_block"), "odd": F.lit(True)}).withColumn("_j", others)
+    every = placed.withColumns({"_j": F.col("_block"), "odd": F.lit(False)}).withColumn("_i", others)
+    cells = odd.unionByName(every).drop("_parts", "_block")
+    return cut(cells.groupBy("bucket", "_i", "_j").applyInPandas(links, "a bigint, b bigint").distinct())
+
+
+class Joined(dict):
+    """Union of components in one task; a pair already joined needs no comparison."""
+
+    def root(self, x: int) -> int:
+        while (up := self.get(x, x)) != x:
+            self[x] = self.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self[self.root(x)] = self.root(y)
 
 
 def with_component(members: DataFrame, components: DataFrame) -> DataFrame:

@@ -16,8 +16,9 @@ bucket's node of smallest doc_id, the one it shares most buckets with; then all
 buckets that still hold several components with the node whose buckets hold the most nodes, the
 middle of a group, and with the same among the nodes outside the largest component; at last the
 nodes of buckets up to ``SMALL`` with each other, and where ``APART`` nodes at most are still
-outside a bucket's largest component, these with all of its nodes. No bucket is dropped or cut short;
-what can be missed is a link between two nodes of a large, mixed bucket that led none of their buckets.
+outside a bucket's largest component, these with all of its nodes. Larger mixed buckets are split by a
+second value (two must agree anyway); in what is still mixed, all nodes outside the largest component are
+compared with all others, block by block. No bucket is dropped or cut short.
 
 Null texts are never copies. Texts without words are copies of equal texts only, shorter texts than
 ``K`` words of texts with the same words. Rows that share a doc_id are judged by their texts; the
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tideline.llm.common import connected_components, cross_pairs, leader_pairs, with_component
+from tideline.llm.common import Joined, block_links, connected_components, cross_pairs, leader_pairs, with_component
 from tideline.scale import cut, join_bounded
 
 K = 5
@@ -47,6 +48,7 @@ MIN_SIMILARITY = 0.8
 SMALL = 16
 APART = 4
 AGREEING = 2
+_BLOCK_KMERS = 1024  # of a text that counts as one in a block
 NO_ID = -(1 << 63)
 _COLUMNS = 1 << 15  # k-mers hashed at once
 _VOCABULARY = 1 << 20  # words whose hash a task remembers
@@ -186,6 +188,30 @@ def _verified(pairs: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFr
     return cut(similar.filter(F.col("_s") >= MIN_SIMILARITY - 1e-9).select("a", "b"))
 
 
+def _block_verified(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of a block's odd nodes with the others of the bucket; a pair is compared where its first two agreeing values are."""
+    t, t2 = int(rows["t"].iloc[0]), int(rows["t2"].iloc[0])
+    odd, rest = rows[rows["odd"]], rows[~rows["odd"]]
+    found, joined = [], Joined()
+    if len(odd) and len(rest):
+        sketches, sizes = np.stack(rest["sketches"].to_numpy()), rest["kmers"].to_numpy()
+        nodes, components = rest["node"].to_numpy(), rest["component"].to_numpy()
+        in_main = components == rest["_main"].iloc[0]
+        profiles = [np.frombuffer(p, np.uint32) for p in rest["profile"]]
+        for node, component, values, size, profile in odd[["node", "component", "sketches", "kmers", "profile"]].itertuples(index=False):
+            same = sketches == np.asarray(values)
+            able = same[:, t] & same[:, t2] & ~same[:, :t].any(1) & ~same[:, t + 1 : t2].any(1)
+            able &= (np.minimum(sizes, size) >= MIN_SIMILARITY * np.maximum(sizes, size) - 1e-6)
+            able &= (components != component) & (in_main | (nodes > node))
+            mine = np.frombuffer(profile, np.uint32)
+            for k in np.flatnonzero(able):
+                other = int(components[k])
+                if joined.root(other) != joined.root(component) and similarity(mine, profiles[k]) >= MIN_SIMILARITY - 1e-9:
+                    joined.join(component, other)
+                    found.append((min(node, int(nodes[k])), max(node, int(nodes[k]))))
+    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+
+
 def _oldest() -> Column:
     return F.struct(F.coalesce("first_id", F.lit(NO_ID)).alias("id"), "node")
 
@@ -229,8 +255,12 @@ def near_copies(docs: DataFrame) -> DataFrame:
         found = _verified(leader_pairs(members, central, outside), nodes, profiles)
         links = cut(links.unionByName(found))
         members = with_component(members, connected_components(links))
-    more = _verified(cross_pairs(members, central, APART, SMALL), nodes, profiles)
-    component = connected_components(links.unionByName(more)).withColumnRenamed("id", "node")
+    further = nodes.select("node", F.posexplode("sketches").alias("t2", "value"))
+    pairs, many = cross_pairs(members, APART, SMALL, further)
+    held = nodes.select("node", "kmers", "sketches").join(profiles, "node")
+    weight = 1 + F.col("kmers") / _BLOCK_KMERS
+    links = links.unionByName(_verified(pairs, nodes, profiles)).unionByName(block_links(many, held, weight, _block_verified))
+    component = connected_components(links).withColumnRenamed("id", "node")
 
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
     classes = placed.groupBy("component").agg(
