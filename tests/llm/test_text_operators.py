@@ -586,6 +586,21 @@ def test_lines_of_mixed_buckets(spark, monkeypatch):
     assert results[0] == results[1]
 
 
+def test_hash_of_all_words(spark):
+    """Lines of any length have the majority bits of all their words."""
+    rng = random.Random(20)
+    lines = [sentence(rng, n) for n in (1, 9, 32, 33, 64, 65, 129)] + ["same " * 300 + sentence(rng, 20)]
+    df = spark.createDataFrame([(0, "\n".join(lines))], "doc_id bigint, text string")
+    got = {r["line_no"]: r["simhash"] for r in fuzzy_lines.hashed_lines(fuzzy_lines._keyed(df)).collect()}
+    words = sorted({w for x in lines for w in normal(x).split()})
+    made = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h"))
+    codes = {r["w"]: r["h"] & (1 << 64) - 1 for r in made.collect()}
+    for k, line in enumerate(lines):
+        all_ = [codes[w] for w in normal(line).split()]
+        want = sum(1 << p for p in range(64) if 2 * sum(h >> p & 1 for h in all_) > len(all_))
+        assert got[k] & (1 << 64) - 1 == want
+
+
 # helpers ---------------------------------------------------------------------------------
 
 
