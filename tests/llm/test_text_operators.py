@@ -601,6 +601,16 @@ def test_hash_of_all_words(spark):
         assert got[k] & (1 << 64) - 1 == want
 
 
+def test_line_similarity_counts_characters(spark):
+    line = "one letter is wrong in this line of words"
+    typo, other = line.replace("wrong", "wrung"), line.replace("wrong in this", "right at that")
+    lines = list(enumerate((line, typo, other)))
+    nodes = spark.createDataFrame([(i, 0) for i, _ in lines], "node bigint, simhash bigint")
+    texts = spark.createDataFrame(lines, "node bigint, norm string")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a bigint, b bigint")
+    assert {tuple(r) for r in fuzzy_lines._verified(pairs, nodes, texts).collect()} == {(0, 1)}
+
+
 # helpers ---------------------------------------------------------------------------------
 
 
