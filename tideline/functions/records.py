@@ -34,6 +34,7 @@ _BODY = {
     "approximate_creation_ts": (fixed.CREATION_TIME, "variant"),
 }
 CORRUPT = "_corrupt"
+VALID = "_valid"
 
 
 def _spellings(field: str) -> tuple[str, str]:
@@ -41,35 +42,14 @@ def _spellings(field: str) -> tuple[str, str]:
     return field[0].lower() + field[1:], field[0].upper() + field[1:]
 
 
-_FIELDS = [field for field, _ in [*_ENVELOPE.values(), *_BODY.values()]] + [fixed.BODY]
-_USUAL = "|".join(name for field in _FIELDS for name in _spellings(field))
-#: A known field name in an unusual case, as a key of the payload.
-_UNUSUAL = rf'"(?!(?:{_USUAL})")(?i:{"|".join(_FIELDS)})"\s*:'
-
-
-def _respelled(entries: Column) -> Column:
-    """Map entries with known names in their usual case; the first of two spellings stays."""
-    usual = F.create_map(*[F.lit(x) for field in _FIELDS for x in (field.lower(), field)])
-    named = F.transform(
-        entries,
-        lambda e: F.struct(F.coalesce(F.element_at(usual, F.lower(e["key"])), e["key"]).alias("key"), e["value"].alias("value")),
+def _lowered(value: Column) -> Column:
+    """A variant object as a map by lower-case name, the first of equal names; null for anything else."""
+    entries = F.transform(
+        F.map_entries(F.try_variant_get(value, "$", IMAGE)),
+        lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")),
     )
-    first = F.filter(named, lambda e, i: F.array_position(F.transform(named, lambda x: x["key"]), e["key"]) == i + 1)
-    return F.map_from_entries(first)
-
-
-def _usual_spelling(text: Column) -> Column:
-    """A payload whose field names have another case, written anew with the usual names.
-
-    Other payloads, nearly all, only pay for the search.
-    """
-    def with_body(name: Column, value: Column) -> Column:
-        body = F.try_variant_get(value, "$", IMAGE)
-        return F.when((name == fixed.BODY) & body.isNotNull(), F.to_variant_object(_respelled(F.map_entries(body)))).otherwise(value)
-
-    outer = _respelled(F.map_entries(F.from_json(text, IMAGE)))
-    anew = F.to_json(F.transform_values(outer, with_body))
-    return F.when(text.rlike(_UNUSUAL), F.coalesce(anew, text)).otherwise(text)
+    names = F.transform(entries, lambda e: e["key"])
+    return F.map_from_entries(F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1))
 
 
 def _both(fields: dict[str, tuple[str, str]]) -> list[tuple[str, str]]:
@@ -90,6 +70,15 @@ def _first(name: str) -> Column:
     return F.coalesce(f"{name}_lower", f"{name}_upper")
 
 
+def _named(fields: Column, field: str, type: str) -> Column:
+    """A field of a map by lower-case name; structures stay as text where text is wanted."""
+    value = F.element_at(fields, field.lower())
+    if type == "variant":
+        return value
+    read = F.try_variant_get(value, "$", type)
+    return F.coalesce(read, F.to_json(value)) if type == "string" else read
+
+
 def _instant(value: Column) -> Column:
     """Epoch seconds with a fraction, or ISO text, to a timestamp; anything else to null."""
     text = F.try_variant_get(value, "$", "string")
@@ -102,39 +91,52 @@ def decode_records(
 ) -> DataFrame:
     """JSON payloads to envelope columns, plus the ``keep`` columns of the input.
 
-    Unknown fields, including the user identity, are ignored; field names count in any case. A
-    payload that is no such record is kept as text in ``_corrupt``, a null or empty one as an empty
-    text; ``_corrupt`` is null for records. ``fields`` limits what is parsed to the columns named.
+    Unknown fields, including the user identity, are ignored. A payload is parsed once, for names with
+    a lower- or upper-case initial; only one without an event name, a body or a sequence number
+    is read again for names in any case. ``_valid`` tells records from other payloads, which are kept
+    as text in ``_corrupt`` (null for a null payload). ``fields`` limits what is parsed to the
+    columns named.
     """
     wanted = list(fields) if fields is not None else [*_ENVELOPE, *_BODY]
     unknown = set(wanted) - set(_ENVELOPE) - set(_BODY)
     if unknown:
         raise ValueError(f"unknown record fields {sorted(unknown)}")
-    outer = {n: spec for n, spec in _ENVELOPE.items() if n in wanted}
-    inner = {n: spec for n, spec in _BODY.items() if n in wanted}
+    outer = {n: spec for n, spec in _ENVELOPE.items() if n in wanted or n == "event_name"}
+    inner = {n: spec for n, spec in _BODY.items() if n in wanted or n == "sequence_number"}
 
     body = ",".join(f"`{name}`:{type}" for name, type in _both(inner))
     parts = [f"`{name}` {type}" for name, type in _both(outer)]
-    parts += [f"`{name}` struct<{body}>" for name in _spellings(fixed.BODY) if inner]
+    parts += [f"`{name}` struct<{body}>" for name in _spellings(fixed.BODY)]
     schema = ", ".join([*parts, f"`{CORRUPT}` string"])
-    envelope = [f"{n}_{case}" for n in outer for case in ("lower", "upper")]
-    if inner:
-        envelope += ["_body_lower", "_body_upper"]
+    cases = ("lower", "upper")
+    envelope = [f"{n}_{case}" for n in outer for case in cases]
+    bodies = [f"_body_{case}" for case in cases]
     text = F.col(col).cast("string")
-    record = F.from_json(_usual_spelling(text), schema, {"columnNameOfCorruptRecord": CORRUPT})
-    blank = F.coalesce(F.trim(text) == "", F.lit(True)).alias("_blank")
-    keep_all = [*keep, "_blank"]
-    result = _unpack(df.withColumn("_blank", blank), record, [*envelope, CORRUPT], keep_all)
-    if inner:
-        names = [f"{n}_{case}" for n in inner for case in ("lower", "upper")]
-        carried = [*keep_all, *[n for n in envelope if not n.startswith("_body")], CORRUPT]
-        result = _unpack(result, _first("_body"), names, carried)
-    columns = [
-        (_instant(_first(n)) if n == "approximate_creation_ts" else _first(n)).alias(n)
-        for n in wanted
-    ]
-    corrupt = F.when(F.col("_blank"), F.lit("")).otherwise(F.col(CORRUPT)).alias(CORRUPT)
-    return result.select(*keep, *columns, corrupt)
+    record = F.from_json(text, schema, {"columnNameOfCorruptRecord": CORRUPT})
+    result = _unpack(df.withColumn("_payload", text), record, [*envelope, *bodies, CORRUPT], [*keep, "_payload"])
+    carried = [*keep, "_payload", *envelope, CORRUPT]
+    result = _unpack(result, _first("_body"), [f"{n}_{case}" for n in inner for case in cases], carried)
+
+    blank = F.coalesce(F.trim("_payload") == "", F.lit(True))
+    whole = F.col(CORRUPT).isNull() & ~blank
+    unusual = whole & (_first("event_name").isNull() | _first("sequence_number").isNull())
+    again = _lowered(F.try_parse_json(F.when(unusual, F.col("_payload"))))
+    carried += [f"{n}_{case}" for n in inner for case in cases]
+    result = _unpack(result, F.struct(again), ["_outer"], carried)
+    named_body = F.element_at("_outer", fixed.BODY.lower())
+    result = _unpack(result, F.struct(_lowered(named_body)), ["_inner"], [*carried, "_outer"])
+
+    columns = []
+    for n in wanted:
+        field, type = outer[n] if n in outer else inner[n]
+        value = F.coalesce(_first(n), _named(F.col("_outer" if n in outer else "_inner"), field, type))
+        columns.append((_instant(value) if n == "approximate_creation_ts" else value).alias(n))
+    named_body = F.element_at("_outer", fixed.BODY.lower())
+    odd_body = F.coalesce(F.col("_inner").isNull() & named_body.isNotNull(), F.lit(False))
+    odd_body = odd_body & ~F.coalesce(F.is_variant_null(named_body), F.lit(False))
+    valid = F.col(CORRUPT).isNull() & ~blank & ~odd_body
+    corrupt = F.when(~valid, F.col("_payload")).alias(CORRUPT)
+    return result.select(*keep, *columns, corrupt, valid.alias(VALID))
 
 
 def _filled(df: DataFrame, name: str) -> Column:

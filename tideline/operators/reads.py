@@ -19,7 +19,8 @@ from tideline.scale import cut, first_per_group, join_bounded
 def checked(progress: DataFrame, known: Column) -> DataFrame:
     """Progress whose query fails on a checkpoint that is not ``known``."""
     text = F.coalesce("checkpoint", F.lit("null"))
-    message = F.concat(F.lit("unreadable checkpoint "), text, F.lit(" of shard "), "shard_id")
+    timeless = F.when(F.col("checkpoint") == fixed.AT_TIMESTAMP, ": no timestamp").otherwise("")
+    message = F.concat(F.lit("unreadable checkpoint "), text, F.lit(" of shard "), "shard_id", timeless)
     readable = F.when(F.coalesce(known, F.lit(False)), F.col("checkpoint")).otherwise(F.raise_error(message))
     return progress.withColumn("checkpoint", readable)
 

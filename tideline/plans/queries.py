@@ -148,7 +148,7 @@ def decode_odd_payloads(spark, sf_dir):
     return decoded.select(
         "number", "event_id", "event_name", "sequence_number",
         attributes.attribute("new_image", "value", "N", "double").alias("new_value"),
-        F.col("_corrupt").isNull().alias("valid"),
+        F.col("_valid").alias("valid"),
     )
 
 
@@ -158,7 +158,7 @@ def decode_stored(spark, sf_dir):
     path = run_dir(spark, "payloads")
     _json(spark, sf_dir).select("data").write.parquet(path)
     decoded = records.decode_records(spark.read.parquet(path), fields=["event_id", "event_name", "sequence_number"])
-    return decoded.drop("_corrupt")
+    return decoded.drop("_corrupt", "_valid")
 
 
 @query
