@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm import chat, decontaminate, fuzzy_lines, language_id, mixing, near_copies, quality, sharding, suffix_dedup, url_filter
+from tideline.llm import (
+    centroids, chat, context_mixing, decontaminate, fuzzy_lines, language_id, mixing, near_copies, quality, sharding,
+    suffix_dedup, url_filter, whitening,
+)
 from tideline.llm.common import table, word_count
 from tideline.scale import cut
 
@@ -120,6 +123,29 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return white.withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+@query
+def op12_mix_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    docs = table(spark, sf_dir, "documents").select("doc_id", (F.crc32(text_id) % 10 == 0).alias("held_out"), "text")
+    return context_mixing.score_documents(docs)
+
+
+@query
+def op13_cluster_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    listed = F.array_join(F.transform("centroid", lambda v: v.cast("string")), ",")
+    return clustered.select(
+        "vec_id", "cluster", "distance", F.col("cluster_inertia").cast("bigint").alias("cluster_inertia"),
+        F.col("inertia").cast("bigint").alias("inertia"), F.sha2(listed, 256).alias("centroid_sha256"),
+    )
+
+
 
 # SQL twins (DuckDB) of the queries that SQL can express.
 
