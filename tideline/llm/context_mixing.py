@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tideline.scale import cut, run_dir
@@ -40,7 +40,7 @@ LANES = 1024  # segments that are mixed side by side
 WORD_BYTES = 24  # of a word that the word predictor looks at
 HOT_SHARE = 20_000
 HOT_WORD_BYTES = 256
-WORDS_PER_PART = 200_000
+RANGE_BYTES = 16 << 20  # of text, for each range of sorted words
 FLUSH = 500_000
 ORDER_BITS = (8, 14, 16)  # of the hashed contexts of one, two and three bytes
 OFFSETS = np.cumsum([0] + [1 << b for b in ORDER_BITS])
@@ -174,20 +174,17 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit()
 
 
-def _sums(beginnings: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of each word's first k bits, for all k (a column each); and the words' bits."""
-    n = len(beginnings)
-    bits = np.unpackbits(beginnings, axis=1)
-    apart = bits[1:] != bits[:-1]
-    common = np.where(apart.any(axis=1), apart.argmax(axis=1), bits.shape[1]) if n > 1 else np.zeros(0, dtype=int)
-    result = np.empty((n, bits.shape[1] + 1), dtype=np.int64)
-    for k in range(bits.shape[1] + 1):
+def _sums(beginnings: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
+    """For k = 0, 1, ...: the count of each word's first k bits."""
+    n, width = len(beginnings), 8 * beginnings.shape[1]
+    apart = np.unpackbits(beginnings[1:] ^ beginnings[:-1], axis=1)
+    common = np.where(apart.any(axis=1), apart.argmax(axis=1), width).astype(np.int16)
+    for k in range(width + 1):
         first = np.concatenate([[0], np.flatnonzero(common < k) + 1])
         sums = np.add.reduceat(counts, first)
         sums[0] += left[k]
         sums[-1] += right[k]
-        result[:, k] = np.repeat(sums, np.diff(np.append(first, n)))
-    return result, bits
+        yield np.repeat(sums, np.diff(np.append(first, n)))
 
 
 def _beginnings(tokens: list[bytes]) -> np.ndarray:
@@ -208,8 +205,8 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A partition's first and last word, with the counts of their beginnings inside it."""
     tokens, counts = _whole(batches)
     if tokens:
-        sums, _ = _sums(_beginnings(tokens), counts, _NONE, _NONE)
-        lists = [pa.array([row.tolist()], pa.list_(pa.int64())) for row in (sums[0], sums[-1])]
+        ends = np.array([c[[0, -1]] for c in _sums(_beginnings(tokens), counts, _NONE, _NONE)])
+        lists = [pa.array([column.tolist()], pa.list_(pa.int64())) for column in ends.T]
         ends = [pa.array([t[:WORD_BYTES]], pa.binary()) for t in (tokens[0], tokens[-1])]
         part = pa.array([TaskContext.get().partitionId()], pa.int32())
         yield pa.RecordBatch.from_arrays([part, *ends, *lists], names=["part", "first", "last", "first_sums", "last_sums"])
@@ -238,14 +235,12 @@ def _outside(edges: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return {e["part"]: (left[i], right[i]) for i, e in enumerate(edges)}
 
 
-def word_paths(words: DataFrame) -> DataFrame:
+def word_paths(words: DataFrame, parts: int) -> DataFrame:
     """(token, n, c, path) of ``words`` (token, n, n_train): the logit in favour of each bit of the word, in its place.
 
-    One row per partition passes through the driver.
+    The words are sorted in ``parts`` ranges, of which a row each passes through the driver.
     """
     spark = words.sparkSession
-    total = words.count()
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // WORDS_PER_PART + 1)
     placed = cut(words.repartitionByRange(parts, "token").sortWithinPartitions("token"))
     schema = "part int, first binary, last binary, first_sums array<bigint>, last_sums array<bigint>"
     outside = spark.sparkContext.broadcast(_outside(placed.mapInArrow(_edges, schema).collect()))
@@ -255,8 +250,11 @@ def word_paths(words: DataFrame) -> DataFrame:
         tokens, counts = _whole(iter(parts))
         if not tokens:
             return
-        sums, _ = _sums(_beginnings(tokens), counts, *outside.value[TaskContext.get().partitionId()])
-        favour = _logit(sums[:, 1:].astype(np.float64), sums[:, :-1].astype(np.float64))
+        favour, before = np.empty((len(tokens), 8 * WORD_BYTES), dtype=np.int8), None
+        for k, now in enumerate(_sums(_beginnings(tokens), counts, *outside.value[TaskContext.get().partitionId()])):
+            if k:
+                favour[:, k - 1] = _logit(now, before)
+            before = now
         sizes = [8 * min(len(t), WORD_BYTES) for t in tokens]
         blobs = pa.array([row[:size].tobytes() for row, size in zip(favour, sizes)], pa.binary())
         n = pa.concat_arrays([b.column("n") for b in parts])
@@ -344,8 +342,8 @@ def _word_places(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, texts:
     begin = np.flatnonzero(first)
     stop = np.flatnonzero(blank & np.concatenate([[False], word[:-1]]))
     numbers = np.array([known[w] for t in texts for w in t.split()], dtype=np.int64)
-    path_at = np.full(len(data), -1, dtype=np.int64)
-    gate = np.zeros(len(data), dtype=np.int64)
+    path_at = np.full(len(data), -1, dtype=np.int32)
+    gate = np.zeros(len(data), dtype=np.int8)
     if len(begin):
         length = np.minimum(stop - begin + 1, WORD_BYTES)  # the blank behind it included
         within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
@@ -363,19 +361,21 @@ def score_documents(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     path = run_dir(spark, "blocks")
-    _in_blocks(docs.select("doc_id", "held_out", "text")).write.parquet(path)
-    blocks = spark.read.parquet(path)
+    seen = Observation()
+    size, trained = F.sum(F.length("text")), F.count_if(~F.col("held_out"))
+    _in_blocks(docs.select("doc_id", "held_out", "text")).observe(seen, size.alias("size"), trained.alias("ends")).write.parquet(path)
+    blocks, ends = spark.read.parquet(path), seen.get["ends"]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (seen.get["size"] or 0) // RANGE_BYTES)
 
     training = blocks.filter(~F.col("held_out"))
     table = byte_table(training.select("text"))
     words = blocks.select("text", "held_out").mapInArrow(_count_words, "token binary, n bigint, n_train bigint")
     words = words.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train"))
-    words = word_paths(words)
+    words = word_paths(words, parts)
     stored = run_dir(spark, "words")
     words.write.parquet(stored)
     words = spark.read.parquet(stored)
     totals = words.agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("known")).first()
-    ends = training.count()
     hot_from = (totals["n"] or 0) // HOT_SHARE + 1
     often = (F.col("n") >= hot_from) & (F.length("token") <= HOT_WORD_BYTES)
     hot = {bytes(r["token"]): (r["c"], bytes(r["path"])) for r in words.filter(often).collect()}  # HOT_SHARE at most
