@@ -8,11 +8,12 @@ byte by the coding error, anew in each ``SEGMENT`` bytes of a text. The summed l
 bits are the text's score; divided by its bytes, its total bits per byte.
 
 The byte tables have a fixed size (21 MB, broadcast). The words grow with the corpus: they are sorted
-by range partitions, where the words with a common beginning are neighbours, so that the counts of every
-beginning are range sums; only the first and last word of each partition need sums from other
-partitions. Documents are stored in blocks of about ``BLOCK_BYTES``, which ask for the paths of their
-distinct words by a join. Words that make up a ``1 / HOT_SHARE`` of the tokens, at most ``HOT_SHARE`` of
-them, are broadcast instead, so that no word is a hot key.
+in ranges, where the words with a common beginning are neighbours, so that the counts of every beginning
+are range sums; only the first and last word of each range need sums from other ranges. Documents are
+stored in blocks of about ``BLOCK_BYTES``, which ask the ranges for the paths of their distinct words. What
+is exchanged is packed: a compressed table per block, per range, and per block and range. A range that
+many blocks ask is repeated for portions of them. Words that make up a ``1 / HOT_SHARE`` of the tokens, at
+most ``HOT_SHARE`` of them, are broadcast instead.
 
 Cases: a null text counts as empty, an empty text is its end alone. A null id counts as an empty text in
 the choice of training rows. Repeated rows are scored alike, each. Without training documents every bit
@@ -22,11 +23,13 @@ gives an empty result. Only the named columns are read, so others may have any n
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -34,13 +37,13 @@ from pyspark.sql import functions as F
 from tideline.scale import cut, run_dir
 
 SEGMENT = 2048  # bytes over which the mixing weights are refined
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 24 << 20
 CHUNK = 4 << 20
 LANES = 1024  # segments that are mixed side by side
 WORD_BYTES = 24  # of a word that the word predictor looks at
-HOT_SHARE = 20_000
-HOT_WORD_BYTES = 256
+HOT_SHARE = 50_000
 RANGE_BYTES = 16 << 20  # of text, for each range of sorted words
+ASKED_WORDS = 4_000_000  # of all blocks, that one copy of a range answers
 FLUSH = 500_000
 ORDER_BITS = (8, 14, 16)  # of the hashed contexts of one, two and three bytes
 OFFSETS = np.cumsum([0] + [1 << b for b in ORDER_BITS])
@@ -87,6 +90,49 @@ def _padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(b"\0\0\0" + t + END for t in texts), dtype=np.uint8), starts
 
 
+def packed(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(blob: bytes) -> pa.Table:
+    return pa.ipc.open_stream(blob).read_all()
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, blob): neighbouring rows, about ``BLOCK_BYTES`` of text together."""
+    number, size, held = TaskContext.get().partitionId() << 32, 0, []
+
+    def emit() -> pa.RecordBatch:
+        return _rows(block=pa.array([number], pa.int64()), blob=pa.array([packed(pa.Table.from_batches(held))], pa.binary()))
+
+    for batch in batches:
+        low = 0
+        for i, text in enumerate(batch.column("text")):
+            length = len(text.as_py() or "")
+            if size and size + length > BLOCK_BYTES:
+                if i > low:
+                    held.append(batch.slice(low, i - low))
+                yield emit()
+                number, size, held, low = number + 1, 0, [], i
+            size += length
+        held.append(batch.slice(low))
+    if any(b.num_rows for b in held):
+        yield emit()
+
+
+def _unblocked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    for batch in batches:
+        for block, blob in zip(batch.column("block"), batch.column("blob")):
+            yield block.as_py(), unpacked(blob.as_py())
+
+
 # Gathering
 
 
@@ -105,8 +151,9 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts[: len(found)] += found
 
     held, size = [], 0
-    for batch in batches:
-        for text in batch.column("text").to_pylist():
+    for _, table in _unblocked(batches):
+        training = table.filter(pc.invert(table.column("held_out")))
+        for text in training.column("text").to_pylist():
             held.append(coded(text))
             size += len(held[-1])
             if size > CHUNK:
@@ -123,9 +170,9 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def byte_table(training: DataFrame) -> np.ndarray:
+def byte_table(blocks: DataFrame) -> np.ndarray:
     """Logits of every node of every slot: a row of 256 numbers for each of the ``SLOTS``."""
-    found = training.mapInArrow(_count_bytes, "slot int, byte int, n bigint")
+    found = blocks.mapInArrow(_count_bytes, "slot int, byte int, n bigint")
     counts = found.groupBy("slot", "byte").agg(F.sum("n").alias("n"))
     rows = counts.groupBy("slot").agg(F.collect_list("byte").alias("bytes"), F.collect_list("n").alias("ns"))
 
@@ -162,8 +209,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trained.clear()
         return batch
 
-    for batch in batches:
-        for text, held_out in zip(batch.column("text").to_pylist(), batch.column("held_out").to_pylist()):
+    for _, table in _unblocked(batches):
+        for text, held_out in zip(table.column("text").to_pylist(), table.column("held_out").to_pylist()):
             words = coded(text).split()
             every.update(words)
             if not held_out:
@@ -191,35 +238,45 @@ def _beginnings(tokens: list[bytes]) -> np.ndarray:
     return np.array(tokens, dtype=f"S{WORD_BYTES}").view(np.uint8).reshape(len(tokens), WORD_BYTES)
 
 
-def _whole(batches: Iterator[pa.RecordBatch]) -> tuple[list[bytes], np.ndarray]:
-    parts = list(batches)
-    tokens = [t for b in parts for t in b.column("token").to_pylist()]
-    counts = [b.column("n_train").to_numpy() for b in parts]
-    return tokens, np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
+_NONE = np.zeros(8 * WORD_BYTES + 1, dtype=np.int64)
+Outside = dict[int, tuple[np.ndarray, np.ndarray]]
+
 
+def _packed_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, blob) of a task's sorted words."""
+    words = pa.Table.from_batches(list(batches), _WORDS)
+    if words.num_rows:
+        yield _rows(part=pa.array([TaskContext.get().partitionId()], pa.int32()), blob=pa.array([packed(words)], pa.binary()))
 
-_NONE = np.zeros(8 * WORD_BYTES + 1, dtype=np.int64)
+
+_WORDS = pa.schema([("token", pa.binary()), ("n", pa.int64()), ("n_train", pa.int64())])
 
 
 def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A partition's first and last word, with the counts of their beginnings inside it."""
-    tokens, counts = _whole(batches)
-    if tokens:
-        ends = np.array([c[[0, -1]] for c in _sums(_beginnings(tokens), counts, _NONE, _NONE)])
-        lists = [pa.array([column.tolist()], pa.list_(pa.int64())) for column in ends.T]
-        ends = [pa.array([t[:WORD_BYTES]], pa.binary()) for t in (tokens[0], tokens[-1])]
-        part = pa.array([TaskContext.get().partitionId()], pa.int32())
-        yield pa.RecordBatch.from_arrays([part, *ends, *lists], names=["part", "first", "last", "first_sums", "last_sums"])
+    """A range's first and last word, with the counts of their beginnings inside it, and its totals."""
+    for batch in batches:
+        for part, blob in zip(batch.column("part"), batch.column("blob")):
+            words = unpacked(blob.as_py())
+            tokens, trained = words.column("token").to_pylist(), words.column("n_train").to_numpy()
+            ends = np.array([c[[0, -1]] for c in _sums(_beginnings(tokens), trained, _NONE, _NONE)])
+            first, last = [pa.array([column.tolist()], pa.list_(pa.int64())) for column in ends.T]
+            totals = [pc.sum(words.column("n")).as_py(), int(trained.sum()), int((trained > 0).sum())]
+            n, n_train, known = [pa.array([v], pa.int64()) for v in totals]
+            low, high = [pa.array([t], pa.binary()) for t in (tokens[0], tokens[-1])]
+            yield _rows(part=pa.array([part.as_py()], pa.int32()), first=low, last=high, first_sums=first, last_sums=last, n=n, n_train=n_train, known=known)
+
+
+_EDGES = "part int, first binary, last binary, first_sums array<bigint>, last_sums array<bigint>, n bigint, n_train bigint, known bigint"
 
 
 def _common(a: bytes, b: bytes) -> int:
-    """Leading bits that two beginnings share."""
+    """Leading bits that two words' beginnings share."""
     bits = np.unpackbits(_beginnings([a, b]), axis=1)
     apart = bits[0] != bits[1]
     return int(apart.argmax()) if apart.any() else len(apart)
 
 
-def _outside(edges: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+def _outside(edges: list) -> Outside:
     """Per partition, the counts that the beginnings of its first and last word have in other ones."""
     edges = sorted(edges, key=lambda e: e["part"])
     k = np.arange(len(_NONE))
@@ -235,32 +292,30 @@ def _outside(edges: list) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     return {e["part"]: (left[i], right[i]) for i, e in enumerate(edges)}
 
 
-def word_paths(words: DataFrame, parts: int) -> DataFrame:
-    """(token, n, c, path) of ``words`` (token, n, n_train): the logit in favour of each bit of the word, in its place.
+def sorted_ranges(words: DataFrame, parts: int) -> DataFrame:
+    """(part, blob) of ``words`` (token, n, n_train): consecutive ranges, a row each."""
+    ranges = words.select(*_WORDS.names).repartitionByRange(parts, "token").sortWithinPartitions("token")
+    return cut(ranges.mapInArrow(_packed_range, "part int, blob binary"))
 
-    The words are sorted in ``parts`` ranges, of which a row each passes through the driver.
-    """
-    spark = words.sparkSession
-    placed = cut(words.repartitionByRange(parts, "token").sortWithinPartitions("token"))
-    schema = "part int, first binary, last binary, first_sums array<bigint>, last_sums array<bigint>"
-    outside = spark.sparkContext.broadcast(_outside(placed.mapInArrow(_edges, schema).collect()))
-
-    def paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = list(batches)
-        tokens, counts = _whole(iter(parts))
-        if not tokens:
-            return
-        favour, before = np.empty((len(tokens), 8 * WORD_BYTES), dtype=np.int8), None
-        for k, now in enumerate(_sums(_beginnings(tokens), counts, *outside.value[TaskContext.get().partitionId()])):
-            if k:
-                favour[:, k - 1] = _logit(now, before)
-            before = now
-        sizes = [8 * min(len(t), WORD_BYTES) for t in tokens]
-        blobs = pa.array([row[:size].tobytes() for row, size in zip(favour, sizes)], pa.binary())
-        n = pa.concat_arrays([b.column("n") for b in parts])
-        yield pa.RecordBatch.from_arrays([pa.array(tokens, pa.binary()), n, pa.array(counts), blobs], names=["token", "n", "c", "path"])
-
-    return placed.mapInArrow(paths, "token binary, n bigint, c bigint, path binary")
+
+def paths(words: pa.Table, part: int, outside: Outside) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """A range's words, their training counts, and the logits in favour of each of their bits."""
+    tokens, counts = words.column("token").to_pylist(), words.column("n_train").to_numpy()
+    favour, before = np.empty((len(tokens), 8 * WORD_BYTES), dtype=np.int8), None
+    for k, now in enumerate(_sums(_beginnings(tokens), counts, *outside[part])):
+        if k:
+            favour[:, k - 1] = _logit(now, before)
+        before = now
+    return tokens, counts, favour
+
+
+def _chosen(tokens: list[bytes], counts: np.ndarray, favour: np.ndarray, at) -> list[pa.Array]:
+    chosen = [tokens[i] for i in at]
+    blobs = [favour[i, : 8 * min(len(tokens[i]), WORD_BYTES)].tobytes() for i in at]
+    return [pa.array(chosen, pa.binary()), pa.array(counts[at], pa.int64()), pa.array(blobs, pa.binary())]
+
+
+_PATHS = ["token", "c", "path"]
 
 
 # Scoring
@@ -334,7 +389,7 @@ class Mixer:
         return logits, BITS[byte].astype(np.float32)
 
 
-def _word_places(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, texts: list[bytes], known: dict[bytes, int], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _word_places(data: np.ndarray, texts: list[bytes], known: dict[bytes, int], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per place, the row of its word's path (-1: none) and its gate; and the words of all texts, by number."""
     blank = _BLANK[data] | (data == 0)
     word = ~blank
@@ -360,70 +415,96 @@ def score_documents(docs: DataFrame) -> DataFrame:
     ``base_score`` is the log10 probability by smoothed word frequencies, ``score`` that of the mix.
     """
     spark = docs.sparkSession
-    path = run_dir(spark, "blocks")
-    seen = Observation()
+    path, seen = run_dir(spark, "blocks"), Observation()
     size, trained = F.sum(F.length("text")), F.count_if(~F.col("held_out"))
-    _in_blocks(docs.select("doc_id", "held_out", "text")).observe(seen, size.alias("size"), trained.alias("ends")).write.parquet(path)
+    rows = docs.select("doc_id", "held_out", "text").observe(seen, size.alias("size"), trained.alias("ends"))
+    rows.mapInArrow(in_blocks, "block bigint, blob binary").write.parquet(path)
     blocks, ends = spark.read.parquet(path), seen.get["ends"]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (seen.get["size"] or 0) // RANGE_BYTES)
 
-    training = blocks.filter(~F.col("held_out"))
-    table = byte_table(training.select("text"))
-    words = blocks.select("text", "held_out").mapInArrow(_count_words, "token binary, n bigint, n_train bigint")
-    words = words.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train"))
-    words = word_paths(words, parts)
-    stored = run_dir(spark, "words")
-    words.write.parquet(stored)
-    words = spark.read.parquet(stored)
-    totals = words.agg(F.sum("n").alias("n"), F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("known")).first()
-    hot_from = (totals["n"] or 0) // HOT_SHARE + 1
-    often = (F.col("n") >= hot_from) & (F.length("token") <= HOT_WORD_BYTES)
-    hot = {bytes(r["token"]): (r["c"], bytes(r["path"])) for r in words.filter(often).collect()}  # HOT_SHARE at most
-    shared = spark.sparkContext.broadcast((table, hot))
-    n_train = (totals["c"] or 0) + ends
-    distinct = totals["known"] + (ends > 0)
+    table = byte_table(blocks)
+    words = blocks.mapInArrow(_count_words, "token binary, n bigint, n_train bigint")
+    ranges = sorted_ranges(words.groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_train").alias("n_train")), parts)
+    edges = sorted(ranges.mapInArrow(_edges, _EDGES).collect())  # a row per range
+    n_train, distinct = sum(e["n_train"] for e in edges) + ends, sum(e["known"] for e in edges) + (ends > 0)
+    outside = spark.sparkContext.broadcast(_outside(edges))
+    often = sum(e["n"] for e in edges) // HOT_SHARE + 1
 
-    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, seen, current = shared.value[1], set(), None
-        def emit():
-            return pa.RecordBatch.from_arrays([pa.array([current] * len(seen), pa.int64()), pa.array(list(seen), pa.binary())], names=["block", "token"])
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, text in zip(batch.column("block").to_pylist(), batch.column("text").to_pylist()):
-                if block != current and seen:
-                    yield emit()
-                    seen = set()
-                current = block
-                seen.update(t for w in set(coded(text).split()) if (t := w + b" ") not in hot)
-        if seen:
-            yield emit()
-
-    wanted = blocks.select("block", "text").mapInArrow(asked, "block bigint, token binary")
-    told = wanted.join(words.filter(~often).select("token", "c", "path"), "token")
-    schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double"
-
-    def score(rows: pa.Table, given: pa.Table) -> pa.Table:
-        table, hot = shared.value
-        counts, chunks, known, offsets, at = [], [], {}, [], 0
-        mine = zip(given.column("token").to_pylist(), given.column("c").to_pylist(), given.column("path").to_pylist())
-        texts = [coded(t) for t in rows.column("text").to_pylist()]
-        for token, c, favour in (*mine, *((t, *v) for t, v in hot.items())):
-            if token[:-1] not in known:
-                known[token[:-1]] = len(counts)
-                counts.append(c)
-                chunks.append(favour)
-                offsets.append(at)
-                at += len(favour) // 8
-        paths = np.frombuffer(b"".join(chunks) + b"\0" * 8, dtype=np.int8).reshape(-1, 8)  # the last row is for places without a word
+            for part, blob in zip(batch.column("part"), batch.column("blob")):
+                words = unpacked(blob.as_py())
+                at = np.flatnonzero(words.column("n").to_numpy() >= often)
+                if len(at):
+                    yield _rows(**dict(zip(_PATHS, _chosen(*paths(words, part.as_py(), outside.value), at))))
+
+    hot = ranges.mapInArrow(frequent, "token binary, c bigint, path binary").collect()  # HOT_SHARE at most
+    hot = spark.sparkContext.broadcast((table, {bytes(r["token"]): (r["c"], bytes(r["path"])) for r in hot}))
+    bounds = [bytes(e["first"]) for e in edges]
+    numbers = [e["part"] for e in edges]
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, rows in _unblocked(batches):
+            distinct = {w for t in rows.column("text").to_pylist() for w in coded(t).split()}
+            tokens = sorted(t for w in distinct if (t := w + b" ") not in hot.value[1])
+            low = 0
+            while low < len(tokens):
+                k = bisect_right(bounds, tokens[low]) - 1
+                high = bisect_left(tokens, bounds[k + 1]) if k + 1 < len(bounds) else len(tokens)
+                blob = packed(pa.table({"token": pa.array(tokens[low:high], pa.binary())}))
+                yield _rows(part=pa.array([numbers[k]], pa.int32()), block=pa.array([block], pa.int64()),
+                            n=pa.array([high - low], pa.int64()), tokens=pa.array([blob], pa.binary()))
+                low = high
+
+    wanted = run_dir(spark, "wanted")
+    blocks.mapInArrow(asked, "part int, block bigint, n bigint, tokens binary").write.parquet(wanted)
+    wanted = spark.read.parquet(wanted)
+    copies = wanted.groupBy("part").agg(F.floor(F.sum("n") / ASKED_WORDS + 1).alias("copies"))  # a row per range
+    portion = F.pmod(F.xxhash64("block"), F.col("copies"))
+    asking = wanted.join(F.broadcast(copies), "part").select("part", portion.alias("portion"), "block", "tokens")
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1))
+    answering = ranges.join(F.broadcast(copies), "part").select("part", each.alias("portion"), "blob")
+
+    def answer(asking: pa.Table, answering: pa.Table) -> pa.Table:
+        told = []
+        if asking.num_rows:
+            tokens, counts, favour = paths(unpacked(answering.column("blob")[0].as_py()), answering.column("part")[0].as_py(), outside.value)
+            place = {t: i for i, t in enumerate(tokens)}
+            for blob in asking.column("tokens"):
+                at = np.array([place[t] for t in unpacked(blob.as_py()).column("token").to_pylist()])
+                told.append(packed(pa.table(_chosen(tokens, counts, favour, at), names=_PATHS)))
+        return pa.table({"block": asking.column("block"), "told": pa.array(told, pa.binary())})
+
+    keys = ("part", "portion")
+    told = asking.groupBy(*keys).cogroup(answering.groupBy(*keys)).applyInArrow(answer, "block bigint, told binary")
+
+    def score(block: pa.Table, told: pa.Table) -> pa.Table:
+        table, often = hot.value
+        texts, held = [], []
+        for blob in block.column("blob"):
+            rows = unpacked(blob.as_py())
+            held.append(rows.select(["doc_id", "held_out"]))
+            texts += [coded(t) for t in rows.column("text").to_pylist()]
+        ids = pa.concat_tables(held)
+        counts, chunks, known, lengths = [], [], {}, []
+        given = [tuple(zip(*(t.column(c).to_pylist() for c in _PATHS))) for t in map(lambda b: unpacked(b.as_py()), told.column("told"))]
+        for token, c, favour in (row for rows in (*given, ((t, *v) for t, v in often.items())) for row in rows):
+            known[token[:-1]] = len(counts)
+            counts.append(c)
+            chunks.append(favour)
+            lengths.append(len(favour) // 8)
+        offsets = np.cumsum([0, *lengths])[:-1]
+        favours = np.frombuffer(b"".join(chunks) + b"\0" * 8, dtype=np.int8).reshape(-1, 8)  # the last row is for places without a word
         data, starts = _padded(texts)
         sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        path_at, gate, numbers = _word_places(data, starts, starts + sizes, texts, known, np.array(offsets, dtype=np.int64))
+        path_at, gate, numbers = _word_places(data, texts, known, offsets)
 
         pieces = -(-sizes // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), pieces)
         number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         low = starts[owner] + number * SEGMENT
         size = np.minimum(sizes[owner] - number * SEGMENT, SEGMENT)
-        bits = np.bincount(owner, Mixer(table).score(data, low, size, path_at, paths, gate), len(texts))
+        bits = np.bincount(owner, Mixer(table).score(data, low, size, path_at, favours, gate), len(texts))
 
         n_words = np.array([len(t.split()) for t in texts], dtype=np.int64)
         document = np.repeat(np.arange(len(texts)), n_words)
@@ -432,26 +513,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
         base = np.bincount(document, np.log10(c + 0.1) - under, len(texts)) + np.log10(ends + 0.1) - under
         n_known = np.bincount(document, c > 0, len(texts)).astype(np.int64) + (ends > 0)
         return pa.table({
-            "doc_id": rows.column("doc_id"), "held_out": rows.column("held_out"), "n_tokens": n_words + 1, "n_known": n_known,
+            "doc_id": ids.column("doc_id"), "held_out": ids.column("held_out"), "n_tokens": n_words + 1, "n_known": n_known,
             "train_tokens": np.full(len(texts), n_train), "base_score": base, "score": bits * np.log10(2), "bits_per_byte": -bits / sizes,
         })
 
+    schema = (
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens bigint, n_known bigint, "
+        "train_tokens bigint, base_score double, score double, bits_per_byte double"
+    )
     return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(score, schema)
-
-
-def _in_blocks(docs: DataFrame) -> DataFrame:
-    """Rows with the number of their block: neighbours, about ``BLOCK_BYTES`` of text together."""
-
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, size = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            lengths = [len(t or "") for t in batch.column("text").to_pylist()]
-            found = []
-            for length in lengths:
-                if size and size + length > BLOCK_BYTES:
-                    number, size = number + 1, 0
-                size += length
-                found.append(number)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], names=[*batch.schema.names, "block"])
-
-    return docs.mapInArrow(blocks, "doc_id bigint, held_out boolean, text string, block bigint")
