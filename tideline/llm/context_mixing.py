@@ -1,10 +1,10 @@
 """Scoring texts by online logistic mixing of hashed-context bit predictors.
 
-A text is coded byte by byte, each byte bit by bit, A-Z lower-cased, with an end mark. Four predictors give
-each bit's odds from counts over all training documents: the bytes that followed the last one, two
-(hashed) and three (hashed) bytes, and the words that continue the current word. Their logits are
-summed with weights that a gate chooses by bit and place in the word, and that are refined after every
-byte by the coding error, anew in each ``SEGMENT`` bytes of a text. The summed log probabilities of the
+A text is coded byte by byte, each byte bit by bit, A-Z lower-cased, with an end mark. Three predictors give
+each bit's odds from counts over all training documents: the bytes that followed the last two and the
+last three bytes (hashed), and the words that continue the current word. Their logits are summed with
+weights that a gate chooses by the bit, and that are refined after every byte by the coding error, anew
+in each ``SEGMENT`` bytes of a text. The summed log probabilities of the
 bits are the text's score; divided by its bytes, its total bits per byte.
 
 The byte tables have a fixed size (21 MB, broadcast). The words grow with the corpus: they are sorted
@@ -45,22 +45,25 @@ HOT_SHARE = 50_000
 RANGE_BYTES = 16 << 20  # of text, for each range of sorted words
 ASKED_WORDS = 4_000_000  # of all blocks, that one copy of a range answers
 FLUSH = 500_000
-ORDER_BITS = (8, 14, 16)  # of the hashed contexts of one, two and three bytes
+ORDER_BITS = (14, 16)  # of the hashed contexts of two and three bytes
 OFFSETS = np.cumsum([0] + [1 << b for b in ORDER_BITS])
 SLOTS = int(OFFSETS[-1])
-SCALE = 16  # of stored logits
+SCALE = 8  # of stored logits
 PRIOR = 0.4
 RATE = 0.02
-START = (0.15, 0.25, 0.35, 0.45)  # weights of the predictors before refinement
-GATES = 4
+START = (0.3, 0.4, 0.5)  # weights of the predictors before refinement
+STEPS = 64
 END = b"\x00"  # a zero byte in a text is coded as 255, which no text holds
 
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
 NODES = np.array([[(1 << j) | (b >> (8 - j)) for j in range(8)] for b in range(256)], dtype=np.int32)
+_SIGN = np.where(BITS == 1, 1, -1).astype(np.int8)
 #: Bits of a byte whose word node is used: not below the three zero bits that all other separators share.
 WORD_MASK = np.array([[not (j >= 3 and b < 32) for j in range(8)] for b in range(256)])
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
+#: Signs of a byte's logits in a word's path, whose nodes after a word are those of a blank; 0 where unused.
+_WORD_SIGN = np.where(WORD_MASK, _SIGN[np.where(_BLANK | (np.arange(256) == 0), 32, np.arange(256))], 0).astype(np.int8)
 
 
 def coded(text: str | None) -> bytes:
@@ -73,14 +76,13 @@ def _logit(one: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(SCALE * np.log(p / (1 - p))), -127, 127).astype(np.int8)
 
 
-def contexts(data: np.ndarray) -> list[np.ndarray]:
-    """Slots of the contexts of one, two and three bytes, for places 3 and on."""
-    one = data[2:-1].astype(np.int64)
-    two = one | (data[1:-2].astype(np.int64) << 8)
-    three = two | (data[:-3].astype(np.int64) << 16)
-    second = ((two * 40503) & 0xFFFF) >> (16 - ORDER_BITS[1])
-    third = ((three * 2654435761) & 0xFFFFFFFF) >> (32 - ORDER_BITS[2])
-    return [one, second + OFFSETS[1], third + OFFSETS[2]]
+def contexts(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> list[np.ndarray]:
+    """Slots of the contexts of the last two and of the last three bytes; ``one`` is the last byte."""
+    both = one.astype(np.uint32) | (two.astype(np.uint32) << 8)
+    all_ = both | (three.astype(np.uint32) << 16)
+    second = ((both * np.uint32(40503)) & np.uint32(0xFFFF)) >> (16 - ORDER_BITS[0])
+    third = (all_ * np.uint32(2654435761)) >> np.uint32(32 - ORDER_BITS[1])
+    return [second.astype(np.int32), third.astype(np.int32) + np.int32(OFFSETS[1])]
 
 
 def _padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -127,6 +129,12 @@ def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield emit()
 
 
+def _joined(blobs: list, column: str) -> np.ndarray:
+    """A column of packed tables, one after another."""
+    kind = np.int8 if column == "p" else np.int64
+    return np.concatenate([np.zeros(0, dtype=kind), *(unpacked(bytes(b)).column(column).to_numpy() for b in blobs)])
+
+
 def _unblocked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
     for batch in batches:
         for block, blob in zip(batch.column("block"), batch.column("blob")):
@@ -145,9 +153,9 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         real = np.ones(len(data), dtype=bool)
         for k in (1, 2, 3):
             real[starts - k] = False
-        data_at, real = data[3:].astype(np.int64), real[3:]
-        for slots in contexts(data):
-            found = np.bincount((slots * 256 + data_at)[real])
+        real = np.flatnonzero(real[3:]) + 3
+        for slots in contexts(data[real - 1], data[real - 2], data[real - 3]):
+            found = np.bincount(slots * 256 + data[real])
             counts[: len(found)] += found
 
     held, size = [], 0
@@ -309,104 +317,87 @@ def paths(words: pa.Table, part: int, outside: Outside) -> tuple[list[bytes], np
     return tokens, counts, favour
 
 
-def _chosen(tokens: list[bytes], counts: np.ndarray, favour: np.ndarray, at) -> list[pa.Array]:
-    chosen = [tokens[i] for i in at]
-    blobs = [favour[i, : 8 * min(len(tokens[i]), WORD_BYTES)].tobytes() for i in at]
-    return [pa.array(chosen, pa.binary()), pa.array(counts[at], pa.int64()), pa.array(blobs, pa.binary())]
+def path_sizes(tokens: list[bytes]) -> np.ndarray:
+    return np.minimum(np.fromiter(map(len, tokens), np.int64, len(tokens)), WORD_BYTES)
+
 
+def _chosen(tokens: list[bytes], counts: np.ndarray, favour: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts and concatenated paths of the words at some places."""
+    used = np.arange(8 * WORD_BYTES) < 8 * path_sizes([tokens[i] for i in at])[:, None]
+    return packed(pa.table({"c": counts[at]})), packed(pa.table({"p": favour[at][used]}))
 
-_PATHS = ["token", "c", "path"]
+
+def rare_words(texts: list[bytes], often: dict[bytes, int]) -> list[bytes]:
+    """Sorted distinct words of a block, with a blank behind them, less the frequent ones."""
+    return sorted(w + b" " for w in {w for t in texts for w in t.split()} if w not in often)
 
 
 # Scoring
 
 
 class Mixer:
-    """Scores of texts, given the byte table and the paths of their words."""
+    """Scores runs of bytes, given the byte table and the paths of the words (per place of ``data``)."""
 
-    def __init__(self, table: np.ndarray):
-        self.table = table.reshape(-1)
+    def __init__(self, table: np.ndarray, data: np.ndarray, path_at: np.ndarray, paths: np.ndarray):
+        self.table, self.data, self.path_at, self.paths = table.reshape(-1), data, path_at, paths
 
-    def word_logits(self, data: np.ndarray, places: np.ndarray, path_at: np.ndarray, paths: np.ndarray) -> np.ndarray:
-        """The word predictor's logits for a one bit, at the given places."""
-        at = path_at[places]
-        byte = data[places]
-        favour = paths[at]
-        favour = np.where(WORD_MASK[byte] & (at >= 0)[:, None], favour, 0)
-        # of a separator, the path is that of a blank: the nodes up to the first bit apart
-        bits = np.where(_BLANK[byte] | (byte == 0), 32, byte)
-        return np.where(BITS[bits] == 1, favour, -favour)
-
-    def score(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, path_at: np.ndarray, paths: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        """Summed log2 probabilities of runs of bytes, each mixed with its own weights."""
+    def score(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Summed log2 probabilities of the runs, each mixed with its own weights."""
         result = np.zeros(len(starts))
         order = np.argsort(-sizes, kind="stable")
         for low in range(0, len(order), LANES):
             lanes = order[low : low + LANES]
-            result[lanes] = self._run(data, starts[lanes], sizes[lanes], path_at, paths, gate)
+            result[lanes] = self._run(starts[lanes], sizes[lanes])
         return result
 
-    def _run(self, data, starts, sizes, path_at, paths, gate) -> np.ndarray:
+    def _run(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         lanes, steps = len(starts), int(sizes[0])
-        weights = np.empty((4, lanes * GATES, 8), dtype=np.float32)
+        weights = np.empty((3, 8, lanes), dtype=np.float32)
         weights[:] = np.array(START, dtype=np.float32)[:, None, None]
         total = np.zeros(lanes)
-        base = np.arange(lanes) * GATES
         active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # lanes longer than each step
-        for begin in range(0, steps, 128):
-            end = min(steps, begin + 128)
+        for begin in range(0, steps, STEPS):
+            end = min(steps, begin + STEPS)
             n = int(active[begin])
             places = (starts[:n, None] + np.arange(begin, end)).T  # steps x lanes
-            inside = np.minimum(places, len(data) - 1).reshape(-1)
-            logits, bits = self._logits(data, inside, path_at, paths)
-            logits = logits.reshape(4, end - begin, n, 8)
-            bits = bits.reshape(end - begin, n, 8)
-            gates = gate[inside].reshape(end - begin, n)
+            logits, bits = self._logits(np.minimum(places, len(self.data) - 1))
             for t in range(end - begin):
                 a = int(active[begin + t])
-                x = logits[:, t, :a]
-                rows = base[:a] + gates[t, :a]
-                w = weights[:, rows]
+                x, w = logits[t, :, :, :a], weights[:, :, :a]
                 dot = np.clip((w * x).sum(axis=0), -12, 12)
-                p = 1 / (1 + np.exp(-dot))
-                error = bits[t, :a] - p
-                total[:a] += np.log2(np.prod(1 - np.abs(error), axis=1))
-                weights[:, rows] = w + RATE * (error * x)
+                error = bits[t, :, :a] - 1 / (1 + np.exp(-dot))
+                total[:a] += np.log2(np.prod(1 - np.abs(error), axis=0))
+                w += (RATE * error) * x
         return total
 
-    def _logits(self, data, places, path_at, paths) -> tuple[np.ndarray, np.ndarray]:
+    def _logits(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logits (step, predictor, bit, lane) for a one bit, and the bits (step, bit, lane)."""
+        data, (steps, lanes) = self.data, places.shape
         byte = data[places]
-        one = data[places - 1].astype(np.int64)
-        two = one | (data[places - 2].astype(np.int64) << 8)
-        three = two | (data[places - 3].astype(np.int64) << 16)
-        second = (((two * 40503) & 0xFFFF) >> (16 - ORDER_BITS[1])) + OFFSETS[1]
-        third = (((three * 2654435761) & 0xFFFFFFFF) >> (32 - ORDER_BITS[2])) + OFFSETS[2]
-        logits = np.empty((4, len(places), 8), dtype=np.float32)
-        for k, slots in enumerate((one, second, third)):
-            logits[k] = self.table[(slots * 256)[:, None] + NODES[byte]]
-        logits[3] = self.word_logits(data, places, path_at, paths)
-        logits /= SCALE
-        return logits, BITS[byte].astype(np.float32)
-
-
-def _word_places(data: np.ndarray, texts: list[bytes], known: dict[bytes, int], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per place, the row of its word's path (-1: none) and its gate; and the words of all texts, by number."""
+        found = np.empty((steps, 3, 8, lanes), dtype=np.int8)
+        nodes = NODES[byte]
+        for k, slots in enumerate(contexts(data[places - 1], data[places - 2], data[places - 3])):
+            found[:, k] = self.table[(slots * 256)[:, :, None] + nodes].transpose(0, 2, 1)
+        at = self.path_at[places]
+        found[:, 2] = (self.paths[at] * _WORD_SIGN[byte]).transpose(0, 2, 1)  # without a word the path is zero
+        return found * np.float32(1 / SCALE), BITS[byte].transpose(0, 2, 1).astype(np.float32)
+
+
+def _word_places(data: np.ndarray, texts: list[bytes], known: dict[bytes, int], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per place, the row of its word's path (-1: none); and the words of all texts, by number."""
     blank = _BLANK[data] | (data == 0)
     word = ~blank
     first = word & np.concatenate([[True], blank[:-1]])
     begin = np.flatnonzero(first)
     stop = np.flatnonzero(blank & np.concatenate([[False], word[:-1]]))
-    numbers = np.array([known[w] for t in texts for w in t.split()], dtype=np.int64)
+    numbers = np.fromiter((known[w] for t in texts for w in t.split()), np.int32)
     path_at = np.full(len(data), -1, dtype=np.int32)
-    gate = np.zeros(len(data), dtype=np.int8)
     if len(begin):
         length = np.minimum(stop - begin + 1, WORD_BYTES)  # the blank behind it included
         within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
         places = np.repeat(begin, length) + within
         path_at[places] = np.repeat(offsets[numbers], length) + within
-        gate[places] = 1 + (within > 0) + (within > 2)
-        gate[begin] = 1
-    return path_at, gate, numbers
+    return path_at, numbers
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -436,17 +427,24 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 words = unpacked(blob.as_py())
                 at = np.flatnonzero(words.column("n").to_numpy() >= often)
                 if len(at):
-                    yield _rows(**dict(zip(_PATHS, _chosen(*paths(words, part.as_py(), outside.value), at))))
-
-    hot = ranges.mapInArrow(frequent, "token binary, c bigint, path binary").collect()  # HOT_SHARE at most
-    hot = spark.sparkContext.broadcast((table, {bytes(r["token"]): (r["c"], bytes(r["path"])) for r in hot}))
+                    tokens, counts, favour = paths(words, part.as_py(), outside.value)
+                    c, path = _chosen(tokens, counts, favour, at)
+                    names = packed(pa.table({"token": pa.array([tokens[i] for i in at], pa.binary())}))
+                    yield _rows(**{k: pa.array([v], pa.binary()) for k, v in (("token", names), ("c", c), ("path", path))})
+
+    hot = ranges.mapInArrow(frequent, "token binary, c binary, path binary").collect()  # HOT_SHARE words at most
+    names = [t for r in hot for t in unpacked(bytes(r["token"])).column("token").to_pylist()]
+    hot = (
+        {t[:-1]: i for i, t in enumerate(names)}, path_sizes(names),
+        _joined([r["c"] for r in hot], "c"), _joined([r["path"] for r in hot], "p"),
+    )
+    shared = spark.sparkContext.broadcast((table, *hot))
     bounds = [bytes(e["first"]) for e in edges]
     numbers = [e["part"] for e in edges]
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _unblocked(batches):
-            distinct = {w for t in rows.column("text").to_pylist() for w in coded(t).split()}
-            tokens = sorted(t for w in distinct if (t := w + b" ") not in hot.value[1])
+            tokens = rare_words([coded(t) for t in rows.column("text").to_pylist()], shared.value[1])
             low = 0
             while low < len(tokens):
                 k = bisect_right(bounds, tokens[low]) - 1
@@ -471,44 +469,40 @@ def score_documents(docs: DataFrame) -> DataFrame:
             tokens, counts, favour = paths(unpacked(answering.column("blob")[0].as_py()), answering.column("part")[0].as_py(), outside.value)
             place = {t: i for i, t in enumerate(tokens)}
             for blob in asking.column("tokens"):
-                at = np.array([place[t] for t in unpacked(blob.as_py()).column("token").to_pylist()])
-                told.append(packed(pa.table(_chosen(tokens, counts, favour, at), names=_PATHS)))
-        return pa.table({"block": asking.column("block"), "told": pa.array(told, pa.binary())})
+                wanted = unpacked(blob.as_py()).column("token").to_pylist()
+                told.append(_chosen(tokens, counts, favour, np.fromiter((place[t] for t in wanted), np.int64, len(wanted))))
+        columns = [pa.array(list(v), pa.binary()) for v in zip(*told)] or [pa.array([], pa.binary())] * 2
+        return pa.table([asking.column("block"), asking.column("part"), *columns], names=["block", "part", "c", "path"])
 
     keys = ("part", "portion")
-    told = asking.groupBy(*keys).cogroup(answering.groupBy(*keys)).applyInArrow(answer, "block bigint, told binary")
+    told = asking.groupBy(*keys).cogroup(answering.groupBy(*keys))
+    told = told.applyInArrow(answer, "block bigint, part int, c binary, path binary")
 
     def score(block: pa.Table, told: pa.Table) -> pa.Table:
-        table, often = hot.value
-        texts, held = [], []
-        for blob in block.column("blob"):
-            rows = unpacked(blob.as_py())
-            held.append(rows.select(["doc_id", "held_out"]))
-            texts += [coded(t) for t in rows.column("text").to_pylist()]
-        ids = pa.concat_tables(held)
-        counts, chunks, known, lengths = [], [], {}, []
-        given = [tuple(zip(*(t.column(c).to_pylist() for c in _PATHS))) for t in map(lambda b: unpacked(b.as_py()), told.column("told"))]
-        for token, c, favour in (row for rows in (*given, ((t, *v) for t, v in often.items())) for row in rows):
-            known[token[:-1]] = len(counts)
-            counts.append(c)
-            chunks.append(favour)
-            lengths.append(len(favour) // 8)
-        offsets = np.cumsum([0, *lengths])[:-1]
-        favours = np.frombuffer(b"".join(chunks) + b"\0" * 8, dtype=np.int8).reshape(-1, 8)  # the last row is for places without a word
+        table, often, often_sizes, often_counts, often_paths = shared.value
+        rows = pa.concat_tables([unpacked(b.as_py()) for b in block.column("blob")])
+        ids, texts = rows.select(["doc_id", "held_out"]), [coded(t) for t in rows.column("text").to_pylist()]
+        rare = rare_words(texts, often)
+        told = told.sort_by("part")  # the ranges' order, so that of the words
+        counts = np.concatenate([often_counts, _joined(told.column("c").to_pylist(), "c")])
+        favours = np.concatenate([often_paths, _joined(told.column("path").to_pylist(), "p"), np.zeros(8, dtype=np.int8)])
+        favours = favours.reshape(-1, 8)  # the last row is for places without a word
+        lengths = np.concatenate([often_sizes, path_sizes(rare)])
+        known = often | {t[:-1]: i for i, t in enumerate(rare, len(often))}
         data, starts = _padded(texts)
         sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        path_at, gate, numbers = _word_places(data, texts, known, offsets)
+        path_at, numbers = _word_places(data, texts, known, np.cumsum(lengths) - lengths)
 
         pieces = -(-sizes // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), pieces)
         number = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         low = starts[owner] + number * SEGMENT
         size = np.minimum(sizes[owner] - number * SEGMENT, SEGMENT)
-        bits = np.bincount(owner, Mixer(table).score(data, low, size, path_at, favours, gate), len(texts))
+        bits = np.bincount(owner, Mixer(table, data, path_at, favours).score(low, size), len(texts))
 
         n_words = np.array([len(t.split()) for t in texts], dtype=np.int64)
         document = np.repeat(np.arange(len(texts)), n_words)
-        c = np.array(counts, dtype=np.float64)[numbers] if len(numbers) else np.zeros(0)
+        c = counts[numbers].astype(np.float64)
         under = np.log10(n_train + 0.1 * (distinct + 1))
         base = np.bincount(document, np.log10(c + 0.1) - under, len(texts)) + np.log10(ends + 0.1) - under
         n_known = np.bincount(document, c > 0, len(texts)).astype(np.int64) + (ends > 0)
