@@ -51,7 +51,7 @@ SLOTS = int(OFFSETS[-1])
 SCALE = 8  # of stored logits
 PRIOR = 0.4
 RATE = 0.02
-START = (0.3, 0.4, 0.5)  # weights of the predictors before refinement
+START = (0.2, 0.45, 0.6)  # weights of the predictors before refinement
 STEPS = 64
 END = b"\x00"  # a zero byte in a text is coded as 255, which no text holds
 
