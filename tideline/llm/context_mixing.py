@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tideline.scale import cut, run_dir
 
 SEGMENT = 2048  # bytes over which the mixing weights are refined
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 CHUNK = 4 << 20
 LANES = 1024  # segments that are mixed side by side
 WORD_BYTES = 24  # of a word that the word predictor looks at
