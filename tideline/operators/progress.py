@@ -197,12 +197,12 @@ def finished_progress(
     )
 
 
-def processable_shards(shards: DataFrame, progress: DataFrame) -> DataFrame:
+def processable_shards(shards: DataFrame, progress: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """Tracked, unfinished shards none of whose known parents is still unfinished."""
     unfinished = progress.filter(F.col("checkpoint") != fixed.SHARD_END)
     parents = unfinished.select("stream", F.col("shard_id").alias("parent_id"))
     blocked = (
-        lineage_edges(shards)
+        (lineage_edges(shards) if edges is None else edges)
         .join(parents, ["stream", "parent_id"], "left_semi")
         .select("stream", F.col("child_id").alias("shard_id"))
     )

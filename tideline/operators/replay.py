@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from bisect import bisect_right
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tideline import fixed
 from tideline.functions.ordering import sequence_key
 from tideline.functions.records import operation_kind
 from tideline.operators import SHARD
@@ -66,19 +68,69 @@ def materialize_table(
 def dedupe_replayed(
     log: DataFrame,
     keys: Sequence[str] = (*SHARD, "sequence_number"),
-    within: str | None = f"{fixed.RETENTION_HOURS} hours",
+    within: str | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """One copy of each record, in batch or on a stream.
-
-    A record cannot be delivered again once it has left the stream, so on a stream the state holds
-    the keys of the last ``within`` of arrival time only. ``within=None`` keeps every key for ever.
+    """One copy of each record, in batch or on a stream; no first copy is ever lost by default.
+
+    On a stream the state keeps every key, unless ``run`` names a column that tells which consecutive
+    stretch of its shard a record was delivered in, as a file of a stored log (``stream_change_log(...,
+    run=...)``). Then the state is each shard's covered ranges of sequence numbers: it follows shards and
+    out-of-order runs, not records, and a record is a copy if its number lies in a range. ``within``
+    forgets keys that much older than the newest arrival, but drops late first copies with them: only
+    for streams in order of arrival.
     """
-    if not log.isStreaming or within is None:
+    if not log.isStreaming:
+        return log.dropDuplicates(list(keys))
+    if run is not None:
+        return _uncovered(log, run)
+    if within is None:
         return log.dropDuplicates(list(keys))
     timed = log.withColumn("_arrival", F.col("arrival_ts").cast("timestamp")).withWatermark("_arrival", within)
     return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_arrival")
 
 
+def _uncovered(log: DataFrame, run: str) -> DataFrame:
+    """Records outside their shard's covered ranges; each run then covers what lies between its ends."""
+    columns = [c for c in log.columns if c != run]
+    at = log.columns.index("sequence_number")
+
+    def fresh(_key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        lows, highs = ([int(v) for v in texts] for texts in (state.get if state.exists else ([], [])))
+        ends: dict[str, tuple[int, int]] = {}
+        given: set[int] = set()  # of this micro-batch and shard
+        for chunk in chunks:
+            keep = []
+            for name, text in zip(chunk[run], chunk.iloc[:, at]):
+                number = int(text)
+                low, high = ends.get(name, (number, number))
+                ends[name] = (min(low, number), max(high, number))
+                i = bisect_right(lows, number) - 1
+                new = number not in given and not (i >= 0 and number <= highs[i])
+                keep.append(new)
+                if new:
+                    given.add(number)
+            yield chunk.loc[keep, columns]
+        state.update(tuple([str(v) for v in side] for side in merged_ranges([*zip(lows, highs), *ends.values()])))
+
+    schema = log.select(*columns).schema
+    ranges = "lows array<string>, highs array<string>"
+    return log.groupBy(*SHARD).applyInPandasWithState(fresh, schema, ranges, "append", GroupStateTimeout.NoTimeout)
+
+
+def merged_ranges(ranges: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Lower and upper ends of the union of closed ranges of whole numbers, in order."""
+    lows: list[int] = []
+    highs: list[int] = []
+    for low, high in sorted(ranges):
+        if highs and low <= highs[-1] + 1:
+            highs[-1] = max(highs[-1], high)
+        else:
+            lows.append(low)
+            highs.append(high)
+    return lows, highs
+
+
 def compare_tables(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows whose number of copies differs: columns, ``side`` and ``copies``; empty if equal.
 

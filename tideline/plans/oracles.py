@@ -223,6 +223,11 @@ RECORD = "stream, shard_id, sequence_number"
 MATERIALIZED = _with(LOG, _latest())
 UNTIL = "seq <= 104500"
 
+#: Generations from which an open shard descends: none is missing from there on.
+_TRACKED = """
+tracked AS (SELECT g.stream, g.gen FROM generations g JOIN generations h ON h.stream = g.stream AND h.gen >= g.gen
+  GROUP BY ALL HAVING count(*) = 5 - g.gen)"""
+
 _POSITIONED = """
   SELECT l.stream, l.shard_id, l.sequence_number, l.arrival_ts, l.event_name
   FROM log l JOIN reading r ON r.stream = l.stream AND r.shard_id = l.shard_id
@@ -829,4 +834,40 @@ ORACLES: dict[str, str] = {
         WHERE r.shard_id IS NULL OR r.checkpoint = 'TRIM_HORIZON'
           OR (r.checkpoint = 'AT_TIMESTAMP' AND l.arrival_ts >= {HALF}) OR l.seq > TRY_CAST(r.checkpoint AS BIGINT)""",
     ),
+    # commits, cycles and live state
+    "progress_two_writers": _with(
+        SHARDS,
+        f"""late AS ({_profile('late', 'true', 'shards')}), partial AS ({_profile('partial', 'true', 'shards')}),
+        combined AS (SELECT * REPLACE ('SHARD_END' AS checkpoint) FROM partial UNION ALL SELECT * FROM late l
+          WHERE NOT EXISTS (SELECT 1 FROM partial p WHERE p.stream = l.stream AND p.shard_id = l.shard_id)),
+        written AS (""" + ROW + "combined)",
+        "SELECT *, CAST(3 AS BIGINT) AS versions FROM written",
+    ),
+    "read_in_cycles": _with(
+        SHARDS,
+        _TRACKED,
+        "sums AS (SELECT stream, shard_id, max(seq) AS last, count(*) AS records, CAST(sum(seq) AS BIGINT) AS numbers FROM log GROUP BY ALL)",
+        """SELECT s.stream, s.shard_id,
+        CASE WHEN s.gen < 4 THEN 'SHARD_END' ELSE coalesce(CAST(u.last AS VARCHAR), 'TRIM_HORIZON') END AS checkpoint,
+        coalesce(records, 0) AS records, coalesce(numbers, 0) AS numbers, true AS after_parents, true AS within_limit,
+        CAST(CASE WHEN s.gen < 4 THEN 1 ELSE 0 END AS BIGINT) AS ends
+        FROM shards s JOIN tracked t ON t.stream = s.stream AND t.gen = s.gen
+        LEFT JOIN sums u ON u.stream = s.stream AND u.shard_id = s.shard_id""",
+    ),
+    "stream_lag": _with(
+        LOG,
+        f"""SELECT stream, shard_id, greatest(epoch_us({NOW}) // 1000 - epoch_us(arg_max(arrival_ts, seq)) // 1000, 0) AS behind_ms
+        FROM log GROUP BY ALL""",
+    ),
+    "stream_throughput": _with(
+        LOG,
+        """windows AS (SELECT stream, shard_id, time_bucket(INTERVAL 6 HOURS, arrival_ts, TIMESTAMP '2024-01-01') AS window_start,
+          count(*) AS records, CAST(sum(length(sequence_number)) AS BIGINT) AS bytes FROM log GROUP BY ALL)""",
+        """SELECT * FROM windows
+        WHERE window_start + INTERVAL 6 HOURS <= (SELECT max(arrival_ts) FROM log) - INTERVAL 1 HOUR""",
+    ),
+    "stream_dedupe_late": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
+    "stream_dedupe_runs": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
+    "stream_compact_buckets": MATERIALIZED,
 }
+ORACLES["stream_checkpoints"] = ORACLES["progress_checkpoints"]

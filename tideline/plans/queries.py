@@ -17,7 +17,8 @@ from tideline.operators import SHARD, errors, lineage, metrics, progress, reads,
 from tideline.plans import views
 from tideline.scale import cut, run_dir
 from tideline.sources import tables
-from tideline.streaming import positions, process, replication
+from tideline.sources.commits import CommitConflict
+from tideline.streaming import cycles, positions, process, replication, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -932,3 +933,137 @@ def sharded_source_stream(spark, sf_dir):
     stream = tables.stream_change_log(spark, path, log.schema, max_files_per_trigger=20)
     new = positions.start_stream_at(stream, starts, timestamp=_half())
     return _collected(spark, new.select(*RECORD, "arrival_ts", "event_name"))
+
+
+# Commits, cycles and live state
+
+
+@query
+def progress_two_writers(spark, sf_dir):
+    """Two writers begin with the same version: the second meets a clean conflict and is rebased."""
+    path = run_dir(spark, "progress")
+    shards = views.all_shards(spark, sf_dir)
+    partial, late = views.as_progress(shards, "partial"), views.as_progress(shards, "late")
+    version = tables.write_progress(partial, path)
+    stale = tables.read_progress(spark, path)
+    tables.update_progress(spark, path, lambda rows: progress.tracked_progress(rows, late))
+    ended = partial.select(*SHARD, F.lit(fixed.SHARD_END).alias("checkpoint"))
+    try:
+        tables.write_progress(cycles.advanced(stale, ended), path, base=version)
+    except CommitConflict:
+        tables.update_progress(spark, path, lambda rows: cycles.advanced(rows, ended))
+    return _rows(tables.read_progress(spark, path)).withColumn("versions", F.lit(3).cast("bigint"))
+
+
+#: Records of a shard in a cycle: several cycles for the larger shards.
+PER_CYCLE = 40
+
+
+def _cycled(spark, sf_dir) -> tuple[str, DataFrame, DataFrame, DataFrame]:
+    """Progress path, shards, records with the cycle that read them, and ended shards, of a read in cycles."""
+    out, ends, path = (run_dir(spark, n) for n in ("out", "ends", "progress"))
+    shards = views.all_shards(spark, sf_dir)
+
+    def keep(folder: str, columns: list[str]):
+        return lambda batch, cycle: batch.select(*columns).write.mode("overwrite").parquet(f"{folder}/cycle={cycle}")
+
+    cycles.read_in_cycles(
+        spark, _stored(spark, sf_dir), shards, path, keep(out, RECORD), n=PER_CYCLE, on_shard_end=keep(ends, SHARD)
+    )
+    return path, shards, spark.read.parquet(out), spark.read.parquet(ends)
+
+
+@query
+def read_in_cycles(spark, sf_dir):
+    """Per tracked shard: what was read, in later cycles than its parents and no more a cycle than asked
+    for, where it left progress, and how often its end was reported."""
+    path, shards, read, ends = _cycled(spark, sf_dir)
+    sizes = read.groupBy(*SHARD, "cycle").agg(F.count("*").alias("n"), F.sum(F.col("sequence_number").cast("bigint")).alias("numbers"))
+    spans = cut(
+        sizes.groupBy(*SHARD).agg(
+            F.min("cycle").alias("first"), F.max("cycle").alias("last"), F.max("n").alias("most"),
+            F.sum("n").alias("records"), F.sum("numbers").alias("numbers"),
+        )
+    )
+    above = spans.select("stream", F.col("shard_id").alias("parent_id"), F.col("last").alias("above"))
+    edges = lineage.lineage_edges(shards).join(above, ["stream", "parent_id"])
+    above = edges.groupBy("stream", F.col("child_id").alias("shard_id")).agg(F.max("above").alias("above"))
+    ended = ends.groupBy(*SHARD).agg(F.count("*").alias("ends"))
+    rows = tables.read_progress(spark, path).join(spans, SHARD, "left").join(above, SHARD, "left").join(ended, SHARD, "left")
+    zero = F.lit(0).cast("bigint")
+    return rows.select(
+        *SHARD, "checkpoint", F.coalesce("records", zero).alias("records"), F.coalesce("numbers", zero).alias("numbers"),
+        F.coalesce(F.col("above") < F.col("first"), F.lit(True)).alias("after_parents"),
+        F.coalesce(F.col("most") <= PER_CYCLE, F.lit(True)).alias("within_limit"), F.coalesce("ends", zero).alias("ends"),
+    )
+
+
+def _in_three_runs(spark, sf_dir, start) -> None:
+    """Run the writer that ``start`` makes of a stream three times, restarted as the log grows."""
+    path = run_dir(spark, "log")
+    log = views.change_log(spark, sf_dir).select(*RECORD, "event_name", "arrival_ts")
+    number = F.col("sequence_number").cast("bigint")
+    bounds = log.agg(F.min(number).alias("lo"), F.max(number).alias("hi")).first()
+    a, b = (bounds["lo"] + (bounds["hi"] - bounds["lo"]) * k // 7 for k in (2, 5))
+    for part in (number < a, number.between(a, b - 1), number >= b):
+        tables.write_change_log(log.filter(part), path)
+        process.run_to_end(start(tables.stream_change_log(spark, path, log.schema)))
+
+
+@query
+def stream_checkpoints(spark, sf_dir):
+    """Checkpoints every ten records, counted on over restarts."""
+    path, folder = run_dir(spark, "state"), run_dir(spark, "query")
+    _in_three_runs(spark, sf_dir, lambda stream: state.checkpoint_sink(stream, path, folder))
+    return state.read_state(spark, path).filter("checkpoint IS NOT NULL").select(*SHARD, "checkpoint")
+
+
+@query
+def stream_lag(spark, sf_dir):
+    path, folder = run_dir(spark, "state"), run_dir(spark, "query")
+    _in_three_runs(spark, sf_dir, lambda stream: state.lag_sink(stream, path, folder, _now()))
+    return state.read_state(spark, path).select(*SHARD, "behind_ms")
+
+
+@query
+def stream_throughput(spark, sf_dir):
+    """Windows that are closed when the stream has been read."""
+    log = views.event_stream(spark, sf_dir).withColumn("data", F.encode("sequence_number", "UTF-8"))
+    closed = metrics.stream_throughput(log.withColumn("arrival_ts", F.col("arrival_ts").cast("timestamp")), "6 hours", "1 hour")
+    return _collected(spark, closed).withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+#: Out of order, repeated, and late: the first part comes when all others are there.
+LATE = (3, 1, 3, 2, 1, 0, 2)
+
+
+def _late(spark, sf_dir, run: str | None) -> DataFrame:
+    path, log = views.stored_runs(spark, sf_dir, LATE, of=4)
+    return tables.stream_change_log(spark, path, log.schema, max_files_per_trigger=2, run=run)
+
+
+@query
+def stream_dedupe_late(spark, sf_dir):
+    """Default settings."""
+    return _collected(spark, replay.dedupe_replayed(_late(spark, sf_dir, None)).drop("arrival_ts"))
+
+
+@query
+def stream_dedupe_runs(spark, sf_dir):
+    """State of covered ranges per shard."""
+    return _collected(spark, replay.dedupe_replayed(_late(spark, sf_dir, "file"), run="file").drop("arrival_ts"))
+
+
+@query
+def stream_compact_buckets(spark, sf_dir):
+    """A replica compacted after every run: each compaction writes the touched buckets only."""
+    target, folder = run_dir(spark, "replica"), run_dir(spark, "query")
+    path = run_dir(spark, "log")
+    log = views.change_log(spark, sf_dir)
+    for part in (F.col("arrival_ts") < _half(), (F.col("arrival_ts") >= _half()) & (F.col("key_id") % 16 == 3), (F.col("arrival_ts") >= _half()) & (F.col("key_id") % 16 != 3)):
+        tables.write_change_log(log.filter(part), path)
+        stream = tables.stream_change_log(spark, path, log.schema)
+        process.run_to_end(replication.replicate_sink(stream, target, KEYS, VALUES, folder))
+        replication.compact_replica(spark, target, KEYS, VALUES)
+    replication.vacuum_replica(spark, target)
+    return replication.read_replica(spark, target, KEYS, VALUES)

@@ -93,6 +93,18 @@ def stored_stream(spark: SparkSession, sf_dir: str, files: int = 4, per_trigger:
     return reader.parquet(path)
 
 
+def stored_runs(spark: SparkSession, sf_dir: str, order: tuple[int, ...], of: int) -> tuple[str, DataFrame]:
+    """The log in ``of`` files of consecutive records, written in the given order, with repeats; and the log."""
+    log = change_log(spark, sf_dir).select(*SHARD, "sequence_number", "event_name", "arrival_ts")
+    path, number = run_dir(spark, "runs"), F.col("sequence_number").cast("bigint")
+    bounds = log.agg(F.min(number).alias("lo"), F.max(number).alias("hi")).first()
+    width = (bounds["hi"] - bounds["lo"]) // of + 1
+    for part in order:
+        low = bounds["lo"] + part * width
+        log.filter(number.between(low, low + width - 1)).coalesce(1).write.mode("append").parquet(path)
+    return path, log
+
+
 def as_skewed(log: DataFrame) -> DataFrame:
     """Nine in ten records moved to one shard, and half of these to one key."""
     hot = F.col("sequence_number").cast("bigint") % 10 > 0

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,6 +12,7 @@ from pyspark.sql.types import StructType
 from tideline import fixed
 from tideline.functions.ordering import is_number, sequence_key, sequence_order
 from tideline.operators import SHARD
+from tideline.sources.commits import CommitConflict, commit_next, publish, read_commit, versions
 from tideline.operators.reads import (
     apply_start_positions,
     apply_trim_policy,
@@ -156,15 +160,21 @@ def stream_change_log(
     schema: StructType,
     format: str = "parquet",
     max_files_per_trigger: int | None = None,
+    run: str | None = None,
 ) -> DataFrame:
-    """Continuous read of a stored log; a restarted query resumes from its own checkpoint."""
+    """Continuous read of a stored log; a restarted query resumes from its own checkpoint.
+
+    ``run`` names a column for the file a record comes from; files of a stored log hold consecutive
+    records of their shards.
+    """
     dated = StructType([*schema.fields])
     if format == "parquet":
         dated = dated.add(DIGITS, "integer").add(NUMBER, "string").add(DAY, "date")
     reader = spark.readStream.format(format).schema(dated)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return _plain(reader.load(path))
+    log = reader.load(path)
+    return _plain(log if run is None else log.withColumn(run, F.col("_metadata.file_path")))
 
 
 def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
@@ -174,31 +184,59 @@ def committed_folders(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().getParent().toString() for s in found or []]
 
 
-def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    """Finished ``version=N`` folders below a path, in order."""
-    folders = committed_folders(spark, f"{path}/version=*")
-    return sorted(int(f.rsplit("=", 1)[1]) for f in folders)
+def write_progress(progress: DataFrame, path: str, base: int | None = None) -> int:
+    """Store the next snapshot beside the earlier ones and commit it; readers see it from then on.
 
+    With ``base``, the version the rows were derived from, a commit by another writer since then is a
+    ``CommitConflict``; without, the snapshot takes the next free version.
+    """
+    spark = progress.sparkSession
+    content = _stored_snapshot(progress, path)
+    if base is None:
+        return commit_next(spark, path, lambda _version, _content: content)
+    if not publish(spark, path, base + 1, content):
+        raise CommitConflict(f"{path} has a version after {base}")
+    return base + 1
+
+
+def update_progress(
+    spark: SparkSession, path: str, update: Callable[[DataFrame | None], DataFrame], attempts: int = 10
+) -> int:
+    """Commit ``update`` of the newest snapshot (None: there is none yet).
+
+    If another writer commits first, the update is applied anew to what that one left, so that no
+    writer's changes are lost.
+    """
+    def build(version: int | None, content: dict | None) -> dict:
+        return _stored_snapshot(update(None if content is None else spark.read.parquet(f"{path}/{content['data']}")), path)
 
-def write_progress(progress: DataFrame, path: str) -> int:
-    """Store the next snapshot beside the earlier ones; readers see it once it is complete.
+    return commit_next(spark, path, build, attempts)
 
-    Of two writers that choose the same version, one fails.
-    """
-    versions = committed_versions(progress.sparkSession, path)
-    version = versions[-1] + 1 if versions else 0
-    progress.write.mode("errorifexists").parquet(f"{path}/version={version}")
-    return version
+
+def _stored_snapshot(rows: DataFrame, path: str) -> dict:
+    folder = f"data/{uuid.uuid4().hex}"
+    rows.write.parquet(f"{path}/{folder}")
+    return {"data": folder}
 
 
 def read_progress(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
-    """A progress snapshot, by default the newest complete one."""
+    """A progress snapshot, by default the newest one."""
     if version is None:
-        versions = committed_versions(spark, path)
-        if not versions:
+        known = versions(spark, path)
+        if not known:
             raise FileNotFoundError(f"no progress snapshot in {path}")
-        version = versions[-1]
-    return spark.read.parquet(f"{path}/version={version}")
+        version = known[-1]
+    return spark.read.parquet(f"{path}/{read_commit(spark, path, version)['data']}")
+
+
+def vacuum_progress(spark: SparkSession, path: str, keep: int = 10) -> int:
+    """Remove the data of all but the newest ``keep`` versions; how many. Their numbers stay taken."""
+    old = [read_commit(spark, path, v)["data"] for v in versions(spark, path)[:-keep]]
+    removed = 0
+    for folder in old:
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        removed += bool(where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True))
+    return removed
 
 
 def scan_table(spark: SparkSession, path: str, format: str = "parquet") -> DataFrame:

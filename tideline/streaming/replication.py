@@ -7,7 +7,8 @@ these into a new base. Deltas are named by query and batch, so a repeated batch
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,10 @@ from tideline.functions.ordering import sequence_key
 from tideline.functions.records import operation_kind
 from tideline.operators.replay import latest_changes
 from tideline.scale import cut, fits_broadcast
-from tideline.sources.tables import committed_folders, committed_versions
+from tideline.sources.commits import commit_next, read_commit, versions
+from tideline.sources.tables import committed_folders
+
+BUCKETS = 64
 
 
 def replicate_sink(
@@ -42,78 +46,101 @@ def _deltas(spark: SparkSession, target: str) -> list[tuple[str, int, str]]:
     return found
 
 
-def _merged(
-    spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]
-) -> tuple[DataFrame, dict[str, int]]:
-    """Last known change of each key, tombstones included, and the last batch of each query.
+def _newest(spark: SparkSession, target: str) -> dict:
+    known = versions(spark, target)
+    return read_commit(spark, target, known[-1]) if known else {"buckets": {}, "count": None, "folded": {}}
 
-    The deltas are reduced first; only base rows of their keys are merged with them, and while these
-    are few the base is not shuffled.
-    """
-    columns = [*keys, "event_name", "sequence_number", *values]
-    base, folded = None, {}
-    versions = committed_versions(spark, f"{target}/base")
-    if versions:
-        base = spark.read.parquet(f"{target}/base/version={versions[-1]}").select(*columns)
-        rows = spark.read.parquet(f"{target}/folded/version={versions[-1]}").collect()
-        folded = {r["query"]: r["batch"] for r in rows}
+
+def _changes(spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str], base: dict) -> tuple[DataFrame | None, dict[str, int]]:
+    """Last change of each key in the deltas a base has not folded in yet, and the last batch of each query."""
+    folded = dict(base["folded"])
     deltas = [d for d in _deltas(spark, target) if d[1] > folded.get(d[0], -1)]
-    if base is None and not deltas:
+    if not deltas and not base["buckets"]:
         raise FileNotFoundError(f"no replica at {target}")
     for query, batch, _ in deltas:
         folded[query] = max(batch, folded.get(query, -1))
     if not deltas:
-        return base, folded
-    stored = spark.read.parquet(*[folder for _, _, folder in deltas]).select(*columns)
-    changes = latest_changes(stored, keys, values)
-    if base is None:
-        return changes, folded
-    changes = cut(changes)
-    touched = changes.select(*keys)
-    if fits_broadcast(touched):
-        touched = F.broadcast(touched)
-    again = base.join(touched, list(keys), "left_semi")
-    merged = latest_changes(again.unionByName(changes), keys, values)
-    return base.join(touched, list(keys), "left_anti").unionByName(merged), folded
+        return None, folded
+    stored = spark.read.parquet(*[folder for _, _, folder in deltas]).select(*keys, "event_name", "sequence_number", *values)
+    return latest_changes(stored, keys, values), folded
+
+
+def _base_rows(spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str], folders: Iterable[str]) -> DataFrame:
+    rows = spark.read.parquet(*[f"{target}/{folder}" for folder in sorted(set(folders))])
+    return rows.select(*keys, "event_name", "sequence_number", *values)
 
 
 def read_replica(
     spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """The replica's current rows."""
-    merged, _ = _merged(spark, target, keys, values)
+    """The replica's current rows.
+
+    The deltas are reduced first; only base rows of their keys are merged with them, and while these
+    are few the base is not shuffled.
+    """
+    base = _newest(spark, target)
+    changes, _ = _changes(spark, target, keys, values, base)
+    if not base["buckets"]:
+        merged = changes
+    else:
+        merged = _base_rows(spark, target, keys, values, base["buckets"].values())
+        if changes is not None:
+            changes = cut(changes)
+            touched = changes.select(*keys)
+            if fits_broadcast(touched):
+                touched = F.broadcast(touched)
+            again = latest_changes(merged.join(touched, list(keys), "left_semi").unionByName(changes), keys, values)
+            merged = merged.join(touched, list(keys), "left_anti").unionByName(again)
     return merged.filter(operation_kind("event_name") == "upsert").select(*keys, *values)
 
 
 def compact_replica(
-    spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str]
+    spark: SparkSession, target: str, keys: Sequence[str], values: Sequence[str], buckets: int = BUCKETS
 ) -> int:
-    """Fold the deltas so far into a new base version, after which they are not read again.
+    """Fold the deltas so far into the base, after which they are not read again; the base's version.
 
-    Tombstones stay in the base, so that a late copy of an older change cannot bring a deleted
-    row back. The batches folded in are listed first and count once the base is complete.
+    The base is kept in buckets of keys, each with its own folder, and only the buckets whose keys have
+    changed are written anew: what is written follows the changes. The number of buckets is set by the
+    first compaction; large buckets are spread over several files. Tombstones stay in the base, so that a
+    late copy of an older change cannot bring a deleted row back. The new state is committed in one
+    step; of two compactions at once, the later one folds again.
     """
-    versions = committed_versions(spark, f"{target}/base")
-    version = versions[-1] + 1 if versions else 0
-    merged, folded = _merged(spark, target, keys, values)
-    listed = spark.createDataFrame(list(folded.items()), "query string, batch bigint")
-    listed.write.mode("overwrite").parquet(f"{target}/folded/version={version}")
-    merged.write.mode("overwrite").parquet(f"{target}/base/version={version}")
-    return version
+    def build(_version: int | None, newest: dict | None) -> dict:
+        base = newest or {"buckets": {}, "count": None, "folded": {}}
+        count = base["count"] or buckets
+        changes, folded = _changes(spark, target, keys, values, base)
+        if changes is None:
+            return base
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int").alias("bucket")
+        changes = cut(changes.select("*", bucket))
+        touched = [str(r["bucket"]) for r in changes.select("bucket").distinct().collect()]  # ``count`` at most
+        old = [base["buckets"][b] for b in touched if b in base["buckets"]]
+        rows = changes.drop("bucket")
+        if old:
+            rows = latest_changes(rows.unionByName(_base_rows(spark, target, keys, values, old)), keys, values)
+        folder = f"base/{uuid.uuid4().hex}"
+        placed = rows.select("*", bucket).repartitionByRange("bucket", *keys)
+        placed.write.partitionBy("bucket").parquet(f"{target}/{folder}")
+        return {"buckets": base["buckets"] | {b: f"{folder}/bucket={b}" for b in touched}, "count": count, "folded": folded}
+
+    return commit_next(spark, target, build)
 
 
 def vacuum_replica(spark: SparkSession, target: str) -> int:
-    """Remove the deltas that the newest base has folded in, and older bases; how many folders.
+    """Remove the deltas that the newest base has folded in, and buckets of older bases; how many folders.
 
-    Call it when no reader still uses an older base.
+    Call it when no reader still uses an older base and no compaction runs.
     """
-    versions = committed_versions(spark, f"{target}/base")
-    if not versions:
+    newest = _newest(spark, target)
+    if not newest["buckets"]:
         return 0
-    rows = spark.read.parquet(f"{target}/folded/version={versions[-1]}").collect()
-    folded = {r["query"]: r["batch"] for r in rows}
-    old = [folder for query, batch, folder in _deltas(spark, target) if batch <= folded.get(query, -1)]
-    old += [f"{target}/{part}/version={v}" for v in versions[:-1] for part in ("base", "folded")]
+    old = [folder for query, batch, folder in _deltas(spark, target) if batch <= newest["folded"].get(query, -1)]
+    used = set(newest["buckets"].values())
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/base/*/bucket=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    for folder in (s.getPath().toString() for s in found):
+        if "/".join(["base", *folder.rsplit("/", 2)[1:]]) not in used:
+            old.append(folder)
     for folder in old:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
