@@ -79,8 +79,51 @@ def discover_attributes(df: DataFrame, image: str) -> DataFrame:
     """Attribute names and types present in the data, with counts; one aggregate pass."""
     # The outer form keeps the optimizer from testing the image (and decoding it) twice.
     pairs = df.select(F.explode_outer(image).alias("name", "value")).filter("name IS NOT NULL")
-    tag = F.regexp_extract(F.schema_of_variant("value"), "^OBJECT<([A-Z]+): ", 1)
-    return pairs.groupBy("name", tag.alias("type")).agg(F.count("*").alias("n"))
+    return pairs.groupBy("name", _tag("value").alias("type")).agg(F.count("*").alias("n"))
+
+
+MAX_ATTRIBUTES = 10_000  # of a schema, which the driver holds; more are an error
+
+
+def infer_attributes(df: DataFrame, image: str) -> dict[str, tuple]:
+    """A schema for ``flatten_image`` from the data: ``{column: (name, type[, as_type])}``, by name.
+
+    An attribute of one type has one column of its name; NULL beside another type adds none, being
+    that column's null. One of several types has a column for each, named with the type. Numbers that are
+    all whole and fit become bigint, others that fit become double without a change of value, and the
+    rest stays text. One aggregate pass with map-side combine; a row per name and type is collected.
+    """
+    pairs = df.select(F.explode_outer(image).alias("name", "value")).filter("name IS NOT NULL")
+    number = F.try_variant_get("value", "$.N", "string")
+    exact = number.try_cast("decimal(38,18)") == number.try_cast("double").try_cast("decimal(38,18)")
+    found = (
+        pairs.select("name", _tag("value").alias("type"), number.alias("number"), F.coalesce(exact, F.lit(False)).alias("exact"))
+        .filter(F.col("type") != "")
+        .groupBy("name", "type")
+        .agg(
+            F.bool_and(F.coalesce(F.col("number").rlike("^[+-]?[0-9]+$"), F.lit(False)) & F.col("number").try_cast("bigint").isNotNull()).alias("whole"),
+            F.bool_and("exact").alias("exact"),
+        )
+        .limit(MAX_ATTRIBUTES + 1)
+        .collect()
+    )
+    if len(found) > MAX_ATTRIBUTES:
+        raise ValueError(f"more than {MAX_ATTRIBUTES} attributes")
+    types: dict[str, dict[str, tuple]] = {}
+    for row in sorted(found):
+        cast = ("bigint",) if row["whole"] else ("double",) if row["exact"] else ()
+        types.setdefault(row["name"], {})[row["type"]] = (row["name"], row["type"], *(cast if row["type"] == "N" else ()))
+    schema = {}
+    for name, specs in types.items():
+        if len(specs) > 1:
+            specs.pop("NULL", None)
+        for type, spec in specs.items():
+            schema[name if len(specs) == 1 else f"{name}_{type}"] = spec
+    return schema
+
+
+def _tag(value: Column | str) -> Column:
+    return F.regexp_extract(F.schema_of_variant(value), "^OBJECT<([A-Z]+): ", 1)
 
 
 def encode_attribute(c: Column | str, type: str) -> Column:

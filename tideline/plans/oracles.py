@@ -869,5 +869,17 @@ ORACLES: dict[str, str] = {
     "stream_dedupe_late": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
     "stream_dedupe_runs": _with(LOG, f"SELECT {RECORD}, event_name FROM log"),
     "stream_compact_buckets": MATERIALIZED,
+    "stream_forgetful_latest": MATERIALIZED,
+    "read_indexed": _with(
+        SHARDS,
+        """first AS (SELECT min((stream, shard_id)) AS f FROM (SELECT stream, shard_id FROM shards WHERE gen < 3 OR gen = 3
+          UNION ALL SELECT stream, 'gone-1' FROM shards))""",
+        f"SELECT {RECORD}, true AS fewer_files FROM log, first WHERE stream = f[1] AND shard_id = f[2]",
+    ),
+    "flatten_inferred": _with(
+        LOG,
+        """SELECT sequence_number, key_id AS id, new_event_type AS kind, new_value AS value,
+        CASE WHEN key_id % 2 = 0 THEN new_k END AS "mixed_N", CASE WHEN key_id % 2 <> 0 THEN CAST(new_k AS VARCHAR) END AS "mixed_S" FROM log""",
+    ),
 }
 ORACLES["stream_checkpoints"] = ORACLES["progress_checkpoints"]

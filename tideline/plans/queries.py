@@ -1067,3 +1067,52 @@ def stream_compact_buckets(spark, sf_dir):
         replication.compact_replica(spark, target, KEYS, VALUES)
     replication.vacuum_replica(spark, target)
     return replication.read_replica(spark, target, KEYS, VALUES)
+
+
+@query
+def stream_forgetful_latest(spark, sf_dir):
+    """The stateful image whose state forgets keys a day behind; the stream comes in order."""
+    out, folder = run_dir(spark, "updates"), run_dir(spark, "query")
+    path, log = run_dir(spark, "log"), views.change_log(spark, sf_dir)
+    number = F.col("sequence_number").cast("bigint")
+    bounds = log.agg(F.min(number).alias("lo"), F.max(number).alias("hi")).first()
+    middle = (bounds["lo"] + bounds["hi"]) // 2
+    for part in (number <= middle, number > middle):
+        log.filter(part).coalesce(1).write.mode("append").parquet(path)
+        stream = tables.stream_change_log(spark, path, log.schema, max_files_per_trigger=1)
+        process.run_to_end(process.update_sink(replication.stateful_latest(stream, KEYS, VALUES, forget="24 hours"), out, folder))
+    return replication.newest_updates(spark.read.parquet(out), KEYS, VALUES)
+
+
+@query
+def read_indexed(spark, sf_dir):
+    """One lagging shard among finished ones reads the files that hold its records, and no others."""
+    path = run_dir(spark, "log")
+    log = views.change_log(spark, sf_dir).select(*RECORD, "arrival_ts", "event_name")
+    tables.write_change_log(log, path, partitions=16)
+    tables.index_change_log(spark, path)
+    rows = views.as_progress(views.all_shards(spark, sf_dir), "late")
+    first = rows.agg(F.min(F.struct(*SHARD)).alias("f")).select("f.*")
+    lagging = first.select(*SHARD, F.lit(fixed.TRIM_HORIZON).alias("checkpoint"))
+    rest = rows.join(first, SHARD, "left_anti").select(*SHARD, F.lit(fixed.SHARD_END).alias("checkpoint"))
+    every = lagging.unionByName(rest)
+    chosen, held = tables.files_to_read(spark, path, every), spark.read.parquet(path).inputFiles()
+    fewer = F.lit(len(chosen) < len(held) // 2)
+    return tables.read_change_log(spark, path, every).select(*RECORD, fewer.alias("fewer_files"))
+
+
+@query
+def flatten_inferred(spark, sf_dir):
+    """Columns found in the data: whole numbers, fractions, and an attribute of two types."""
+    log = views.change_log(spark, sf_dir)
+    even = F.col("key_id") % 2 == 0
+    image = attributes.build_image({
+        "id": ("key_id", "N"), "kind": ("new_event_type", "S"), "value": ("new_value", "N"),
+        "mixed": (F.when(even, F.col("new_k")), "N"),
+    })
+    other = attributes.build_image({
+        "id": ("key_id", "N"), "kind": ("new_event_type", "S"), "value": ("new_value", "N"),
+        "mixed": (F.col("new_k").cast("string"), "S"),
+    })
+    images = log.select("sequence_number", F.when(even, image).otherwise(other).alias("image"))
+    return attributes.flatten_image(images, "image", attributes.infer_attributes(images, "image"), keep=["sequence_number"])

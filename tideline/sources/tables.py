@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,8 +60,10 @@ def scan_change_log(spark: SparkSession, path: str, since: Column | None = None)
     return _plain(_stored(spark, path, since))
 
 
-def _stored(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+def _stored(spark: SparkSession, path: str, since: Column | None = None, files: list[str] | None = None) -> DataFrame:
     log = spark.read.parquet(path)
+    if files is not None:
+        log = spark.read.option("basePath", path).parquet(*files) if files else log.filter(F.lit(False))
     if since is not None:
         log = log.filter((F.col(DAY) >= since.cast("date")) & (F.col("arrival_ts") >= since))
     return log
@@ -77,6 +80,60 @@ def _beyond(sequence: str, inclusive: bool = False) -> Column:
     return (F.col(DIGITS) > len(text)) | ((F.col(DIGITS) == len(text)) & later)
 
 
+MANIFEST = "_manifest"  # a folder that readers of the log do not see
+
+
+def index_change_log(spark: SparkSession, path: str) -> None:
+    """Add the files a stored log has gained to its manifest: which shards' numbers each holds.
+
+    A row per file and shard: reads by progress then open only files that hold what a shard still has to
+    read, however far apart the shards are. Files not listed yet are always read. One indexer at a time.
+    """
+    log = spark.read.parquet(path)
+    known = _names(_manifest(spark, path)) if _has_manifest(spark, path) else set()
+    new = [f for f in log.inputFiles() if _name(f) not in known]
+    if not new:
+        return
+    order = F.struct(F.col(DIGITS).alias("digits"), F.col(NUMBER).alias("text"))
+    rows = spark.read.option("basePath", path).parquet(*new).groupBy(F.col("_metadata.file_path").alias("file"), *SHARD)
+    folder = f"{path}/{MANIFEST}/{uuid.uuid4().hex}"
+    rows.agg(F.min(order).alias("low"), F.max(order).alias("high")).coalesce(1 + len(new) // 1000).write.parquet(folder)
+
+
+def _has_manifest(spark: SparkSession, path: str) -> bool:
+    return bool(committed_folders(spark, f"{path}/{MANIFEST}/*"))
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(*committed_folders(spark, f"{path}/{MANIFEST}/*"))
+
+
+def files_to_read(spark: SparkSession, path: str, progress: DataFrame) -> list[str] | None:
+    """Files of a stored log that may hold records beyond ``progress``; None without a manifest.
+
+    The names of files pass through the driver, as in every listing.
+    """
+    if not _has_manifest(spark, path):
+        return None
+    manifest = _manifest(spark, path)
+    checkpoint = F.col("checkpoint")
+    digits, text = sequence_order("checkpoint")
+    # the record at the checkpoint itself is kept, as in the scan's bounds
+    still = ~is_number(checkpoint) | (F.col("high") >= F.struct(digits.alias("digits"), text.alias("text")))
+    rows = progress.filter(~checkpoint.isin(fixed.LATEST, fixed.SHARD_END)).select(*SHARD, "checkpoint")
+    wanted, known = _names(manifest.join(rows, SHARD).filter(still)), _names(manifest)
+    return [f for f in spark.read.parquet(path).inputFiles() if _name(f) in wanted or _name(f) not in known]
+
+
+def _name(file: str) -> str:
+    """A file's path without its scheme, which is spelt in several ways."""
+    return unquote(urlparse(file).path)
+
+
+def _names(manifest: DataFrame) -> set[str]:
+    return {_name(f) for f, in manifest.select("file").distinct().collect()}
+
+
 def _within_progress(log: DataFrame, progress: DataFrame, timestamp: Column | None) -> DataFrame:
     """Stored records less what the progress rows' bounds exclude, which the scan can skip.
 
@@ -123,12 +180,14 @@ def read_change_log(
 ) -> DataFrame:
     """Bounded positioned read: per shard from ``progress``, else from one ``position``.
 
-    Positions reach the scan as conditions on stored columns, so files before them are skipped.
+    Positions reach the scan as conditions on stored columns, so files before them are skipped; where
+    the log is indexed (``index_change_log``), each shard's own position chooses the files.
     ``limit`` bounds the records per shard. Positions older than the retained data read from the
     oldest record there is, or with ``trim_policy="fail"`` make the query fail.
     """
     by_time = progress is None and position == fixed.AT_TIMESTAMP
-    log = _stored(spark, path, timestamp if by_time else None)
+    files = None if progress is None or trim_policy != "skip" else files_to_read(spark, path, progress)
+    log = _stored(spark, path, timestamp if by_time else None, files)
     if progress is not None:
         if trim_policy != "skip":
             progress = apply_trim_policy(progress, _plain(log), trim_policy)

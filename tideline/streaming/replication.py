@@ -8,11 +8,13 @@ these into a new base. Deltas are named by query and batch, so a repeated batch
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tideline.functions.ordering import sequence_key
 from tideline.functions.records import operation_kind
@@ -147,13 +149,46 @@ def vacuum_replica(spark: SparkSession, target: str) -> int:
     return len(old)
 
 
-def stateful_latest(stream: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+def stateful_latest(
+    stream: DataFrame, keys: Sequence[str], values: Sequence[str], forget: str | None = None
+) -> DataFrame:
     """Running last change of each key, kept in the state store; run in update mode.
 
     A built-in streaming aggregate: each task combines its rows per key before they are
-    shuffled, and a record that arrives late never replaces a newer one.
+    shuffled, and a record that arrives late never replaces a newer one. Its state keeps every key.
+    With ``forget``, a key and its tombstone are forgotten once all arrivals are that much newer than the
+    key's last change: no older record can come then that would have to be told from a newer one. So
+    with ``forget`` at least the stream's retention the emitted image stays right.
     """
-    return latest_changes(stream, keys, values)
+    if forget is None:
+        return latest_changes(stream, keys, values)
+    carried = [c for c in ("event_name", "sequence_number", *values) if c not in keys]
+    timed = stream.withColumn("_arrival", F.col("arrival_ts").cast("timestamp")).withWatermark("_arrival", forget)
+    rows = timed.select(*keys, *carried, "_arrival")
+    number = rows.columns.index("sequence_number")
+
+    def newest(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, arrived = (int(state.get[0]), state.get[1]) if state.exists else (-1, 0)
+        best = None
+        for chunk in chunks:
+            order = chunk.iloc[:, number].map(int)
+            arrived = max(arrived, int(chunk["_arrival"].max().timestamp() * 1000))
+            at = order.idxmax()
+            if order[at] > seen:
+                seen, best = order[at], chunk.loc[[at], [*keys, *carried]]
+        state.update((str(seen), arrived))
+        # the watermark is ``forget`` behind the newest arrival, so it passes the key's arrival that much later
+        state.setTimeoutTimestamp(max(arrived, state.getCurrentWatermarkMs()) + 1)
+        if best is not None:
+            yield best
+
+    schema = rows.drop("_arrival").schema
+    return rows.groupBy(*keys).applyInPandasWithState(
+        newest, schema, "sequence string, arrived bigint", "update", GroupStateTimeout.EventTimeTimeout
+    )
 
 
 def newest_updates(updates: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
