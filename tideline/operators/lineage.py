@@ -16,7 +16,7 @@ from tideline import fixed
 from tideline.functions.ordering import sequence_key
 from tideline.functions.shards import is_closed, parent_ids
 from tideline.operators import SHARD
-from tideline.scale import cut, step
+from tideline.scale import cut, step, step_counting
 
 SHARD_COLUMNS = [
     "stream",
@@ -274,6 +274,18 @@ def follow(frontier: DataFrame, edges: DataFrame, up: bool) -> list[DataFrame]:
     return levels
 
 
+def next_levels(frontier: DataFrame, edges: DataFrame, up: bool, seen: DataFrame) -> tuple[DataFrame, int, bool]:
+    """The shards of the next ``HOPS`` levels that are not ``seen``, their number, and whether the climb goes on.
+
+    It does not if none of them is in the last of these levels, which saves a step that finds nothing.
+    """
+    levels = follow(frontier, edges, up)
+    tagged = [df.withColumn("_last", F.lit(i == HOPS - 1)) for i, df in enumerate(levels)]
+    reached = reduce(DataFrame.unionByName, tagged).groupBy(*SHARD).agg(F.bool_or("_last").alias("_last"))
+    new, n, last = step_counting(reached.join(seen, SHARD, "left_anti"), F.col("_last"))
+    return new.drop("_last"), n, last > 0
+
+
 def lineage_depth(shards: DataFrame, edges: DataFrame | None = None) -> DataFrame:
     """(stream, shard_id, depth): the longest chain of known ancestors above each shard.
 
@@ -287,11 +299,13 @@ def lineage_depth(shards: DataFrame, edges: DataFrame | None = None) -> DataFram
         below = [
             df.withColumn("depth", F.lit(base + i + 1)) for i, df in enumerate(follow(level, edges, up=False))
         ]
-        reached, n = step(_deepest(below))
+        reached, n, last = step_counting(_deepest(below), F.col("depth") == base + HOPS)
         if n == 0:
             return _deepest(found)
         found.append(reached)
         base += HOPS
+        if last == 0:
+            return _deepest(found)
         # a shard of the last level has no greater depth in this step
         level = reached.filter(F.col("depth") == base).select(*SHARD)
         if base == 64:

@@ -19,9 +19,9 @@ from tideline.functions.shards import is_closed, parent_ids, shard_creation_time
 from tideline.operators import SHARD
 from tideline.operators.lineage import (
     closed_shard_violations,
-    follow,
     inconsistent_shards,
     lineage_edges,
+    next_levels,
     open_shards,
 )
 from tideline.operators.reads import apply_start_positions
@@ -46,16 +46,14 @@ def _visit_ancestors(edges: DataFrame, seeds: DataFrame, tracked: DataFrame) ->
     # edges above tracked shards are not followed
     climbed, _ = step(edges.join(ends, ["stream", "child_id"], "left_anti"))
     visited, total = step(seeds)
-    frontier, steps = visited, 0
-    while True:
-        above = reduce(DataFrame.unionByName, follow(frontier, climbed, up=True)).distinct()
-        frontier, n = step(above.join(hint_counted(visited, total), SHARD, "left_anti"))
-        if n == 0:
-            marked = visited.join(mark, SHARD, "left")
-            return cut(marked.select(*SHARD, F.coalesce("tracked", F.lit(False)).alias("tracked")))
+    frontier, steps, more = visited, 0, True
+    while more:
+        frontier, n, more = next_levels(frontier, climbed, True, hint_counted(visited, total))
         visited, total, steps = visited.unionByName(frontier), total + n, steps + 1
         if steps % 16 == 0:  # a plan of bounded width
             visited = cut(visited)
+    marked = visited.join(mark, SHARD, "left")
+    return cut(marked.select(*SHARD, F.coalesce("tracked", F.lit(False)).alias("tracked")))
 
 
 def _flow_down(edges: DataFrame, visited: DataFrame) -> DataFrame:
@@ -65,15 +63,13 @@ def _flow_down(edges: DataFrame, visited: DataFrame) -> DataFrame:
     )
     inner, _ = step(edges.join(untracked, ["stream", "child_id"], "left_semi"))
     reached, total = step(visited.filter("tracked").select(*SHARD))
-    frontier, steps = reached, 0
-    while True:
-        below = reduce(DataFrame.unionByName, follow(frontier, inner, up=False)).distinct()
-        frontier, n = step(below.join(hint_counted(reached, total), SHARD, "left_anti"))
-        if n == 0:
-            return reached
+    frontier, steps, more = reached, 0, True
+    while more:
+        frontier, n, more = next_levels(frontier, inner, False, hint_counted(reached, total))
         reached, total, steps = reached.unionByName(frontier), total + n, steps + 1
         if steps % 16 == 0:
             reached = cut(reached)
+    return reached
 
 
 def plan_new_progress(

@@ -55,10 +55,16 @@ def step(df: DataFrame) -> tuple[DataFrame, int]:
     Within ``BROADCAST_ROWS`` the result is hinted for broadcast, so that the next join against
     the edges does not shuffle them; the count bounds its size.
     """
+    df, rows, _ = step_counting(df, F.lit(False))
+    return df, rows
+
+
+def step_counting(df: DataFrame, which: Column) -> tuple[DataFrame, int, int]:
+    """The same, with the number of the rows for which ``which`` holds."""
     counted = Observation()
-    df = cut(df.observe(counted, F.count(F.lit(1)).alias("rows")))
-    rows = counted.get["rows"]
-    return hint_counted(df, rows), rows
+    df = cut(df.observe(counted, F.count(F.lit(1)).alias("rows"), F.count_if(which).alias("which")))
+    rows, found = counted.get["rows"], counted.get["which"]
+    return hint_counted(df, rows), rows, found
 
 
 def hint_counted(df: DataFrame, rows: int) -> DataFrame:
