@@ -63,3 +63,16 @@ def test_pipeline_on_awkward_tables(spark, tmp_path):
             docs = spark.read.parquet(f"{tmp_path}/{k}-{number}")
         assert {r["doc_id"] for r in docs.collect()} == ({2} if data else set())
         assert docs.filter(F.col("shard").isNull()).count() == 0
+
+
+def test_pipeline_keeps_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    names = ["_id", "_rows", "_text_key", "_kept_key", "_lang", "_source", "_src", "row", "size", "draw", "_size", "copies", "rate", "n_words", "_words"]
+    more = docs.withColumns({n: F.concat(F.lit(f"{n}-"), F.col("doc_id").cast("string")) for n in names})
+    for _, stage in corpus_pipeline.STAGES:
+        kept = stage(spark, more, SF_DIR)
+        assert kept.columns[: len(more.columns)] == more.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n}-{r['doc_id']}" for r in rows for n in names)
+        plain = stage(spark, docs, SF_DIR)
+        assert sorted(r["doc_id"] for r in rows) == sorted(r["doc_id"] for r in plain.collect())

@@ -204,8 +204,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, max_tokens: int = MAX_TOKE
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that leak an item."""
     leaking = find_leaks(docs.select("doc_id", "text"), benchmark).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_leak_key")
+        F.col("doc_id").alias("leak_id"), F.col("text_key").alias("leak_key")
     ).distinct()
-    keyed = docs.withColumn("_text_key", F.md5(F.col("text").cast("binary")))
-    same = keyed["doc_id"].eqNullSafe(leaking["_id"]) & (keyed["_text_key"] == leaking["_leak_key"])
-    return keyed.join(leaking, same, "left_anti").drop("_text_key")
+    # the row as a struct: its other columns cannot clash with these
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", F.md5(F.col("text").cast("binary")).alias("text_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("leak_id")) & (F.col("text_key") == F.col("leak_key"))
+    return keyed.join(leaking, same, "left_anti").select("row.*")

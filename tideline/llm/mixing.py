@@ -9,7 +9,8 @@ fraction with a hash of the row; the comparison's offset is set per source so th
 meet the target to within about one document.
 
 Nulls: a null text has no words, a null source is a source of its own and the last in order.
-Repeated rows count each and are copied alike. A source without words has target 0. An empty table
+Repeated rows count each; where they are numbered (``numbered_draws``) each has a draw of its own, so that a
+source of equal rows meets its target too, else they are copied alike. A source without words has target 0. An empty table
 has an empty result. Input columns named like a result are replaced.
 """
 
@@ -28,6 +29,7 @@ TOLERANCE = 1e-4
 MAX_STEPS = 100  # bisection alone needs fewer
 FLAT_TILT = 60.0  # beyond it every rate of a sized document is at an end
 HASH_BITS = 30
+EQUAL_ROWS = 1 << 16
 LEVELS = (11, 10, 10)  # bits of a rounding key fixed by each pass
 RESULTS = ("source_size", "target", "rate", "copies", "taken")
 
@@ -200,6 +202,23 @@ def draw_of(*columns: Column | str) -> Column:
     return F.xxhash64(*columns).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
 
 
+def numbered_draws(rows: DataFrame) -> DataFrame:
+    """Narrow ``rows`` with ``draw`` (``draw_of``), where each of several equal rows gets another draw.
+
+    Equal rows are counted, combined per task before the shuffle, and written out again by number; a
+    count of more than ``EQUAL_ROWS`` is dealt over tasks in portions.
+    """
+    columns = [c for c in rows.columns if c != "draw"]
+    counted = cut(rows.groupBy(*rows.columns).agg(F.count("*").alias("_n")))
+    few = counted.filter(F.col("_n") <= EQUAL_ROWS).select(*rows.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_i"))
+    many = counted.filter(F.col("_n") > EQUAL_ROWS)
+    portions = many.withColumn("_low", F.explode(F.sequence(F.lit(1), F.col("_n"), F.lit(EQUAL_ROWS)))).repartition("_low", "draw")
+    last = F.least(F.col("_low") + EQUAL_ROWS - 1, F.col("_n"))
+    many = portions.select(*rows.columns, F.explode(F.sequence(F.col("_low"), last)).alias("_i"))
+    draw = F.when(F.col("_i") == 1, F.col("draw")).otherwise(draw_of("draw", "_i"))
+    return few.unionByName(many).select(*columns, draw.alias("draw"))
+
+
 def repeat_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: every document as often as it is taken."""
     times = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_one")

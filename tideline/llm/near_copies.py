@@ -23,7 +23,7 @@ compared with all others, block by block. No bucket is dropped or cut short.
 Null texts are never copies. Texts without words are copies of equal texts only, shorter texts than
 ``K`` words of texts with the same words. Rows that share a doc_id are judged by their texts; the
 class of a row is the smallest doc_id in its group (null if the group has none). An empty table has
-an empty result.
+an empty result. Other columns are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -285,12 +285,13 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: of its smallest doc_id."""
     judged = near_copies(docs).filter("kept and text_key is not null")
-    keepers = judged.groupBy("doc_id", "text_key").agg(F.count("*").alias("_rows"))
-    keepers = keepers.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_kept_key"), "_rows")
-    keyed = docs.withColumn("_text_key", F.md5(F.col("text").cast("binary")))
-    same = keyed["doc_id"].eqNullSafe(keepers["_id"]) & (keyed["_text_key"] == keepers["_kept_key"])
+    keepers = judged.groupBy("doc_id", "text_key").agg(F.count("*").alias("rows"))
+    keepers = keepers.select(F.col("doc_id").alias("kept_id"), F.col("text_key").alias("kept_key"), "rows")
+    # the row as a struct: its other columns cannot clash with these
+    keyed = docs.select(F.struct("*").alias("row"), "doc_id", F.md5(F.col("text").cast("binary")).alias("text_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("text_key") == F.col("kept_key"))
     staying = keyed.join(keepers, same)
-    once = staying.filter("_rows = 1")
-    repeated = staying.filter("_rows > 1").dropDuplicates(["doc_id", "_text_key"])
+    once = staying.filter("rows = 1")
+    repeated = staying.filter("rows > 1").dropDuplicates(["doc_id", "text_key"])
     without = docs.filter(F.col("text").isNull())
-    return once.unionByName(repeated).select(*docs.columns).unionByName(without)
+    return once.unionByName(repeated).select("row.*").unionByName(without)

@@ -74,11 +74,11 @@ def _repeated(windows: Column) -> Column:
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts of each whole text."""
-    docs = docs.drop(*COUNTS)
-    text = F.coalesce(F.col(text), F.lit(""))
+    docs = docs.drop(*COUNTS).select(F.struct("*").alias("row"), F.col(text).alias("_text"))
+    text = F.coalesce(F.col("_text"), F.lit(""))
     with_word = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{BLANK}]"))
     docs = docs.select(
-        "*",
+        "row",
         word_list(text).alias("_words"),
         with_word.alias("_lines"),
         F.length(F.regexp_replace(text, f"[{BLANK}]+", "")).cast("bigint").alias("word_chars"),
@@ -101,8 +101,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     repeats = F.when(F.size(F.array_distinct(windows)) < F.size(windows), _repeated(windows)).otherwise(0)
     counts = F.struct(*[c for c in COUNTS if c != "n_repeat_words"], repeats.cast("bigint").alias("n_repeat_words"))
     # behind a generator, filters on the counts do not copy their expressions
-    kept = [c for c in docs.columns if c not in (*COUNTS, "_windows")]
-    return docs.select(*kept, F.inline(F.array(counts)))
+    return docs.select("row", F.inline(F.array(counts))).select("row.*", *COUNTS)
 
 
 def _failed() -> Column:
@@ -182,13 +181,16 @@ def judge(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     """
     measured = measured.drop("base_failed", "kept").withColumn("base_failed", _failed())
     limits = fences(cut(sketch(measured.filter(~F.col("base_failed")))), min_group)
-    keyed = measured.withColumns({"_lang": null_key("lang"), "_source": null_key("source")})
+    # the row as a struct: its other columns cannot clash with these
+    keyed = measured.select(
+        F.struct("*").alias("row"), *COUNTS, "base_failed", null_key("lang").alias("_lang"), null_key("source").alias("_source")
+    )
     judged = join_bounded(keyed, limits, ["_lang", "_source"], "left", spread="word_chars")
     inside = reduce(
         and_, [_value(m).between(F.col(f"_from_{m.name}"), F.col(f"_to_{m.name}")) for m in MEASURES]
     )
     kept = ~F.col("base_failed") & F.coalesce(inside, F.lit(True))
-    return judged.withColumn("kept", kept).select(*measured.columns, "kept")
+    return judged.select("row.*", kept.alias("kept"))
 
 
 def quality_rules(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:

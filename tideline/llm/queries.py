@@ -28,7 +28,7 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", "source", word_count(F.col("text")).alias("size"), mixing.draw_of("doc_id", "text").alias("draw")
     )
-    mixed = mixing.mix_sources(cut(docs))
+    mixed = mixing.mix_sources(cut(mixing.numbered_draws(docs)))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
