@@ -2,7 +2,8 @@
 
 Every stage takes and returns the columns of ``documents`` (the last adds curve and shard). Rows
 with null or empty texts are rejected by the first stage; the others handle them as their operators
-say. An empty table passes through all stages.
+say. An empty table passes through all stages. Other columns pass through them, whatever their names; a
+``curve`` or ``shard`` of the input is replaced.
 """
 
 from __future__ import annotations
@@ -15,8 +16,14 @@ from tideline.llm.common import table, word_count
 from tideline.scale import run_dir
 
 
+def _carried(docs: DataFrame, *needed: str) -> tuple[str, DataFrame]:
+    """What selects a row's own columns again, and rows as a struct beside what an operator needs."""
+    return "row.*", docs.select(F.struct("*").alias("row"), *needed)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.quality_rules(docs).filter("kept").select(*docs.columns)
+    row, given = _carried(docs, "text", "lang", "source")
+    return quality.quality_rules(given).filter("kept").select(row)
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,12 +35,14 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    sized = docs.withColumns({"size": word_count(F.col("text")), "draw": mixing.draw_of("doc_id", "text")})
-    return mixing.repeat_rows(mixing.mix_sources(sized), docs.columns)
+    row, given = _carried(docs, "doc_id", "text", "source")
+    sized = given.withColumns({"size": word_count(F.col("text")), "draw": mixing.draw_of("doc_id", "text")}).drop("doc_id", "text")
+    return mixing.repeat_rows(mixing.mix_sources(sized), ["row"]).select(row)
 
 
 def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.shard_documents(docs)
+    row, given = _carried(docs.drop("curve", "shard"), "doc_id", "text", "lang", "source")
+    return sharding.shard_documents(given).select(row, "curve", "shard")
 
 
 STAGES = [
