@@ -488,6 +488,13 @@ def test_repeats_awkward(awkward, empty):
     assert suffix_dedup.remove_repeats(empty.select("doc_id", "text")).count() == 0
 
 
+def test_buckets_of_spaced_ids():
+    """Evenly spaced ids are dealt over all buckets."""
+    for gap in (1, 200, 1000, 1 << 20):
+        sizes = np.bincount(suffix_dedup._bucket_of(np.arange(-10_000, 10_000) * gap, 200), minlength=200)
+        assert sizes.min() > 50 and sizes.max() < 160
+
+
 def test_merge_of_runs():
     rng = random.Random(13)
     runs = []

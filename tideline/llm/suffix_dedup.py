@@ -146,7 +146,7 @@ def _anchor_run(parts: int, keys, docs, places) -> Iterator[tuple]:
     sent_places = np.where(alone, places[first], NO_REPLY)
     part = (keys[first] % np.uint64(parts)).astype(np.int64)
     sure = np.flatnonzero(repeats)
-    sure_part = docs[sure] % parts
+    sure_part = _bucket_of(docs[sure], parts)
     for p in np.union1d(part, sure_part).tolist():
         mine, own = part == p, sure[sure_part == p]
         known = docs[own].tobytes() + places[own].tobytes()
@@ -177,9 +177,16 @@ def _send_anchors(parts: int) -> Callable:
     return send
 
 
+def _bucket_of(docs: np.ndarray, parts: int) -> np.ndarray:
+    """A document's bucket; of mixed bits, so that evenly spaced ids do not share one."""
+    mixed = docs.astype(np.int64).view(np.uint64) * np.uint64(_ODD)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(_ODD)
+    return ((mixed >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
 def _by_bucket(parts: int, docs: np.ndarray, *columns: np.ndarray) -> Iterator[tuple]:
     """(bucket, n, columns packed) of each bucket of documents."""
-    bucket = docs % parts
+    bucket = _bucket_of(docs, parts)
     order = np.argsort(bucket, kind="stable")
     ordered = bucket[order]
     for a, b in zip(*_document_starts(ordered), strict=True):
