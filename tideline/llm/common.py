@@ -130,30 +130,30 @@ def _mixed(members: DataFrame) -> DataFrame:
 
 
 def cross_pairs(
-    members: DataFrame, apart: int, small: int, further: DataFrame
+    members: DataFrame, apart: int, small: int, split: Callable[[DataFrame], DataFrame], splits: int
 ) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) of nodes in different components that share a bucket, and the members still to compare.
 
-    ``members`` is (node, t, bucket, component, ...), ``further`` (node, t2, value). All pairs of a bucket
-    with up to ``small`` nodes, and where up to ``apart`` nodes are outside the largest component
-    these with all nodes of the bucket, so that the pairs stay in proportion to its size. In other
-    buckets unrelated nodes meet in a frequent value: they are dealt again by bucket and a further
-    value. What is still that mixed is the second result, for ``block_links``.
+    ``members`` is (node, bucket, component, ...). All pairs of a bucket with up to ``small`` nodes, and where
+    up to ``apart`` nodes are outside the largest component these with all nodes of the bucket, so
+    that the pairs stay in proportion to its size. In other buckets unrelated nodes meet in a
+    frequent value: ``split`` deals their members again into finer buckets, ``splits`` times at most. What is
+    still that mixed is the second result, for ``block_links``.
     """
     found = []
-    for last in (False, True):
-        placed = members.join(cut(_mixed(members)), "bucket")
+    for left in range(splits, -1, -1):
+        placed = members.join(step(_mixed(members))[0], "bucket")
         direct = (F.col("_n") <= small) | (F.col("_apart") <= apart)
         few = placed.filter(direct)
         odd = few.filter("component <> _main").select("bucket", F.col("node").alias("_o"), F.col("component").alias("_c"))
         met = odd.join(few.select("bucket", "node", "component"), "bucket").filter("component <> _c")
         found.append(met.select(F.least("node", "_o").alias("a"), F.greatest("node", "_o").alias("b")))
-        many = placed.filter(~direct)
-        if last:
-            return cut(reduce(DataFrame.unionByName, found).distinct()), many
-        kept = [c for c in members.columns if c not in ("bucket", "t2")]
-        finer = many.join(further, "node").filter(F.col("t2") > F.col("t"))
-        members = cut(finer.select(*kept, "t2", F.xxhash64("bucket", "t2", "value").alias("bucket")))
+        many, dealt = placed.filter(~direct), 0
+        if left:
+            members, dealt = step(split(many.drop("_n", "_apart", "_main")))
+        if not dealt:
+            rest = many.filter(F.lit(False)) if left else many
+            return cut(reduce(DataFrame.unionByName, found).distinct()), rest
 
 
 def block_links(many: DataFrame, held: DataFrame, weight: Column, links: Callable) -> DataFrame:
@@ -164,7 +164,7 @@ def block_links(many: DataFrame, held: DataFrame, weight: Column, links: Callabl
     a task's rows are bounded. ``held`` has what ``links`` (a group function over both blocks'
     rows) compares, by node; ``links`` compares an ``odd`` row with the others.
     """
-    rows = many.select("node", "t", "t2", "bucket", "component", "_main").join(held, "node")
+    rows = many.drop("_n", "_apart").join(held, "node")
     sizes = rows.groupBy("bucket").agg(F.ceil(F.sum(weight) / BLOCK).cast("int").alias("_parts"))
     placed = rows.join(sizes, "bucket").withColumn("_block", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
     others = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))

@@ -10,15 +10,15 @@ subsequence of their labelled k-mers, over the k-mers of both less that. The ali
 at the diagonals that such a similarity allows.
 
 Equal texts are one node; pairs of nodes are compared if ``AGREEING`` of their values agree (all but
-2 in 10,000 pairs at the least similarity have as many, and more the more alike they are). A
+1 in 10,000 pairs at the least similarity have as many, and more the more alike they are). A
 group of copies is not compared pair by pair but with leaders. Each node is compared with one
 bucket's node of smallest doc_id, the one it shares most buckets with; then all nodes of
 buckets that still hold several components with the node whose buckets hold the most nodes, the
 middle of a group, and with the same among the nodes outside the largest component; at last the
 nodes of buckets up to ``SMALL`` with each other, and where ``APART`` nodes at most are still
 outside a bucket's largest component, these with all of its nodes. Larger mixed buckets are split by a
-second value (two must agree anyway); in what is still mixed, all nodes outside the largest component are
-compared with all others, block by block. No bucket is dropped or cut short.
+second value, then by a third and a fourth (as many must agree anyway); in what is still mixed, all nodes
+outside the largest component are compared with all others, block by block. No bucket is dropped or cut short.
 
 Null texts are never copies. Texts without words are copies of equal texts only, shorter texts than
 ``K`` words of texts with the same words. Rows that share a doc_id are judged by their texts; the
@@ -43,11 +43,11 @@ from tideline.scale import cut, join_bounded
 
 K = 5
 PICKED = 3
-SKETCHES = 16
+SKETCHES = 24
 MIN_SIMILARITY = 0.8
 SMALL = 16
 APART = 4
-AGREEING = 2
+AGREEING = 4
 _BLOCK_KMERS = 1024  # of a text that counts as one in a block
 NO_ID = -(1 << 63)
 _COLUMNS = 1 << 15  # k-mers hashed at once
@@ -188,9 +188,19 @@ def _verified(pairs: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFr
     return cut(similar.filter(F.col("_s") >= MIN_SIMILARITY - 1e-9).select("a", "b"))
 
 
+def _split(many: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Members dealt again by each of their values behind those they are dealt by."""
+    finer = many.join(nodes.select("node", "sketches"), "node")
+    finer = finer.select("node", "ts", "component", "bucket", F.posexplode("sketches").alias("t", "value"))
+    finer = finer.filter(F.col("t") > F.element_at("ts", -1))
+    bucket = F.xxhash64("bucket", "t", "value").alias("bucket")
+    return finer.select("node", F.array_append("ts", F.col("t")).alias("ts"), "component", bucket)
+
+
 def _block_verified(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links of a block's odd nodes with the others of the bucket; a pair is compared where its first two agreeing values are."""
-    t, t2 = int(rows["t"].iloc[0]), int(rows["t2"].iloc[0])
+    """Links of a block's odd nodes with the others of the bucket; a pair is compared where its first agreeing values are."""
+    chosen = np.asarray(rows["ts"].iloc[0])
+    before = np.setdiff1d(np.arange(chosen[-1]), chosen)
     odd, rest = rows[rows["odd"]], rows[~rows["odd"]]
     found, joined = [], Joined()
     if len(odd) and len(rest):
@@ -200,7 +210,7 @@ def _block_verified(rows: pd.DataFrame) -> pd.DataFrame:
         profiles = [np.frombuffer(p, np.uint32) for p in rest["profile"]]
         for node, component, values, size, profile in odd[["node", "component", "sketches", "kmers", "profile"]].itertuples(index=False):
             same = sketches == np.asarray(values)
-            able = same[:, t] & same[:, t2] & ~same[:, :t].any(1) & ~same[:, t + 1 : t2].any(1)
+            able = same[:, chosen].all(1) & ~same[:, before].any(1)
             able &= (np.minimum(sizes, size) >= MIN_SIMILARITY * np.maximum(sizes, size) - 1e-6)
             able &= (components != component) & (in_main | (nodes > node))
             mine = np.frombuffer(profile, np.uint32)
@@ -255,8 +265,8 @@ def near_copies(docs: DataFrame) -> DataFrame:
         found = _verified(leader_pairs(members, central, outside), nodes, profiles)
         links = cut(links.unionByName(found))
         members = with_component(members, connected_components(links))
-    further = nodes.select("node", F.posexplode("sketches").alias("t2", "value"))
-    pairs, many = cross_pairs(members, APART, SMALL, further)
+    dealt = members.select("node", F.array("t").alias("ts"), "component", "bucket")
+    pairs, many = cross_pairs(dealt, APART, SMALL, lambda many: _split(many, nodes), AGREEING - 1)
     held = nodes.select("node", "kmers", "sketches").join(profiles, "node")
     weight = 1 + F.col("kmers") / _BLOCK_KMERS
     links = links.unionByName(_verified(pairs, nodes, profiles)).unionByName(block_links(many, held, weight, _block_verified))
