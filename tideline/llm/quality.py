@@ -1,9 +1,10 @@
 """Quality rules whose cutoffs follow each language and source.
 
 Every document's measures go into mergeable quantile sketches (logarithmic buckets of relative
-width ``2 * ACCURACY``, whose counts add up), one per language, source and measure. A group too
-small to speak for itself takes the merged sketch of its language, then that of all documents. The
-quartiles give fences far outside the group's bulk; a document beyond a fence is rejected.
+width ``2 * ACCURACY``, whose counts add up), one per language, source and measure. A group's quartiles
+are blended with those of its language, and these with those of all documents: n documents of its own
+weigh n against ``PRIOR`` of the wider group, so small groups lean on it and large ones on themselves.
+The quartiles give fences far outside the group's bulk; a document beyond a fence is rejected.
 
 Null texts count as empty, null languages and sources are groups of their own, repeated rows count
 each time, an empty table has an empty result. Input columns named like a result are replaced.
@@ -28,7 +29,7 @@ MAX_REPEAT_PERCENT = 20
 ACCURACY = 0.01
 GAMMA = (1 + ACCURACY) / (1 - ACCURACY)
 FENCE = 6.0  # quartile distances
-MIN_GROUP = 200  # documents that make a sketch of their own
+PRIOR = 200  # documents that the wider group weighs against a group's own
 
 
 class Measure(NamedTuple):
@@ -126,7 +127,7 @@ def sketch(measured: DataFrame) -> DataFrame:
 
 
 def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per group of ``keys``: size and lower and upper quartile of each measure."""
+    """(keys, measure, _n, _low, _high): size and lower and upper quartile of each group and measure."""
     merged = sketches.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "measure")
     upto = group.orderBy(F.col("bucket").asc_nulls_first())
@@ -136,51 +137,41 @@ def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
     placed = merged.select(
         *keys, "measure", value.alias("x"), F.sum("n").over(upto).alias("_upto"), F.sum("n").over(group).alias("_all")
     )
-    stats = [F.max("_all").alias("_n")]
-    for m in MEASURES:
-        for name, q in (("low", 1), ("high", 3)):
-            reached = (F.col("measure") == m.name) & (4 * F.col("_upto") >= q * F.col("_all"))
-            stats.append(F.min(F.when(reached, F.col("x"))).alias(f"_{name}_{m.name}"))
-    return placed.groupBy(*keys).agg(*stats)
+    reached = [F.min(F.when(4 * F.col("_upto") >= q * F.col("_all"), F.col("x"))) for q in (1, 3)]
+    return placed.groupBy(*keys, "measure").agg(F.max("_all").alias("_n"), reached[0].alias("_low"), reached[1].alias("_high"))
+
 
+def _blended(own: DataFrame, wider: DataFrame, keys: list[str], prior: int) -> DataFrame:
+    """``own`` quartiles drawn towards those of the group around it, which shares ``keys``."""
+    around = wider.select(*keys, F.col("_low").alias("_wide_low"), F.col("_high").alias("_wide_high"))
+    drawn = {
+        f"_{end}": (F.col("_n") * F.col(f"_{end}") + prior * F.col(f"_wide_{end}")) / (F.col("_n") + prior)
+        for end in ("low", "high")
+    }
+    return own.join(around, keys).withColumns(drawn).drop("_wide_low", "_wide_high")
 
-def fences(sketches: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+
+def fences(sketches: DataFrame, prior: int = PRIOR) -> DataFrame:
     """Per language and source, the accepted range of each measure (_from_*, _to_*)."""
-    own = quartiles(sketches, ["_lang", "_source"])
-    names = [c for c in own.columns if c not in ("_lang", "_source")]
-
-    def as_struct(df: DataFrame, keys: list[str], name: str) -> DataFrame:
-        return df.select(*keys, F.struct(*names).alias(name))
-
-    by_lang = as_struct(quartiles(sketches, ["_lang"]), ["_lang"], "_by_lang")
-    total = as_struct(quartiles(sketches.withColumn("_every", F.lit(0)), ["_every"]), ["_every"], "_total")
-    # one row of a few numbers
-    joined = (
-        as_struct(own, ["_lang", "_source"], "_own")
-        .join(by_lang, "_lang")
-        .withColumn("_every", F.lit(0))
-        .join(F.broadcast(total), "_every")
-    )
-    q = F.when(F.col("_own._n") >= min_group, F.col("_own")).when(
-        F.col("_by_lang._n") >= min_group, F.col("_by_lang")
-    ).otherwise(F.col("_total"))
-    chosen = joined.select("_lang", "_source", q.alias("_q"))
+    by_lang = _blended(quartiles(sketches, ["_lang"]), quartiles(sketches, []), ["measure"], prior)
+    chosen = _blended(quartiles(sketches, ["_lang", "_source"]), by_lang, ["_lang", "measure"], prior)
     limits = []
     for m in MEASURES:
-        low, high = F.col(f"_q._low_{m.name}"), F.col(f"_q._high_{m.name}")
-        reach = F.greatest(FENCE * (high - low), F.lit(m.margin))
-        limits += [(low - reach).alias(f"_from_{m.name}"), (high + reach).alias(f"_to_{m.name}")]
-    return chosen.select("_lang", "_source", *limits)
+        reach = F.greatest(FENCE * (F.col("_high") - F.col("_low")), F.lit(m.margin))
+        mine = F.col("measure") == m.name
+        limits.append(F.max(F.when(mine, F.col("_low") - reach)).alias(f"_from_{m.name}"))
+        limits.append(F.max(F.when(mine, F.col("_high") + reach)).alias(f"_to_{m.name}"))
+    return chosen.groupBy("_lang", "_source").agg(*limits)
 
 
-def judge(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
+def judge(measured: DataFrame, prior: int = PRIOR) -> DataFrame:
     """Measured documents with ``base_failed`` and ``kept``.
 
     The sketches describe the documents that pass the base rules; their fences join the documents
     again by language and source (broadcast when measured small, else salted).
     """
     measured = measured.drop("base_failed", "kept").withColumn("base_failed", _failed())
-    limits = fences(cut(sketch(measured.filter(~F.col("base_failed")))), min_group)
+    limits = fences(cut(sketch(measured.filter(~F.col("base_failed")))), prior)
     # the row as a struct: its other columns cannot clash with these
     keyed = measured.select(
         F.struct("*").alias("row"), *COUNTS, "base_failed", null_key("lang").alias("_lang"), null_key("source").alias("_source")
@@ -193,10 +184,10 @@ def judge(measured: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     return judged.select("row.*", kept.alias("kept"))
 
 
-def quality_rules(docs: DataFrame, text: str = "text", min_group: int = MIN_GROUP) -> DataFrame:
+def quality_rules(docs: DataFrame, text: str = "text", prior: int = PRIOR) -> DataFrame:
     """``docs`` with its counts, ``base_failed`` and ``kept``; reads the texts twice.
 
     Where texts are not wanted in the result, store ``measure(docs)`` without them and ``judge``
     that, which reads them once.
     """
-    return judge(measure(docs, text), min_group)
+    return judge(measure(docs, text), prior)

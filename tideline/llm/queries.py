@@ -230,12 +230,14 @@ sketch AS (
 {_quartiles("own", "lang, source,")},
 {_quartiles("by_lang", "lang,")},
 {_quartiles("everything", "")},
+around AS (
+  SELECT l.lang, l.measure, (l.total * l.low + {quality.PRIOR} * e.low) / (l.total + {quality.PRIOR}) AS low,
+    (l.total * l.high + {quality.PRIOR} * e.high) / (l.total + {quality.PRIOR}) AS high
+  FROM by_lang l JOIN everything e ON e.measure = l.measure),
 chosen AS (
-  SELECT o.lang, o.source, o.measure,
-    CASE WHEN o.total >= {quality.MIN_GROUP} THEN o.low WHEN l.total >= {quality.MIN_GROUP} THEN l.low ELSE e.low END AS low,
-    CASE WHEN o.total >= {quality.MIN_GROUP} THEN o.high WHEN l.total >= {quality.MIN_GROUP} THEN l.high ELSE e.high END AS high
-  FROM own o JOIN by_lang l ON l.lang IS NOT DISTINCT FROM o.lang AND l.measure = o.measure
-  JOIN everything e ON e.measure = o.measure),
+  SELECT o.lang, o.source, o.measure, (o.total * o.low + {quality.PRIOR} * a.low) / (o.total + {quality.PRIOR}) AS low,
+    (o.total * o.high + {quality.PRIOR} * a.high) / (o.total + {quality.PRIOR}) AS high
+  FROM own o JOIN around a ON a.lang IS NOT DISTINCT FROM o.lang AND a.measure = o.measure),
 outside AS (
   SELECT DISTINCT doc_id FROM measures m JOIN chosen c
     ON c.lang IS NOT DISTINCT FROM m.lang AND c.source IS NOT DISTINCT FROM m.source AND c.measure = m.measure
