@@ -108,6 +108,21 @@ def test_quality_verdict(spark, awkward, empty):
     assert not judged.filter("text is null and kept").count()
 
 
+def test_fences_move_smoothly(spark):
+    """One document more moves a small group's fences a little, whatever its size."""
+    rng = random.Random(21)
+    wide = [(i, " ".join("w" * rng.randint(1, 4) for _ in range(40)), "en", "a", 0, *["x"] * 7) for i in range(400)]
+    wide = [(*r[:5], 9, *r[6:]) for r in wide]
+    seen = []
+    for n in (0, 1, 198, 199, 200, 201, 2000):
+        own = [(1000 + i, " ".join("w" * 12 for _ in range(40)), "en", "b", 0, 9, *["x"] * 6) for i in range(n)]
+        measured = quality.measure(spark.createDataFrame(wide + own, SCHEMA)).withColumn("base_failed", F.lit(False))
+        limits = {r["_source"]: r for r in quality.fences(quality.sketch(measured)).collect()}
+        seen.append(limits["=b"]["_to_mean_word"] if n else None)
+    assert max(abs(b - a) for a, b in zip(seen[2:5], seen[3:6], strict=True)) < 0.2
+    assert 14 <= seen[6] < 18 and seen[6] < seen[2]
+
+
 # 1 mixing --------------------------------------------------------------------------------
 
 
@@ -351,6 +366,84 @@ def test_leak_parts_and_drop(spark, awkward, empty):
     assert decontaminate.drop_leaking(empty, b).count() == 0
 
 
+def test_leaks_in_parts(spark):
+    """Runs mixed up at one place, exchanged first names, and altered words leak; short mix-ups do not."""
+    rng = random.Random(22)
+    words = [rng.choice("ab cd ef gh ij kl mn op".split()) + "x" * (k % 11) for k in range(70)]
+    words[10] = words[30] = words[60] = "17"
+    passage = " ".join(words)
+    once = " ".join(words[:30] + ["18"] + words[31:])
+    names = "Tom has 5 apples today. Tom gives Ann 3 apples. Ann keeps 3 apples at home. Tom eats 2 apples alone."
+    other = names.replace("Tom", "Eve").replace("Ann", "Kim")
+    mixed = names.replace("Tom has", "Eve has").replace("Tom eats", "Zoe eats").replace("Ann keeps", "Eve keeps")
+    altered = " ".join("zz" if k % 10 == 9 else w for k, w in enumerate(words))
+    inserted = " ".join(w for k, v in enumerate(words) for w in ([v, "zz"] if k % 12 == 11 else [v]))
+    docs = [once, other, mixed, altered, inserted, "some other words " * 30]
+    assert {(d, i) for d, i in leaks_of(spark, docs, [passage, names])} == {(0, 0), (1, 1), (3, 0), (4, 0)}
+
+
+def brute_leak(item, doc):
+    """Whether a text leaks an item, over all diagonals and all stretches, without hashes."""
+
+    def tokens(text, initial):
+        out, before, number = [], True, False
+        for t in re.findall(r"[^\W\d_]+|\d+(?:[.,]\d+)*|[%$€£]|[.!?:;\n]", text):
+            if t in ".!?:;\n":
+                before = True
+                continue
+            unit = t.lower() in decontaminate.UNITS.split()
+            kind = "#" if t[0].isdigit() else "u" if unit and number else "N" if t[0].isupper() and not unit and (initial or not before) else None
+            out.append((kind, t.lower()))
+            before, number = False, t[0].isdigit()
+        return out
+
+    def agree(pairs):
+        return all((x == v) == (y == w) for x, y in pairs for v, w in pairs)
+
+    for initial in (False, True):
+        a, b = tokens(item, initial), tokens(doc, initial)
+        same = lambda x, y: x[0] == y[0] and (x[0] is not None or x[1] == y[1])
+        if 0 < len(a) < 8:
+            if len(a) == len(b) and all(map(same, a, b)) and agree([(x[1], y[1]) for x, y in zip(a, b, strict=True) if x[0]]):
+                return True
+            continue
+        for shift in range(-len(a) + 1, len(b)):
+            run = []
+            for i in range(len(a) + 1):
+                j = i + shift
+                if i < len(a) and 0 <= j < len(b) and same(a[i], b[j]):
+                    run.append((a[i], b[j]))
+                    continue
+                part = lambda lo, hi: agree({(x[1], y[1]) for x, y in run[lo:hi] if x[0]})  # noqa: B023, E731
+                if len(run) >= 8 and len(run) >= min(13, len(a) / 2) and part(0, len(run)):
+                    return True
+                if len(run) >= 26 and any(part(lo, lo + 26) for lo in range(len(run) - 25)):
+                    return True
+                run = []
+    return False
+
+
+def test_leaks_against_brute_force(spark):
+    rng = random.Random(23)
+    vocabulary = "he she buys sells Anna Bob Carla 3 5 12 km apples . ? the of for each".split()
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [" ".join(draw(rng.choice((4, 9, 16, 24, 40)))) for _ in range(25)]
+    docs = []
+    for _ in range(80):
+        copy = rng.choice(items).split()
+        swap = dict(zip(("Anna", "Bob", "3", "5"), rng.choice((("Dora", "Eli", "8", "9"), ("Bob", "Anna", "5", "3"), ("Eli", "Eli", "8", "8"))), strict=True))
+        copy = [swap.get(w, w) for w in copy] if rng.random() < 0.6 else copy
+        if rng.random() < 0.4:
+            copy[rng.randrange(len(copy))] = rng.choice(("7", "Ida", "word"))
+        docs.append(" ".join(copy if rng.random() < 0.3 else draw(rng.randint(0, 12)) + copy + draw(rng.randint(0, 12))))
+    got = leaks_of(spark, docs, items)
+    missed = [(d, i) for d, t in enumerate(docs) for i, x in enumerate(items) if items.index(x) == i and brute_leak(x, t) and (d, i) not in got]
+    assert not missed and len(got) > 30
+    for d, i in set(got) - {(d, i) for d, t in enumerate(docs) for i, x in enumerate(items) if brute_leak(x, t)}:
+        words = got[d, i]  # several runs in sum
+        assert words["run"] >= min(26, words["item_words"] / 2) and words["run"] >= 16
+
+
 # 9 near copies ---------------------------------------------------------------------------
 
 

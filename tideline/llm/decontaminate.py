@@ -1,37 +1,48 @@
 """Benchmark passages in documents, found through templates.
 
 A text becomes a row of tokens in which numbers, units (after a number) and names (capitalised
-words that do not start a sentence) are typed placeholders and other words are lower-cased.
-Windows of ``WINDOW`` template tokens of the benchmark are looked up by hash in every document. A
-document and an item that share windows are aligned, token by token, on the diagonals of these; the
+words) are typed placeholders and other words are lower-cased. A capitalised word that starts a
+sentence may be either, so a text has two templates: one takes all of these as words, one as names.
+Windows of ``WINDOW`` template tokens of the documents are joined by hash with those of the benchmark. A
+document and an item that share windows are aligned, token by token, on the diagonals of these; an
 aligned run must agree in its slots: one value of the benchmark always stands for one value of the
 document and the other way round, so that numbers or names may have been exchanged but not mixed up.
-A document leaks an item if such a run has ``MIN_RUN`` tokens or ``MIN_SHARE`` of the item.
+
+A document leaks an item if such a run has ``MIN_RUN`` tokens or ``MIN_SHARE`` of the item; if a run
+that is mixed up has a part of ``2 * MIN_RUN`` tokens that is not; or if runs of a window or more, on
+diagonals up to ``WINDOW`` apart and in order, agree in their slots all together and have
+``2 * MIN_RUN`` tokens or ``MIN_SHARE`` of the item in sum.
 
 An item shorter than a window leaks only into a document that consists of it. Items without tokens
 leak nowhere; equal items are one, under their smallest item_id. Null documents leak nothing,
-repeated rows are judged each. The benchmark is broadcast in parts of about ``MAX_TOKENS`` tokens,
-each compared with all documents. An empty table on either side gives an empty result.
+repeated rows are judged each, texts of any length are taken whole. Windows of the benchmark are broadcast only
+when measured small, else both sides are shuffled; the driver sees neither. Each different text is
+aligned once, with ``ITEMS`` items or so at a time. An empty table on either side gives an empty result.
+Other columns, whatever their names, are no input; ``drop_leaking`` keeps them.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+
+from tideline.scale import cut, join_bounded
 
 WINDOW = 8
 MIN_RUN = 13
 MIN_SHARE = 0.5
-MAX_TOKENS = 1_000_000
+MAX_TOKENS = 1_000_000  # of the benchmark, whose windows are broadcast
+ITEMS = 64  # items that a text is aligned with at a time
 #: Unit words and signs, recognised after a number.
 UNITS = (
     "% $ € £ mm cm m km mg g kg t ml l s ms min h w kw v a hz n j pa inch inches foot feet yard yards mile miles "
@@ -52,6 +63,10 @@ def _hash(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
+_LONGS = ArrayType(LongType())
+_FOUND = ("item_id", "item_words", "run", "slots", "changed")
+
+
 class _Tokens(dict):
     """Token to hash, with its kind in the lowest three bits; remembers the tokens seen last."""
 
@@ -73,11 +88,11 @@ class _Tokens(dict):
 
 
 class Template(NamedTuple):
-    """A text's tokens: values, and values with slots replaced by their type."""
+    """A text's tokens, and both templates: with first words of sentences as words, and as names."""
 
     values: np.ndarray
-    forms: np.ndarray
-    slots: np.ndarray
+    forms: tuple[np.ndarray, np.ndarray]
+    slots: tuple[np.ndarray, np.ndarray]
 
 
 def canonical(text: str, tokens: _Tokens) -> Template:
@@ -88,8 +103,21 @@ def canonical(text: str, tokens: _Tokens) -> Template:
     after_stop = np.concatenate([[True], ~word[:-1]])[: len(codes)][word]
     kinds, values = kinds[word], codes[word] & ~np.uint64(7)
     after_number = np.concatenate([[False], kinds[:-1] == _NUMBER])[: len(kinds)]
-    slot = (kinds == _NUMBER) | ((kinds == _CAPITAL) & ~after_stop) | ((kinds == _UNIT) & after_number)
-    return Template(values, np.where(slot, _SLOTS[kinds], values), slot)
+    name = kinds == _CAPITAL
+    sure = (kinds == _NUMBER) | (name & ~after_stop) | ((kinds == _UNIT) & after_number)
+    slots = (sure, sure | name)
+    return Template(values, tuple(np.where(s, _SLOTS[kinds], values) for s in slots), slots)
+
+
+def text_windows(doc: Template) -> np.ndarray:
+    """The different hashes of a text's windows, or of all of a text that is shorter than one."""
+    size = min(WINDOW, len(doc.values))
+    if not size:
+        return np.zeros(0, np.int64)
+    both = np.concatenate([window_hashes(f, size) for f in doc.forms])
+    if size < WINDOW:
+        both = both * _ODD + np.uint64(size)
+    return np.unique(both).view(np.int64)
 
 
 def window_hashes(forms: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -102,103 +130,164 @@ def window_hashes(forms: np.ndarray, size: int = WINDOW) -> np.ndarray:
     return total ^ (total >> np.uint64(29))
 
 
-class Benchmark:
-    """Items and their windows, sorted by hash."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        tokens = _Tokens()
-        self.ids = [i for i, _ in items]
-        self.items = [canonical(t, tokens) for _, t in items]
-        hashes = [window_hashes(t.forms) for t in self.items]
-        owner = np.repeat(np.arange(len(items)), [len(h) for h in hashes])
-        place = np.concatenate([np.arange(len(h)) for h in hashes] or [np.zeros(0, int)])
-        joined = np.concatenate(hashes or [np.zeros(0, np.uint64)])
-        order = np.argsort(joined, kind="stable")
-        self.hashes, self.owner, self.place = joined[order], owner[order], place[order]
-        self.short: dict[bytes, list[int]] = {}
-        for i, t in enumerate(self.items):
-            if 0 < len(t.forms) < WINDOW:
-                self.short.setdefault(t.forms.tobytes(), []).append(i)
-
-    def leaks(self, doc: Template) -> Iterator[tuple[int, int, int, int, int]]:
-        """(item number, item tokens, run, slots, changed slots) of each item the document leaks."""
-        if len(doc.forms) < WINDOW:
-            for i in self.short.get(doc.forms.tobytes(), ()):
-                if found := _aligned(self.items[i], doc, 0):
-                    yield i, len(doc.forms), *found
-            return
-        windows = window_hashes(doc.forms)
-        left = np.searchsorted(self.hashes, windows, "left")
-        hit = np.flatnonzero(self.hashes[np.minimum(left, len(self.hashes) - 1)] == windows) if len(self.hashes) else ()
-        if not len(hit):
-            return
-        many = np.searchsorted(self.hashes, windows[hit], "right") - left[hit]
-        entry = np.repeat(left[hit] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        pairs = np.stack([self.owner[entry], np.repeat(hit, many) - self.place[entry]], 1)
-        best: dict[int, tuple[int, int, int]] = {}
-        for i, shift in np.unique(pairs, axis=0).tolist():
-            item = self.items[i]
-            found = _aligned(item, doc, shift)
-            if found and (found[0] >= MIN_RUN or found[0] >= MIN_SHARE * len(item.forms)):
-                best[i] = max(best.get(i, found), found)
-        for i, found in best.items():
-            yield i, len(self.items[i].forms), *found
-
-
-def _aligned(item: Template, doc: Template, shift: int) -> tuple[int, int, int] | None:
-    """(tokens, slots, changed slots) of the longest run on a diagonal whose slots agree."""
-    start, end = max(0, -shift), min(len(item.forms), len(doc.forms) - shift)
-    same = np.concatenate([[False], item.forms[start:end] == doc.forms[start + shift : end + shift], [False]])
-    edges = np.flatnonzero(same[1:] != same[:-1])
-    best = None
-    for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-        at = start + lo + np.flatnonzero(item.slots[start + lo : start + hi])
-        pairs = np.unique(np.stack([item.values[at], doc.values[at + shift]], 1), axis=0)
-        if len(np.unique(pairs[:, 0])) == len(pairs) == len(np.unique(pairs[:, 1])):
-            changed = int((item.values[at] != doc.values[at + shift]).sum())
-            best = max(best or (0, 0, 0), (hi - lo, len(at), changed))
-    return best
+class Run(NamedTuple):
+    """Tokens ``start`` to ``end`` of an item that equal those of the document ``shift`` later."""
 
+    start: int
+    end: int
+    shift: int
 
-_FOUND = ("item_id", "item_words", "run", "slots", "changed")
+
+def _runs(item: Template, doc: Template, shift: int, form: int) -> Iterator[Run]:
+    start, end = max(0, -shift), min(len(item.values), len(doc.values) - shift)
+    equal = item.forms[form][start:end] == doc.forms[form][start + shift : end + shift]
+    same = np.concatenate([[False], equal, [False]])
+    edges = start + np.flatnonzero(same[1:] != same[:-1])
+    for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        yield Run(lo, hi, shift)
+
+
+def _slot_pairs(item: Template, doc: Template, run: Run, form: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """Places of a run's slots, and their values in the item and the document."""
+    at = run.start + np.flatnonzero(item.slots[form][run.start : run.end])
+    return at.tolist(), list(zip(item.values[at].tolist(), doc.values[at + run.shift].tolist(), strict=True))
+
+
+def _one_to_one(pairs: set[tuple[int, int]]) -> bool:
+    return len({x for x, _ in pairs}) == len(pairs) == len({y for _, y in pairs})
+
+
+def _longest_part(run: Run, at: list[int], pairs: list[tuple[int, int]]) -> Run:
+    """The longest part of a run whose slots agree."""
+    there, back, held = {}, {}, Counter()
+    best, start, left = Run(run.start, run.start, run.shift), run.start, 0
+    for k, (x, y) in enumerate(pairs):
+        while there.get(x, y) != y or back.get(y, x) != x:
+            gone = pairs[left]
+            held[gone] -= 1
+            if not held[gone]:
+                del there[gone[0]], back[gone[1]]
+            start, left = at[left] + 1, left + 1
+        there[x], back[y] = y, x
+        held[x, y] += 1
+        end = at[k + 1] if k + 1 < len(at) else run.end
+        if end - start > best.end - best.start:
+            best = Run(start, end, run.shift)
+    return best
 
 
-def _leaking(held: Broadcast) -> Callable:
-    """Function of a text column: the leaked items, as parallel arrays."""
+def leak(item: Template, doc: Template) -> tuple[int, int, int] | None:
+    """(tokens, slots, changed slots) of the largest agreement that is a leak."""
+    n, best = len(item.values), None
+    enough = MIN_SHARE * n
+
+    def take(tokens: int, pairs: list[tuple[int, int]]) -> None:
+        nonlocal best
+        best = max(best or (0, 0, 0), (tokens, len(pairs), sum(x != y for x, y in pairs)))
+
+    for form in (0, 1):
+        pieces = []
+        for shift in _shifts(item, doc, form):
+            for run in _runs(item, doc, shift, form):
+                at, pairs = _slot_pairs(item, doc, run, form)
+                tokens = run.end - run.start
+                if _one_to_one(set(pairs)):
+                    if tokens >= min(MIN_RUN, enough):
+                        take(tokens, pairs)
+                    if tokens >= WINDOW:
+                        pieces.append((run, pairs))
+                elif tokens >= 2 * MIN_RUN:
+                    part = _longest_part(run, at, pairs)
+                    if part.end - part.start >= 2 * MIN_RUN:
+                        take(part.end - part.start, _slot_pairs(item, doc, part, form)[1])
+        for tokens, pairs in _chains(pieces):
+            if tokens >= min(2 * MIN_RUN, enough):
+                take(tokens, pairs)
+    return best
 
-    @pandas_udf(", ".join(f"{n} array<bigint>" for n in _FOUND))
-    def leaking(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bench, tokens = Benchmark(held.value), _Tokens()
-        for batch in batches:
-            rows = []
-            for text in batch:
-                found = sorted((bench.ids[i], *rest) for i, *rest in bench.leaks(canonical(text, tokens)))
-                rows.append([[x[k] for x in found] for k in range(len(_FOUND))])
-            yield pd.DataFrame(rows, columns=list(_FOUND))
 
-    return leaking
+def _shifts(item: Template, doc: Template, form: int) -> list[int]:
+    """Diagonals on which a window of the item meets the document."""
+    size = min(WINDOW, len(item.values))
+    if size < WINDOW:
+        return [0] if len(item.values) == len(doc.values) and (item.forms[form] == doc.forms[form]).all() else []
+    mine, theirs = window_hashes(item.forms[form]), window_hashes(doc.forms[form])
+    order = np.argsort(mine, kind="stable")
+    low = np.searchsorted(mine[order], theirs, "left")
+    many = np.searchsorted(mine[order], theirs, "right") - low
+    hit = np.repeat(np.arange(len(theirs)), many)
+    entry = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+    return np.unique(hit - order[entry]).tolist()
+
+
+def _chains(pieces: list[tuple[Run, list]]) -> Iterator[tuple[int, list]]:
+    """Tokens and slots of runs in order on neighbouring diagonals that agree together."""
+    pieces = sorted(pieces, key=lambda p: p[0].shift)
+    for k, (run, _) in enumerate(pieces):
+        if k and run.shift - pieces[k - 1][0].shift <= WINDOW:
+            continue
+        near = [pieces[k]]
+        for p in pieces[k + 1 :]:
+            if p[0].shift - near[-1][0].shift > WINDOW:
+                break
+            near.append(p)
+        tokens, slots, known, last = 0, [], set(), None
+        for r, pairs in sorted(near, key=lambda p: p[0]):
+            after = last is None or (r.start >= last.end and r.start + r.shift >= last.end + last.shift)
+            if after and _one_to_one(known | set(pairs)):
+                tokens, slots, known, last = tokens + r.end - r.start, slots + pairs, known | set(pairs), r
+        yield tokens, slots
+
+
+@pandas_udf(_LONGS)
+def _windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    tokens = _Tokens()
+    for texts in batches:
+        yield pd.Series([text_windows(canonical(t, tokens)) for t in texts], dtype=object)
+
+
+@pandas_udf(StructType([StructField(n, _LONGS) for n in _FOUND]))
+def _leaking(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    """The leaked ones of a text's candidate items, as parallel arrays."""
+    tokens = _Tokens()
+    for texts, ids, items in batches:
+        rows = []
+        for text, mine, theirs in zip(texts, ids, items, strict=True):
+            doc, found = canonical(text, tokens), []
+            for item_id, item_text in zip(mine.tolist(), theirs, strict=True):
+                item = canonical(item_text, tokens)
+                if one := leak(item, doc):
+                    found.append((item_id, len(item.values), *one))
+            rows.append([[x[k] for x in found] for k in range(len(_FOUND))])
+        yield pd.DataFrame(rows, columns=list(_FOUND))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, max_tokens: int = MAX_TOKENS) -> DataFrame:
     """(doc_id, text_key, item_id, item_words, run, slots, changed) of every leaked item.
 
     ``docs`` is (doc_id, text), ``benchmark`` (item_id, text); ``text_key`` tells apart documents
-    that share an id.
+    that share an id. The windows of more than ``max_tokens`` tokens or so are not broadcast.
     """
     items = benchmark.filter(F.col("text").isNotNull()).groupBy("text").agg(F.min("item_id").alias("item_id"))
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    parts = size // (4 * max_tokens) + 1
+    items = cut(items.select("item_id", F.col("text").alias("item_text")))
     keyed = docs.filter(F.col("text").isNotNull()).select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_key"), "text")
-    found = None
-    for part in range(parts):
-        mine = items.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part).select("item_id", "text")
-        held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in mine.collect()])
-
-        leaking = _leaking(held)
-        judged = keyed.select("doc_id", "text_key", leaking("text").alias("_l"))
-        one = judged.select("doc_id", "text_key", F.inline(F.arrays_zip(*[F.col(f"_l.{n}") for n in _FOUND])))
-        found = one if found is None else found.unionByName(one)
-    return found
+    listed = cut(items.select("item_id", F.explode(_windows("item_text")).alias("window")))
+    windows = keyed.select("text_key", F.explode(_windows("text")).alias("window"))
+    shared = join_bounded(windows, listed, ["window"], spread="text_key", max_bytes=64 * max_tokens)
+    pairs = cut(shared.select("text_key", "item_id").distinct())
+
+    # a text and its items in one row, as many rows as its items need
+    chunks = pairs.groupBy("text_key").agg(F.ceil(F.count("*") / ITEMS).alias("chunks"))
+    dealt = join_bounded(pairs, items, ["item_id"], spread="text_key").join(chunks, "text_key")
+    dealt = dealt.groupBy("text_key", F.pmod(F.xxhash64("item_id"), F.col("chunks")).alias("chunk")).agg(
+        F.collect_list(F.struct("item_id", "item_text")).alias("items")
+    )
+    texts = join_bounded(keyed.select("text_key", "text"), chunks.select("text_key"), ["text_key"], spread="text")
+    texts = texts.groupBy("text_key").agg(F.first("text").alias("text"))
+    judged = dealt.join(texts, "text_key").select("text_key", _leaking("text", "items.item_id", "items.item_text").alias("l"))
+    leaks = cut(judged.select("text_key", F.inline(F.arrays_zip(*[F.col(f"l.{n}") for n in _FOUND]))))
+    ids = keyed.select("doc_id", "text_key")
+    return join_bounded(ids, leaks, ["text_key"], spread="doc_id").select("doc_id", "text_key", *_FOUND)
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
