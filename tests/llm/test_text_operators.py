@@ -382,6 +382,23 @@ def test_leaks_in_parts(spark):
     assert {(d, i) for d, i in leaks_of(spark, docs, [passage, names])} == {(0, 0), (1, 1), (3, 0), (4, 0)}
 
 
+def test_windows_of_texts_at_a_time():
+    """Texts taken together have the windows that each has alone."""
+    rng, tokens = random.Random(24), decontaminate._Tokens()
+    words = "Tom Ann 3 12 km apples . ? \n the of for He".split(" ")
+    texts = ["", "km", "3", " ".join(words), *(" ".join(rng.choice(words) for _ in range(rng.randint(0, 30))) for _ in range(60))]
+    together = decontaminate.text_windows(texts, tokens)
+    assert len(together) == len(texts)
+    for text, found in zip(texts, together, strict=True):
+        one = decontaminate.canonical(text, tokens)
+        if len(one.values) < decontaminate.WINDOW:
+            want = {h for f in one.forms if len(f) for h in decontaminate._short_key(f).view(np.int64).tolist()}
+        else:
+            want = {h for f in one.forms for h in decontaminate.window_hashes(f).view(np.int64).tolist()}
+        assert set(found.tolist()) == want
+    assert [len(x) for x in decontaminate.text_windows(["", ""], tokens)] == [0, 0]
+
+
 def brute_leak(item, doc):
     """Whether a text leaks an item, over all diagonals and all stretches, without hashes."""
 

@@ -42,6 +42,7 @@ WINDOW = 8
 MIN_RUN = 13
 MIN_SHARE = 0.5
 MAX_TOKENS = 1_000_000  # of the benchmark, whose windows are broadcast
+CHUNK = 1_000_000  # characters whose tokens are held at a time, and one text more
 ITEMS = 64  # items that a text is aligned with at a time
 #: Unit words and signs, recognised after a number.
 UNITS = (
@@ -96,28 +97,58 @@ class Template(NamedTuple):
 
 
 def canonical(text: str, tokens: _Tokens) -> Template:
-    found = _TOKEN.findall(text)
-    codes = np.fromiter(map(tokens.__getitem__, found), np.uint64, len(found))
+    return _template(np.fromiter(map(tokens.__getitem__, _TOKEN.findall(text)), np.uint64), np.zeros(1, np.int64))
+
+
+def _template(codes: np.ndarray, starts: np.ndarray) -> Template:
+    """Both templates of a row of tokens; ``starts`` are the places, among its words, of the texts' first ones."""
     kinds = (codes & np.uint64(7)).astype(np.int8)
     word = kinds != _STOP
     after_stop = np.concatenate([[True], ~word[:-1]])[: len(codes)][word]
     kinds, values = kinds[word], codes[word] & ~np.uint64(7)
     after_number = np.concatenate([[False], kinds[:-1] == _NUMBER])[: len(kinds)]
+    after_number[starts[starts < len(kinds)]] = False
     name = kinds == _CAPITAL
     sure = (kinds == _NUMBER) | (name & ~after_stop) | ((kinds == _UNIT) & after_number)
     slots = (sure, sure | name)
     return Template(values, tuple(np.where(s, _SLOTS[kinds], values) for s in slots), slots)
 
 
-def text_windows(doc: Template) -> np.ndarray:
-    """The different hashes of a text's windows, or of all of a text that is shorter than one."""
-    size = min(WINDOW, len(doc.values))
-    if not size:
-        return np.zeros(0, np.int64)
-    both = np.concatenate([window_hashes(f, size) for f in doc.forms])
-    if size < WINDOW:
-        both = both * _ODD + np.uint64(size)
-    return np.unique(both).view(np.int64)
+def _short_key(forms: np.ndarray) -> np.ndarray:
+    """The hash of all of a text that is shorter than a window."""
+    return window_hashes(forms, len(forms)) * _ODD + np.uint64(len(forms))
+
+
+def text_windows(texts: list[str], tokens: _Tokens) -> list[np.ndarray]:
+    """The hashes of each text's windows, or of all of a text that is shorter than one.
+
+    Texts are one row of tokens with a stop behind each; windows over two texts are left out. The
+    second template adds the windows in which it differs from the first.
+    """
+    stop = tokens["\n"]
+    codes = [np.fromiter(map(tokens.__getitem__, _TOKEN.findall(t)), np.uint64) for t in texts]
+    sizes = np.array([int(((c & np.uint64(7)) != _STOP).sum()) for c in codes], np.int64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    all_ = _template(np.concatenate([x for c in codes for x in (c, [np.uint64(stop)])]).astype(np.uint64), starts[sizes > 0])
+    owner = np.repeat(np.arange(len(texts)), sizes)
+    whole = np.arange(len(owner)) + WINDOW <= ends[owner]
+    differ = np.concatenate([[0], np.cumsum(all_.forms[0] != all_.forms[1])])
+    hashes, owners = [], []
+    for form in (0, 1):
+        found = window_hashes(all_.forms[form])
+        use = whole[: len(found)]
+        if form:
+            use = use & (differ[WINDOW:] != differ[:-WINDOW])[: len(found)]
+        hashes.append(found[use])
+        owners.append(owner[: len(found)][use])
+    for i in np.flatnonzero((sizes > 0) & (sizes < WINDOW)).tolist():
+        for form in all_.forms:
+            hashes.append(_short_key(form[starts[i] : ends[i]]))
+            owners.append(np.array([i]))
+    owner = np.concatenate(owners)
+    placed = np.concatenate(hashes).view(np.int64)[np.argsort(owner, kind="stable")]
+    return np.split(placed, np.cumsum(np.bincount(owner, minlength=len(texts)))[:-1])
 
 
 def window_hashes(forms: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -239,11 +270,27 @@ def _chains(pieces: list[tuple[Run, list]]) -> Iterator[tuple[int, list]]:
         yield tokens, slots
 
 
+def _chunks(texts: pd.Series) -> Iterator[list[str]]:
+    """Texts in lists of about ``CHUNK`` characters."""
+    some, size = [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text)
+        if size >= CHUNK:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 @pandas_udf(_LONGS)
 def _windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     tokens = _Tokens()
     for texts in batches:
-        yield pd.Series([text_windows(canonical(t, tokens)) for t in texts], dtype=object)
+        found = []
+        for some in _chunks(texts):
+            found += text_windows(some, tokens)
+        yield pd.Series(found, dtype=object)
 
 
 @pandas_udf(StructType([StructField(n, _LONGS) for n in _FOUND]))
