@@ -536,6 +536,24 @@ def test_near_copies_of_a_template(spark, monkeypatch):
     assert {r["doc_id"]: r["class_id"] for r in got} == want
 
 
+def test_near_copies_of_one_large_template(spark):
+    """Texts of one template, some just over and most under the similarity: few pairs are compared, none is missed."""
+    rng = random.Random(19)
+    template = sentence(rng, 120)
+    texts = [edited(rng, template, rng.choice([4, 5, 8])) for _ in range(150)]
+    texts += [edited(rng, t, 1) for t in texts[:30]]
+    words = near_copies._Words()
+    kmers = [near_copies.labelled_kmers(t, words) for t in texts]
+    rows = [(i, i, 0, len(k), bytearray(k.astype(np.uint32).tobytes())) for i, k in enumerate(kmers)]
+    nodes = spark.createDataFrame(rows, "node bigint, component bigint, bucket bigint, kmers bigint, profile binary")
+    placed = near_copies._by_rare_kmers(nodes.select("node", "component", "bucket"), nodes.select("node", "kmers"), nodes.select("node", "profile"))
+    pairs = {tuple(r) for r in near_copies._rare_pairs(placed).collect()}
+    near = {(a, b) for b in range(len(texts)) for a in range(b) if near_copies.similarity(kmers[a], kmers[b]) >= near_copies.MIN_SIMILARITY}
+    assert len(near) >= 30 and near <= pairs and len(pairs) < 4 * len(texts)
+    got = near_copies.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == brute_classes(list(enumerate(texts)))
+
+
 def test_near_copies_awkward(awkward, empty):
     assert near_copies.near_copies(awkward.select("doc_id", "text")).count() == awkward.count()
     left = near_copies.drop_near_copies(awkward)

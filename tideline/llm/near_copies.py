@@ -16,9 +16,10 @@ bucket's node of smallest doc_id, the one it shares most buckets with; then all
 buckets that still hold several components with the node whose buckets hold the most nodes, the
 middle of a group, and with the same among the nodes outside the largest component; at last the
 nodes of buckets up to ``SMALL`` with each other, and where ``APART`` nodes at most are still
-outside a bucket's largest component, these with all of its nodes. Larger mixed buckets are split by a
-second value, then by a third and a fourth (as many must agree anyway); in what is still mixed, all nodes
-outside the largest component are compared with all others, block by block. No bucket is dropped or cut short.
+outside a bucket's largest component, these with all of its nodes. The nodes of larger mixed buckets
+are dealt again by their rarest k-mers: two texts of the least similarity have one in common among so
+many of each that those behind could not make them similar (the prefix filter of set similarity joins, so no
+pair is lost), and texts of one template that are not copies mostly have not. No bucket is dropped or cut short.
 
 Null texts are never copies. Texts without words are copies of equal texts only, shorter texts than
 ``K`` words of texts with the same words. Rows that share a doc_id are judged by their texts; the
@@ -34,11 +35,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from tideline.llm.common import Joined, block_links, connected_components, cross_pairs, leader_pairs, with_component
+from tideline.llm.common import connected_components, cross_pairs, leader_pairs, mixed_buckets, with_component
 from tideline.scale import cut, join_bounded
 
 K = 5
@@ -48,7 +49,6 @@ MIN_SIMILARITY = 0.8
 SMALL = 16
 APART = 4
 AGREEING = 4
-_BLOCK_KMERS = 1024  # of a text that counts as one in a block
 NO_ID = -(1 << 63)
 _COLUMNS = 1 << 15  # k-mers hashed at once
 _VOCABULARY = 1 << 20  # words whose hash a task remembers
@@ -188,38 +188,36 @@ def _verified(pairs: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFr
     return cut(similar.filter(F.col("_s") >= MIN_SIMILARITY - 1e-9).select("a", "b"))
 
 
-def _split(many: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Members dealt again by each of their values behind those they are dealt by."""
-    finer = many.join(nodes.select("node", "sketches"), "node")
-    finer = finer.select("node", "ts", "component", "bucket", F.posexplode("sketches").alias("t", "value"))
-    finer = finer.filter(F.col("t") > F.element_at("ts", -1))
-    bucket = F.xxhash64("bucket", "t", "value").alias("bucket")
-    return finer.select("node", F.array_append("ts", F.col("t")).alias("ts"), "component", bucket)
-
-
-def _block_verified(rows: pd.DataFrame) -> pd.DataFrame:
-    """Links of a block's odd nodes with the others of the bucket; a pair is compared where its first agreeing values are."""
-    chosen = np.asarray(rows["ts"].iloc[0])
-    before = np.setdiff1d(np.arange(chosen[-1]), chosen)
-    odd, rest = rows[rows["odd"]], rows[~rows["odd"]]
-    found, joined = [], Joined()
-    if len(odd) and len(rest):
-        sketches, sizes = np.stack(rest["sketches"].to_numpy()), rest["kmers"].to_numpy()
-        nodes, components = rest["node"].to_numpy(), rest["component"].to_numpy()
-        in_main = components == rest["_main"].iloc[0]
-        profiles = [np.frombuffer(p, np.uint32) for p in rest["profile"]]
-        for node, component, values, size, profile in odd[["node", "component", "sketches", "kmers", "profile"]].itertuples(index=False):
-            same = sketches == np.asarray(values)
-            able = same[:, chosen].all(1) & ~same[:, before].any(1)
-            able &= (np.minimum(sizes, size) >= MIN_SIMILARITY * np.maximum(sizes, size) - 1e-6)
-            able &= (components != component) & (in_main | (nodes > node))
-            mine = np.frombuffer(profile, np.uint32)
-            for k in np.flatnonzero(able):
-                other = int(components[k])
-                if joined.root(other) != joined.root(component) and similarity(mine, profiles[k]) >= MIN_SIMILARITY - 1e-9:
-                    joined.join(component, other)
-                    found.append((min(node, int(nodes[k])), max(node, int(nodes[k]))))
-    return pd.DataFrame(found, columns=["a", "b"], dtype=np.int64)
+def _kmer_sets(profiles: pd.Series) -> pd.Series:
+    return pd.Series([np.unique(np.frombuffer(profile, np.int32)).tolist() for profile in profiles], dtype=object)
+
+
+def _by_rare_kmers(many: DataFrame, nodes: DataFrame, profiles: DataFrame) -> DataFrame:
+    """(node, component, bucket, kmers, left) of members' rarest k-mers.
+
+    ``left`` counts a text's k-mers from this one on, rarest first; k-mers of one text alone come before
+    all others. Similar texts share that many behind the first k-mer that both have.
+    """
+    own = many.select("node", "component").distinct().join(nodes.select("node", "kmers"), "node").join(profiles, "node")
+    each = F.explode(pandas_udf(_kmer_sets, "array<int>")("profile")).alias("bucket")
+    listed = cut(own.select("node", "component", "kmers", each))
+    shared = listed.groupBy("bucket").agg(F.count("*").alias("_n")).filter("_n > 1")
+    frequent = Window.partitionBy("node").orderBy(F.desc("_n"), F.desc("bucket"))
+    placed = listed.join(shared, "bucket").withColumn("left", F.row_number().over(frequent))
+    first = placed.filter(F.col("left") >= MIN_SIMILARITY * F.col("kmers") - 1e-6)
+    return cut(first.select("node", "component", "bucket", "kmers", "left"))
+
+
+def _rare_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes in different components that share a rare k-mer with enough of them left in both."""
+    stats = mixed_buckets(members).select("bucket", "_main")
+    odd = members.join(stats, "bucket").filter("component <> _main").select(
+        "bucket", F.col("node").alias("_o"), F.col("component").alias("_c"), F.col("kmers").alias("_k"), F.col("left").alias("_l")
+    )
+    least = MIN_SIMILARITY / (1 + MIN_SIMILARITY) * (F.col("kmers") + F.col("_k")) - 1e-6
+    able = (F.col("component") != F.col("_c")) & (F.least("left", "_l") >= least)
+    met = odd.join(members, "bucket").filter(able)
+    return met.select(F.least("node", "_o").alias("a"), F.greatest("node", "_o").alias("b")).distinct()
 
 
 def _oldest() -> Column:
@@ -242,11 +240,11 @@ def near_copies(docs: DataFrame) -> DataFrame:
     )
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()))
     sketches = nodes.select("node", "first_id", F.posexplode("sketches").alias("t", "value"))
-    buckets = sketches.select("node", "first_id", "t", F.xxhash64("t", "value").alias("bucket"))
+    buckets = sketches.select("node", "first_id", F.xxhash64("t", "value").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min(_oldest()).alias("leader")).filter("n > 1")
     members = cut(buckets.join(shared, "bucket").withColumn("component", F.col("node")))
     weights = members.groupBy("node").agg(F.sum("n").alias("weight"))
-    members = cut(members.join(weights, "node").select("node", "t", "bucket", "component", "leader", "weight"))
+    members = cut(members.join(weights, "node").select("node", "bucket", "component", "leader", "weight"))
 
     id_key = F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("_id")
     wanted = members.select("node").distinct().join(nodes, "node").select(
@@ -265,11 +263,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
         found = _verified(leader_pairs(members, central, outside), nodes, profiles)
         links = cut(links.unionByName(found))
         members = with_component(members, connected_components(links))
-    dealt = members.select("node", F.array("t").alias("ts"), "component", "bucket")
-    pairs, many = cross_pairs(dealt, APART, SMALL, lambda many: _split(many, nodes), AGREEING - 1)
-    held = nodes.select("node", "kmers", "sketches").join(profiles, "node")
-    weight = 1 + F.col("kmers") / _BLOCK_KMERS
-    links = links.unionByName(_verified(pairs, nodes, profiles)).unionByName(block_links(many, held, weight, _block_verified))
+    pairs, many = cross_pairs(members.select("node", "component", "bucket"), APART, SMALL)
+    pairs = pairs.unionByName(_rare_pairs(_by_rare_kmers(many, nodes, profiles))).distinct()
+    links = links.unionByName(_verified(pairs, nodes, profiles))
     component = connected_components(links).withColumnRenamed("id", "node")
 
     placed = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
