@@ -95,6 +95,14 @@ def test_plan_new_progress(spark, golden, existing, position, expected):
     assert plan(progress.plan_new_progress(golden, rows, position)) == expected
 
 
+def test_planning_stacks_few_joins(spark, golden, capsys):
+    """Each sort and aggregate of a stage holds a page in the same task, so steps are stored in between."""
+    rows = progress_frame(spark, [("5", [], "SHARD_END")])
+    progress.plan_new_progress(golden, rows, LATEST).explain()
+    progress.garbage_progress(rows, golden, golden).explain()
+    assert capsys.readouterr().out.count("Join ") <= 8
+
+
 def test_plan_keeps_listed_parents_even_if_trimmed(spark):
     shards = shards_frame(spark, [shard("b", "gone", "a", end=None), shard("a")])
     rows = progress.plan_new_progress(shards, progress_frame(spark, []), TRIM).collect()

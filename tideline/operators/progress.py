@@ -92,19 +92,21 @@ def plan_new_progress(
     seeds = open_shards(shards).select(*SHARD).join(progress, SHARD, "left_anti")
     if inconsistent is not None:
         seeds = seeds.join(inconsistent, SHARD, "left_anti")
+    # steps are cut: joins stacked in one stage each hold a page of memory in the same task
+    seeds, _ = step(seeds)
     visited = _visit_ancestors(edges, seeds, progress)
-    untracked = visited.filter(~F.col("tracked")).select(*SHARD)
+    untracked, _ = step(visited.filter(~F.col("tracked")).select(*SHARD))
     wanted_at = position_to_checkpoint(position)
     if position == fixed.LATEST:
         reached = _flow_down(edges, visited)
         below = reached.select("stream", F.col("shard_id").alias("parent_id"))
         children = untracked.select("stream", F.col("shard_id").alias("child_id"))
-        own = edges.join(children, ["stream", "child_id"], "left_semi")
-        due = own.join(below, ["stream", "parent_id"], "left_semi").select("stream", "child_id")
+        own, _ = step(edges.join(children, ["stream", "child_id"], "left_semi"))
+        due, _ = step(own.join(below, ["stream", "parent_id"], "left_semi").select("stream", "child_id"))
         parents = own.join(due, ["stream", "child_id"], "left_semi").select(
             "stream", F.col("parent_id").alias("shard_id")
         )
-        wanted = seeds.unionByName(parents).distinct().join(progress, SHARD, "left_anti")
+        wanted, _ = step(seeds.unionByName(parents).distinct().join(progress, SHARD, "left_anti"))
         mark = reached.withColumn("_reached", F.lit(True))
         wanted = wanted.join(mark, SHARD, "left").select(
             *SHARD, F.when(F.col("_reached"), fixed.TRIM_HORIZON).otherwise(wanted_at).alias("checkpoint")
@@ -130,7 +132,7 @@ def order_progress_rows(progress: DataFrame, shards: DataFrame) -> DataFrame:
 
 def _orphans(progress: DataFrame, shards: DataFrame) -> DataFrame:
     """Rows whose shard left the catalog; fails if one of their parents is still in it."""
-    gone = progress.join(shards.select(*SHARD), SHARD, "left_anti")
+    gone, _ = step(progress.join(shards.select(*SHARD), SHARD, "left_anti"))
     child = gone.select(
         *SHARD, F.explode(F.array_distinct("parent_shard_ids")).alias("parent_id")
     ).join(
@@ -252,12 +254,13 @@ def sync_progress(
     covered by its children) is rejected before anything is derived from it. Finished rows are
     judged against all rows tracked in this pass, deleted orphans included.
     """
+    progress = cut(progress)
     edges, _ = step(lineage_edges(shards))
     inconsistent = cut(inconsistent_shards(shards, edges))
     if not ignore_unexpected_children:
         _reject(inconsistent, "shards with an open parent")
     created = cut(plan_new_progress(shards, progress, position, inconsistent, edges))
-    tracked = tracked_progress(progress, created)
+    tracked = cut(tracked_progress(progress, created))
     orphans = cut(garbage_progress(tracked, shards, fresh_shards))
     _reject(closed_shard_violations(shards, progress, edges), "finished shards the catalog contradicts")
     finished = cut(finished_progress(progress, shards, now, tracked=tracked, edges=edges))
