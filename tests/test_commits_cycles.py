@@ -151,6 +151,23 @@ def test_late_first_copies_are_kept_by_default(spark, folder):
     assert numbers == ["1", "2", "3"]
 
 
+def test_covered_ranges_are_held_by_groups_of_shards(spark, tmp_path, monkeypatch):
+    """The state's rows do not follow the shards; null shards and copies in later runs count as before."""
+    monkeypatch.setattr(replay, "SHARD_GROUPS", 4)
+    names = [None, *[f"shard{i}" for i in range(30)]]
+    schema = "stream string, shard_id string, sequence_number string, run string"
+    for number, (low, high) in enumerate([(10, 14), (1, 3), (2, 6), (10, 12)]):
+        rows = [("s", name, str(n), f"r{number}") for name in names for n in range(low, high + 1)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/log")
+    once = replay.dedupe_replayed(stream, run="run")
+    writer = once.writeStream.format("parquet").option("path", f"{tmp_path}/out")
+    query = process.run_to_end(writer.option("checkpointLocation", f"{tmp_path}/query"))
+    assert 0 < query.lastProgress["stateOperators"][0]["numRowsTotal"] <= 4
+    got = sorted((r["shard_id"] or "", int(r["sequence_number"])) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    assert got == sorted((name or "", n) for name in names for n in (*range(1, 7), *range(10, 15)))
+
+
 def test_merged_ranges():
     rng = random.Random(1)
     for _ in range(200):

@@ -15,6 +15,8 @@ from tideline.functions.records import operation_kind
 from tideline.operators import SHARD
 from tideline.scale import cut, fits_broadcast
 
+SHARD_GROUPS = 1024  # of a stream's state of covered ranges
+
 
 def latest_changes(
     log: DataFrame, keys: Sequence[str], values: Sequence[str], order_by: Column | None = None
@@ -91,31 +93,46 @@ def dedupe_replayed(
 
 
 def _uncovered(log: DataFrame, run: str) -> DataFrame:
-    """Records outside their shard's covered ranges; each run then covers what lies between its ends."""
+    """Records outside their shard's covered ranges; each run then covers what lies between its ends.
+
+    Shards are dealt by hash into ``SHARD_GROUPS`` groups whose state holds their ranges one by one, as a
+    call per shard and micro-batch costs more than its records.
+    """
     columns = [c for c in log.columns if c != run]
-    at = log.columns.index("sequence_number")
+    place = [log.columns.index(c) for c in (*SHARD, run, "sequence_number")]
 
     def fresh(_key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        lows, highs = ([int(v) for v in texts] for texts in (state.get if state.exists else ([], [])))
-        ends: dict[str, tuple[int, int]] = {}
-        given: set[int] = set()  # of this micro-batch and shard
+        covered: dict[tuple, tuple[list[int], list[int]]] = {}
+        for *shard, low, high in zip(*state.get) if state.exists else ():
+            lows, highs = covered.setdefault(tuple(shard), ([], []))
+            lows.append(int(low))
+            highs.append(int(high))
+        ends: dict[tuple, dict[str, tuple[int, int]]] = {}
+        given: set[tuple] = set()  # of this micro-batch and group
         for chunk in chunks:
             keep = []
-            for name, text in zip(chunk[run], chunk.iloc[:, at]):
-                number = int(text)
-                low, high = ends.get(name, (number, number))
-                ends[name] = (min(low, number), max(high, number))
+            for stream, shard_id, name, text in zip(*(chunk.iloc[:, i] for i in place)):
+                shard, number = (stream, shard_id), int(text)
+                runs = ends.setdefault(shard, {})
+                low, high = runs.get(name, (number, number))
+                runs[name] = (min(low, number), max(high, number))
+                lows, highs = covered.get(shard, ((), ()))
                 i = bisect_right(lows, number) - 1
-                new = number not in given and not (i >= 0 and number <= highs[i])
+                new = (shard, number) not in given and not (i >= 0 and number <= highs[i])
                 keep.append(new)
                 if new:
-                    given.add(number)
+                    given.add((shard, number))
             yield chunk.loc[keep, columns]
-        state.update(tuple([str(v) for v in side] for side in merged_ranges([*zip(lows, highs), *ends.values()])))
+        for shard, runs in ends.items():
+            covered[shard] = merged_ranges([*zip(*covered.get(shard, ((), ()))), *runs.values()])
+        rows = [(*shard, str(low), str(high)) for shard, sides in covered.items() for low, high in zip(*sides)]
+        state.update(tuple(list(side) for side in zip(*rows)))
 
     schema = log.select(*columns).schema
-    ranges = "lows array<string>, highs array<string>"
-    return log.groupBy(*SHARD).applyInPandasWithState(fresh, schema, ranges, "append", GroupStateTimeout.NoTimeout)
+    ranges = "streams array<string>, shards array<string>, lows array<string>, highs array<string>"
+    group = "_".join(["_group", *log.columns])  # none of the columns
+    dealt = log.withColumn(group, F.pmod(F.xxhash64(*SHARD), F.lit(SHARD_GROUPS)))
+    return dealt.groupBy(group).applyInPandasWithState(fresh, schema, ranges, "append", GroupStateTimeout.NoTimeout)
 
 
 def merged_ranges(ranges: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
