@@ -5,9 +5,11 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -217,6 +219,47 @@ def test_probabilities_sum_to_one(spark, monkeypatch):
     assert abs(total - 1) < 1e-4
 
 
+def blocks_of(texts, held):
+    tables = [pa.table({"doc_id": [i], "held_out": [h], "text": [t]}) for i, (t, h) in enumerate(zip(texts, held))]
+    for i, table in enumerate(tables):
+        yield pa.RecordBatch.from_pydict({"block": [i], "blob": [M.packed(table)]})
+
+
+def test_counting_is_bounded_in_memory():
+    """A task's counts of bytes are held once, and those of its texts' bytes are not held densely beside them."""
+    tracemalloc.start()
+    found = pa.Table.from_batches(M._count_bytes(blocks_of(["ab ab " * 1000], [False])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(found.column("n").to_pylist()) == 2 * 6001
+    assert peak < 120e6
+
+
+def test_counts_in_parts(monkeypatch):
+    """Counts that are emitted in between sum up to those of all texts."""
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choice("abÉ\x00") for _ in range(rng.randrange(1, 4))) for _ in range(30)) for _ in range(40)] + [None, "", "  "]
+    held = [rng.random() < 0.2 for _ in texts]
+    words = Counter(w for t in texts for w in M.coded(t).split())
+    trained = Counter(w for t, h in zip(texts, held) if not h for w in M.coded(t).split())
+    results = []
+    for chunk, counted, flush in ((1 << 20, 1 << 31, 500_000), (100, 400, 7)):
+        for name, value in (("CHUNK", chunk), ("COUNTED", counted), ("FLUSH", flush)):
+            monkeypatch.setattr(M, name, value)
+        sums = Counter()
+        for batch in M._count_bytes(blocks_of(texts, held)):
+            for row in batch.to_pylist():
+                sums[row["slot"], row["byte"]] += row["n"]
+        results.append(sums)
+        n, n_train = Counter(), Counter()
+        for batch in M._count_words(blocks_of(texts, held)):
+            for row in batch.to_pylist():
+                n[row["token"]] += row["n"]
+                n_train[row["token"]] += row["n_train"]
+        assert n == {w + b" ": k for w, k in words.items()} and +n_train == {w + b" ": k for w, k in trained.items()}
+    assert results[0] == results[1]
+
+
 def test_learned_text_scores_better(spark):
     rng = random.Random(4)
     words = ["".join(rng.choice("etaoinshr") for _ in range(rng.randrange(2, 9))) for _ in range(60)]

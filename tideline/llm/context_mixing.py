@@ -38,7 +38,8 @@ from tideline.scale import cut, run_dir
 
 SEGMENT = 2048  # bytes over which the mixing weights are refined
 BLOCK_BYTES = 4 << 20
-CHUNK = 4 << 20
+CHUNK = 1 << 20  # of text, whose bytes are counted together
+COUNTED = 1 << 31  # bytes that are counted in 32 bits
 LANES = 1024  # segments that are mixed side by side
 WORD_BYTES = 24  # of a word that the word predictor looks at
 HOT_SHARE = 50_000
@@ -49,6 +50,7 @@ ORDER_BITS = (14, 16)  # of the hashed contexts of two and three bytes
 OFFSETS = np.cumsum([0] + [1 << b for b in ORDER_BITS])
 SLOTS = int(OFFSETS[-1])
 SCALE = 8  # of stored logits
+_STEP = np.float32(1 / SCALE)
 PRIOR = 0.4
 RATE = 0.02
 START = (0.2, 0.45, 0.6)  # weights of the predictors before refinement
@@ -56,14 +58,15 @@ STEPS = 64
 END = b"\x00"  # a zero byte in a text is coded as 255, which no text holds
 
 BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1)
-NODES = np.array([[(1 << j) | (b >> (8 - j)) for j in range(8)] for b in range(256)], dtype=np.int32)
 _SIGN = np.where(BITS == 1, 1, -1).astype(np.int8)
 #: Bits of a byte whose word node is used: not below the three zero bits that all other separators share.
 WORD_MASK = np.array([[not (j >= 3 and b < 32) for j in range(8)] for b in range(256)])
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 #: Signs of a byte's logits in a word's path, whose nodes after a word are those of a blank; 0 where unused.
+_LEADING = 8 - np.frexp(np.arange(256))[1]  # zero bits before the first one bit of a byte
 _WORD_SIGN = np.where(WORD_MASK, _SIGN[np.where(_BLANK | (np.arange(256) == 0), 32, np.arange(256))], 0).astype(np.int8)
+_WORD_SIGNS = _WORD_SIGN.view(np.int64).reshape(-1)  # eight at once
 
 
 def coded(text: str | None) -> bytes:
@@ -76,6 +79,9 @@ def _logit(one: np.ndarray, total: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(SCALE * np.log(p / (1 - p))), -127, 127).astype(np.int8)
 
 
+_LOGITS = _logit(np.arange(256), np.maximum(np.arange(256), np.arange(256)[:, None])).reshape(-1)  # by total and ones
+
+
 def contexts(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> list[np.ndarray]:
     """Slots of the contexts of the last two and of the last three bytes; ``one`` is the last byte."""
     both = one.astype(np.uint32) | (two.astype(np.uint32) << 8)
@@ -107,6 +113,29 @@ def _rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def _word_edges(apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where words begin and stop, given the places that are apart from them."""
+    edges = np.flatnonzero(apart[1:] != apart[:-1]) + 1
+    return edges[::2], edges[1::2]
+
+
+def numbered_words(texts: list[bytes]) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """The words of all texts by number, the distinct words, and the words per text."""
+    data = np.frombuffer(b"".join(b" " + t + b" " for t in texts), dtype=np.uint8)
+    blank = _BLANK[data]
+    begin, stop = _word_edges(blank)
+    bounds = np.concatenate([[0], np.cumsum(stop - begin)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(bounds), pa.py_buffer(data[~blank])])
+    found = words.dictionary_encode()
+    ends = np.cumsum(np.fromiter((len(t) + 2 for t in texts), np.int64, len(texts)))
+    counts = np.diff(np.searchsorted(begin, ends), prepend=0)
+    return found.indices.to_numpy(), found.dictionary.cast(pa.binary()), counts
+
+
+def _objects(words: pa.Array | pa.ChunkedArray) -> list[bytes]:
+    return words.to_numpy(zero_copy_only=False).tolist()
+
+
 def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(block, blob): neighbouring rows, about ``BLOCK_BYTES`` of text together."""
     number, size, held = TaskContext.get().partitionId() << 32, 0, []
@@ -145,8 +174,8 @@ def _unblocked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Tabl
 
 
 def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nonzero counts of (slot, byte) over a task's training texts."""
-    counts = np.zeros(SLOTS * 256, dtype=np.int64)
+    """Nonzero counts of (slot, byte) over a task's training texts, emitted before they could overflow."""
+    counts, counted = np.zeros(SLOTS * 256, dtype=np.uint32), 0
 
     def add(texts: list[bytes]) -> None:
         data, starts = _padded(texts)
@@ -155,27 +184,36 @@ def _count_bytes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             real[starts - k] = False
         real = np.flatnonzero(real[3:]) + 3
         for slots in contexts(data[real - 1], data[real - 2], data[real - 3]):
-            found = np.bincount(slots * 256 + data[real])
-            counts[: len(found)] += found
+            np.add.at(counts, slots * 256 + data[real], np.uint32(1))
+
+    def emit() -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(counts)
+        for low in range(0, len(at), FLUSH):
+            part = at[low : low + FLUSH]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((part >> 8).astype(np.int32)), pa.array((part & 255).astype(np.int32)), pa.array(counts[part].astype(np.int64))],
+                names=["slot", "byte", "n"],
+            )
+        counts[:] = 0
 
     held, size = [], 0
     for _, table in _unblocked(batches):
         training = table.filter(pc.invert(table.column("held_out")))
         for text in training.column("text").to_pylist():
-            held.append(coded(text))
-            size += len(held[-1])
+            code = coded(text)
+            if counted + size + len(code) >= COUNTED:
+                if held:
+                    add(held)
+                yield from emit()
+                held, size, counted = [], 0, 0
+            held.append(code)
+            size += len(code) + 1
             if size > CHUNK:
                 add(held)
-                held, size = [], 0
+                held, size, counted = [], 0, counted + size
     if held:
         add(held)
-    at = np.flatnonzero(counts)
-    for low in range(0, len(at), FLUSH):
-        part = at[low : low + FLUSH]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((part >> 8).astype(np.int32)), pa.array((part & 255).astype(np.int32)), pa.array(counts[part])],
-            names=["slot", "byte", "n"],
-        )
+    yield from emit()
 
 
 def byte_table(blocks: DataFrame) -> np.ndarray:
@@ -207,39 +245,48 @@ def byte_table(blocks: DataFrame) -> np.ndarray:
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(token, n, n_train): every word with a blank behind it, counted by task."""
-    every, trained = Counter(), Counter()
+    held, size = [], 0
 
-    def emit() -> pa.RecordBatch:
-        tokens = list(every)
-        columns = [pa.array([t + b" " for t in tokens], pa.binary()), pa.array([every[t] for t in tokens], pa.int64())]
-        batch = pa.RecordBatch.from_arrays([*columns, pa.array([trained[t] for t in tokens], pa.int64())], names=["token", "n", "n_train"])
-        every.clear()
-        trained.clear()
-        return batch
+    def summed() -> pa.Table:
+        sums = pa.concat_tables(held).group_by("token", use_threads=False).aggregate([("n", "sum"), ("n_train", "sum")])
+        return pa.table([sums.column("token"), sums.column("n_sum"), sums.column("n_train_sum")], schema=_WORDS)
 
     for _, table in _unblocked(batches):
-        for text, held_out in zip(table.column("text").to_pylist(), table.column("held_out").to_pylist()):
-            words = coded(text).split()
-            every.update(words)
-            if not held_out:
-                trained.update(words)
-            if len(every) > FLUSH:
-                yield emit()
-    if every:
-        yield emit()
+        texts = [coded(t) for t in table.column("text").to_pylist()]
+        numbers, tokens, counts = numbered_words(texts)
+        trained = np.repeat(~table.column("held_out").to_numpy().astype(bool), counts)
+        n, n_train = (np.bincount(v, minlength=len(tokens)) for v in (numbers, numbers[trained]))
+        tokens = pc.binary_join_element_wise(tokens, pa.scalar(b" "), pa.scalar(b""))
+        held.append(pa.table([tokens, pa.array(n), pa.array(n_train)], schema=_WORDS))
+        size += len(tokens)
+        if size > 2 * FLUSH:
+            held = [summed()]
+            size = held[0].num_rows
+            if size > FLUSH:
+                yield from held[0].to_batches()
+                held, size = [], 0
+    if held:
+        yield from summed().to_batches()
 
 
-def _sums(beginnings: np.ndarray, counts: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[np.ndarray]:
-    """For k = 0, 1, ...: the count of each word's first k bits."""
-    n, width = len(beginnings), 8 * beginnings.shape[1]
-    apart = np.unpackbits(beginnings[1:] ^ beginnings[:-1], axis=1)
-    common = np.where(apart.any(axis=1), apart.argmax(axis=1), width).astype(np.int16)
-    for k in range(width + 1):
-        first = np.concatenate([[0], np.flatnonzero(common < k) + 1])
-        sums = np.add.reduceat(counts, first)
-        sums[0] += left[k]
-        sums[-1] += right[k]
-        yield np.repeat(sums, np.diff(np.append(first, n)))
+def _shared(beginnings: np.ndarray) -> np.ndarray:
+    """The leading bits that each word shares with the one before; -1 for the first."""
+    apart = beginnings[1:] ^ beginnings[:-1]
+    at = (apart != 0).argmax(axis=1)
+    byte = apart[np.arange(len(apart)), at]
+    bits = np.where(byte == 0, 8 * beginnings.shape[1], 8 * at + _LEADING[byte])
+    return np.concatenate([[-1], bits]).astype(np.int16)
+
+
+def _end_sums(shared: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """For k = 0, 1, ...: the count of the first k bits of a range's first and of its last word."""
+    width = 8 * WORD_BYTES
+    first = np.concatenate([[width], np.minimum.accumulate(shared[1:])])
+    last = np.concatenate([[width], np.minimum.accumulate(shared[:0:-1])])
+    ends = np.zeros((2, width + 1), dtype=np.int64)
+    np.add.at(ends[0], first, counts)
+    np.add.at(ends[1], last, counts[::-1])
+    return np.cumsum(ends[:, ::-1], axis=1)[:, ::-1]
 
 
 def _beginnings(tokens: list[bytes]) -> np.ndarray:
@@ -265,9 +312,9 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, blob in zip(batch.column("part"), batch.column("blob")):
             words = unpacked(blob.as_py())
-            tokens, trained = words.column("token").to_pylist(), words.column("n_train").to_numpy()
-            ends = np.array([c[[0, -1]] for c in _sums(_beginnings(tokens), trained, _NONE, _NONE)])
-            first, last = [pa.array([column.tolist()], pa.list_(pa.int64())) for column in ends.T]
+            tokens, trained = _objects(words.column("token")), words.column("n_train").to_numpy()
+            ends = _end_sums(_shared(_beginnings(tokens)), trained)
+            first, last = [pa.array([sums.tolist()], pa.list_(pa.int64())) for sums in ends]
             totals = [pc.sum(words.column("n")).as_py(), int(trained.sum()), int((trained > 0).sum())]
             n, n_train, known = [pa.array([v], pa.int64()) for v in totals]
             low, high = [pa.array([t], pa.binary()) for t in (tokens[0], tokens[-1])]
@@ -307,29 +354,48 @@ def sorted_ranges(words: DataFrame, parts: int) -> DataFrame:
 
 
 def paths(words: pa.Table, part: int, outside: Outside) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """A range's words, their training counts, and the logits in favour of each of their bits."""
-    tokens, counts = words.column("token").to_pylist(), words.column("n_train").to_numpy()
-    favour, before = np.empty((len(tokens), 8 * WORD_BYTES), dtype=np.int8), None
-    for k, now in enumerate(_sums(_beginnings(tokens), counts, *outside[part])):
+    """A range's words, their training counts, and the logits in favour of each of their bits.
+
+    A word without its later bits is left out of the sums, as no other word begins with all of it.
+    """
+    tokens, counts = _objects(words.column("token")), words.column("n_train").to_numpy()
+    shared, ends = _shared(_beginnings(tokens)), 8 * path_sizes(tokens)
+    favour = np.zeros((8 * WORD_BYTES, len(tokens)), dtype=np.int8)
+    left, right = outside[part]
+    at, held, before = np.arange(len(tokens)), counts, None
+    for k in range(8 * WORD_BYTES + 1):
+        longer = ends >= k
+        if not longer.all():
+            at, held, shared, ends, before = at[longer], held[longer], shared[longer], ends[longer], before[longer]
+        if not len(at):
+            break
+        first = np.flatnonzero(shared < k)
+        sums = np.add.reduceat(held, first)
+        sums[0] += left[k]
+        sums[-1] += right[k]
+        now = np.repeat(sums, np.diff(np.append(first, len(at))))
         if k:
-            favour[:, k - 1] = _logit(now, before)
+            logits = _LOGITS.take(np.minimum(before, 255) * 256 + np.minimum(now, 255))
+            many = np.flatnonzero(before > 255)
+            logits[many] = _logit(now[many], before[many])
+            favour[k - 1, at] = logits
         before = now
-    return tokens, counts, favour
+    return tokens, counts, np.ascontiguousarray(favour.T)
 
 
 def path_sizes(tokens: list[bytes]) -> np.ndarray:
     return np.minimum(np.fromiter(map(len, tokens), np.int64, len(tokens)), WORD_BYTES)
 
 
-def _chosen(tokens: list[bytes], counts: np.ndarray, favour: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes]:
-    """Counts and concatenated paths of the words at some places."""
-    used = np.arange(8 * WORD_BYTES) < 8 * path_sizes([tokens[i] for i in at])[:, None]
+def _chosen(sizes: np.ndarray, counts: np.ndarray, favour: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes]:
+    """Counts and concatenated paths of the words at some places, given the paths' sizes."""
+    used = np.arange(8 * WORD_BYTES) < 8 * sizes[at][:, None]
     return packed(pa.table({"c": counts[at]})), packed(pa.table({"p": favour[at][used]}))
 
 
-def rare_words(texts: list[bytes], often: dict[bytes, int]) -> list[bytes]:
-    """Sorted distinct words of a block, with a blank behind them, less the frequent ones."""
-    return sorted(w + b" " for w in {w for t in texts for w in t.split()} if w not in often)
+def rare_words(distinct: pa.Array, often: dict[bytes, int]) -> list[bytes]:
+    """A block's distinct words sorted, with a blank behind them, less the frequent ones."""
+    return sorted(w + b" " for w in _objects(distinct) if w not in often)
 
 
 # Scoring
@@ -339,7 +405,8 @@ class Mixer:
     """Scores runs of bytes, given the byte table and the paths of the words (per place of ``data``)."""
 
     def __init__(self, table: np.ndarray, data: np.ndarray, path_at: np.ndarray, paths: np.ndarray):
-        self.table, self.data, self.path_at, self.paths = table.reshape(-1), data, path_at, paths
+        self.table, self.data, self.path_at = table.reshape(-1), data, path_at
+        self.paths = np.ascontiguousarray(paths).view(np.int64).reshape(-1)  # eight logits each
 
     def score(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Summed log2 probabilities of the runs, each mixed with its own weights."""
@@ -359,44 +426,69 @@ class Mixer:
         for begin in range(0, steps, STEPS):
             end = min(steps, begin + STEPS)
             n = int(active[begin])
-            places = (starts[:n, None] + np.arange(begin, end)).T  # steps x lanes
+            if n < weights.shape[2]:
+                weights = weights[:, :, :n].copy()
+            moved, dot = np.empty((3, 8, n), dtype=np.float32), np.empty((8, n), dtype=np.float32)
+            places = starts[:n] + np.arange(begin, end)[:, None]  # steps x lanes
             logits, bits = self._logits(np.minimum(places, len(self.data) - 1))
             for t in range(end - begin):
                 a = int(active[begin + t])
-                x, w = logits[t, :, :, :a], weights[:, :, :a]
-                dot = np.clip((w * x).sum(axis=0), -12, 12)
-                error = bits[t, :, :a] - 1 / (1 + np.exp(-dot))
-                total[:a] += np.log2(np.prod(1 - np.abs(error), axis=0))
-                w += (RATE * error) * x
+                x, w, m, error = logits[t, :, :, :a], weights[:, :, :a], moved[:, :, :a], dot[:, :a]
+                np.multiply(w, x, out=m)
+                np.add(m[0], m[1], out=error)
+                error += m[2]
+                np.maximum(error, -12, out=error)
+                np.minimum(error, 12, out=error)
+                np.negative(error, out=error)
+                np.exp(error, out=error)
+                error += 1
+                np.divide(1, error, out=error)
+                np.subtract(bits[t, :, :a], error, out=error)
+                np.multiply(error, np.float32(RATE), out=m[0])
+                np.abs(error, out=error)
+                np.subtract(1, error, out=error)
+                total[:a] += np.log2(np.multiply.reduce(error, axis=0))
+                x *= m[0]
+                w += x
         return total
 
     def _logits(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Logits (step, predictor, bit, lane) for a one bit, and the bits (step, bit, lane)."""
         data, (steps, lanes) = self.data, places.shape
-        byte = data[places]
-        found = np.empty((steps, 3, 8, lanes), dtype=np.int8)
-        nodes = NODES[byte]
-        for k, slots in enumerate(contexts(data[places - 1], data[places - 2], data[places - 3])):
-            found[:, k] = self.table[(slots * 256)[:, :, None] + nodes].transpose(0, 2, 1)
-        at = self.path_at[places]
-        found[:, 2] = (self.paths[at] * _WORD_SIGN[byte]).transpose(0, 2, 1)  # without a word the path is zero
-        return found * np.float32(1 / SCALE), BITS[byte].transpose(0, 2, 1).astype(np.float32)
-
-
-def _word_places(data: np.ndarray, texts: list[bytes], known: dict[bytes, int], offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per place, the row of its word's path (-1: none); and the words of all texts, by number."""
-    blank = _BLANK[data] | (data == 0)
-    word = ~blank
-    first = word & np.concatenate([[True], blank[:-1]])
-    begin = np.flatnonzero(first)
-    stop = np.flatnonzero(blank & np.concatenate([[False], word[:-1]]))
-    numbers = np.fromiter((known[w] for t in texts for w in t.split()), np.int32)
+        byte = data.take(places)
+        rows = [s * 256 for s in contexts(data.take(places - 1), data.take(places - 2), data.take(places - 3))]
+        path = self.paths.take(self.path_at.take(places)).view(np.int8) * _WORD_SIGNS.take(byte).view(np.int8)
+        path = path.reshape(steps, lanes, 8)  # without a word zero
+        found = np.empty((steps, 3, 8, lanes), dtype=np.float32)
+        bits = np.empty((steps, 8, lanes), dtype=np.float32)
+        tree = byte.astype(np.int32) | 256
+        for j in range(8):
+            node = tree >> (8 - j)
+            for k, row in enumerate(rows):
+                np.multiply(self.table.take(row + node), _STEP, out=found[:, k, j])
+            np.multiply(path[:, :, j], _STEP, out=found[:, 2, j])
+            bits[:, j] = (byte >> (7 - j)) & 1
+        return found, bits
+
+
+def _word_places(
+    data: np.ndarray, texts: list[bytes], known: dict[bytes, int], offsets: np.ndarray, words: tuple | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """Per place, the row of its word's path (-1: none); and the words of all texts, by number.
+
+    ``words`` is ``numbered_words`` of the texts, if they were numbered before.
+    """
+    begin, stop = _word_edges(_BLANK[data] | (data == 0))
+    found, distinct, _ = words or numbered_words(texts)
+    at = pc.index_in(distinct, value_set=pa.array(list(known), pa.binary())).to_numpy()
+    numbers = np.fromiter(known.values(), np.int32, len(known))[at][found]
     path_at = np.full(len(data), -1, dtype=np.int32)
-    if len(begin):
-        length = np.minimum(stop - begin + 1, WORD_BYTES)  # the blank behind it included
-        within = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
-        places = np.repeat(begin, length) + within
-        path_at[places] = np.repeat(offsets[numbers], length) + within
+    length = np.minimum(stop - begin + 1, WORD_BYTES)  # the blank behind it included
+    rows = offsets[numbers].astype(np.int32)
+    for k in range(WORD_BYTES):
+        longer = np.flatnonzero(length > k)
+        begin, rows, length = begin[longer], rows[longer], length[longer]
+        path_at[begin + k] = rows + np.int32(k)
     return path_at, numbers
 
 
@@ -428,7 +520,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 at = np.flatnonzero(words.column("n").to_numpy() >= often)
                 if len(at):
                     tokens, counts, favour = paths(words, part.as_py(), outside.value)
-                    c, path = _chosen(tokens, counts, favour, at)
+                    c, path = _chosen(path_sizes(tokens), counts, favour, at)
                     names = packed(pa.table({"token": pa.array([tokens[i] for i in at], pa.binary())}))
                     yield _rows(**{k: pa.array([v], pa.binary()) for k, v in (("token", names), ("c", c), ("path", path))})
 
@@ -444,7 +536,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _unblocked(batches):
-            tokens = rare_words([coded(t) for t in rows.column("text").to_pylist()], shared.value[1])
+            distinct = numbered_words([coded(t) for t in rows.column("text").to_pylist()])[1]
+            tokens = rare_words(distinct, shared.value[1])
             low = 0
             while low < len(tokens):
                 k = bisect_right(bounds, tokens[low]) - 1
@@ -466,11 +559,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def answer(asking: pa.Table, answering: pa.Table) -> pa.Table:
         told = []
         if asking.num_rows:
-            tokens, counts, favour = paths(unpacked(answering.column("blob")[0].as_py()), answering.column("part")[0].as_py(), outside.value)
-            place = {t: i for i, t in enumerate(tokens)}
-            for blob in asking.column("tokens"):
-                wanted = unpacked(blob.as_py()).column("token").to_pylist()
-                told.append(_chosen(tokens, counts, favour, np.fromiter((place[t] for t in wanted), np.int64, len(wanted))))
+            words = unpacked(answering.column("blob")[0].as_py())
+            tokens, counts, favour = paths(words, answering.column("part")[0].as_py(), outside.value)
+            wanted = [unpacked(blob.as_py()).column("token") for blob in asking.column("tokens")]
+            places = pc.index_in(pa.concat_arrays([c for w in wanted for c in w.chunks]), value_set=words.column("token").combine_chunks())
+            sizes, bounds = path_sizes(tokens), np.cumsum([len(w) for w in wanted])
+            told = [_chosen(sizes, counts, favour, at) for at in np.split(places.to_numpy(), bounds[:-1])]
         columns = [pa.array(list(v), pa.binary()) for v in zip(*told)] or [pa.array([], pa.binary())] * 2
         return pa.table([asking.column("block"), asking.column("part"), *columns], names=["block", "part", "c", "path"])
 
@@ -482,7 +576,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
         table, often, often_sizes, often_counts, often_paths = shared.value
         rows = pa.concat_tables([unpacked(b.as_py()) for b in block.column("blob")])
         ids, texts = rows.select(["doc_id", "held_out"]), [coded(t) for t in rows.column("text").to_pylist()]
-        rare = rare_words(texts, often)
+        words = numbered_words(texts)
+        rare = rare_words(words[1], often)
         told = told.sort_by("part")  # the ranges' order, so that of the words
         counts = np.concatenate([often_counts, _joined(told.column("c").to_pylist(), "c")])
         favours = np.concatenate([often_paths, _joined(told.column("path").to_pylist(), "p"), np.zeros(8, dtype=np.int8)])
@@ -491,7 +586,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         known = often | {t[:-1]: i for i, t in enumerate(rare, len(often))}
         data, starts = _padded(texts)
         sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-        path_at, numbers = _word_places(data, texts, known, np.cumsum(lengths) - lengths)
+        path_at, numbers = _word_places(data, texts, known, np.cumsum(lengths) - lengths, words)
 
         pieces = -(-sizes // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), pieces)
@@ -500,7 +595,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         size = np.minimum(sizes[owner] - number * SEGMENT, SEGMENT)
         bits = np.bincount(owner, Mixer(table, data, path_at, favours).score(low, size), len(texts))
 
-        n_words = np.array([len(t.split()) for t in texts], dtype=np.int64)
+        n_words = words[2]
         document = np.repeat(np.arange(len(texts)), n_words)
         c = counts[numbers].astype(np.float64)
         under = np.log10(n_train + 0.1 * (distinct + 1))
