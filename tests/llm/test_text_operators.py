@@ -746,6 +746,36 @@ def test_line_similarity_counts_characters(spark):
     assert {tuple(r) for r in fuzzy_lines._verified(pairs, nodes, texts).collect()} == {(0, 1)}
 
 
+def test_texts_of_near_hashes_only(spark):
+    """Texts are fetched for the pairs of near hashes, not for all lines that share a bucket."""
+    nodes = spark.createDataFrame([(0, 0), (1, 7), (2, 255)], "node bigint, simhash bigint")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a bigint, b bigint")
+    asked = []
+
+    def texts(near):
+        asked.extend(tuple(r) for r in near.collect())
+        return spark.createDataFrame([(0, "one line of words"), (1, "one line of word")], "node bigint, norm string")
+
+    assert {tuple(r) for r in fuzzy_lines._verified(pairs, nodes, texts).collect()} == {(0, 1)}
+    assert asked == [(0, 1)]
+
+
+def test_distance_without_common_ends(spark):
+    rng = random.Random(21)
+    pick = lambda n: [rng.choice(("a", "b", "ab", "ba", "aab")) for _ in range(n)]
+    lines = []
+    for _ in range(120):
+        head, tail = pick(rng.randint(0, 12)), pick(rng.randint(0, 12))
+        lines += [" ".join(head + pick(rng.randint(0, 2)) + tail) or "a" for _ in range(2)]
+    nodes = spark.createDataFrame([(i, 0) for i in range(len(lines))], "node bigint, simhash bigint")
+    texts = spark.createDataFrame(list(enumerate(lines)), "node bigint, norm string")
+    every = [(i, i + 1) for i in range(0, len(lines), 2)] + [(i, i + 2) for i in range(0, 60)]
+    pairs = spark.createDataFrame(every, "a bigint, b bigint")
+    want = {(a, b) for a, b in every if edit_distance(lines[a], lines[b]) <= 0.1 * max(len(lines[a]), len(lines[b])) + 1e-9}
+    assert 20 < len(want) < len(every) - 20
+    assert {tuple(r) for r in fuzzy_lines._verified(pairs, nodes, texts).collect()} == want
+
+
 # helpers ---------------------------------------------------------------------------------
 
 
