@@ -760,6 +760,14 @@ def test_texts_of_near_hashes_only(spark):
     assert asked == [(0, 1)]
 
 
+def test_pairs_told_where_they_meet(spark):
+    """Of the pairs that share a bucket, only those of near hashes leave it."""
+    rows = [(0, 5, 0, 0), (1, 5, 1, 3), (2, 5, 2, 255)]
+    members = spark.createDataFrame(rows, "node bigint, bucket bigint, component bigint, simhash bigint")
+    pairs, rest = common.cross_pairs(members, 64, 16, fuzzy_lines._by_quarters, 1, "simhash", fuzzy_lines._near)
+    assert {tuple(r) for r in pairs.collect()} == {(0, 1)} and rest.count() == 0
+
+
 def test_distance_without_common_ends(spark):
     rng = random.Random(21)
     pick = lambda n: [rng.choice(("a", "b", "ab", "ba", "aab")) for _ in range(n)]
