@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -26,6 +27,7 @@ from tideline.llm import (
     url_filter,
 )
 from tideline.llm.common import connected_components, ranked, word_count
+from tideline.scale import shared_dir
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
@@ -784,6 +786,54 @@ def test_distance_without_common_ends(spark):
     assert {tuple(r) for r in fuzzy_lines._verified(pairs, nodes, texts).collect()} == want
 
 
+def test_pairs_of_buckets_once(spark):
+    """Near hashes of near lengths meet, once over all buckets of blocks, and in one quarter of a bucket at least."""
+    rng = random.Random(22)
+    rows = []
+    for i in range(60):
+        base = rng.getrandbits(64)
+        for _ in range(4):
+            flipped = base ^ sum(1 << p for p in rng.sample(range(64), rng.randint(0, 3)))
+            rows.append((len(rows), flipped - (flipped >> 63 << 64), rng.choice((40, 41, 50))))
+    nodes = spark.createDataFrame(rows, "node bigint, simhash bigint, length int")
+    want = sorted(
+        (a, b) for a, x, n in rows for b, y, m in rows
+        if a < b and bin((x ^ y) & (1 << 64) - 1).count("1") <= 3 and min(n, m) >= max(n, m) - max(n, m) // 10
+    )
+    members = fuzzy_lines._buckets(nodes)
+    once = fuzzy_lines._meeting(members, lambda a, b, bucket: fuzzy_lines._first_shared(a, b) == fuzzy_lines._choice(bucket))
+    assert len(want) > 60 and sorted(tuple(r) for r in once.collect()) == want
+    assert sorted(tuple(r) for r in fuzzy_lines._meeting(fuzzy_lines._by_quarters(members)).distinct().collect()) == want
+
+
+def test_block_pairs(spark, monkeypatch):
+    """Blocks of large mixed buckets meet all pairs of different components whose values are near."""
+    monkeypatch.setattr(common, "BLOCK", 7)
+    rng = random.Random(23)
+    rows = [(i, i % 2, 0 if rng.random() < 0.4 else i, rng.randint(0, 60)) for i in range(60)]
+    members = spark.createDataFrame(rows, "node bigint, bucket bigint, component bigint, v int")
+    near = lambda x, y: F.abs(x - y) <= 3
+    pairs, many = common.cross_pairs(members, 1, 2, value="v", near=near)
+    got = sorted(tuple(r) for r in common.block_pairs(many, "v", near).collect())
+    want = sorted((a, b) for a, k, c, v in rows for b, m, d, w in rows if a < b and k == m and c != d and abs(v - w) <= 3)
+    assert pairs.count() == 0 and len(want) > 50 and got == want
+
+
+def test_lines_without_leftovers(spark):
+    """Rows of buckets leave nothing behind, and checkpoints hold only lines that may have a near one."""
+    rng = random.Random(24)
+    docs = []
+    for i in range(1500):
+        words = [f"{rng.getrandbits(40):x}" for _ in range(9)]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[::-1]))]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    folder = Path(shared_dir(spark).removeprefix("file://"))
+    kept = lambda: sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+    before, folders = kept(), {p.name for p in folder.glob("lines-*")}
+    assert fuzzy_lines.fuzzy_lines(df).filter(F.size("removed") > 0).count() == 0
+    assert kept() - before < 1_500_000 and {p.name for p in folder.glob("lines-*")} == folders
+
+
 # helpers ---------------------------------------------------------------------------------
 
 
